@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common, tokens
-from .token_files import runs
+from .tokens import runs
 
 WINDOW, SHARD_TOKENS, END_ID = 4096, 1 << 20, 2
 K1, B = 1.2, 0.75
@@ -32,12 +32,12 @@ VOCABULARY = 1 << 16
 def _encode(path: str, end_id: int):
     def run(batches):
         enc = tokens.encoder(path)
-        end = np.array([end_id], "<u2").tobytes()
         for b in batches:
-            texts = b.column(1).to_pylist()
-            for lo, hi in tokens.batches(texts):
-                ids = [x + end for x in enc.encode(texts[lo:hi])]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(ids, pa.binary()), pa.array([len(x) // 2 for x in ids], pa.int64())], names=["doc_id", "ids", "n"])
+            for lo, hi in tokens.batches(b.column(1)):
+                ids, n = enc.encode_array(b.column(1).slice(lo, hi - lo), end_id)
+                ends = np.concatenate(([0], np.cumsum(n) * 2)).astype(np.int32)
+                rows = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(ids))])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), rows, pa.array(n, pa.int64())], names=["doc_id", "ids", "n"])
 
     return run
 

@@ -25,18 +25,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common, ordered, tokens
+from .tokens import runs
 
 BLOCK_TOKENS, ROUNDS, RULES, LEAST = 1 << 20, 4, 4096, 24
 END_ID = 1
 
 
-def runs(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Indices of the concatenated runs [start, start + length)."""
-    total = int(lengths.sum())
-    if not total:
-        return np.zeros(0, np.int64)
-    before = np.cumsum(lengths) - lengths
-    return np.repeat(starts - before, lengths) + np.arange(total)
+def _hashed(pairs: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return (pairs * np.uint32(0x9E3779B1)) >> np.uint32(16)
 
 
 def repair(ids: np.ndarray, doc_tokens: np.ndarray, rounds: int = ROUNDS, most_rules: int = RULES, least: int = LEAST):
@@ -73,16 +70,20 @@ def repair(ids: np.ndarray, doc_tokens: np.ndarray, rounds: int = ROUNDS, most_r
         if len(often) > most_rules:
             often = often[np.lexsort((inside[edge[often]], -count[often]))[:most_rules]]
         chosen = np.sort(inside[edge[often]])
-        at = np.searchsorted(chosen, pairs)
-        at[at == len(chosen)] = 0
-        hit = (chosen[at] == pairs) & ~last[:-1]
+        # a small hashed table rules out most of the other pairs before the exact look-up
+        maybe = np.zeros(1 << 16, bool)
+        maybe[_hashed(chosen)] = True
+        where = np.flatnonzero(maybe[_hashed(pairs)] & ~last[:-1])
+        at = np.minimum(np.searchsorted(chosen, pairs[where]), len(chosen) - 1)
+        hit = chosen[at] == pairs[where]
+        where, at = where[hit], at[hit]
         # within a run of hits, every other one from the left is replaced
-        where = np.flatnonzero(hit)
         fresh = np.concatenate(([True], np.diff(where) > 1))
         offset = np.arange(len(where)) - np.maximum.accumulate(np.where(fresh, np.arange(len(where)), 0))
-        where = where[offset % 2 == 0]
+        free = offset % 2 == 0
+        where, at = where[free], at[free]
         first = len(alphabet) + len(rules)
-        seq[where] = first + at[where]
+        seq[where] = first + at
         last[where] = last[where + 1]
         keep = np.ones(len(seq), bool)
         keep[where + 1] = False
@@ -125,16 +126,15 @@ def _blocks(path: str, end_id: int, block_tokens: int, names: list[str], types:
         from pyspark import TaskContext
 
         enc = tokens.encoder(path)
-        end = np.array([end_id], "<u2").tobytes()
         shard = TaskContext.get().partitionId()
-        held_ids: list[bytes] = []
+        held_ids: list[np.ndarray] = []
         held_docs: list = []
         size = block = before = 0
 
         def flush():
             nonlocal size, block, before
-            ids = np.frombuffer(b"".join(held_ids), "<u2")
-            n = np.array([len(x) // 2 for x in held_ids], np.uint32)
+            ids = np.concatenate(held_ids)
+            n = np.array([len(x) for x in held_ids], np.uint32)
             alphabet, rules, lengths, symbols, doc_symbols = repair(ids, n)
             doc_ids = np.array([x or 0 for x in held_docs], "<i8")
             nulls = np.array([x is None for x in held_docs], np.uint8)
@@ -145,12 +145,13 @@ def _blocks(path: str, end_id: int, block_tokens: int, names: list[str], types:
             return pa.RecordBatch.from_arrays([pa.array([x.tobytes() if isinstance(x, np.ndarray) else x], t) for x, t in zip(row, types)], names=names)
 
         for b in batches:
-            doc_ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for lo, hi in tokens.batches(texts):
-                for doc_id, ids in zip(doc_ids[lo:hi], enc.encode(texts[lo:hi])):
-                    held_ids.append(ids + end)
+            doc_ids = b.column(0).to_pylist()
+            for lo, hi in tokens.batches(b.column(1)):
+                ids, n = enc.encode_array(b.column(1).slice(lo, hi - lo), end_id)
+                for doc_id, stop, k in zip(doc_ids[lo:hi], np.cumsum(n).tolist(), n.tolist()):
+                    held_ids.append(ids[stop - k : stop])
                     held_docs.append(doc_id)
-                    size += len(ids) // 2 + 1
+                    size += k
                     if size >= block_tokens:
                         yield flush()
         if held_ids:

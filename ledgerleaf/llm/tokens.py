@@ -8,16 +8,18 @@ again come from a bounded cache.  ``tests/llm`` holds this against encoding whol
 from __future__ import annotations
 
 import os
-import re
 from array import array
 
 import numpy as np
-
-#: Pieces and words kept per worker, and the longest piece kept.
-CACHE_PIECES, CACHE_WORDS, CACHE_CHARS = 400_000, 500_000, 48
-#: A piece of Latin letters and then ASCII punctuation: the tokenizer's pattern splits it exactly there, and
-#: lower-cases the letters one by one.
-WORD = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:;=?@\\[-`{}~]*)\\Z")
+import pyarrow as pa
+import pyarrow.compute as pc
+
+#: Words kept per worker, and the longest piece kept.
+CACHE_WORDS, CACHE_CHARS = 600_000, 48
+#: A piece of letters and then marks of these kinds is split exactly there by the tokenizer's pattern, which
+#: matches runs of letters and runs of marks; it has alternatives of its own for the apostrophe only.
+LETTERS = "abcdefghijklmnopqrstuvwxyz" + "".join(map(chr, (*range(0xC0, 0xD7), *range(0xD8, 0xF7), *range(0xF8, 0x100))))
+MARKS = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
 _ENCODERS: dict = {}
 
 
@@ -28,7 +30,7 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
 
 
 class Encoder:
-    """Ids as little-endian unsigned 16-bit bytes (the vocabulary has 49,408 ids)."""
+    """Ids as unsigned 16-bit numbers (the vocabulary has 49,408 ids)."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -37,58 +39,77 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         if self.tokenizer.get_vocab_size() > 65_536:
             raise ValueError("ids must fit in 16 bits")
-        self.pieces: dict[str, bytes] = {"": b""}
         self.words: dict[str, bytes] = {"": b""}
 
     def _each(self, pieces: list[str]) -> list[bytes]:
         return [array("H", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
-    def _words(self, words: list[str], at_once: int = 1000) -> None:
-        """Lower-case words of letters, many in one call, taken apart by the library's word numbers."""
-        rows = [words[i : i + at_once] for i in range(0, len(words), at_once)]
+    def _joined(self, words: list[str], at_once: int = 1000) -> list[bytes]:
+        """Words of letters, many in one call, taken apart by the library's word numbers."""
+        rows, out = [words[i : i + at_once] for i in range(0, len(words), at_once)], []
         for row, e in zip(rows, self.tokenizer.encode_batch([" ".join(r) for r in rows], add_special_tokens=False)):
             raw, of = array("H", e.ids).tobytes(), np.array(e.word_ids)
             cut = (np.flatnonzero(np.diff(of)) + 1) * 2
             if len(cut) + 1 != len(row):
-                self.words.update(zip(row, self._each(row)))
+                out += self._each(row)
                 continue
             cut = [0, *cut.tolist(), len(raw)]
-            self.words.update((w, raw[a:b]) for w, a, b in zip(row, cut, cut[1:]))
-
-    def _learn(self, new: list[str]) -> None:
-        plain, other, want = [], [], set()
-        for w in new:
-            m = WORD.match(w)
-            if m:
-                x = (w, m[1].lower(), m[2])
-                plain.append(x)
-                want.update(x[1:])
-            else:
-                other.append(w)
-        want -= self.words.keys()
-        self._words([w for w in want if w.isalpha()])
-        marks = [w for w in want if not w.isalpha()]
-        self.words.update(zip(marks, self._each(marks)))
-        words = self.words
-        self.pieces.update((w, words[a] + words[b]) for w, a, b in plain)
-        self.pieces.update(zip(other, self._each(other)))
-        if len(words) > CACHE_WORDS:
-            for w in want:
-                del words[w]
+            out += [raw[a:b] for a, b in zip(cut, cut[1:])]
+        return out
+
+    def _ids(self, pieces: list[str], letters: bool) -> list[bytes]:
+        known = self.words
+        got = list(map(known.get, pieces))
+        gaps = [i for i, g in enumerate(got) if g is None]
+        if gaps:
+            new = [pieces[i] for i in gaps]
+            full = len(known) > CACHE_WORDS
+            for i, w, ids in zip(gaps, new, (self._joined if letters else self._each)(new)):
+                got[i] = ids
+                if not full and len(w) <= CACHE_CHARS:
+                    known[w] = ids
+        return got
+
+    def encode_array(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, ids per text), each text followed by end_id if that is given.
+
+        Every distinct piece of the array is looked up once; the ids are gathered by piece number.  ASCII is
+        lower-cased first, as the tokenizer does, unless a text may hold a special token's name.
+        """
+        if not pc.any(pc.match_substring(texts, "<|")).as_py():
+            texts = pc.ascii_lower(texts)
+        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        coded = lists.flatten().dictionary_encode()
+        pieces = coded.dictionary
+        word, mark = pc.utf8_rtrim(pieces, characters=MARKS), pc.utf8_ltrim(pieces, characters=LETTERS)
+        plain = pc.equal(pc.add(pc.binary_length(word), pc.binary_length(mark)), pc.binary_length(pieces))
+        # a piece is a word and a mark, or an odd piece and nothing
+        words = pc.if_else(plain, word, "").dictionary_encode()
+        others = pc.if_else(plain, mark, pieces).dictionary_encode()
+        got = self._ids(words.dictionary.to_pylist(), True)
+        first = len(got)
+        got += self._ids(others.dictionary.to_pylist(), False)
+        flat = np.frombuffer(b"".join(got), "<u2")
+        length = np.fromiter(map(len, got), np.int64, len(got)) // 2
+        start = np.cumsum(length) - length
+        parts = np.stack([words.indices.to_numpy(), others.indices.to_numpy() + first], 1)
+        table, length = flat[runs(start[parts.reshape(-1)], length[parts.reshape(-1)])], length[parts].sum(1)
+        if end_id is not None:
+            table, length = np.append(table, np.array([end_id], "<u2")), np.append(length, 1)
+        start = np.cumsum(length) - length
+        number, ends = coded.indices.to_numpy(), np.concatenate(([0], np.cumsum(pc.list_value_length(lists).to_numpy())))
+        if end_id is not None:
+            number = np.insert(number, ends[1:], len(length) - 1)
+            ends = ends + np.arange(len(ends))
+        each = length[number]
+        upto = np.concatenate(([0], np.cumsum(each)))
+        return table[runs(start[number], each)], np.diff(upto[ends])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        known = self.pieces
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list({w for p in split for w in p if w not in known})
-        if new:
-            self._learn(new)
-        get = known.__getitem__
-        out = [b"".join(map(get, p)) for p in split]
-        full = len(known) > CACHE_PIECES
-        for w in new:
-            if full or len(w) > CACHE_CHARS:
-                del known[w]
-        return out
+        ids, n = self.encode_array(pa.array(texts, pa.string()))
+        ends = np.cumsum(n) * 2
+        raw = ids.tobytes()
+        return [raw[e - 2 * k : e] for e, k in zip(ends.tolist(), n.tolist())]
 
 
 def encoder(path: str) -> Encoder:
@@ -98,13 +119,21 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def batches(texts: list, most_chars: int = 2_000_000):
-    """Slices of consecutive texts, of about most_chars code points."""
-    a, n = 0, 0
-    for i, t in enumerate(texts):
-        n += len(t)
-        if n >= most_chars:
-            yield a, i + 1
-            a, n = i + 1, 0
-    if a < len(texts):
-        yield a, len(texts)
+def runs(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Indices of the concatenated runs [start, start + length)."""
+    total = int(lengths.sum())
+    if not total:
+        return np.zeros(0, np.int64)
+    before = np.cumsum(lengths) - lengths
+    return np.repeat(starts - before, lengths) + np.arange(total)
+
+
+def batches(texts: pa.Array, most_bytes: int = 8_000_000):
+    """(from, to) of consecutive texts of about most_bytes."""
+    n = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    a = 0
+    while a < len(n):
+        before = n[a - 1] if a else 0
+        b = min(len(n), int(np.searchsorted(n, before + most_bytes)) + 1)
+        yield a, b
+        a = b
