@@ -82,8 +82,8 @@ def _share(nodes: DataFrame, parent: list[str]) -> DataFrame:
 def budgets(leaves: DataFrame, total: tuple[int, int], max_epochs: int, domains: dict, languages: dict, sources: dict) -> DataFrame:
     """(domain, language, leaf, tokens, budget) from (domain, language, leaf, tokens); the tree is one row a leaf."""
     leaves = common.cut(leaves.withColumn("cap", F.col("tokens") * max_epochs))
-    root = leaves.agg(F.least(F.expr(f"sum(tokens) * {total[0]} div {total[1]}"), F.sum("cap")).cast("long").alias("b"))
-    tree = leaves.groupBy("domain").agg(F.sum("cap").alias("cap")).crossJoin(F.broadcast(root))  # one row
+    root = leaves.agg(F.least(F.expr(f"sum(tokens) * {total[0]} div {total[1]}"), F.sum("cap")).cast("long").alias("b")).first().b  # one number
+    tree = leaves.groupBy("domain").agg(F.sum("cap").alias("cap")).withColumn("b", F.lit(root).cast("long"))
     tree = _share(tree.withColumn("name", F.col("domain")).withColumn("w", weight_of(F.col("domain"), domains)), [])
     tree = tree.select("domain", F.col("budget").alias("b"))
     tree = leaves.groupBy("domain", "language").agg(F.sum("cap").alias("cap")).join(tree, "domain")
