@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import tempfile
 import uuid
@@ -40,8 +42,16 @@ def new_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
 
 
+#: Most bytes of an Arrow batch sent to a Python worker: rows hold whole texts, so a count of rows bounds nothing.
+BATCH_BYTES = 16 << 20
+
+
 def ship(spark: SparkSession) -> None:
-    """Lets local Python workers import this package whatever the driver's working folder is."""
+    """Bounds the batches sent to Python workers, and lets local ones import this package from any folder."""
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = str(spark.conf.get(limit)).lower().removesuffix("b")
+    if not now.isdigit() or int(now) > BATCH_BYTES:
+        spark.conf.set(limit, str(BATCH_BYTES))
     env = spark.sparkContext.environment
     had = env.get("PYTHONPATH", "")
     if ROOT not in had.split(os.pathsep):
@@ -55,3 +65,12 @@ def partitions(spark: SparkSession) -> int:
 def with_defaults(df: DataFrame, text: str = "text") -> DataFrame:
     """Null texts read as empty."""
     return df.withColumn(text, F.coalesce(F.col(text).cast("string"), F.lit("")))
+
+
+def trim() -> None:
+    """Gives a reused Python worker's free memory back: the next stage's executor memory counts it otherwise."""
+    import pyarrow
+
+    pyarrow.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)

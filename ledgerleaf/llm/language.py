@@ -74,6 +74,7 @@ class Model:
             b = trigrams(t or "")
             out.append(self.table[:, b].sum(1, dtype=np.float64))
             n.append(len(b))
+        common.trim()
         return pd.DataFrame({"likelihoods": out, "n_trigrams": np.array(n, np.int64)})
 
 
@@ -86,6 +87,7 @@ def _counts(languages: list[str]):
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if lang in at and text:
                     total[at[lang]] += np.bincount(trigrams(text), minlength=BUCKETS)
+        common.trim()
         lang, bucket = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(lang, pa.int32()), pa.array(bucket, pa.int32()), pa.array(total[lang, bucket])], names=["language", "bucket", "n"])
 

@@ -38,6 +38,7 @@ def _encode(path: str, end_id: int):
                 ends = np.concatenate(([0], np.cumsum(n) * 2)).astype(np.int32)
                 rows = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(ids))])
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), rows, pa.array(n, pa.int64())], names=["doc_id", "ids", "n"])
+        common.trim()
 
     return run
 
@@ -216,6 +217,7 @@ def _pack(bm25: Bm25, window: int, shard_tokens: int):
                     yield flush()
         if held:
             yield flush()
+        common.trim()
 
     return run
 

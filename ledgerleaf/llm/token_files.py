@@ -156,6 +156,7 @@ def _blocks(path: str, end_id: int, block_tokens: int, names: list[str], types:
                         yield flush()
         if held_ids:
             yield flush()
+        common.trim()
 
     return run
 
