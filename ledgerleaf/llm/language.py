@@ -136,8 +136,9 @@ class Evidence:
     def __init__(self, scored: DataFrame, model: Model):
         self.model, langs = model, model.languages
         domain = F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1)
-        rows = scored.where("text_language is not null").select("text_language", "declared", "host", F.when(domain == "", F.col("host")).otherwise(domain).alias("domain"), F.regexp_extract("host", r"\.([^.]+)$", 1).alias("suffix"))
-        counts = common.cut(rows.groupBy("text_language", "declared", "host", "domain", "suffix").agg(F.count("*").alias("n")))
+        rows = scored.select("text_language", "declared", "host", F.when(domain == "", F.col("host")).otherwise(domain).alias("domain"), F.regexp_extract("host", r"\.([^.]+)$", 1).alias("suffix"))
+        # rows without a language leave after the cut: a filter before it would run the scores twice
+        counts = common.cut(rows.groupBy("text_language", "declared", "host", "domain", "suffix").agg(F.count("*").alias("n"))).where("text_language is not null")
         known = counts.where(F.col("declared").isin(langs)) if langs else counts.limit(0)
         self.declared = {(r.declared, r.text_language): r.n for r in known.groupBy("declared", "text_language").agg(F.sum("n").alias("n")).collect()}
         # suffixes beyond the most frequent carry no evidence of their own: the host levels hold them
