@@ -32,6 +32,8 @@ from . import common
 BUCKETS = 1 << 15
 MOST_LANGUAGES = 64
 TEMPER, SMOOTH = 0.25, 20.0
+#: Share of the noise model in each language's: a short text with a code or name in it stays explained.
+NOISE = 0.1
 #: Hosts up to this number are broadcast (an array of at most MOST_LANGUAGES doubles each).
 BROADCAST_HOSTS = 20_000
 _LETTERS: list = []
@@ -64,8 +66,8 @@ class Model:
 
     def __init__(self, languages: list[str], counts: np.ndarray):
         self.languages = languages
-        total = counts.sum(1, keepdims=True)
-        self.table = np.log((counts + 0.5) / (total + 0.5 * BUCKETS)).astype(np.float32)
+        share = counts / np.maximum(1, counts.sum(1, keepdims=True))
+        self.table = np.log((1 - NOISE) * share + NOISE / BUCKETS).astype(np.float32)
 
     def scores(self, texts: pd.Series) -> pd.DataFrame:
         """Per text the log-likelihood of each language and the number of trigrams."""
