@@ -1,9 +1,10 @@
 """Packing token sequences by lexical retrieval.
 
 Every document is encoded once.  Document frequencies of token ids come from all documents (at most one row for
-each id of the vocabulary, so they fit anywhere).  A document's routing term is its strongest BM25 term; rows are
-range-partitioned by (term, doc_id), so lexically close documents meet and a frequent term is split.  Each
-partition is cut into shards of about ``SHARD_TOKENS`` ids.  A shard has a BM25 inverted index over its
+each id of the vocabulary, so they fit anywhere).  A document's routing term is its strongest BM25 term; rows are dealt
+by (term, salt), so lexically close documents meet.  A term has as many salts as keep each below a partition's even
+share of rows even if every document with the term were routed by it, so no term can fill a task.  Each partition
+is cut into shards of about ``SHARD_TOKENS`` ids.  A shard has a BM25 inverted index over its
 documents: a seed document retrieves the unused ones in order of score, and they fill its window greedily; the
 document that does not fit is cut, and its rest seeds the next window.  A shard's last window is cut into
 sequences whose lengths are powers of two, which need no padding, so nothing is padded at all.
@@ -75,7 +76,7 @@ class Bm25:
         return self.idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / self.average))
 
 
-def _routed(bm25: Bm25):
+def _routed(bm25: Bm25, salts: np.ndarray):
     def run(batches):
         for b in batches:
             n = np.asarray(b.column(2))
@@ -85,7 +86,10 @@ def _routed(bm25: Bm25):
             w = bm25.weight(tf, term, n[doc])
             best = np.lexsort((term, -w, doc))
             first = best[np.concatenate(([True], doc[best][1:] != doc[best][:-1]))]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(term[first].astype(np.int32))], names=["doc_id", "ids", "n", "term"])
+            top = term[first]
+            # by doc_id where there is one, so that a retried task deals alike
+            spread = np.asarray(b.column(0).fill_null(0)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(top.astype(np.int32)), pa.array((spread.astype(np.int64) % salts[top]).astype(np.int32))], names=["doc_id", "ids", "n", "term", "salt"])
 
     return run
 
@@ -230,9 +234,13 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, end_id: int = END_I
     coded = common.cut(texts.mapInArrow(_encode(tokenizer_path or tokens.vocabulary_path(), end_id), "doc_id long, ids binary, n long"))
     all_of = coded.agg(F.count("*").alias("documents"), F.coalesce(F.sum("n"), F.lit(0)).alias("total")).first()
     df = coded.select("ids", "n").mapInArrow(_frequencies, "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
-    bm25 = Bm25(all_of.documents, all_of.total, {r.term: r.df for r in df.collect()})  # at most one row a vocabulary id
-    routed = coded.mapInArrow(_routed(bm25), "doc_id long, ids binary, n long, term int")
-    dealt = routed.repartitionByRange(common.partitions(spark), "term", "doc_id").sortWithinPartitions("term", "doc_id", "n", "ids").select("doc_id", "ids")
+    df = {r.term: r.df for r in df.collect()}  # at most one row a vocabulary id
+    bm25, parts = Bm25(all_of.documents, all_of.total, df), common.partitions(spark)
+    salts = np.ones(VOCABULARY, np.int64)
+    for term, n in df.items():
+        salts[term] = max(1, -(-n * parts // max(1, all_of.documents)))
+    routed = coded.mapInArrow(_routed(bm25, salts), "doc_id long, ids binary, n long, term int, salt int")
+    dealt = routed.repartition(parts, "term", "salt").sortWithinPartitions("term", "salt", "doc_id", "n", "ids").select("doc_id", "ids")
     return dealt.mapInArrow(_pack(bm25, window, shard_tokens), SCHEMA)
 
 
