@@ -407,7 +407,7 @@ def extract_json_salvage(spark, sf_dir):
 @query("bill_gate", "SELECT event_id, event_id % 9 = 0 OR event_id % 4 IN (0, 3) OR event_id % 5 NOT IN (0, 1) AS is_bill FROM events")
 def bill_gate(spark, sf_dir):
     e, k = table(spark, sf_dir, "events"), F.col("event_id")
-    kind = F.element_at(F.array(*map(F.lit, ("hcfa_1500", "eob", "letter", "nonsense"))), (k % 4 + 1).cast("int"))
+    kind = F.element_at(F.array(*map(F.lit, ("hcfa_1500", "eob", " ID_card", "nonsense"))), (k % 4 + 1).cast("int"))
     sure = F.element_at(F.array(*map(F.lit, ("high", "medium", "low", "?", ""))), (k % 5 + 1).cast("int"))
     return e.select("event_id", serving.bill_gate(kind, sure, k % 9 == 0).alias("is_bill"))
 

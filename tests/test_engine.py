@@ -115,6 +115,8 @@ def test_sources(spark, tmp_path):
 def test_serving(spark):
     df = spark.createDataFrame([('```json\n{"a": "1"}\n```',), ('x {"a": "1", "b": "2', ), ("none",), (None,)], "t string")
     assert [r.x for r in df.select(serving.extract_json("t").alias("x")).collect()] == ['{"a":"1"}', '{"a":"1"}', None, None]
+    said = spark.createDataFrame([('sure: {"doc_type": "EOB ", "confidence": "High"}',), ("no",)], "t string").select(serving.classified(F.col("t")).alias("x")).collect()
+    assert [tuple(r.x) for r in said] == [("eob", "high"), ("unknown", "low")]
     assert spark.sql("select map('a', '', 'b', 'x') m").select(serving.num_fields(F.col("m")).alias("n")).first().n == 1
 
 
