@@ -135,6 +135,16 @@ def test_line_dedup_brute(spark):
             assert x.text == want[-(10**18) if x.doc_id is None else x.doc_id, before]
 
 
+def test_clashing_columns(spark):
+    extra = {c: F.lit(7) for c in ("_row", "_tag", "_spans", "fp", "term", "shard", "key", "leaf", "domain", "language", "confidence", "component_id", "text_language", "n_trigrams")}
+    docs = make(spark, [(1, "one two three\nfour", "s"), (2, "five six", "s")]).withColumns(extra)
+    for stage in (lines.drop_repeats, simhash.keep_one, mixing.keep_mixed, language.keep_identified):
+        out = stage(docs)
+        assert out.columns == docs.columns and all(r[c] == 7 for r in out.collect() for c in extra)
+    assert {r.doc_id for r in packing.pack(docs).collect()} == {1, 2}
+    assert fingerprints.edited_fingerprints(docs, 2).count() == 2 and lines.dedup(docs).where("_tag = 7").count() == 2
+
+
 # ---------------------------------------------------------------- 4
 def test_encoder_equals_whole_texts():
     r = random.Random(3)
