@@ -73,7 +73,8 @@ def dedup(docs: DataFrame) -> DataFrame:
     Columns of docs may have any names; those four are replaced if they are there.
     """
     names = docs.columns
-    docs = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("_row"), "doc_id", "text")
+    made = ("text", "n_chars", "n_lines_removed", "chars_before")
+    docs = docs.select(F.struct(*(F.col(f"`{c}`") for c in names if c not in made)).alias("_row"), "doc_id", "text")
     spans = repeats(docs.select("doc_id", "text")).select(F.col("doc_id").alias("_d"), F.col("tag").alias("_t"), F.col("spans").alias("_spans"))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.withColumn("_tag", F.xxhash64(text))
@@ -84,7 +85,6 @@ def dedup(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("n_lines_removed", F.when(F.col("_spans").isNotNull(), F.col("n_lines_removed")).otherwise(0))
     rows = rows.withColumn("text", F.when(F.col("_spans").isNotNull(), F.array_join("_kept", "\n", "")).otherwise(F.col("text")))
     rows = rows.withColumn("n_chars", F.length(F.coalesce(F.col("text").cast("string"), F.lit(""))).cast("long")).withColumn("chars_before", F.col("_before").cast("long"))
-    made = ("text", "n_chars", "n_lines_removed", "chars_before")
     kept = [F.col(c) if c in made else F.col("_row")[c].alias(c) for c in names]
     return rows.select(*kept, *(F.col(c) for c in made if c not in names))
 
