@@ -33,7 +33,7 @@ def windows(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("tag"), units.alias("u"))
 
     def window(u, i, step):
-        """The shortest passage from unit i in the direction of step, as a struct; null if there is none."""
+        """The shortest passage from unit i in the direction of step, (first << 32) + last; null if there is none."""
         n = F.size(u)
         w = [F.coalesce(F.get(u, i + step * k)["w"], F.lit(0)) for k in range(MIN_LINES)]
         length = F.lit(MIN_LINES)
@@ -41,14 +41,20 @@ def windows(docs: DataFrame) -> DataFrame:
             length = F.when(sum(w[1 : k + 1], w[0]) >= MIN_WORDS, k + 1).otherwise(length)
         far = i + step * (length - 1)
         first, last = (i, far) if step > 0 else (far, i)
-        return F.when((far >= 0) & (far < n), F.struct(first.cast("int").alias("first"), last.cast("int").alias("last")))
+        return F.when((far >= 0) & (far < n), F.shiftleft(first.cast("long"), 32) + last)
 
+    # numbers, because lists of structs are told apart pair by pair
     spans = F.array_distinct(F.filter(F.concat(F.transform("u", lambda _, i: window(F.col("u"), i, 1)), F.transform("u", lambda _, i: window(F.col("u"), i, -1))), lambda x: x.isNotNull()))
-    rows = rows.select("doc_id", "tag", "u", F.explode(spans).alias("x"))
-    part = F.slice("u", F.col("x.first") + 1, F.col("x.last") - F.col("x.first") + 1)
-    rows = rows.select("doc_id", "tag", F.col("u")[F.col("x.first")]["at"].alias("first"), F.col("u")[F.col("x.last")]["at"].alias("last"), F.transform(part, lambda y: y.h).alias("hs"))
-    # two independent 64-bit hashes of the content make the key
-    return rows.select("doc_id", "tag", "first", "last", F.struct(F.xxhash64("hs").alias("a"), F.xxhash64(F.reverse("hs"), F.lit(1)).alias("b")).alias("key"), F.array_min("hs").alias("fingerprint"))
+
+    def content(span):
+        """Place, key and fingerprint of a window; made before the explode, which then carries no list of units."""
+        first, last = F.shiftright(span, 32).cast("int"), span.bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
+        hs = F.transform(F.sequence(first, last), lambda i: F.col("u")[i]["h"])
+        # two independent 64-bit hashes of the content make the key
+        key = F.struct(F.xxhash64(hs).alias("a"), F.xxhash64(F.reverse(hs), F.lit(1)).alias("b"))
+        return F.struct(F.col("u")[first]["at"].alias("first"), F.col("u")[last]["at"].alias("last"), key.alias("key"), F.array_min(hs).alias("fingerprint"))
+
+    return rows.select("doc_id", "tag", F.explode(F.transform(spans, content)).alias("x")).select("doc_id", "tag", "x.*")
 
 
 def repeats(docs: DataFrame) -> DataFrame:
@@ -63,8 +69,9 @@ def repeats(docs: DataFrame) -> DataFrame:
 
 
 def _outside(lines, spans):
-    """Lines that lie in no span: a running sum over span starts and ends, then a filter."""
-    return F.filter(F.transform(lines, lambda x, i: F.struct(x.alias("s"), F.exists(spans, lambda p: (p["first"] <= i) & (i <= p["last"])).alias("gone"))), lambda y: ~y.gone)
+    """Lines that lie in no span.  A line lies in a handful of windows, so the work is linear in the text."""
+    gone = F.flatten(F.transform(spans, lambda p: F.sequence(p["first"], p["last"])))
+    return F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone), lambda i: lines[i])
 
 
 def dedup(docs: DataFrame) -> DataFrame:
@@ -80,7 +87,7 @@ def dedup(docs: DataFrame) -> DataFrame:
     rows = docs.withColumn("_tag", F.xxhash64(text))
     rows = rows.join(spans, (F.col("doc_id").cast("long").eqNullSafe(F.col("_d"))) & (F.col("_tag") == F.col("_t")), "left")
     rows = rows.withColumn("_lines", F.when(F.col("_spans").isNotNull(), F.split("text", "\n")))
-    rows = rows.withColumn("_kept", F.transform(_outside(F.col("_lines"), F.col("_spans")), lambda y: y.s))
+    rows = rows.withColumn("_kept", _outside(F.col("_lines"), F.col("_spans")))
     rows = rows.withColumn("_before", F.length(text)).withColumn("n_lines_removed", F.coalesce(F.size("_lines") - F.size("_kept"), F.lit(0)))
     rows = rows.withColumn("n_lines_removed", F.when(F.col("_spans").isNotNull(), F.col("n_lines_removed")).otherwise(0))
     rows = rows.withColumn("text", F.when(F.col("_spans").isNotNull(), F.array_join("_kept", "\n", "")).otherwise(F.col("text")))
