@@ -132,21 +132,21 @@ def with_scores(rows: DataFrame, model: Model) -> DataFrame:
     return rows.withColumn("text_language", best if model.languages else F.lit(None).cast("string"))
 
 
+def suffix_of(host) -> F.Column:
+    return F.regexp_extract(host, r"\.([^.]+)$", 1)
+
+
 class Evidence:
     """Grouped counts of scored rows (text_language, declared, host), and what follows from them."""
 
     def __init__(self, scored: DataFrame, model: Model):
         self.model, langs = model, model.languages
         domain = F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1)
-        rows = scored.select("text_language", "declared", "host", F.when(domain == "", F.col("host")).otherwise(domain).alias("domain"), F.regexp_extract("host", r"\.([^.]+)$", 1).alias("suffix"))
+        rows = scored.select("text_language", "declared", "host", F.when(domain == "", F.col("host")).otherwise(domain).alias("domain"), suffix_of(F.col("host")).alias("suffix"))
         # rows without a language leave after the cut: a filter before it would run the scores twice
         counts = common.cut(rows.groupBy("text_language", "declared", "host", "domain", "suffix").agg(F.count("*").alias("n"))).where("text_language is not null")
         known = counts.where(F.col("declared").isin(langs)) if langs else counts.limit(0)
         self.declared = {(r.declared, r.text_language): r.n for r in known.groupBy("declared", "text_language").agg(F.sum("n").alias("n")).collect()}
-        # suffixes beyond the most frequent carry no evidence of their own: the host levels hold them
-        top = [r.suffix for r in counts.where("suffix <> ''").groupBy("suffix").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "suffix").limit(256).collect()]
-        self.suffix = {(r.suffix, r.text_language): r.n for r in counts.where(F.col("suffix").isin(top)).groupBy("suffix", "text_language").agg(F.sum("n").alias("n")).collect()} if top else {}
-        self.suffixes = top
         whole = {r.text_language: r.n for r in counts.groupBy("text_language").agg(F.sum("n").alias("n")).collect()}
         n = sum(whole.values())
         self.all = [(whole.get(x, 0) + 1) / (n + len(langs)) for x in langs]
@@ -161,8 +161,13 @@ class Evidence:
 
         domains = shares("domain", None)
         domains = domains.select("domain", *(((F.col(f"n{i}") + SMOOTH * p) / (F.col("n") + SMOOTH)).alias(f"d{i}") for i, p in enumerate(self.all)))
-        hosts = shares("host", domains).join(domains, "domain", "left")
-        prior = F.array(*(F.log((F.col(f"n{i}") + SMOOTH * F.coalesce(f"d{i}", F.lit(p))) / (F.col("n") + SMOOTH)) for i, p in enumerate(self.all)))
+        # a suffix is part of the host, so its evidence comes with the host's row; all suffixes count
+        ending = {r.text_language: r.n for r in counts.where("suffix <> ''").groupBy("text_language").agg(F.sum("n").alias("n")).collect()}
+        share = F.greatest(F.col("n") / F.lit(sum(ending.values()) or 1), F.lit(1e-6))
+        suffixes = shares("suffix", None).where("suffix <> ''")
+        suffixes = suffixes.select("suffix", *(F.log((F.col(f"n{i}") + SMOOTH * share) / F.lit(ending.get(x, 0) + SMOOTH)).alias(f"e{i}") for i, x in enumerate(langs)))
+        hosts = shares("host", domains).join(domains, "domain", "left").withColumn("suffix", suffix_of(F.col("host"))).join(suffixes, "suffix", "left")
+        prior = F.array(*(F.log((F.col(f"n{i}") + SMOOTH * F.coalesce(f"d{i}", F.lit(p))) / (F.col("n") + SMOOTH)) + F.coalesce(f"e{i}", F.lit(0.0)) for i, p in enumerate(self.all)))
         self.hosts = common.cut(hosts.select("host", prior.alias("host_prior")))
         self.n_hosts = self.hosts.count()
 
@@ -179,8 +184,7 @@ class Evidence:
             return [F.coalesce(F.element_at(F.create_map(*(F.lit(x) for k, v in table.items() for x in (k, v[i]))), col), F.lit(0.0)) if table else F.lit(0.0) for i in range(len(langs))]
 
         said = of(_log_share(self.declared, langs, langs, "declared"), F.coalesce("declared", F.lit("")))
-        ends = of(_log_share(self.suffix, self.suffixes, langs, "suffix"), F.coalesce(F.regexp_extract("host", r"\.([^.]+)$", 1), F.lit("")))
-        total = [TEMPER * F.col("likelihoods")[i] + said[i] + ends[i] + F.coalesce(F.col("host_prior")[i], F.lit(math.log(self.all[i]))) for i in range(len(langs))]
+        total = [TEMPER * F.col("likelihoods")[i] + said[i] + F.coalesce(F.col("host_prior")[i], F.lit(math.log(self.all[i]))) for i in range(len(langs))]
         rows = rows.withColumn("_p", F.array(*total)).withColumn("_m", F.array_max("_p"))
         at = F.array_position("_p", F.col("_m")).cast("int")
         named = F.element_at(F.array(*map(F.lit, langs)), at)
