@@ -87,6 +87,15 @@ def test_language_fusion(spark):
     assert {x.language for x in language.identify(spark.createDataFrame([(1, "abc", None, None)], "id long, text string, declared string, host string")).collect()} == {"und"}
 
 
+def test_language_every_suffix_counts(spark):
+    rows = []
+    for i in range(300):
+        said = ("thing other thing other", "en") if i % 2 else ("gniht rehto gniht rehto", "de")
+        rows += [(10 * i + k, *said, f"a{k}.t{i}") for k in range(3)] + [(10 * i + 9, "thing gniht", None, f"b.t{i}")]
+    out = language.identify(spark.createDataFrame(rows, "id long, text string, declared string, host string")).where("declared is null").collect()
+    assert len(out) == 300 and all(r.language == ("en" if r.id // 10 % 2 else "de") for r in out)
+
+
 def test_language_keeps_documents_columns(spark, docs):
     kept = language.keep_identified(docs)
     assert kept.columns == docs.columns
