@@ -3,7 +3,8 @@
 1. language_id: documents whose language cannot be told from noise go (source serves as host, lang as the
    declared language).
 2. line_dedup: later repeats of passages are deleted from the texts; documents that lose all their text go.
-3. near_dedup: one document of each SimHash component stays, that of the smallest doc_id.
+3. near_dedup: one document of each component of documents that share 0.8 or more of their 5-word shingles
+   (Jaccard) stays, that of the smallest doc_id.
 4. mixing: each source keeps the documents that its share of the token budget reads, once at most.
 5. packing: what is left is packed into sequences of 4,096 ids, neighbours by BM25; one row for each piece.
 
@@ -15,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerleaf.llm import common, language, lines, mixing, packing, simhash
+from ledgerleaf.llm import common, language, lines, mixing, packing, similar
 
 #: The mixture reads four fifths of the tokens it is given, and no document twice.
 MIX = {"total": (4, 5), "max_epochs": 1}
@@ -30,7 +31,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.keep_one(docs)
+    return similar.keep_one(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,5 +1,7 @@
+import random
+
 import corpus_pipeline
-from ledgerleaf.llm import queries
+from ledgerleaf.llm import queries, similar
 
 SF = "/root/testdata/sf0.001"
 
@@ -21,3 +23,40 @@ def test_stages_keep_columns_and_rows(spark, tmp_path):
 
 def test_query_names():
     assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+
+
+def brute_similar(rows):
+    """Components of 5-word Jaccard 0.8 or more, every pair compared."""
+    sets, label = {}, {i: i for i, _ in rows}
+    for i, t in rows:
+        w = (t or "").encode().lower().split()
+        sets[i] = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+    near = [(a, b) for a in sets for b in sets if a < b and (sets[a] == sets[b] or 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]))]
+    for _ in sets:
+        for a, b in near:
+            label[a] = label[b] = min(label[a], label[b])
+    return label, near
+
+
+def test_near_dedup_brute(spark, monkeypatch):
+    r = random.Random(8)
+    rows = []
+    shared = " ".join(f"common{k}" for k in range(12))
+    for i in range(25):
+        n = r.choice((9, 14, 40, 60, 200, 400))
+        base = [f"w{r.randrange(3000)}" for _ in range(n)]
+        for k in range(6):
+            w = list(base)
+            for _ in range(k and r.randint(1, max(1, n // 60))):
+                w[r.randrange(n) if k % 2 else -r.randint(1, 3)] = f"New{r.randrange(99)}"
+            rows.append((i * 10 + k, " ".join(w) + (" " + shared if i % 2 else "")))
+    rows += [(900, None), (901, ""), (902, " \n"), (903, "one two"), (904, "ONE two"), (905, "one three")]
+    want, near = brute_similar(rows)
+    assert any(dict(rows)[a] != dict(rows)[b] for a, b in near)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for common in (20, 1):
+        monkeypatch.setattr(similar, "COMMON", common)
+        monkeypatch.setattr(similar, "PART", 1)
+        assert {x.doc_id: x.component_id for x in similar.similar(docs).collect()} == want
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, SF)
+    assert kept.columns == docs.columns and {x.doc_id for x in kept.collect()} == {i for i, c in want.items() if i == c}
