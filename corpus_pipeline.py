@@ -2,7 +2,7 @@
 
 1. language_id: documents whose language cannot be told from noise go (source serves as host, lang as the
    declared language).
-2. line_dedup: later repeats of passages are deleted from the texts; documents that lose all their text go.
+2. line_dedup: later repeats of lines of three words or more, and of longer passages, are deleted from the texts; documents that lose all their text go.
 3. near_dedup: one document of each component of documents that share 0.8 or more of their 5-word shingles
    (Jaccard) stays, that of the smallest doc_id.
 4. mixing: each source keeps the documents that its share of the token budget reads, once at most.

@@ -1,7 +1,8 @@
 """Line dedup by winnowing over line hashes, in DataFrame operations only.
 
 Units are a document's non-blank lines, compared after runs of blanks, tabs and carriage returns become one
-space.  A run of lines counts as a passage if it has ``MIN_LINES`` lines or ``MIN_WORDS`` words.  A line is
+space.  A run of lines counts as a passage if it has ``MIN_LINES`` lines or ``min_words`` words: ``MIN_WORDS`` in
+the op3 query, whose SQL says so; ``LINE_WORDS`` in ``drop_repeats``, so that a repeated single line goes too.  A line is
 deleted if it lies in a passage that occurred before: in a document of smaller doc_id, or earlier in the same.
 
 Winnowing: the shortest passages that start or end at each line are the windows; each window's least line hash
@@ -23,9 +24,11 @@ from pyspark.sql import functions as F
 from . import common
 
 MIN_LINES, MIN_WORDS = 3, 50
+#: For a corpus: a single line of so many words is a passage.
+LINE_WORDS = 3
 
 
-def windows(docs: DataFrame) -> DataFrame:
+def windows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, tag, first, last, key, fingerprint) of the minimal passages; tag tells texts of a doc_id apart."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     lines = F.transform(F.split(text, "\n"), lambda x, i: F.struct(i.cast("int").alias("at"), F.trim(F.regexp_replace(x, r"[ \t\r]+", " ")).alias("s")))
@@ -38,7 +41,7 @@ def windows(docs: DataFrame) -> DataFrame:
         w = [F.coalesce(F.get(u, i + step * k)["w"], F.lit(0)) for k in range(MIN_LINES)]
         length = F.lit(MIN_LINES)
         for k in range(MIN_LINES - 2, -1, -1):
-            length = F.when(sum(w[1 : k + 1], w[0]) >= MIN_WORDS, k + 1).otherwise(length)
+            length = F.when(sum(w[1 : k + 1], w[0]) >= min_words, k + 1).otherwise(length)
         far = i + step * (length - 1)
         first, last = (i, far) if step > 0 else (far, i)
         return F.when((far >= 0) & (far < n), F.shiftleft(first.cast("long"), 32) + last)
@@ -57,9 +60,9 @@ def windows(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "tag", F.explode(F.transform(spans, content)).alias("x")).select("doc_id", "tag", "x.*")
 
 
-def repeats(docs: DataFrame) -> DataFrame:
+def repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, tag, spans): per document, the windows [first, last] (line numbers) that occurred before."""
-    rows = common.cut(windows(docs))
+    rows = common.cut(windows(docs, min_words))
     place = F.struct("doc_id", "tag", "first")
     shared = rows.groupBy("fingerprint").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a <> b").select("fingerprint")
     met = rows.join(shared, "fingerprint", "left_semi")
@@ -74,7 +77,7 @@ def _outside(lines, spans):
     return F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone), lambda i: lines[i])
 
 
-def dedup(docs: DataFrame) -> DataFrame:
+def dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """docs with text and n_chars of what is left, n_lines_removed and chars_before; rows and other columns stay.
 
     Columns of docs may have any names; those four are replaced if they are there.
@@ -82,7 +85,7 @@ def dedup(docs: DataFrame) -> DataFrame:
     names = docs.columns
     made = ("text", "n_chars", "n_lines_removed", "chars_before")
     docs = docs.select(F.struct(*(F.col(f"`{c}`") for c in names if c not in made)).alias("_row"), "doc_id", "text")
-    spans = repeats(docs.select("doc_id", "text")).select(F.col("doc_id").alias("_d"), F.col("tag").alias("_t"), F.col("spans").alias("_spans"))
+    spans = repeats(docs.select("doc_id", "text"), min_words).select(F.col("doc_id").alias("_d"), F.col("tag").alias("_t"), F.col("spans").alias("_spans"))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.withColumn("_tag", F.xxhash64(text))
     rows = rows.join(spans, (F.col("doc_id").cast("long").eqNullSafe(F.col("_d"))) & (F.col("_tag") == F.col("_t")), "left")
@@ -96,10 +99,10 @@ def dedup(docs: DataFrame) -> DataFrame:
     return rows.select(*kept, *(F.col(c) for c in made if c not in names))
 
 
-def drop_repeats(docs: DataFrame) -> DataFrame:
+def drop_repeats(docs: DataFrame, min_words: int = LINE_WORDS) -> DataFrame:
     """The columns of docs; documents whose text is repeated wholly go, those that were blank before stay."""
     names = docs.columns
-    out = dedup(docs)
+    out = dedup(docs, min_words)
     return out.where(~((F.col("n_lines_removed") > 0) & (F.trim(F.translate("text", "\n\t\r", "")) == ""))).select(*names)
 
 

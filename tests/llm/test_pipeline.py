@@ -60,3 +60,10 @@ def test_near_dedup_brute(spark, monkeypatch):
         assert {x.doc_id: x.component_id for x in similar.similar(docs).collect()} == want
     kept = corpus_pipeline.drop_near_duplicates(spark, docs, SF)
     assert kept.columns == docs.columns and {x.doc_id for x in kept.collect()} == {i for i, c in want.items() if i == c}
+
+
+def test_line_dedup_takes_single_lines(spark):
+    rows = [(i, f"own words of {i}\nOf.\nlast of {i} here\nRead more about this on our site") for i in range(5)] + [(9, "Read  more about this on our site")]
+    out = corpus_pipeline.dedup_lines(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF)
+    got = {r.doc_id: r.text for r in out.collect()}
+    assert got == {0: rows[0][1], **{i: f"own words of {i}\nOf.\nlast of {i} here" for i in range(1, 5)}}
