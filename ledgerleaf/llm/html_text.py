@@ -3,9 +3,10 @@
 Markup is stripped into blocks in page order (block-level tags end a block, ``br`` is white space).  A block
 inside a menu, header, footer, sidebar, notice, advert, form or reader comment weighs nothing; where the page
 marks its article (``article``, else ``main``), blocks outside weigh nothing either.  Text lengths are summed
-over a sliding window of ``WINDOW`` blocks; text starts where the sum surges over the threshold and ends where
-it dives to nothing, and the weighing blocks between are kept.  On a marked page the threshold is zero, so
-nothing of the article is lost; elsewhere it is ``SURGE`` code points.
+over a sliding window of ``WINDOW`` blocks; text starts where the sum first surges over the threshold, and every
+weighing block from there on is kept, whatever lies between.  On a marked page the threshold is zero, so nothing
+of the article is lost; elsewhere it is ``SURGE`` code points, and a page that never surges keeps all its weighing
+blocks, unless they are a single code point together.
 
 Character references are decoded, white space in a block becomes one space, blocks join by a newline.  Null or
 empty html, or a page without such text, gives an empty text.  Comments, scripts and styles are skipped as
@@ -131,24 +132,9 @@ def blocks(page: str) -> list[tuple[str, bool, bool, bool]]:
     return out
 
 
-def between(lengths: list[int], window: int, surge: int) -> list[tuple[int, int]]:
-    """[start, stop) of the runs from a surge over the threshold to the dive to nothing."""
-    n = len(lengths)
-    sums, total = [0] * n, 0
-    for i in range(n - 1, -1, -1):
-        total += lengths[i] - (lengths[i + window] if i + window < n else 0)
-        sums[i] = total
-    found, start = [], None
-    for i in range(n):
-        if start is None:
-            if sums[i] > surge and lengths[i]:
-                start = i
-        elif not sums[i]:
-            found.append((start, i))
-            start = None
-    if start is not None:
-        found.append((start, n))
-    return found
+def start_of(lengths: list[int], window: int, surge: int) -> int:
+    """The first block with text where the window surges over the threshold; the first block if there is none."""
+    return next((i for i, x in enumerate(lengths) if x and sum(lengths[i : i + window]) > surge), 0)
 
 
 def main_text(page: str | None) -> str:
@@ -157,8 +143,10 @@ def main_text(page: str | None) -> str:
     rows = blocks(page)
     inside = next((k for k in (2, 3) if any(r[k] and not r[1] for r in rows)), None)
     weights = [0 if r[1] or (inside and not r[inside]) else len(r[0]) for r in rows]
-    keep = between(weights, WINDOW, 0 if inside else SURGE)
-    return "\n".join(rows[i][0] for a, b in keep for i in range(a, b) if weights[i])
+    if not inside and sum(weights) < 2:
+        return ""
+    start = start_of(weights, WINDOW, 0 if inside else SURGE)
+    return "\n".join(r[0] for r, w in zip(rows[start:], weights[start:]) if w)
 
 
 def _extract(batches):

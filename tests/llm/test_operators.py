@@ -232,6 +232,15 @@ def test_main_text():
     assert html_text.main_text("<p>a<!-- open") == "" and html_text.main_text("<article>1 < 2 &lt; 3</article>") == "1 < 2 < 3"
 
 
+def test_main_text_of_unmarked_pages():
+    short = "A short paragraph of some sixty characters, no more than that."
+    assert html_text.main_text(f"<body><nav><a>Menu</a></nav><h1>Head</h1><p>{short}</p><footer>f</footer></body>") == f"Head\n{short}"
+    between = '<div class="ad">buy</div><form>f</form><aside>one</aside><div class="promo">two</div>'
+    long = "long text " * 30
+    assert html_text.main_text(f"<body><p>{long}</p>{between}<p>The end.</p></body>") == f"{long.strip()}\nThe end."
+    assert html_text.main_text("<p>短い記事です</p>") == "短い記事です"
+
+
 # ---------------------------------------------------------------- 8
 def brute_simhash(text):
     from xxhash import xxh64_intdigest
