@@ -8,8 +8,9 @@ the scores by least log-loss, and the probability below which a family is not na
 named ones are right.  A named family is confirmed if ``CONFIRM`` or more of the words of one of its templates
 occur in the paragraph; without confirmation or below the threshold a licence-like paragraph is 'unknown'.
 
-Only paragraphs with one of ``STEMS`` are scored: each template has one, so nothing else can be confirmed, and a
-paragraph without one is not licence-like.  Scoring is a projection of each document's row, so nothing is
+Paragraphs whose words cannot bring 'none' down to one half are not scored, by a bound on the model's scores that is
+exact for the decision; all others are.  Lines with one of ``STEMS`` or with a template's words
+are kept out of the ordinary examples.  Scoring is a projection of each document's row, so nothing is
 shuffled and no paragraph is cut short.
 
 Null and empty texts have no paragraphs.  Repeated rows give equal results; null doc_ids stay.  If the scanned
@@ -101,7 +102,7 @@ def fit(spark: SparkSession, docs: DataFrame | None = None) -> Model:
     rows = spark.createDataFrame(examples(), "name string, text string, held boolean")
     if docs is not None:
         few = docs.select("doc_id", "text").where("text is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-        plain = few.select(F.explode(F.split("text", "\n")).alias("text"), "doc_id").where(~_licence_like(F.col("text")) & (F.length("text") > 0))
+        plain = few.select(F.explode(F.split("text", "\n")).alias("text"), "doc_id").where(~_licence_like(F.col("text")) & (F.length("text") > 0) & ~_confirmable(F.col("text")))
         rows = rows.unionByName(plain.select(F.lit("none").alias("name"), "text", (F.pmod(F.xxhash64("text"), F.lit(4)) == 3).alias("held")))
     vocabulary = sorted({g for texts in TEMPLATES.values() for t in texts for g in _grams(t.split())})
     classes = [*sorted(TEMPLATES), "none", "unknown"]
@@ -148,11 +149,42 @@ def _licence_like(text: Column) -> Column:
     return out
 
 
+def _confirmable(text: Column) -> Column:
+    """Whether the words of some template occur, CONFIRM or more of them: no example of ordinary prose."""
+    lists = F.array(*(F.array(*map(F.lit, dict.fromkeys(t.split()))) for f in sorted(TEMPLATES) for t in TEMPLATES[f]))
+    return _let(words_of(text), lambda words: F.exists(lists, lambda t: F.size(F.array_intersect(t, words)) / F.size(t) >= F.lit(CONFIRM)))
+
+
 def _let(value: Column, body) -> Column:
     """body(value) with the value computed once."""
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def bounds(model: Model) -> tuple[dict[str, float], float]:
+    """(word: most that n-grams with it can raise a class over 'none'), and the sum up to which 'none' has half or more.
+
+    Each n-gram counts at its longest word, which is there if the n-gram is.
+    """
+    none = model.classes.index("none")
+    gain: dict[str, float] = {}
+    for g, w in model.weights.items():
+        word, most = max(g.split(), key=len), max(x - w[none] for x in w)
+        if most > 0:
+            gain[word] = gain.get(word, 0.0) + most
+    odds = sum(math.exp((b - model.bias[none]) / model.temperature) for i, b in enumerate(model.bias) if i != none)
+    return gain, -model.temperature * math.log(odds) - 1e-6
+
+
+def may_be_found(paragraph: Column, model: Model) -> Column:
+    """False only for paragraphs that are surely 'none'."""
+    gain, least = bounds(model)
+    if least < 0 or not gain:
+        return F.lit(least < 0)
+    of = F.create_map(*(F.lit(x) for kv in gain.items() for x in kv))
+    known = F.array_intersect(words_of(paragraph), F.array(*map(F.lit, gain)))
+    return F.aggregate(known, F.lit(0.0), lambda a, w: a + of[w]) >= F.lit(least)
+
+
 def classify(paragraph: Column, model: Model) -> Column:
     """struct(family, probability, similarity) of a paragraph; family is 'none' for ordinary prose."""
     table = F.create_map(*(x for g, w in model.weights.items() for x in (F.lit(g), F.array(*map(F.lit, w)))))
@@ -177,8 +209,8 @@ def classify(paragraph: Column, model: Model) -> Column:
 
 
 def paragraphs(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, paragraph, text, family, probability, similarity) of the licence-like paragraphs, by row."""
-    lines = F.filter(F.transform(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n"), lambda s, i: F.when(_licence_like(s), F.struct(i.cast("int").alias("at"), s.alias("s")))), lambda x: x.isNotNull())
+    """(doc_id, paragraph, text, family, probability, similarity) of the paragraphs that may be found, by row."""
+    lines = F.filter(F.transform(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n"), lambda s, i: F.when(may_be_found(s, model), F.struct(i.cast("int").alias("at"), s.alias("s")))), lambda x: x.isNotNull())
     found = docs.select("doc_id", F.explode(lines).alias("x"))
     return found.select("doc_id", F.col("x.at").alias("paragraph"), F.col("x.s").alias("text"), classify(F.col("x.s"), model).alias("c")).select("doc_id", "paragraph", "text", "c.*")
 
@@ -188,7 +220,7 @@ def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
     paragraphs found as a list of structs (at, family, probability, similarity)."""
     model = model or fit(docs.sparkSession, docs)
     lines = F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n")
-    like = F.filter(F.transform(lines, lambda s, i: F.when(_licence_like(s), F.struct(i.cast("int").alias("at"), s.alias("s")))), lambda x: x.isNotNull())
+    like = F.filter(F.transform(lines, lambda s, i: F.when(may_be_found(s, model), F.struct(i.cast("int").alias("at"), s.alias("s")))), lambda x: x.isNotNull())
     rows = docs.select("doc_id", like.alias("like"))
     found = F.filter(F.transform("like", lambda x: F.struct(x.at.alias("at"), classify(x.s, model).alias("c"))), lambda x: x.c.family != "none")
     rows = rows.select("doc_id", F.when(F.size("like") > 0, found).otherwise(F.filter(F.transform("like", lambda x: F.struct(x.at.alias("at"), F.struct(F.lit("").alias("family"), F.lit(0.0).alias("probability"), F.lit(0.0).alias("similarity")).alias("c"))), lambda x: F.lit(False))).alias("found"))

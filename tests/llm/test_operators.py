@@ -196,6 +196,18 @@ def test_license_families(spark):
     assert got == {1: "mit", 2: "apache,proprietary", 3: "", 4: "", 5: "", 6: "unknown", None: "cc-by-nc"}
 
 
+def test_license_gate_is_exact(spark):
+    texts = ["Released under the MIT terms", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software", "This work is under a Creative Commons Attribution 4.0 International", "CC BY-SA 4.0", "GPLv3", "dedicated under CC0", "free software under the terms", "the", "", *licenses.UNKNOWN, *licenses.NONE, *licenses.TEMPLATES["bsd"]]
+    prose = [t for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id").limit(40).collect() for t in r.text.split("\n")]
+    docs = spark.createDataFrame(list(enumerate(texts + prose)), "doc_id long, text string")
+    model = licenses.fit(spark, docs)
+    every = {r.doc_id: r.f for r in docs.select("doc_id", licenses.classify(F.col("text"), model).family.alias("f")).collect()}
+    got = {r.doc_id: r.licenses for r in licenses.scan(docs, model).collect()}
+    assert got == {i: "" if f == "none" else f for i, f in every.items()}
+    assert any(got[i] for i in range(3))
+    print(got[0], got[1], got[2], got[3], got[4], got[5])
+
+
 # ---------------------------------------------------------------- 6
 def test_packing_whole(spark, docs, corpus):
     got = packing.pack(docs, window=256, shard_tokens=2000).collect()
