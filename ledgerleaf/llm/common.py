@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import contextlib
 import ctypes
 import os
@@ -19,12 +20,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or one of our own where it is unset."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
+
+    Where it is unset a folder of our own serves, but only if the master is local: a cluster needs the setting.
+    """
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
         path = sc._jsc.sc().getCheckpointDir().getOrElse(None)
     if not path:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="ledgerleaf-")
         sc.setCheckpointDir(path)
     elif sc._jsc.sc().getCheckpointDir().isEmpty():
@@ -58,6 +64,28 @@ def ship(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(x for x in (ROOT, had) if x)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that ``new_path`` named."""
+    sc = spark.sparkContext
+    target = sc._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def remove_later(spark: SparkSession, path: str) -> None:
+    """Deletes the folder when the driver's Python ends: a lazy result may read it until then."""
+
+    def end() -> None:
+        with contextlib.suppress(Exception):  # the session may have ended before
+            remove(spark, path)
+
+    atexit.register(end)
+
+
+def few(df: DataFrame, limit: int = 1_000_000) -> DataFrame:
+    """df, to be broadcast if it has at most ``limit`` rows (they are counted); for tables of one or two numbers a row."""
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -351,7 +351,7 @@ def test_top_k_brute(spark):
     rng = np.random.default_rng(2)
     x = np.round(rng.normal(size=(300, 8)), 1).astype(np.float32)
     rows = [(int(i), [float(v) for v in x[i]]) for i in range(300)] + [(1000, None), (1001, [float("nan")] * 8), (1002, [1.0, None] + [0.0] * 6)]
-    v = topk.integer_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), "vec_id", "embedding")
+    v = topk.finite_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), "vec_id", "embedding")
     got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in topk.top_k(v.where("vec_id % 50 = 0"), v, 10, 2, 64).collect()}
     n = np.floor(1024 * x.astype(float)).astype(int)
     for q in range(0, 300, 50):
@@ -359,3 +359,23 @@ def test_top_k_brute(spark):
         best = [i for i in np.lexsort((np.arange(300), -s)) if i != q][:10]
         assert [got[q, k + 1] for k in range(10)] == [(i, s[i]) for i in best]
     assert len(got) == 60
+
+
+def test_top_k_of_large_components_repeats_and_empty_tables(spark):
+    """Exact beyond 64 bits, and at 3e6 x 64; repeated rows and rows of one vec_id; no rows at all."""
+    schema = "vec_id long, embedding array<double>, v string, score string"
+
+    def run(rows, k=10):
+        v = topk.finite_vectors(spark.createDataFrame([(*r, "x", "y") for r in rows], schema), "vec_id", "embedding")
+        return [tuple(r) for r in topk.top_k(v.where("vec_id % 100 = 0"), v, k).orderBy("query_id", "rank").collect()]
+
+    assert run([(0, [3e6] * 64), (1, [3e6] * 64)]) == [(0, 1, 1, 2**63 - 1)]
+    assert run([(0, [3e6] * 8), (1, [3e5] * 8)]) == [(0, 1, 1, 8 * 3_000_000 * 300_000 * 1024**2)]
+    assert run([(0, [1e30, 1.0]), (1, [1e30, 0.0]), (2, [1e30, 1.0]), (3, [-1e300, 0.5])]) == [(0, 1, 2, 2**63 - 1), (0, 2, 1, 2**63 - 1), (0, 3, 3, -(2**63))]
+    # ties to the smaller vec_id; a shorter vector; a row that repeats the query, and another of its vec_id
+    rows = [(100, [1.0, 2.0]), (100, [1.0, 2.0]), (100, [9.0]), (5, [1.0, 2.0]), (4, [1.0, 2.0]), (6, [])]
+    mb = 1 << 20
+    one = [(100, 1, 100, 9 * mb), (100, 2, 4, 5 * mb), (100, 3, 5, 5 * mb), (100, 4, 100, 5 * mb), (100, 5, 6, 0)]
+    other = [(100, 1, 4, 9 * mb), (100, 2, 5, 9 * mb), (100, 3, 100, 9 * mb), (100, 4, 100, 9 * mb), (100, 5, 6, 0)]
+    assert sorted(run(rows)) == sorted(one + other)
+    assert run([]) == [] and run([(100, [1.0])]) == []
