@@ -253,6 +253,81 @@ def test_main_text_of_unmarked_pages():
     assert html_text.main_text("<p>短い記事です</p>") == "短い記事です"
 
 
+def labelled_pages():
+    """(html, main text): articles in several templates, marked and unmarked, with parts that are no article."""
+    r = random.Random(11)
+    sentence = lambda n: (" ".join(r.choice(WORDS) for _ in range(n))).capitalize() + "."
+    beside = [
+        "<nav><ul>" + "".join(f"<li><a href=/x>{w}</a></li>" for w in WORDS[:6]) + "</ul></nav>",
+        '<div class="cookie-notice">We use cookies to make this page better for you and for all others.</div>',
+        '<div id="ad-slot-3" class="ad">Buy one, get another one for half the price, this week only, while stocks last.</div>',
+        '<aside class="sidebar"><p>About the author of this page, who lives far away and writes a lot.</p></aside>',
+        '<form><label>Your address</label><input name=q><button>Go</button></form>',
+        "<div><a href=/1>One more page</a> <a href=/2>And another page</a> <a href=/3>A third one</a></div>",
+    ]
+    after = ['<div id="comments"><p>first! what a long comment this is, going on and on and on about it all</p></div>', "<footer>&copy; x, all of it, in every country and for ever and a day</footer>"]
+    for turn in range(120):
+        body = [f"<h1>{sentence(4)}</h1>"] + [f"<p>{sentence(r.choice((1, 2, 12, 30, 60)))}</p>" for _ in range(r.randint(3, 9))]
+        body[1] = f"<p>{sentence(40)}</p>"
+        text = [b[b.index(">") + 1 : b.rindex("<")] for b in body]
+        for _ in range(r.randint(0, 3)):
+            body.insert(r.randint(2, len(body)), r.choice(beside[2:5]))
+        inner = "\n".join(body)
+        inner = [f"<article>{inner}</article>", f'<main><div class="post-body">{inner}</div></main>', f'<div class="entry">{inner}</div>', f'<div class="share-price"><div>{inner}</div></div>'][turn % 4]
+        yield f"<!DOCTYPE html><html><head><title>t</title></head><body>{''.join(r.sample(beside, 4))}{inner}{''.join(after)}</body></html>", "\n".join(text)
+
+
+def test_main_text_of_labelled_pages_precision_and_recall():
+    got_words = right = wanted = 0
+    for html, text in labelled_pages():
+        got, want = html_text.main_text(html).split("\n"), text.split("\n")
+        got_words, wanted = got_words + len(got), wanted + len(want)
+        right += len(set(got) & set(want))
+    assert right >= 0.99 * wanted and right >= 0.99 * got_words
+
+
+def test_sums_decide_what_is_main_text():
+    """Without the choice between surge and dive, every block of the page would be there."""
+    for html, text in labelled_pages():
+        assert html_text.main_text(html) != "\n".join(r[0] for r in html_text.blocks(html))
+    leading = "<div>12 May</div><div>By X</div><div>5 min</div><div>Print</div>"
+    long = "long text " * 30
+    page = f"<body>{leading}<h1>Head</h1><p>{long}</p><p>End.</p><div><a>One</a></div><div><a>Two</a></div></body>"
+    assert html_text.main_text(page).split("\n")[-2:] == [long.strip(), "End."] and "12 May" not in html_text.main_text(page)
+    assert html_text.surge_and_dive([5, 0, 0, 90, 3, 0, 0, 0, 4, 0]) == (3, 9) and html_text.surge_and_dive([]) == (0, 0)
+
+
+def test_article_parts_with_names_like_menus_stay():
+    for name in ("post-header", "share-price", "related-work", "menu-item", "notice-period-law"):
+        assert html_text.main_text(f'<article><h1>T</h1><div class="{name}">Some text of it.</div></article>') == "T\nSome text of it."
+    assert html_text.main_text("<header>Site</header><article><header><h1>Own title</h1></header><p>Text.</p></article>") == "Own title\nText."
+    for name in ("cookie-notice", "ad", "ad slot-2", "site-footer", "related-posts", "sidebarLeft"):
+        assert html_text.main_text(f'<article><p>Text.</p><div class="{name}">Some text of it.</div></article>') == "Text."
+
+
+def test_unclosed_markup_takes_linear_time():
+    import time
+
+    start = time.perf_counter()
+    for piece in ('<a href="', "<a '", "<", "<!--", "<script>", "<p class=", '<b "\'>', "&am"):
+        html_text.main_text("<p>x</p>" + piece * (1_000_000 // len(piece)))
+    assert time.perf_counter() - start < 8
+    assert html_text.main_text("<article>one two<a href='x") == "one two"
+
+
+def test_extract_reads_pages_by_row(spark):
+    schema = "page_id long, url string, html string, text string, n_chars string"
+    long = "<article>" + "".join(f"<p>word {i}</p>" for i in range(30_000)) + "</article>"
+    rows = [(1, "u", PAGE, "a", "b"), (1, "u", PAGE, "a", "b"), (2, None, None, None, None), (None, "v", "", "", ""), (3, "w", long, "", "")]
+    got = [tuple(r) for r in html_text.extract(spark.createDataFrame(rows, schema)).collect()]
+    want = [(r[0], r[1], html_text.main_text(r[2]), len(html_text.main_text(r[2]))) for r in rows]
+    key = lambda x: (x[0] is None, x[0] or 0)
+    assert sorted(got, key=key) == sorted(want, key=key) and want[-1][3] > 200_000
+    assert html_text.extract(spark.createDataFrame([], schema)).collect() == []
+    table = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()
+    assert {r.page_id: r.text for r in html_text.op7_main_text(spark, "/root/testdata/sf0.001").collect()} == {r.page_id: html_text.main_text(r.html) for r in table}
+
+
 # ---------------------------------------------------------------- 8
 def brute_simhash(text):
     from xxhash import xxh64_intdigest
