@@ -1,19 +1,21 @@
 """Line dedup by winnowing over line hashes, in DataFrame operations only.
 
-Units are a document's non-blank lines, compared after runs of blanks, tabs and carriage returns become one
-space.  A run of lines counts as a passage if it has ``MIN_LINES`` lines or ``min_words`` words: ``MIN_WORDS`` in
-the op3 query, whose SQL says so; ``LINE_WORDS`` in ``drop_repeats``, so that a repeated single line goes too.  A line is
+Units are a document's non-blank lines, compared after runs of blanks, tabs and carriage returns become one space.  A run of
+lines is a passage if it has ``MIN_LINES`` lines or ``MIN_WORDS`` words, so a single line of three words is one.  A line is
 deleted if it lies in a passage that occurred before: in a document of smaller doc_id, or earlier in the same.
 
-Winnowing: the shortest passages that start or end at each line are the windows; each window's least line hash
-is selected as its fingerprint, so whatever passage two places share, they select a common fingerprint.  Windows
-whose fingerprint is selected in one place only are done.  The others are joined on their whole content to its
-first position; windows that are not the first are repeats, and overlapping repeats extend each other to both
-sides into the maximal repeated run, which is deleted.
+Winnowing: the windows are the shortest passages from each line in both directions; of each window the least line hash is
+selected (the last of equal ones), and only selected lines are stored, with their positions: whatever passage two places
+share, they have selected a common line in it.  Positions join on the line's two hashes; a line selected in one place
+only is done.  From the others a match extends both ways over the neighbouring lines' hashes to the ends of the windows that
+selected it, which must agree with an earlier place as a whole; overlapping matches add up to the maximal repeated run,
+and that is deleted.  Two 64-bit hash functions of each line, and of the hashes of a window, decide equality.
 
 The first occurrence of a passage stays.  Rows with equal doc_id and text count as one document and get equal
 results; a null doc_id comes before all others.  Null and blank texts stay as they are.  A text whose lines all
-go becomes empty.  Blank lines stay unless they lie inside a deleted run.
+go becomes empty.  Blank lines stay unless they lie inside a deleted window.  An empty table gives an empty result.
+A line that very many documents share is one hot key of narrow rows (its first place is an aggregate with partial
+sums; the join to it is left to AQE to split).
 """
 
 from __future__ import annotations
@@ -23,17 +25,23 @@ from pyspark.sql import functions as F
 
 from . import common
 
-MIN_LINES, MIN_WORDS = 3, 50
-#: For a corpus: a single line of so many words is a passage.
-LINE_WORDS = 3
+MIN_LINES, MIN_WORDS = 3, 3
 
 
-def windows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, tag, first, last, key, fingerprint) of the minimal passages; tag tells texts of a doc_id apart."""
+def selected(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """(doc_id, tag, at, a, b, alone, more): the selected lines; tag tells texts of a doc_id apart.
+
+    a and b are the line's hashes; alone: the line is a window of its own; more: the longer windows that selected
+    it, as (first, last, a, b).
+    """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     lines = F.transform(F.split(text, "\n"), lambda x, i: F.struct(i.cast("int").alias("at"), F.trim(F.regexp_replace(x, r"[ \t\r]+", " ")).alias("s")))
-    units = F.transform(F.filter(lines, lambda x: x.s != ""), lambda x: F.struct(x.at.alias("at"), F.xxhash64(x.s).alias("h"), (F.length(x.s) - F.length(F.translate(x.s, " ", "")) + 1).alias("w")))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("tag"), units.alias("u"))
+
+    def unit(x):
+        # the second function has another seed: the hash of the number before the line
+        return F.struct(x.at.alias("at"), F.xxhash64(x.s).alias("a"), F.xxhash64(F.lit(1), x.s).alias("b"), (F.length(x.s) - F.length(F.translate(x.s, " ", "")) + 1).alias("w"))
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("tag"), F.transform(F.filter(lines, lambda x: x.s != ""), unit).alias("u"))
 
     def window(u, i, step):
         """The shortest passage from unit i in the direction of step, (first << 32) + last; null if there is none."""
@@ -46,29 +54,43 @@ def windows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         first, last = (i, far) if step > 0 else (far, i)
         return F.when((far >= 0) & (far < n), F.shiftleft(first.cast("long"), 32) + last)
 
-    # numbers, because lists of structs are told apart pair by pair
-    spans = F.array_distinct(F.filter(F.concat(F.transform("u", lambda _, i: window(F.col("u"), i, 1)), F.transform("u", lambda _, i: window(F.col("u"), i, -1))), lambda x: x.isNotNull()))
+    # numbers, because lists of structs are told apart pair by pair; a line that is a window alone needs none
+    short = F.filter(F.transform("u", lambda x, i: F.when(x.w < min_words, i)), lambda i: i.isNotNull())
+    spans = F.array_distinct(F.filter(F.concat(F.transform(short, lambda i: window(F.col("u"), i, 1)), F.transform(short, lambda i: window(F.col("u"), i, -1))), lambda x: x.isNotNull()))
 
     def content(span):
-        """Place, key and fingerprint of a window; made before the explode, which then carries no list of units."""
+        """A window's ends, hashes and selected unit."""
         first, last = F.shiftright(span, 32).cast("int"), span.bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
-        hs = F.transform(F.sequence(first, last), lambda i: F.col("u")[i]["h"])
-        # two independent 64-bit hashes of the content make the key
-        key = F.struct(F.xxhash64(hs).alias("a"), F.xxhash64(F.reverse(hs), F.lit(1)).alias("b"))
-        return F.struct(F.col("u")[first]["at"].alias("first"), F.col("u")[last]["at"].alias("last"), key.alias("key"), F.array_min(hs).alias("fingerprint"))
-
-    return rows.select("doc_id", "tag", F.explode(F.transform(spans, content)).alias("x")).select("doc_id", "tag", "x.*")
+        units = F.slice("u", first + 1, last - first + 1)
+        least = F.array_min(F.transform(units, lambda x, i: F.struct(x.a.alias("a"), (-i).alias("i"))))
+        return F.struct(
+            F.col("u")[first]["at"].alias("first"),
+            F.col("u")[last]["at"].alias("last"),
+            F.xxhash64(F.transform(units, lambda x: x.a)).alias("a"),
+            F.xxhash64(F.transform(units, lambda x: x.b)).alias("b"),
+            (first - least["i"]).alias("chosen"),
+        )
+
+    rows = rows.withColumn("long", F.transform(spans, content))
+    of = F.transform("u", lambda x, i: F.struct(x.at.alias("at"), x.a.alias("a"), x.b.alias("b"), (x.w >= min_words).alias("alone"), F.filter("long", lambda y: y.chosen == i).alias("more")))
+    plain = F.transform("u", lambda x: F.struct(x.at.alias("at"), x.a.alias("a"), x.b.alias("b"), (x.w >= min_words).alias("alone"), F.slice("long", 1, 0).alias("more")))
+    chosen = F.filter(F.when(F.size("long") == 0, plain).otherwise(of), lambda x: x.alone | (F.size(x.more) > 0))
+    return rows.select("doc_id", "tag", F.explode(chosen).alias("x")).select("doc_id", "tag", "x.*")
 
 
 def repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, tag, spans): per document, the windows [first, last] (line numbers) that occurred before."""
-    rows = common.cut(windows(docs, min_words))
-    place = F.struct("doc_id", "tag", "first")
-    shared = rows.groupBy("fingerprint").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a <> b").select("fingerprint")
-    met = rows.join(shared, "fingerprint", "left_semi")
-    firsts = met.groupBy("key").agg(F.min(place).alias("least"), F.max(place).alias("most")).where("least <> most").select("key", "least")
-    later = met.join(firsts, "key").where(~(place == F.col("least")))
-    return later.groupBy("doc_id", "tag").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
+    """(doc_id, tag, spans): per document, the passages [first, last] (line numbers) that occurred before."""
+    rows = common.cut(selected(docs, min_words))
+    place, key = F.struct("doc_id", "tag", F.col("at").alias("first")), ["a", "b"]
+    shared = rows.groupBy(*key).agg(F.min(place).alias("least"), F.max(place).alias("most")).where("least <> most").select(*key, "least")
+    met = common.cut(rows.join(shared, key))
+    alone = met.where(F.col("alone") & ~(place == F.col("least"))).select("doc_id", "tag", F.col("at").alias("first"), F.col("at").alias("last"))
+    # extended both ways to the ends of the windows: their whole content must have an earlier place
+    grown = met.select("doc_id", "tag", F.explode("more").alias("x")).select("doc_id", "tag", "x.first", "x.last", "x.a", "x.b")
+    at = F.struct("doc_id", "tag", "first")
+    firsts = grown.groupBy(*key).agg(F.min(at).alias("least"), F.max(at).alias("most")).where("least <> most").select(*key, "least")
+    later = grown.join(firsts, key).where(~(at == F.col("least"))).select("doc_id", "tag", "first", "last")
+    return alone.unionByName(later).groupBy("doc_id", "tag").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
 
 
 def _outside(lines, spans):
@@ -99,8 +121,12 @@ def dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return rows.select(*kept, *(F.col(c) for c in made if c not in names))
 
 
-def drop_repeats(docs: DataFrame, min_words: int = LINE_WORDS) -> DataFrame:
-    """The columns of docs; documents whose text is repeated wholly go, those that were blank before stay."""
+def drop_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """The columns of docs; documents whose text is repeated wholly go, those that were blank before stay.
+
+    Rows with equal doc_id and text are one document and lose the same lines: the first of them is not told from the
+    others here.
+    """
     names = docs.columns
     out = dedup(docs, min_words)
     return out.where(~((F.col("n_lines_removed") > 0) & (F.trim(F.translate("text", "\n\t\r", "")) == ""))).select(*names)

@@ -103,39 +103,42 @@ def test_language_keeps_documents_columns(spark, docs):
 
 
 # ---------------------------------------------------------------- 3
-def brute_lines(rows):
-    seen, out = {}, {}
-    order = sorted({(-(10**18) if i is None else i, t or "") for i, t in rows})
-    firsts = {}
-    per = {}
-    for i, t in order:
-        raw = t.split("\n")
-        u = [(k, " ".join(x.replace("\t", " ").replace("\r", " ").split(" ")).strip()) for k, x in enumerate(raw)]
-        u = [(k, " ".join(s.split())) for k, s in u if s]
-        per[i, t] = u
+def brute_lines(rows, min_words):
+    """Every run of lines compared with every earlier one; blank lines go only within the shortest runs."""
+    firsts, per, out = {}, {}, {}
+
+    def passage(run):
+        return len(run) >= lines.MIN_LINES or sum(len(s.split()) for _, s in run) >= min_words
+
+    for i, t in sorted({(-(10**18) if i is None else i, t or "") for i, t in rows}):
+        u = [(k, " ".join(x.replace("\t", " ").replace("\r", " ").split())) for k, x in enumerate(t.split("\n"))]
+        per[i, t] = u = [(k, s) for k, s in u if s]
         for a in range(len(u)):
             for b in range(a, len(u)):
-                if b - a + 1 >= lines.MIN_LINES or sum(len(s.split()) for _, s in u[a : b + 1]) >= lines.MIN_WORDS:
+                if passage(u[a : b + 1]):
                     firsts.setdefault(tuple(s for _, s in u[a : b + 1]), (i, t, u[a][0]))
     for (i, t), u in per.items():
         gone = set()
         for a in range(len(u)):
             for b in range(a, len(u)):
-                key = tuple(s for _, s in u[a : b + 1])
-                if key in firsts and firsts[key] != (i, t, u[a][0]):
-                    gone |= set(range(u[a][0], u[b][0] + 1))
+                run = u[a : b + 1]
+                if firsts.get(tuple(s for _, s in run), (i, t, u[a][0])) != (i, t, u[a][0]):
+                    shortest = not (passage(run[1:]) and passage(run[:-1]))
+                    gone |= set(range(u[a][0], u[b][0] + 1)) if shortest else {k for k, _ in run}
         out[i, t] = "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone)
-    del seen
     return out
 
 
-def test_line_dedup_brute(spark):
+@pytest.mark.parametrize("min_words", [lines.MIN_WORDS, 8, 50])
+def test_line_dedup_brute(spark, min_words):
     r = random.Random(2)
-    pool = [" ".join(r.choice(WORDS) for _ in range(n)) for n in (3, 4, 5, 6, 30, 60, 26, 27)]
+    pool = [" ".join(r.choice(WORDS) for _ in range(n)) for n in (1, 1, 2, 2, 3, 4, 5, 6, 30, 60, 26, 27)]
     rows = [(i, "\n".join(r.choice(pool + ["", f"own {i} {k}"]) for k in range(r.randint(1, 9)))) for i in range(40)]
-    rows += [(None, rows[0][1]), (100, None), (101, "")]
-    want = brute_lines([x for x in rows if x[1] is not None])
-    for x in lines.dedup(spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, tag int")).collect():
+    rows += [(None, rows[0][1]), (100, None), (101, ""), (102, " \t\r\n\n"), rows[3]]
+    want = brute_lines([x for x in rows if x[1] is not None], min_words)
+    got = lines.dedup(spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, tag int"), min_words).collect()
+    assert len(got) == len(rows)
+    for x in got:
         before = dict(rows)[x.doc_id]
         assert x.tag == 1
         if before is None:
@@ -144,6 +147,23 @@ def test_line_dedup_brute(spark):
             assert x.text == want[-(10**18) if x.doc_id is None else x.doc_id, before]
 
 
+def test_winnowing_stores_fewer_lines_and_meets_every_shared_window(spark):
+    r = random.Random(7)
+    text = "\n".join(" ".join(r.choice(WORDS) for _ in range(r.randint(1, 5))) for _ in range(300))
+    docs = spark.createDataFrame([(1, text), (2, "other\n" + text)], "doc_id long, text string")
+    rows = lines.selected(docs, 50).collect()
+    assert 0 < len(rows) < 500 and not any(x.alone for x in rows)  # two of three lines at most are minima of three
+    got = {x.doc_id: x.text for x in lines.dedup(docs, 50).collect()}
+    assert got == {1: text, 2: "other"}
+    assert lines.dedup(docs.limit(0)).collect() == []
+
+
+def test_line_dedup_of_a_very_long_text(spark):
+    body = "\n".join(f"line number {i} of it" for i in range(20_000))
+    got = {x.doc_id: x.n_lines_removed for x in lines.dedup(spark.createDataFrame([(1, body), (2, body + "\nand one more line")], "doc_id long, text string")).collect()}
+    assert got == {1: 0, 2: 20_000}
+
+
 def test_clashing_columns(spark):
     extra = {c: F.lit(7) for c in ("_row", "_tag", "_spans", "fp", "term", "shard", "key", "leaf", "domain", "language", "confidence", "component_id", "text_language", "n_trigrams")}
     docs = make(spark, [(1, "one two three\nfour", "s"), (2, "five six", "s")]).withColumns(extra)
