@@ -1,20 +1,23 @@
 """Packing token sequences by lexical retrieval.
 
 Every document is encoded once.  Document frequencies of token ids come from all documents (at most one row for
-each id of the vocabulary, so they fit anywhere).  A document's routing term is its strongest BM25 term; rows are dealt
-by (term, salt), so lexically close documents meet.  A term has as many salts as keep each below a partition's even
-share of rows even if every document with the term were routed by it, so no term can fill a task.  Each partition
-is cut into shards of about ``SHARD_TOKENS`` ids.  A shard has a BM25 inverted index over its
-documents: a seed document retrieves the unused ones in order of score, and they fill its window greedily; the
-document that does not fit is cut, and its rest seeds the next window.  A shard's last window is cut into
-sequences whose lengths are powers of two, which need no padding, so nothing is padded at all.
+each id of the vocabulary, so they fit anywhere).  The BM25 inverted index is sharded, and documents that are lexically close
+are dealt to the same shard: lexical clusters (spherical k-means over BM25 weights, fitted on at most ``SAMPLE`` documents, as
+many clusters as partitions up to ``CLUSTERS``) take every document to the nearest centre; a cluster of more than a partition's even
+share of the sample is split by its documents' strongest BM25 term, and a term with more documents than a partition's share
+is salted, so no cluster and no term can fill a task.  Each partition is cut into shards of about ``SHARD_TOKENS`` ids.  In a
+shard a seed document retrieves the unused ones in order of score, every document that shares a term among them, and they fill its
+window greedily; the document that does not fit is cut, and its rest seeds the next window.  A shard's last window is carried to
+the partition's next shard; the partition's last one is cut into sequences whose lengths are powers of two, which need no
+padding, so nothing is padded at all.
 
 Every row is packed, whole: null texts read as empty (the end id alone), null doc_ids stay null, repeated rows
-are packed as often as they occur.  Other columns are ignored.
+are packed as often as they occur; an empty table gives an empty result.  Other columns, of any names, are ignored.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 
 import numpy as np
@@ -28,6 +31,8 @@ from .tokens import runs
 WINDOW, SHARD_TOKENS, END_ID = 4096, 1 << 20, 2
 K1, B = 1.2, 0.75
 VOCABULARY = 1 << 16
+#: Lexical clusters: documents sampled to fit them, most of them, and turns of fitting.
+SAMPLE, CLUSTERS, TURNS = 2048, 256, 8
 
 
 def _encode(path: str, end_id: int):
@@ -76,20 +81,89 @@ class Bm25:
         return self.idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / self.average))
 
 
-def _routed(bm25: Bm25, salts: np.ndarray):
+def _vectors(bm25: Bm25, raw: list[bytes], n: np.ndarray):
+    """(document, term, weight) of the weighing terms, by document."""
+    doc, term, tf = postings(np.frombuffer(b"".join(raw), "<u2"), n)
+    w = bm25.weight(tf, term, n[doc])
+    use = w > 0
+    return doc[use], term[use], w[use].astype(np.float32)
+
+
+def _sampled(bm25: Bm25):
     def run(batches):
+        for b in batches:
+            n = np.asarray(b.column(1))
+            doc, term, w = _vectors(bm25, b.column(0).to_pylist(), n)
+            at = np.searchsorted(doc, np.arange(len(n) + 1)).tolist()
+            rows = [(term[x:y], w[x:y]) for x, y in zip(at, at[1:])]
+            yield pa.RecordBatch.from_arrays([pa.array([t for t, _ in rows], pa.list_(pa.int64())), pa.array([x for _, x in rows], pa.list_(pa.float32()))], names=["terms", "weights"])
+
+    return run
+
+
+def _nearest(centres: np.ndarray, doc: np.ndarray, term: np.ndarray, w: np.ndarray, n: int) -> np.ndarray:
+    """The centre of the greatest inner product for each of n documents; 0 for one without a term.  centres is (terms, clusters)."""
+    out = np.zeros(n, np.int64)
+    edge = np.searchsorted(doc, np.arange(n + 1))
+    # runs of documents of a bounded number of terms
+    a = 0
+    while a < n:
+        b = max(a + 1, int(np.searchsorted(edge, edge[a] + 20_000, "right")) - 1)
+        full = np.flatnonzero(np.diff(edge[a : b + 1])) + a
+        if len(full):
+            x, y = int(edge[a]), int(edge[b])
+            out[full] = np.add.reduceat(centres[term[x:y]] * w[x:y, None], edge[full] - x, axis=0).argmax(1)
+        a = b
+    return out
+
+
+def clusters(sample: list, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(centres, documents of the sample in each) of at most k clusters; sample holds (terms, weights), each of unit length."""
+    sample = [(np.asarray(t, np.int64), np.asarray(w, np.float32) / max(1e-9, float(np.linalg.norm(w)))) for t, w in sample if len(t)]
+    k = max(1, min(k, len(sample) // 4))
+    if not sample:
+        return np.zeros((VOCABULARY, 1), np.float32), np.ones(1, np.int64)
+    doc = np.repeat(np.arange(len(sample)), [len(t) for t, _ in sample])
+    term, w = (np.concatenate([x[i] for x in sample]) for i in (0, 1))
+    centres = np.zeros((VOCABULARY, k), np.float32)
+    for turn in range(TURNS):
+        if turn:
+            of = _nearest(centres, doc, term, w, len(sample))
+        else:  # the first centres are single documents
+            of = np.full(len(sample), -1)
+            of[np.random.default_rng(1).choice(len(sample), k, replace=False)] = np.arange(k)
+        fresh = np.zeros_like(centres)
+        use = of[doc] >= 0
+        np.add.at(fresh, (term[use], of[doc[use]]), w[use])
+        size = np.linalg.norm(fresh, axis=0)
+        centres = np.where(size > 0, fresh / np.maximum(size, 1e-9), centres).astype(np.float32)
+    return centres, np.bincount(_nearest(centres, doc, term, w, len(sample)), minlength=k)
+
+
+def _routed(bm25: Bm25, centres: np.ndarray, first: np.ndarray, share: np.ndarray, salts: np.ndarray):
+    """Adds part: the first of a cluster's ``share`` parts, moved by the strongest term and its salt."""
+
+    def run(batches):
+        from pyspark import TaskContext
+
+        # a row's place in a checkpointed partition spreads a hot term, so that a retried task deals alike
+        place = TaskContext.get().partitionId() * 7919
         for b in batches:
             n = np.asarray(b.column(2))
             if not len(n):
                 continue
-            doc, term, tf = postings(np.frombuffer(b"".join(b.column(1).to_pylist()), "<u2"), n)
-            w = bm25.weight(tf, term, n[doc])
+            doc, term, w = _vectors(bm25, b.column(1).to_pylist(), n)
+            of = _nearest(centres, doc, term, w, len(n))
             best = np.lexsort((term, -w, doc))
-            first = best[np.concatenate(([True], doc[best][1:] != doc[best][:-1]))]
-            top = term[first]
-            # by doc_id where there is one, so that a retried task deals alike
-            spread = np.asarray(b.column(0).fill_null(0)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(top.astype(np.int32)), pa.array((spread.astype(np.int64) % salts[top]).astype(np.int32))], names=["doc_id", "ids", "n", "term", "salt"])
+            top = np.zeros(len(n), np.int64)
+            if len(best):
+                lead = best[np.concatenate(([True], doc[best][1:] != doc[best][:-1]))]
+                top[doc[lead]] = term[lead]
+            salt = (place + np.arange(len(n))) % salts[top]
+            place += len(n)
+            part = first[of] + (top * 40_503 + salt * 9_973) % share[of]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(part.astype(np.int32)), pa.array(top.astype(np.int32))], names=["doc_id", "ids", "n", "part", "term"])
+        common.trim()
 
     return run
 
@@ -116,10 +190,10 @@ class Shard:
         found = np.flatnonzero(score > 0)
         return found[np.argsort(-score[found], kind="stable")]
 
-    def windows(self, window: int):
-        """Lists of (document, start, length), each filling window ids but for the last."""
+    def windows(self, window: int, carried: int = 0):
+        """Lists of (document, start, length), each filling window ids but for the last; ``carried`` ids of the first are taken."""
         n, used, cursor = self.n.tolist(), np.zeros(len(self.n), bool), 0
-        room, pieces = window, []
+        whole, window, pieces = window, window - carried, []
         seed, start = None, 0
         while True:
             if seed is None:
@@ -132,7 +206,7 @@ class Shard:
             rest = n[seed] - start
             if not pieces and rest >= window:
                 yield [(seed, start, window)]
-                start += window
+                start, window = start + window, whole
                 if start == n[seed]:
                     seed = None
                 continue
@@ -157,28 +231,26 @@ class Shard:
             if room:
                 break
             yield pieces
-            pieces = []
+            pieces, window = [], whole
             seed, start = cut if cut else (None, 0)
         if pieces:
             yield pieces
 
-    def sequences(self, window: int):
-        for pieces in self.windows(window):
-            total = sum(p[2] for p in pieces)
-            if total == window:
-                yield pieces
-                continue
-            queue = list(reversed(pieces))
-            for size in (1 << k for k in range(total.bit_length() - 1, -1, -1) if total >> k & 1):
-                out, room = [], size
-                while room:
-                    d, s, m = queue.pop()
-                    take = min(m, room)
-                    out.append((d, s, take))
-                    room -= take
-                    if take < m:
-                        queue.append((d, s + take, m - take))
-                yield out
+
+def powers(pieces: list) -> list[list]:
+    """Pieces (.., start, ids) cut into sequences whose lengths are the powers of two of their sum, longest first."""
+    total, queue, out = sum(len(p[-1]) for p in pieces), list(reversed(pieces)), []
+    for size in (1 << k for k in range(total.bit_length() - 1, -1, -1) if total >> k & 1):
+        sequence, room = [], size
+        while room:
+            *who, start, ids = queue.pop()
+            take = min(len(ids), room)
+            sequence.append((*who, start, ids[:take]))
+            room -= take
+            if take < len(ids):
+                queue.append((*who, start + take, ids[take:]))
+        out.append(sequence)
+    return out
 
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -193,24 +265,35 @@ def _pack(bm25: Bm25, window: int, shard_tokens: int):
         sequence = TaskContext.get().partitionId() << 40
         held: list[bytes] = []
         doc_ids: list = []
+        carried: list = []  # (doc_id, tokens, start, ids) of a window that the next shard goes on filling
         size = 0
 
+        def rows(sequences):
+            nonlocal sequence
+            out = []
+            for pieces in sequences:
+                offset = 0
+                for doc_id, n, start, ids in pieces:
+                    out.append((doc_id, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), n, sequence, offset))
+                    offset += len(ids)
+                sequence += 1
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=names) if out else None
+
         def flush():
-            nonlocal sequence, size
+            nonlocal size, carried
             ids = np.frombuffer(b"".join(held), "<u2")
             n = np.array([len(x) // 2 for x in held], np.int64)
-            base, out = np.cumsum(n) - n, []
-            for pieces in Shard(ids, n, bm25).sequences(window):
-                offset = 0
-                for d, s, m in pieces:
-                    a = int(base[d]) + s
-                    out.append((doc_ids[d], s, m, zlib.crc32(ids[a : a + m].astype("<u4").tobytes()), int(n[d]), sequence, offset))
-                    offset += m
-                sequence += 1
+            base, full = np.cumsum(n) - n, []
+            for pieces in Shard(ids, n, bm25).windows(window, sum(len(p[-1]) for p in carried)):
+                carried = carried + [(doc_ids[d], int(n[d]), s, ids[base[d] + s : base[d] + s + m]) for d, s, m in pieces]
+                if sum(len(p[-1]) for p in carried) == window:
+                    full.append(carried)
+                    carried = []
+            carried = [(*who, x.copy()) for *who, x in carried]
             held.clear()
             doc_ids.clear()
             size = 0
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=names)
+            return rows(full)
 
         for b in batches:
             for doc_id, ids in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
@@ -218,9 +301,12 @@ def _pack(bm25: Bm25, window: int, shard_tokens: int):
                 doc_ids.append(doc_id)
                 size += len(ids) // 2
                 if size >= shard_tokens:
-                    yield flush()
-        if held:
-            yield flush()
+                    if (got := flush()) is not None:
+                        yield got
+        if held and (got := flush()) is not None:
+            yield got
+        if carried:
+            yield rows(powers(carried))
         common.trim()
 
     return run
@@ -236,11 +322,18 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, end_id: int = END_I
     df = coded.select("ids", "n").mapInArrow(_frequencies, "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
     df = {r.term: r.df for r in df.collect()}  # at most one row a vocabulary id
     bm25, parts = Bm25(all_of.documents, all_of.total, df), common.partitions(spark)
+    each = max(1.0, all_of.documents / parts)
     salts = np.ones(VOCABULARY, np.int64)
     for term, n in df.items():
-        salts[term] = max(1, -(-n * parts // max(1, all_of.documents)))
-    routed = coded.mapInArrow(_routed(bm25, salts), "doc_id long, ids binary, n long, term int, salt int")
-    dealt = routed.repartition(parts, "term", "salt").sortWithinPartitions("term", "salt", "doc_id", "n", "ids").select("doc_id", "ids")
+        salts[term] = max(1, math.ceil(n / each))
+    # about SAMPLE rows by hash, twice as many at most
+    draw = F.pmod(F.xxhash64("doc_id", "n"), F.lit(1 << 30)) < F.lit(int(min(1.0, SAMPLE / max(1, all_of.documents)) * (1 << 30)))
+    sample = coded.where(draw).select("ids", "n").limit(2 * SAMPLE).mapInArrow(_sampled(bm25), "terms array<long>, weights array<float>").toPandas()
+    centres, size = clusters(list(zip(sample["terms"], sample["weights"])), min(parts, CLUSTERS))
+    share = np.maximum(1, np.ceil(size / max(1, size.sum()) * parts)).astype(np.int64)
+    first, total = np.cumsum(share) - share, int(share.sum())
+    routed = coded.mapInArrow(_routed(bm25, centres, first, share, salts), "doc_id long, ids binary, n long, part int, term int")
+    dealt = routed.repartitionById(total, F.col("part")).sortWithinPartitions("part", "term", "doc_id", "n", "ids").select("doc_id", "ids")
     return dealt.mapInArrow(_pack(bm25, window, shard_tokens), SCHEMA)
 
 
