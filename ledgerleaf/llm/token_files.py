@@ -1,18 +1,20 @@
 """Token-id files compressed by Re-Pair.
 
-Documents are range-partitioned by doc_id, encoded, and written in ascending order as blocks of about
-``BLOCK_TOKENS`` ids (a block ends with the document that fills it).  Each block is a grammar of its own: in
-``ROUNDS`` rounds every pair of neighbouring symbols that occurs ``LEAST`` times or more (the ``RULES`` most
-frequent of a round) becomes a nonterminal; pairs never reach across a document's end, so a document's symbols
-are a slice of the block and can be decoded alone.
-
-File format: Parquet, one row a block: shard, block, tokens_before (ids of the shard before the block), alphabet
-(uint32 ids of terminal symbols), rules (uint16 symbol pairs; rule r is symbol len(alphabet) + r), lengths
-(uint32 expansion length of each symbol), symbols (uint16), and per document doc_ids (int64; null_ids marks
+Documents are range-partitioned by doc_id, encoded, and written in ascending order as shards of about ``SHARD_TOKENS``
+ids (a shard ends with the document that fills it).  Each shard is a grammar of its own: pairs of neighbouring symbols that
+occur often become nonterminals, again and again, until none occurs ``LEAST`` times without overlapping itself (a rule costs
+three numbers, two symbols and an expansion length, so fewer do not pay).  A round replaces all pairs of at least a quarter of
+the highest count, the more frequent first where two overlap; one that is left fewer than LEAST places waits for the next.  Pairs never reach across a document's
+end, so a document's symbols are a slice of the shard, and with the expansion lengths any run of its ids can be decoded
+alone (``decode``).
+
+File format: Parquet, one row a shard: part, shard, tokens_before (ids of the part before the shard), n_tokens, alphabet
+(uint32 ids of terminal symbols), rules (uint32 symbol pairs; rule r is symbol len(alphabet) + r), lengths (uint32
+expansion length of each symbol), width and symbols (2, 3 or 4 bytes each), and per document doc_ids (int64; null_ids marks
 nulls), doc_symbols and doc_tokens (uint32).  All little-endian.
 
 Null texts read as empty: they hold the end id alone.  Null doc_ids come first; rows with equal doc_ids follow
-each other by text.
+each other by text; repeated rows are written as often as they occur.  An empty table gives no shards.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,75 +29,112 @@ from pyspark.sql import functions as F
 from . import common, ordered, tokens
 from .tokens import runs
 
-BLOCK_TOKENS, ROUNDS, RULES, LEAST = 1 << 20, 4, 4096, 24
+SHARD_TOKENS, LEAST = 1 << 20, 4
 END_ID = 1
+_BUCKETS = 1 << 20
 
 
-def _hashed(pairs: np.ndarray) -> np.ndarray:
+def _frequent(pairs: np.ndarray, floor: int) -> tuple[np.ndarray, np.ndarray]:
+    """(pairs, counts) of those that occur floor times or more, ascending."""
+    # counts by a hash first: most pairs need not be sorted
     with np.errstate(over="ignore"):
-        return (pairs * np.uint32(0x9E3779B1)) >> np.uint32(16)
+        bucket = (pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)
+    few = np.sort(pairs[np.bincount(bucket.astype(np.int64), minlength=_BUCKETS)[bucket.astype(np.int64)] >= floor])
+    edge = np.flatnonzero(np.concatenate(([True], few[1:] != few[:-1]))) if len(few) else np.zeros(0, np.int64)
+    count = np.diff(np.append(edge, len(few)))
+    return few[edge[count >= floor]], count[count >= floor]
 
 
-def repair(ids: np.ndarray, doc_tokens: np.ndarray, rounds: int = ROUNDS, most_rules: int = RULES, least: int = LEAST):
-    """Re-Pair of concatenated documents: (alphabet, rules, lengths, symbols, doc_symbols).
+def _places(pairs: np.ndarray, last: np.ndarray, chosen: np.ndarray, count: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """(position, number in chosen) of the occurrences that are replaced, none overlapping.
 
-    A round counts all pairs, takes the most frequent and replaces their occurrences from left to right without
-    overlap, so a pair that overlaps another is replaced where it is free.
+    Of two that overlap the more frequent pair wins, ties by hash, so that equal stretches are parsed alike wherever they
+    stand; in a stretch of one repeated symbol it is every other place from the left.
     """
+    with np.errstate(over="ignore"):
+        maybe = np.zeros(1 << 16, bool)
+        maybe[(chosen * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)] = True
+        where = np.flatnonzero(maybe[(pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)] & ~last[:-1])
+        order = np.lexsort((chosen * np.uint64(0x9E3779B97F4A7C15), count))
+    at = np.minimum(np.searchsorted(chosen, pairs[where]), len(chosen) - 1)
+    hit = chosen[at] == pairs[where]
+    where, at = where[hit], at[hit]
+    place = np.arange(len(where))
+    again = np.concatenate(([False], (np.diff(where) == 1) & (at[1:] == at[:-1]))) if len(where) else np.zeros(0, bool)
+    nth = place - np.maximum.accumulate(np.where(again, 0, place))
+    # pairs of one symbol hold too few places where they overlap themselves
+    own = np.bincount(at[nth % 2 == 0], minlength=len(chosen)) >= least
+    keep = own[at]
+    where, at, nth, again = where[keep], at[keep], nth[keep], again[keep]
+    rank = np.empty(len(chosen), np.int32)
+    rank[order] = np.arange(1, len(chosen) + 1, dtype=np.int32)
+    mine = rank[at]
+    around = np.zeros(len(pairs) + 2, np.int32)
+    around[where + 1] = mine
+    wins = (nth % 2 == 0) & (again | (around[where] < mine)) & (around[where + 2] <= mine)
+    return where[wins], at[wins]
+
+
+def repair(ids: np.ndarray, doc_tokens: np.ndarray, least: int = LEAST):
+    """Re-Pair of concatenated documents: (alphabet, rules, lengths, symbols, doc_symbols)."""
     alphabet = np.flatnonzero(np.bincount(ids)).astype(np.uint32)
-    place = np.zeros(int(alphabet[-1]) + 1 if len(alphabet) else 1, np.uint32)
-    place[alphabet] = np.arange(len(alphabet), dtype=np.uint32)
+    place = np.zeros(int(alphabet[-1]) + 1 if len(alphabet) else 1, np.uint64)
+    place[alphabet] = np.arange(len(alphabet), dtype=np.uint64)
     seq = place[ids]
-    if len(alphabet) > 65_536 - rounds * most_rules:
-        rounds = max(0, (65_536 - len(alphabet)) // most_rules)
-    if len(alphabet) > 65_536:
-        raise ValueError("more than 65,536 distinct ids in a block")
     last = np.zeros(len(seq), bool)
     last[np.cumsum(doc_tokens) - 1] = True
     doc = np.repeat(np.arange(len(doc_tokens), dtype=np.uint32), doc_tokens)
-    rules = np.zeros((0, 2), np.uint32)
-    lengths = np.ones(len(alphabet), np.uint32)
-    for _ in range(rounds):
-        if len(seq) < 2:
-            break
-        pairs = (seq[:-1] << np.uint32(16)) | seq[1:]
-        inside = np.sort(pairs[~last[:-1]])
-        if not len(inside):
-            break
-        edge = np.flatnonzero(np.concatenate(([True], inside[1:] != inside[:-1])))
-        count = np.diff(np.append(edge, len(inside)))
-        often = np.flatnonzero(count >= least)
-        if not len(often):
-            break
-        if len(often) > most_rules:
-            often = often[np.lexsort((inside[edge[often]], -count[often]))[:most_rules]]
-        chosen = np.sort(inside[edge[often]])
-        # a small hashed table rules out most of the other pairs before the exact look-up
-        maybe = np.zeros(1 << 16, bool)
-        maybe[_hashed(chosen)] = True
-        where = np.flatnonzero(maybe[_hashed(pairs)] & ~last[:-1])
-        at = np.minimum(np.searchsorted(chosen, pairs[where]), len(chosen) - 1)
-        hit = chosen[at] == pairs[where]
-        where, at = where[hit], at[hit]
-        # within a run of hits, every other one from the left is replaced
-        fresh = np.concatenate(([True], np.diff(where) > 1))
-        offset = np.arange(len(where)) - np.maximum.accumulate(np.where(fresh, np.arange(len(where)), 0))
-        free = offset % 2 == 0
-        where, at = where[free], at[free]
-        first = len(alphabet) + len(rules)
-        seq[where] = first + at
+    rules, lengths, symbols = [], [np.ones(len(alphabet), np.uint32)], len(alphabet)
+    floor = None
+    while len(seq) > 1:
+        pairs = (seq[:-1] << np.uint64(32)) | seq[1:]
+        known, count = _frequent(pairs[~last[:-1]], least if floor is None else floor)
+        if floor is None:
+            floor = max(least, int(count.max(initial=0)) // 4)
+            known, count = known[count >= floor], count[count >= floor]
+        where = at = np.zeros(0, np.int64)
+        if len(known):
+            where, at = _places(pairs, last, known, count, least)
+            enough = np.bincount(at, minlength=len(known)) >= least
+            use, number = enough[at], np.cumsum(enough) - 1
+            where, at, known = where[use], number[at[use]], known[enough]
+        if not len(where):
+            if floor == least:
+                break
+            floor = max(least, floor // 4)
+            continue
+        seq[where] = np.uint64(symbols) + at.astype(np.uint64)
         last[where] = last[where + 1]
         keep = np.ones(len(seq), bool)
         keep[where + 1] = False
         seq, last, doc = seq[keep], last[keep], doc[keep]
-        new = np.stack([chosen >> np.uint32(16), chosen & np.uint32(0xFFFF)], 1)
-        rules = np.concatenate([rules, new])
-        lengths = np.concatenate([lengths, lengths[new[:, 0]] + lengths[new[:, 1]]])
-    return alphabet, rules.astype(np.uint16), lengths, seq.astype(np.uint16), np.bincount(doc, minlength=len(doc_tokens)).astype(np.uint32)
+        new = np.stack([known >> np.uint64(32), known & np.uint64(0xFFFFFFFF)], 1).astype(np.int64)
+        of = np.concatenate(lengths) if len(lengths) > 1 else lengths[0]
+        lengths = [of, of[new[:, 0]] + of[new[:, 1]]]
+        rules.append(new)
+        symbols += len(new)
+        if floor > least:
+            floor = max(least, floor // 4)
+    table = np.concatenate(rules).astype(np.uint32) if rules else np.zeros((0, 2), np.uint32)
+    return alphabet, table, np.concatenate(lengths), seq.astype(np.uint32), np.bincount(doc, minlength=len(doc_tokens)).astype(np.uint32)
+
+
+def packed(symbols: np.ndarray) -> tuple[int, bytes]:
+    """(width, bytes) of symbols in 2, 3 or 4 bytes each."""
+    most = int(symbols.max(initial=0))
+    width = 2 if most < 1 << 16 else 3 if most < 1 << 24 else 4
+    return width, symbols.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :width].tobytes()
+
+
+def unpacked(raw: bytes, width: int) -> np.ndarray:
+    few = np.frombuffer(raw, np.uint8).reshape(-1, width)
+    out = np.zeros((len(few), 4), np.uint8)
+    out[:, :width] = few
+    return out.reshape(-1).view("<u4")
 
 
 class Grammar:
-    """Expands slices of a block's symbols."""
+    """Expands slices of a shard's symbols, by the expansions of all of them."""
 
     def __init__(self, alphabet: np.ndarray, rules: np.ndarray, lengths: np.ndarray):
         self.lengths = lengths.astype(np.int64)
@@ -118,28 +157,29 @@ class Grammar:
         return self.flat[runs(self.starts[s], self.lengths[s])]
 
 
-FILE_SCHEMA = "shard int, block int, tokens_before long, n_tokens long, alphabet binary, rules binary, lengths binary, symbols binary, doc_ids binary, null_ids binary, doc_symbols binary, doc_tokens binary"
+FILE_SCHEMA = "part int, shard int, tokens_before long, n_tokens long, alphabet binary, rules binary, lengths binary, width int, symbols binary, doc_ids binary, null_ids binary, doc_symbols binary, doc_tokens binary"
 
 
-def _blocks(path: str, end_id: int, block_tokens: int, names: list[str], types: list):
+def _shards(path: str, end_id: int, shard_tokens: int, names: list[str], types: list):
     def run(batches):
         from pyspark import TaskContext
 
         enc = tokens.encoder(path)
-        shard = TaskContext.get().partitionId()
+        part = TaskContext.get().partitionId()
         held_ids: list[np.ndarray] = []
         held_docs: list = []
-        size = block = before = 0
+        size = shard = before = 0
 
         def flush():
-            nonlocal size, block, before
+            nonlocal size, shard, before
             ids = np.concatenate(held_ids)
             n = np.array([len(x) for x in held_ids], np.uint32)
             alphabet, rules, lengths, symbols, doc_symbols = repair(ids, n)
             doc_ids = np.array([x or 0 for x in held_docs], "<i8")
             nulls = np.array([x is None for x in held_docs], np.uint8)
-            row = (shard, block, before, len(ids), alphabet.astype("<u4"), rules.astype("<u2"), lengths.astype("<u4"), symbols.astype("<u2"), doc_ids, nulls, doc_symbols.astype("<u4"), n.astype("<u4"))
-            before, block, size = before + len(ids), block + 1, 0
+            width, raw = packed(symbols)
+            row = (part, shard, before, len(ids), alphabet.astype("<u4"), rules.astype("<u4"), lengths.astype("<u4"), width, raw, doc_ids, nulls, doc_symbols.astype("<u4"), n.astype("<u4"))
+            before, shard, size = before + len(ids), shard + 1, 0
             held_ids.clear()
             held_docs.clear()
             return pa.RecordBatch.from_arrays([pa.array([x.tobytes() if isinstance(x, np.ndarray) else x], t) for x, t in zip(row, types)], names=names)
@@ -152,7 +192,7 @@ def _blocks(path: str, end_id: int, block_tokens: int, names: list[str], types:
                     held_ids.append(ids[stop - k : stop])
                     held_docs.append(doc_id)
                     size += k
-                    if size >= block_tokens:
+                    if size >= shard_tokens:
                         yield flush()
         if held_ids:
             yield flush()
@@ -161,38 +201,62 @@ def _blocks(path: str, end_id: int, block_tokens: int, names: list[str], types:
     return run
 
 
-def write(docs: DataFrame, path: str, tokenizer_path: str | None = None, end_id: int = END_ID, shards: int | None = None, block_tokens: int = BLOCK_TOKENS) -> None:
+def write(docs: DataFrame, path: str, tokenizer_path: str | None = None, end_id: int = END_ID, parts: int | None = None, shard_tokens: int = SHARD_TOKENS) -> None:
     """Encodes docs (doc_id, text) and writes the token files to path, a folder that executors share."""
     spark = docs.sparkSession
     common.ship(spark)
-    rows = ordered.in_order(common.with_defaults(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")), shards or common.partitions(spark)).select("doc_id", "text")
+    rows = ordered.in_order(common.with_defaults(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")), parts or common.partitions(spark)).select("doc_id", "text")
     names = [x.split()[0] for x in FILE_SCHEMA.split(", ")]
     types = [{"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}[x.split()[1]] for x in FILE_SCHEMA.split(", ")]
-    rows.mapInArrow(_blocks(tokenizer_path or tokens.vocabulary_path(), end_id, block_tokens, names, types), FILE_SCHEMA).write.parquet(path)
+    rows.mapInArrow(_shards(tokenizer_path or tokens.vocabulary_path(), end_id, shard_tokens, names, types), FILE_SCHEMA).write.parquet(path)
 
 
-def decode_block(row: dict):
-    """(doc_id, ids) of each document of a block."""
-    g = Grammar(np.frombuffer(row["alphabet"], "<u4"), np.frombuffer(row["rules"], "<u2").reshape(-1, 2), np.frombuffer(row["lengths"], "<u4"))
-    symbols, cuts = np.frombuffer(row["symbols"], "<u2"), np.cumsum(np.frombuffer(row["doc_symbols"], "<u4"), dtype=np.int64)
-    ids = g.expand(symbols)
+def _grammar(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return np.frombuffer(row["alphabet"], "<u4"), np.frombuffer(row["rules"], "<u4").reshape(-1, 2), np.frombuffer(row["lengths"], "<u4")
+
+
+def decode_shard(row: dict):
+    """(doc_id, ids) of each document of a shard."""
+    symbols, cuts = unpacked(row["symbols"], row["width"]), np.cumsum(np.frombuffer(row["doc_symbols"], "<u4"), dtype=np.int64)
+    ids = Grammar(*_grammar(row)).expand(symbols)
     ends = np.cumsum(np.frombuffer(row["doc_tokens"], "<u4"), dtype=np.int64)
     if len(ids) != (ends[-1] if len(ends) else 0) or len(symbols) != (cuts[-1] if len(cuts) else 0):
-        raise ValueError("a block's lengths do not agree")
+        raise ValueError("a shard's lengths do not agree")
     doc_ids, nulls = np.frombuffer(row["doc_ids"], "<i8"), np.frombuffer(row["null_ids"], np.uint8)
     for i, (s, e) in enumerate(zip(np.concatenate(([0], ends[:-1])), ends)):
         yield (None if nulls[i] else int(doc_ids[i])), ids[s:e]
 
 
-def decode_document(row: dict, i: int) -> np.ndarray:
-    """Random access: the ids of the block's i-th document, from its own symbols only."""
-    g = Grammar(np.frombuffer(row["alphabet"], "<u4"), np.frombuffer(row["rules"], "<u2").reshape(-1, 2), np.frombuffer(row["lengths"], "<u4"))
-    ends = np.cumsum(np.frombuffer(row["doc_symbols"], "<u4"), dtype=np.int64)
-    s = int(ends[i - 1]) if i else 0
-    return g.expand(np.frombuffer(row["symbols"], "<u2")[s : int(ends[i])])
-
+def decode(row: dict, i: int, first: int = 0, last: int | None = None) -> np.ndarray:
+    """Random access: ids [first, last) of the shard's i-th document.
 
-READ_SCHEMA = "shard int, doc_id long, at long, n_tokens long, ids_crc32 long, ids binary"
+    The expansion lengths of the document's symbols tell which of them hold the run; of these only the rules that reach
+    into it are expanded.
+    """
+    alphabet, rules, lengths = _grammar(row)
+    ends = np.cumsum(np.frombuffer(row["doc_symbols"], "<u4"), dtype=np.int64)
+    width, s = row["width"], int(ends[i - 1]) if i else 0
+    symbols = unpacked(row["symbols"][s * width : int(ends[i]) * width], width)
+    upto = np.concatenate(([0], np.cumsum(lengths[symbols], dtype=np.int64)))
+    last = min(int(upto[-1]), int(upto[-1]) if last is None else last)
+    first = max(0, first)
+    if first >= last:
+        return np.zeros(0, np.uint32)
+    a, b = int(np.searchsorted(upto, first, "right")) - 1, int(np.searchsorted(upto, last))
+    stack, out = [(int(symbols[k]), int(upto[k])) for k in range(b - 1, a - 1, -1)], []
+    while stack:
+        symbol, at = stack.pop()
+        if at >= last or at + int(lengths[symbol]) <= first:
+            continue
+        if symbol < len(alphabet):
+            out.append(alphabet[symbol])
+        else:
+            left, right = (int(x) for x in rules[symbol - len(alphabet)])
+            stack += [(right, at + int(lengths[left])), (left, at)]
+    return np.array(out, np.uint32)
+
+
+READ_SCHEMA = "part int, doc_id long, at long, n_tokens long, ids_crc32 long, ids binary"
 
 
 def _decoded(with_ids: bool):
@@ -200,9 +264,9 @@ def _decoded(with_ids: bool):
         for b in batches:
             for row in b.to_pylist():
                 at, out = row["tokens_before"], []
-                for doc_id, ids in decode_block(row):
+                for doc_id, ids in decode_shard(row):
                     raw = ids.astype("<u4").tobytes()
-                    out.append((row["shard"], doc_id, at, len(ids), zlib.crc32(raw), raw if with_ids else None))
+                    out.append((row["part"], doc_id, at, len(ids), zlib.crc32(raw), raw if with_ids else None))
                     at += len(ids)
                 cols = list(zip(*out))
                 types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
@@ -214,19 +278,20 @@ def _decoded(with_ids: bool):
 def read(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32[, ids]) decoded from the files; start counts the ids before the document."""
     common.ship(spark)
-    blocks = spark.read.schema(FILE_SCHEMA).parquet(path)
-    totals = blocks.groupBy("shard").agg(F.sum("n_tokens").alias("n")).orderBy("shard").collect()  # a row a shard
+    shards = spark.read.schema(FILE_SCHEMA).parquet(path)
+    totals = shards.groupBy("part").agg(F.sum("n_tokens").alias("n")).orderBy("part").collect()  # a row a part
     base, before = [], 0
     for r in totals:
-        base.append((r.shard, before))
+        base.append((r.part, before))
         before += r.n
-    bases = spark.createDataFrame(base or [(0, 0)], "shard int, base long")
-    docs = blocks.mapInArrow(_decoded(with_ids), READ_SCHEMA).join(F.broadcast(bases), "shard")
+    bases = spark.createDataFrame(base or [(0, 0)], "part int, base long")
+    docs = shards.mapInArrow(_decoded(with_ids), READ_SCHEMA).join(F.broadcast(bases), "part")
     return docs.select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32", *(["ids"] if with_ids else []))
 
 
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = common.new_path(spark, "token-files")
+    common.remove_later(spark, path)
     write(common.table(spark, sf_dir, "documents"), path)
     return read(spark, path, with_ids=False)
 

@@ -185,18 +185,58 @@ def test_encoder_equals_whole_texts():
         assert n.tolist() == list(map(len, want)) and ids.tolist() == [x for w in want for x in w]
 
 
-def test_repair_round_trip():
+def pairs_left(symbols, per):
+    """Most places, none overlapping itself, of a pair of neighbouring symbols inside documents."""
+    most, at = {}, 0
+    for k in per.tolist():
+        row, free = symbols[at : at + k].tolist(), {}
+        at += k
+        for i, pair in enumerate(zip(row, row[1:])):
+            if free.get(pair, -2) < i - 1 or pair[0] != pair[1]:
+                most[pair], free[pair] = most.get(pair, 0) + 1, i
+    return max(most.values(), default=0)
+
+
+@pytest.mark.parametrize("least", [2, 4])
+def test_repair_runs_until_no_pair_is_frequent(least):
     rng = np.random.default_rng(1)
-    n = rng.integers(1, 300, 200)
-    ids = rng.zipf(1.5, n.sum()) % 50
-    alphabet, rules, lengths, symbols, per = token_files.repair(ids.astype(np.uint16), n, least=4)
-    assert len(rules) and len(symbols) < len(ids)
-    assert (token_files.Grammar(alphabet, rules, lengths).expand(symbols) == ids).all() and per.sum() == len(symbols)
+    for turn in range(6):
+        n = rng.integers(1, 300, 60)
+        ids = (rng.zipf(1.5, n.sum()) % (50, 3, 1, 2000, 50, 9)[turn]).astype(np.uint16)
+        if turn == 4:  # exact copies, wherever they stand
+            ids = np.concatenate([ids[:3000]] * 5 + [ids[17:3000]])
+            n = np.array([3000] * 5 + [2983])
+        alphabet, rules, lengths, symbols, per = token_files.repair(ids, n, least)
+        assert (token_files.Grammar(alphabet, rules, lengths).expand(symbols) == ids[: n.sum()]).all() and per.sum() == len(symbols)
+        assert pairs_left(symbols, per) < least
+        assert lengths[len(alphabet) :].tolist() == [lengths[a] + lengths[b] for a, b in rules]
+        if turn == 4:
+            assert len(symbols) + 2 * len(rules) < len(ids) / 2.5
+
+
+def test_random_access_inside_documents():
+    rng = np.random.default_rng(2)
+    n = np.array([1, 700, 3000, 50])
+    ids = np.concatenate([rng.zipf(1.3, 751 - 50) % 40, np.tile(rng.integers(0, 30, 100), 30), rng.integers(0, 70_000 - 5_000, 50)]).astype(np.uint16)
+    alphabet, rules, lengths, symbols, per = token_files.repair(ids, n)
+    width, raw = token_files.packed(symbols)
+    assert (token_files.unpacked(raw, width) == symbols).all() and lengths.max() > 16
+    row = {"alphabet": alphabet.astype("<u4").tobytes(), "rules": rules.astype("<u4").tobytes(), "lengths": lengths.astype("<u4").tobytes(), "width": width, "symbols": raw, "doc_symbols": per.astype("<u4").tobytes()}
+    start = np.cumsum(n) - n
+    for i in range(4):
+        whole = ids[start[i] : start[i] + n[i]].tolist()
+        assert token_files.decode(row, i).tolist() == whole
+        for _ in range(20):
+            a, b = sorted(rng.integers(0, n[i] + 2, 2).tolist())
+            assert token_files.decode(row, i, a, b).tolist() == whole[a:b]
+    for most, width in ((10, 2), (1 << 16, 3), (1 << 24, 4)):
+        x = np.array([0, most], np.uint32)
+        assert token_files.packed(x)[0] == width and (token_files.unpacked(token_files.packed(x)[1], width) == x).all()
 
 
 def test_token_files_round_trip(spark, docs, corpus, tmp_path):
     path = str(tmp_path / "f")
-    token_files.write(docs, path, shards=3, block_tokens=500)
+    token_files.write(docs, path, parts=3, shard_tokens=500)
     got = sorted(token_files.read(spark, path).collect(), key=lambda r: r.start)
     rows = sorted((i, t or "") for i, t, _ in corpus[0])
     at = 0
@@ -204,9 +244,25 @@ def test_token_files_round_trip(spark, docs, corpus, tmp_path):
         raw = np.array(ids, "<u4").tobytes()
         assert (r.doc_id, r.start, r.n_tokens, r.ids_crc32, bytes(r.ids)) == (i, at, len(ids), zlib.crc32(raw), raw)
         at += len(ids)
-    block = spark.read.parquet(path).first().asDict()
-    whole = [x.tolist() for _, x in token_files.decode_block(block)]
-    assert token_files.decode_document(block, len(whole) - 1).tolist() == whole[-1]
+    shard = spark.read.parquet(path).first().asDict()
+    whole = [x.tolist() for _, x in token_files.decode_shard(shard)]
+    assert token_files.decode(shard, len(whole) - 1).tolist() == whole[-1]
+
+
+def test_token_files_of_a_table_nulls_and_no_rows(spark, tmp_path):
+    """The query's digests from brute force on a whole table; null ids come first; clashing columns; no rows."""
+    sf = "/root/testdata/sf0.001"
+    table = sorted(((r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()))
+    want, at = [], 0
+    for (i, _), ids in zip(table, encoded([t for _, t in table], 1), strict=True):
+        want.append((i, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        at += len(ids)
+    assert sorted(tuple(r) for r in token_files.op4_token_files(spark, sf).collect()) == want
+    rows = make(spark, [(None, "alpha", "s"), (1, None, "s"), (1, "alpha", "s"), (1, "alpha", "s")]).withColumn("shard", F.lit(1)).withColumn("key", F.lit(2))
+    token_files.write(rows, str(tmp_path / "a"))
+    assert [(r.doc_id, r.start) for r in token_files.read(spark, str(tmp_path / "a")).orderBy("start").collect()] == [(None, 0), (1, 2), (1, 3), (1, 5)]
+    token_files.write(make(spark, []), str(tmp_path / "b"))
+    assert token_files.read(spark, str(tmp_path / "b")).collect() == []
 
 
 # ---------------------------------------------------------------- 5
