@@ -57,4 +57,4 @@ def with_successors(docs: DataFrame, shards: int) -> DataFrame:
         copies = wanted.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("key", F.coalesce("doc_id", F.lit(LOWEST)))
         copies = copies.join(F.broadcast(hop), "key").withColumn("own", F.lit(False))  # one row for each shard
         own = own.unionByName(copies.select(*own.columns))
-    return own.repartition(shards, "shard").sortWithinPartitions("shard", F.desc("own"), "key", "text").select("shard", "own", "doc_id", "text")
+    return own.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", F.desc("own"), "key", "text").select("shard", "own", "doc_id", "text")

@@ -45,9 +45,46 @@ def test_prefix_hash_spans_and_extensions():
     a, b = fingerprints.PrefixHash("abcabcabdé"), fingerprints.PrefixHash("xxabcabz")
     assert a.equal(0, a, 3, 5) and not a.equal(0, a, 3, 6)
     assert a.common_extension(0, b, 2) == 5 and a.common_extension(9, b, 0) == 0
+    assert a.common_extension_back(5, b, 7) == 5 and a.common_extension_back(0, b, 4) == 0
+    assert all(a.equal(i, b, j, n) == ("abcabcabdé"[i : i + n] == "xxabcabz"[j : j + n]) for n in range(5) for i in range(11 - n) for j in range(9 - n))
     assert fingerprints.PrefixHash("").n == 0
 
 
+def brute_cover(a, b, least):
+    """Places of a and of b in a common run of ``least`` code points or more, all pairs of positions compared."""
+    ina, inb = set(), set()
+    for i in range(len(a)):
+        for j in range(len(b)):
+            if a[i] == b[j] and (not i or not j or a[i - 1] != b[j - 1]):
+                k = 0
+                while i + k < len(a) and j + k < len(b) and a[i + k] == b[j + k]:
+                    k += 1
+                if k >= least:
+                    ina |= set(range(i, i + k))
+                    inb |= set(range(j, j + k))
+    return len(ina) + len(inb)
+
+
+def test_likeness_is_the_share_in_common_runs():
+    r = random.Random(12)
+    text = lambda n: "".join(r.choice("abcdefghij klmnop") for _ in range(n))
+    of = lambda t: fingerprints.Fingerprint(fingerprints.codes_of(t))
+    for turn in range(25):
+        pieces = [text(r.randint(60, 120)) for _ in range(4)]
+        a = "".join(pieces[k] + text(r.randint(20, 60)) for k in (0, 1, 2))
+        b = "".join(text(r.randint(20, 60)) + pieces[k] for k in (2, 3, 0))
+        x, y = of(a), of(b)
+        for p, q, n in x.common_runs(y):
+            assert a[p : p + n] == b[q : q + n]
+            assert (p + n == len(a) or q + n == len(b) or a[p + n] != b[q + n]) and (not p or not q or a[p - 1] != b[q - 1])
+        assert x.likeness(y) == pytest.approx(brute_cover(a, b, 20) / (len(a) + len(b)), abs=0.02)
+        assert x.likeness(of(text(300))) < 0.05 and x.likeness(of(a)) == 1
+        n = len(a)
+        assert of(a).likeness(of(a[: n - n // 4] + b[: n // 4])) >= 0.74
+    assert of("").likeness(of("")) == 1 and of("").likeness(of("x")) == 0
+    assert of("aaaa" * 50).likeness(of("aaaa" * 40)) == 320 / 360 and of("abcdefgh").likeness(of("abcdefxy")) == 0.75
+
+
 def test_edited_fingerprints_brute(spark, docs, corpus):
     import hashlib
 
@@ -68,6 +105,22 @@ def test_edited_fingerprints_brute(spark, docs, corpus):
             assert r.near_edited == 1
 
 
+def test_fingerprints_of_a_table(spark):
+    """The query's contract columns by brute force on a whole table."""
+    import hashlib
+
+    sf = "/root/testdata/sf0.001"
+    rows = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect())
+    got = {r.doc_id: r for r in fingerprints.op1_document_fingerprints(spark, sf).collect()}
+    assert len(got) == len(rows)
+    for (i, t), (_, after) in zip(rows, rows[1:] + rows[:1]):
+        q = len(t) // 4
+        edited = t[: len(t) - q] + after[:q]
+        assert (got[i].n_chars, got[i].edited_sha256) == (len(t), hashlib.sha256(edited.encode()).hexdigest())
+        a, b, c = (fingerprints.Fingerprint(fingerprints.codes_of(x)) for x in (t, edited, after))
+        assert (got[i].fingerprint, got[i].edited_fingerprint, got[i].near_edited, got[i].near_next) == (str(a), str(b), a.likeness(b), a.likeness(c))
+
+
 def test_fingerprints_of_empty_and_single_tables(spark):
     assert fingerprints.edited_fingerprints(make(spark, [])).count() == 0
     (r,) = fingerprints.edited_fingerprints(make(spark, [(None, "abcdefgh", "s")])).collect()
