@@ -3,8 +3,10 @@
 log P(language | row) = TEMPER * text log-likelihood + log P(declared | language) + log P(suffix | language)
 + log P(language | host), normalised over the languages.
 
+* Languages: the declared values, any number of them.  A value whose rows hold less than ``LEAST_SHARE`` of all declared
+  letter trigrams is no language of its own (so there are at most 1 / LEAST_SHARE): its rows count as undeclared.
 * Text: naive Bayes over hashed letter trigrams (``BUCKETS`` buckets), trained here on all rows whose declared
-  language is one of the languages; digits and marks count as word ends.
+  value is a language; digits and marks count as word ends.
 * Declared markup language: the declared value's share among rows whose text says the language, smoothed.
 * Address suffix: the last label of the host, likewise.
 * Host prior: grouped counts of text languages, each level smoothed towards the next with weight ``SMOOTH``:
@@ -13,8 +15,9 @@ log P(language | row) = TEMPER * text log-likelihood + log P(declared | language
 A row is rejected ('und') if its text has no letter trigram, or its best language explains the text no better
 than the uniform noise model over buckets.  Null texts read as empty and are rejected; null or unknown declared
 languages, suffixes and hosts give no evidence.  Repeated rows get equal results and count each time.  Counts
-cover all rows.  Tables without a declared row have no languages: every row is rejected.  Ties go to the
-language first in the alphabet.
+cover all rows.  Tables without a declared row have no languages: every row is rejected; empty tables give empty results.
+Ties go to the language first in the alphabet.  Columns of the rows that are named like a result (``MADE``) are replaced by it
+in ``identify``; ``keep_identified`` keeps all columns as they are.
 """
 
 from __future__ import annotations
@@ -30,12 +33,13 @@ from pyspark.sql import functions as F
 from . import common
 
 BUCKETS = 1 << 15
-MOST_LANGUAGES = 64
+LEAST_SHARE = 1 / 4096
 TEMPER, SMOOTH = 0.25, 20.0
 #: Share of the noise model in each language's: a short text with a code or name in it stays explained.
 NOISE = 0.1
-#: Hosts up to this number are broadcast (an array of at most MOST_LANGUAGES doubles each).
-BROADCAST_HOSTS = 20_000
+#: Tables of evidence up to this many numbers are broadcast; larger ones are joined by a shuffle of the rows' keys.
+BROADCAST_NUMBERS = 1 << 21
+MADE = ("likelihoods", "n_trigrams", "text_language", "said", "language", "confidence")
 _LETTERS: list = []
 
 
@@ -69,22 +73,25 @@ class Model:
         share = counts / np.maximum(1, counts.sum(1, keepdims=True))
         self.table = np.log((1 - NOISE) * share + NOISE / BUCKETS).astype(np.float32)
 
-    def scores(self, texts: pd.Series) -> pd.DataFrame:
-        """Per text the log-likelihood of each language and the number of trigrams."""
-        out, n = [], []
+    def scores(self, texts: pd.Series, declared: pd.Series) -> pd.DataFrame:
+        """Per text the log-likelihood of each language, the number of trigrams, and the most likely language; the declared
+        value if it is a language."""
+        out, n, best, known = [], [], [], set(self.languages)
         for t in texts:
             b = trigrams(t or "")
             out.append(self.table[:, b].sum(1, dtype=np.float64))
             n.append(len(b))
+            best.append(self.languages[int(out[-1].argmax())] if len(b) and known else None)
         common.trim()
-        return pd.DataFrame({"likelihoods": out, "n_trigrams": np.array(n, np.int64)})
+        return pd.DataFrame({"likelihoods": out, "n_trigrams": np.array(n, np.int64), "text_language": best, "said": [d if d in known else None for d in declared]})
 
 
 def _counts(languages: list[str]):
+    """Trigrams by bucket of each language."""
     at = {x: i for i, x in enumerate(languages)}
 
     def run(batches):
-        total = np.zeros((len(languages), BUCKETS), np.int64)
+        total = np.zeros((len(at), BUCKETS), np.int64)
         for b in batches:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if lang in at and text:
@@ -97,112 +104,143 @@ def _counts(languages: list[str]):
 
 
 def fit(rows: DataFrame, languages: list[str] | None = None) -> Model:
-    """rows: declared, text.  The trained table has at most MOST_LANGUAGES * BUCKETS numbers."""
+    """rows: declared, text.  The trained table has at most BUCKETS / LEAST_SHARE numbers, and fewer than there are trigrams."""
     common.ship(rows.sparkSession)
+    rows = rows.select("declared", "text")
     if languages is None:
-        languages = sorted(r.declared for r in rows.where("declared is not null and declared <> ''").select("declared").distinct().limit(MOST_LANGUAGES + 1).collect())
-        if len(languages) > MOST_LANGUAGES:
-            raise ValueError(f"more than {MOST_LANGUAGES} declared languages: name those to tell apart")
+        # letters stand for trigrams here, so that the texts need not be parsed for it
+        said = rows.where("declared is not null and declared <> ''").groupBy("declared").agg(F.sum(F.length(F.coalesce("text", F.lit(""))) + 1).alias("n"))
+        said = common.cut(said)
+        whole = said.agg(F.sum("n").alias("n")).first().n or 0
+        languages = sorted(r.declared for r in said.where(F.col("n") >= F.lit(whole * LEAST_SHARE)).select("declared").collect())
     counts = np.zeros((len(languages), BUCKETS), np.int64)
     if languages:
-        got = rows.select("declared", "text").mapInArrow(_counts(languages), "language int, bucket int, n long").groupBy("language", "bucket").agg(F.sum("n").alias("n")).toPandas()
+        got = rows.mapInArrow(_counts(languages), "language int, bucket int, n long").groupBy("language", "bucket").agg(F.sum("n").alias("n")).toPandas()
         counts[got["language"], got["bucket"]] = got["n"]
     return Model(languages, counts)
 
 
-def _log_share(counts: dict, keys: list, languages: list[str], key) -> dict:
-    """log P(key | language), smoothed by the key's share in all rows."""
-    total = sum(counts.values()) or 1
-    of_key = {k: sum(counts.get((k, x), 0) for x in languages) / total for k in keys}
-    of_lang = {x: sum(counts.get((k, x), 0) for k in keys) for x in languages}
-    return {k: [math.log((counts.get((k, x), 0) + SMOOTH * max(of_key[k], 1e-6)) / (of_lang[x] + SMOOTH)) for x in languages] for k in keys}
+SCORES = "likelihoods array<double>, n_trigrams long, text_language string, said string"
 
 
 def with_scores(rows: DataFrame, model: Model) -> DataFrame:
-    """Adds likelihoods, n_trigrams and text_language (null where there is no letter)."""
+    """Adds likelihoods, n_trigrams, text_language (null where there is no letter) and said (declared, if a language)."""
     scores = model.scores
 
-    @F.pandas_udf("likelihoods array<double>, n_trigrams long")
-    def scored(texts: pd.Series) -> pd.DataFrame:
-        return scores(texts)
+    @F.pandas_udf(SCORES)
+    def scored(texts: pd.Series, declared: pd.Series) -> pd.DataFrame:
+        return scores(texts, declared)
 
-    names = F.array(*map(F.lit, model.languages)) if model.languages else F.array().cast("array<string>")
-    rows = rows.withColumn("_s", scored("text")).withColumn("likelihoods", F.col("_s.likelihoods")).withColumn("n_trigrams", F.col("_s.n_trigrams")).drop("_s")
-    best = F.when(F.col("n_trigrams") > 0, F.element_at(names, F.array_position("likelihoods", F.array_max("likelihoods")).cast("int")))
-    return rows.withColumn("text_language", best if model.languages else F.lit(None).cast("string"))
+    rest = [c for c in rows.columns if c not in MADE]
+    return rows.select(*(F.col(f"`{c}`") for c in rest), scored("text", "declared").alias("_s")).select(*(F.col(f"`{c}`") for c in rest), "_s.*")
 
 
 def suffix_of(host) -> F.Column:
     return F.regexp_extract(host, r"\.([^.]+)$", 1)
 
 
+def _dense(at: dict, names, counts, n: int) -> np.ndarray:
+    out = np.zeros(n)
+    if names is not None:
+        out[[at[x] for x in names]] = counts
+    return out
+
+
 class Evidence:
-    """Grouped counts of scored rows (text_language, declared, host), and what follows from them."""
+    """Grouped counts of scored rows (text_language, said, host), and what follows from them.
+
+    Counts are rows (key, language, n), so their number is bounded by the data and not by the number of languages; each
+    key's rows are put together to one array of a number for each language once they are sums.
+    """
 
     def __init__(self, scored: DataFrame, model: Model):
         self.model, langs = model, model.languages
+        at, size = {x: i for i, x in enumerate(langs)}, len(langs)
         domain = F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1)
-        rows = scored.select("text_language", "declared", "host", F.when(domain == "", F.col("host")).otherwise(domain).alias("domain"), suffix_of(F.col("host")).alias("suffix"))
+        rows = scored.select("text_language", "said", "host", F.when(domain == "", F.col("host")).otherwise(domain).alias("domain"), suffix_of(F.col("host")).alias("suffix"))
         # rows without a language leave after the cut: a filter before it would run the scores twice
-        counts = common.cut(rows.groupBy("text_language", "declared", "host", "domain", "suffix").agg(F.count("*").alias("n"))).where("text_language is not null")
-        known = counts.where(F.col("declared").isin(langs)) if langs else counts.limit(0)
-        self.declared = {(r.declared, r.text_language): r.n for r in known.groupBy("declared", "text_language").agg(F.sum("n").alias("n")).collect()}
-        whole = {r.text_language: r.n for r in counts.groupBy("text_language").agg(F.sum("n").alias("n")).collect()}
-        n = sum(whole.values())
-        self.all = [(whole.get(x, 0) + 1) / (n + len(langs)) for x in langs]
+        counts = common.cut(rows.groupBy("text_language", "said", "host", "domain", "suffix").agg(F.count("*").alias("n"))).where("text_language is not null")
+
+        def whole(of: DataFrame) -> np.ndarray:
+            got = of.groupBy("text_language").agg(F.sum("n").alias("n")).collect()  # a row a language
+            return _dense(at, [r.text_language for r in got], [r.n for r in got], size)
+
+        every = whole(counts)
+        self.all = (every + 1) / (every.sum() + max(1, size))
         if not langs:
             self.hosts = None
             return
 
-        def shares(group: str, parent) -> DataFrame:
-            per = counts.where(F.col(group).isNotNull())
-            sums = [F.sum(F.when(F.col("text_language") == x, F.col("n")).otherwise(0)).alias(f"n{i}") for i, x in enumerate(langs)]
-            return per.groupBy(group, *(["domain"] if group == "host" else [])).agg(F.sum("n").alias("n"), *sums)
-
-        domains = shares("domain", None)
-        domains = domains.select("domain", *(((F.col(f"n{i}") + SMOOTH * p) / (F.col("n") + SMOOTH)).alias(f"d{i}") for i, p in enumerate(self.all)))
-        # a suffix is part of the host, so its evidence comes with the host's row; all suffixes count
-        ending = {r.text_language: r.n for r in counts.where("suffix <> ''").groupBy("text_language").agg(F.sum("n").alias("n")).collect()}
-        share = F.greatest(F.col("n") / F.lit(sum(ending.values()) or 1), F.lit(1e-6))
-        suffixes = shares("suffix", None).where("suffix <> ''")
-        suffixes = suffixes.select("suffix", *(F.log((F.col(f"n{i}") + SMOOTH * share) / F.lit(ending.get(x, 0) + SMOOTH)).alias(f"e{i}") for i, x in enumerate(langs)))
-        hosts = shares("host", domains).join(domains, "domain", "left").withColumn("suffix", suffix_of(F.col("host"))).join(suffixes, "suffix", "left")
-        prior = F.array(*(F.log((F.col(f"n{i}") + SMOOTH * F.coalesce(f"d{i}", F.lit(p))) / (F.col("n") + SMOOTH)) + F.coalesce(f"e{i}", F.lit(0.0)) for i, p in enumerate(self.all)))
-        self.hosts = common.cut(hosts.select("host", prior.alias("host_prior")))
-        self.n_hosts = self.hosts.count()
+        def lists(key: str, *beside: str) -> DataFrame:
+            """(key, beside.., x_key): the languages and counts of each key."""
+            some = counts.where((F.col(key) != "")).groupBy(key, *beside, "text_language").agg(F.sum("n").alias("n"))
+            some = some.groupBy(key, *beside).agg(F.collect_list(F.struct("text_language", "n")).alias("x"))
+            return some.select(key, *beside, F.transform("x", lambda y: y["text_language"]).alias(f"l_{key}"), F.transform("x", lambda y: y["n"]).alias(f"n_{key}"))
+
+        p, ending, said = self.all, whole(counts.where("suffix <> ''")), whole(counts.where("said is not null"))
+        total, known = max(1.0, ending.sum()), max(1.0, said.sum())
+
+        def given(n: np.ndarray, of_all: float, of_language: np.ndarray) -> np.ndarray:
+            """log P(key | language), smoothed by the key's share in all rows."""
+            return np.log((n + SMOOTH * max(n.sum() / of_all, 1e-6)) / (of_language + SMOOTH))
+
+        @F.pandas_udf("array<double>")
+        def prior(lh: pd.Series, nh: pd.Series, ld: pd.Series, nd: pd.Series, ls: pd.Series, ns: pd.Series) -> pd.Series:
+            out = []
+            for a, b, c, d, e, f in zip(lh, nh, ld, nd, ls, ns):
+                host, over, end = _dense(at, a, b, size), _dense(at, c, d, size), _dense(at, e, f, size)
+                over = (over + SMOOTH * p) / (over.sum() + SMOOTH)
+                # a suffix is part of the host, so its evidence comes with the host's row; all suffixes count
+                out.append(np.log((host + SMOOTH * over) / (host.sum() + SMOOTH)) + (given(end, total, ending) if e is not None else 0.0))
+            return pd.Series(out)
+
+        @F.pandas_udf("array<double>")
+        def declares(names: pd.Series, n: pd.Series) -> pd.Series:
+            return pd.Series([given(_dense(at, x, y, size), known, said) for x, y in zip(names, n)])
+
+        hosts = lists("host", "domain", "suffix").join(lists("domain"), "domain", "left").join(lists("suffix"), "suffix", "left")
+        self.hosts = common.cut(hosts.select("host", prior("l_host", "n_host", "l_domain", "n_domain", "l_suffix", "n_suffix").alias("host_prior")))
+        self.said = common.cut(lists("said").select("said", declares("l_said", "n_said").alias("said_evidence")))
 
     def fuse(self, scored: DataFrame) -> DataFrame:
         """Adds language ('und' if rejected) and confidence."""
         langs = self.model.languages
         if not langs:
-            return scored.withColumn("language", F.lit("und")).withColumn("confidence", F.lit(0.0))
-        hosts = F.broadcast(self.hosts) if self.n_hosts <= BROADCAST_HOSTS else self.hosts
-        rows = scored.join(hosts.withColumnRenamed("host", "_host"), F.col("host") == F.col("_host"), "left").drop("_host")
-
-        def of(table: dict, col) -> list:
-            """Per language, the log-likelihood of a column's value; 0 where it has none."""
-            return [F.coalesce(F.element_at(F.create_map(*(F.lit(x) for k, v in table.items() for x in (k, v[i]))), col), F.lit(0.0)) if table else F.lit(0.0) for i in range(len(langs))]
-
-        said = of(_log_share(self.declared, langs, langs, "declared"), F.coalesce("declared", F.lit("")))
-        total = [TEMPER * F.col("likelihoods")[i] + said[i] + F.coalesce(F.col("host_prior")[i], F.lit(math.log(self.all[i]))) for i in range(len(langs))]
-        rows = rows.withColumn("_p", F.array(*total)).withColumn("_m", F.array_max("_p"))
-        at = F.array_position("_p", F.col("_m")).cast("int")
-        named = F.element_at(F.array(*map(F.lit, langs)), at)
-        odds = F.aggregate("_p", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("_m")))
-        noise = F.col("n_trigrams") * F.lit(-math.log(BUCKETS))
-        fits = (F.col("n_trigrams") > 0) & (F.array_max("likelihoods") > noise)
-        return rows.withColumn("language", F.when(fits, named).otherwise("und")).withColumn("confidence", F.when(fits, 1 / odds).otherwise(0.0)).drop("_p", "_m", "host_prior", "likelihoods")
-
-
-def identify(rows: DataFrame, languages: list[str] | None = None) -> DataFrame:
-    """rows (text, declared, host and any others) with language, confidence, text_language and n_trigrams.
-
-    Reads the text three times (training, host counts, result) and moves none of it between machines unless the
-    hosts are too many to broadcast.
+            return scored.withColumn("language", F.lit("und")).withColumn("confidence", F.lit(0.0)).drop("likelihoods")
+        most = max(1, BROADCAST_NUMBERS // len(langs))
+        rows = scored.join(common.few(self.hosts.withColumnRenamed("host", "_host"), most), F.col("host") == F.col("_host"), "left").drop("_host")
+        # at most a row a language
+        rows = rows.join(F.broadcast(self.said.withColumnRenamed("said", "_said")), F.col("said") == F.col("_said"), "left").drop("_said")
+        nothing, base, least = np.zeros(len(langs)), np.log(self.all), -math.log(BUCKETS)
+
+        @F.pandas_udf("language string, confidence double")
+        def fused(likelihoods: pd.Series, n: pd.Series, evidence: pd.Series, host: pd.Series) -> pd.DataFrame:
+            out = []
+            for x, k, e, h in zip(likelihoods, n, evidence, host):
+                if not k or x.max() <= k * least:
+                    out.append(("und", 0.0))
+                    continue
+                s = TEMPER * x + (nothing if e is None else e) + (base if h is None else h)
+                i = int(s.argmax())
+                out.append((langs[i], float(1 / np.exp(s - s[i]).sum())))
+            return pd.DataFrame(out, columns=["language", "confidence"])
+
+        rest = [c for c in rows.columns if c not in ("said_evidence", "host_prior", "likelihoods")]
+        rows = rows.select(*(F.col(f"`{c}`") for c in rest), fused("likelihoods", "n_trigrams", "said_evidence", "host_prior").alias("_f"))
+        return rows.select(*(F.col(f"`{c}`") for c in rest), "_f.*")
+
+
+def identify(rows: DataFrame, languages: list[str] | None = None, keep_text: bool = True) -> DataFrame:
+    """rows (text, declared, host and any others) with language, confidence, text_language, said and n_trigrams.
+
+    Reads the text for training, for the host counts and for the result; with keep_text=False the scores without the text
+    are cut in between and the text is read twice.  No text moves between machines unless the hosts are too many to broadcast.
     """
     model = fit(rows, languages)
     scored = with_scores(rows, model)
-    return Evidence(scored.select("text_language", "declared", "host"), model).fuse(scored)
+    if not keep_text:
+        scored = common.cut(scored.drop("text"))
+    return Evidence(scored.select("text_language", "said", "host"), model).fuse(scored)
 
 
 def host_of(url) -> F.Column:
@@ -232,7 +270,7 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     declared = declared_in(F.col("html"))
     rows = pages.select("page_id", "url", F.when(declared != "", declared).alias("declared"), host_of(F.col("url")).alias("host"), text_of("html").alias("text"))
-    found = identify(rows)
+    found = identify(rows, keep_text=False)
     return found.select("page_id", "url", "declared", "host", "text_language", "language", F.round("confidence", 6).alias("confidence"), "n_trigrams")
 
 

@@ -2,9 +2,9 @@
 
 Every document is encoded once.  Document frequencies of token ids come from all documents (at most one row for
 each id of the vocabulary, so they fit anywhere).  The BM25 inverted index is sharded, and documents that are lexically close
-are dealt to the same shard: lexical clusters (spherical k-means over BM25 weights, fitted on at most ``SAMPLE`` documents, as
-many clusters as partitions up to ``CLUSTERS``) take every document to the nearest centre; a cluster of more than a partition's even
-share of the sample is split by its documents' strongest BM25 term, and a term with more documents than a partition's share
+are dealt to the same shard: lexical clusters (spherical k-means over BM25 weights, fitted on about ``SAMPLE`` documents, as
+many clusters as partitions up to ``CLUSTERS``) take every document to the nearest centre; a cluster that holds more than a
+partition's even share of some ``MEASURED`` other documents is split by its documents' strongest BM25 term, and a term with more documents than a partition's share
 is salted, so no cluster and no term can fill a task.  Each partition is cut into shards of about ``SHARD_TOKENS`` ids.  In a
 shard a seed document retrieves the unused ones in order of score, every document that shares a term among them, and they fill its
 window greedily; the document that does not fit is cut, and its rest seeds the next window.  A shard's last window is carried to
@@ -31,8 +31,8 @@ from .tokens import runs
 WINDOW, SHARD_TOKENS, END_ID = 4096, 1 << 20, 2
 K1, B = 1.2, 0.75
 VOCABULARY = 1 << 16
-#: Lexical clusters: documents sampled to fit them, most of them, and turns of fitting.
-SAMPLE, CLUSTERS, TURNS = 2048, 256, 8
+#: Lexical clusters: documents sampled to fit them and, others, to measure their sizes; most clusters; turns of fitting.
+SAMPLE, MEASURED, CLUSTERS, TURNS = 2048, 16_384, 256, 8
 
 
 def _encode(path: str, end_id: int):
@@ -117,14 +117,20 @@ def _nearest(centres: np.ndarray, doc: np.ndarray, term: np.ndarray, w: np.ndarr
     return out
 
 
-def clusters(sample: list, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(centres, documents of the sample in each) of at most k clusters; sample holds (terms, weights), each of unit length."""
+def _joined(sample: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, term, weight) of a sample of (terms, weights)."""
+    doc = np.repeat(np.arange(len(sample)), [len(t) for t, _ in sample])
+    return doc, np.concatenate([t for t, _ in sample]).astype(np.int64), np.concatenate([w for _, w in sample]).astype(np.float32)
+
+
+def clusters(sample: list, k: int, measured: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(centres, documents of ``measured`` in each) of at most k clusters fitted to sample; both hold (terms, weights)."""
+    measured = [x for x in measured or sample if len(x[0])]
     sample = [(np.asarray(t, np.int64), np.asarray(w, np.float32) / max(1e-9, float(np.linalg.norm(w)))) for t, w in sample if len(t)]
     k = max(1, min(k, len(sample) // 4))
     if not sample:
         return np.zeros((VOCABULARY, 1), np.float32), np.ones(1, np.int64)
-    doc = np.repeat(np.arange(len(sample)), [len(t) for t, _ in sample])
-    term, w = (np.concatenate([x[i] for x in sample]) for i in (0, 1))
+    doc, term, w = _joined(sample)
     centres = np.zeros((VOCABULARY, k), np.float32)
     for turn in range(TURNS):
         if turn:
@@ -137,7 +143,9 @@ def clusters(sample: list, k: int) -> tuple[np.ndarray, np.ndarray]:
         np.add.at(fresh, (term[use], of[doc[use]]), w[use])
         size = np.linalg.norm(fresh, axis=0)
         centres = np.where(size > 0, fresh / np.maximum(size, 1e-9), centres).astype(np.float32)
-    return centres, np.bincount(_nearest(centres, doc, term, w, len(sample)), minlength=k)
+    if not measured:
+        return centres, np.ones(k, np.int64)
+    return centres, np.bincount(_nearest(centres, *_joined(measured), len(measured)), minlength=k)
 
 
 def _routed(bm25: Bm25, centres: np.ndarray, first: np.ndarray, share: np.ndarray, salts: np.ndarray):
@@ -326,10 +334,13 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, end_id: int = END_I
     salts = np.ones(VOCABULARY, np.int64)
     for term, n in df.items():
         salts[term] = max(1, math.ceil(n / each))
-    # about SAMPLE rows by hash, twice as many at most
-    draw = F.pmod(F.xxhash64("doc_id", "n"), F.lit(1 << 30)) < F.lit(int(min(1.0, SAMPLE / max(1, all_of.documents)) * (1 << 30)))
-    sample = coded.where(draw).select("ids", "n").limit(2 * SAMPLE).mapInArrow(_sampled(bm25), "terms array<long>, weights array<float>").toPandas()
-    centres, size = clusters(list(zip(sample["terms"], sample["weights"])), min(parts, CLUSTERS))
+    # rows by hash: about SAMPLE to fit and MEASURED to measure, at most twice as many together
+    wanted = min(1.0, (SAMPLE + MEASURED) / max(1, all_of.documents))
+    draw = F.pmod(F.xxhash64("doc_id", "n"), F.lit(1 << 30)) < F.lit(int(wanted * (1 << 30)))
+    sample = coded.where(draw).select("ids", "n").limit(2 * (SAMPLE + MEASURED)).mapInArrow(_sampled(bm25), "terms array<long>, weights array<float>").toPandas()
+    sample = list(zip(sample["terms"], sample["weights"]))
+    step = max(1, len(sample) // SAMPLE)
+    centres, size = clusters(sample[::step], min(parts, CLUSTERS), [x for i, x in enumerate(sample) if i % step] if step > 1 else None)
     share = np.maximum(1, np.ceil(size / max(1, size.sum()) * parts)).astype(np.int64)
     first, total = np.cumsum(share) - share, int(share.sum())
     routed = coded.mapInArrow(_routed(bm25, centres, first, share, salts), "doc_id long, ids binary, n long, part int, term int")

@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Words kept per worker, and the longest piece kept.
-CACHE_WORDS, CACHE_CHARS = 200_000, 48
+CACHE_WORDS, CACHE_CHARS = 400_000, 48
 #: A piece of letters and then marks of these kinds is split exactly there by the tokenizer's pattern, which
 #: matches runs of letters and runs of marks; it has alternatives of its own for the apostrophe only.
 LETTERS = "abcdefghijklmnopqrstuvwxyz" + "".join(map(chr, (*range(0xC0, 0xD7), *range(0xD8, 0xF7), *range(0xF8, 0x100))))

@@ -149,6 +149,92 @@ def test_language_every_suffix_counts(spark):
     assert len(out) == 300 and all(r.language == ("en" if r.id // 10 % 2 else "de") for r in out)
 
 
+def test_many_languages(spark):
+    """A hundred declared languages, each with letters of its own; stray values are no languages."""
+    r = random.Random(3)
+    rows = []
+    for i in range(100):
+        own = [chr(0x4E00 + 40 * i + r.randrange(40)) * 2 + chr(0x4E00 + 40 * i + r.randrange(40)) for _ in range(12)]
+        for k in range(4):
+            declared = None if k == 3 else f"l{i:02}"
+            rows.append((10 * i + k, " ".join(r.choice(own) for _ in range(40)), declared, f"h{i}.x{i % 7}"))
+    rows.append((5000, "zz", "stray", "h.x"))
+    out = {x.id: x for x in language.identify(spark.createDataFrame(rows, "id long, text string, declared string, host string")).collect()}
+    assert all(out[10 * i + k].language == f"l{i:02}" for i in range(100) for k in range(4))
+    assert out[5000].said is None
+
+
+def test_language_of_repeats_long_texts_and_no_rows(spark):
+    schema = "id long, text string, declared string, host string, language string, confidence string, n_trigrams string"
+    long = "the other thing with that " * 40_000
+    rows = [(1, long, "en", None), (2, "der über schön und nicht " * 20, "de", ""), (2, "der über schön und nicht " * 20, "de", ""), (None, "the thing", None, "x")]
+    got = [(x.id, x.language) for x in language.identify(spark.createDataFrame([(*x, "a", "b", "c") for x in rows], schema)).collect()]
+    assert sorted(got, key=str) == sorted([(1, "en"), (2, "de"), (2, "de"), (None, "en")], key=str)
+    empty = spark.createDataFrame([], schema)
+    assert language.identify(empty).collect() == [] and language.identify(empty, keep_text=False).collect() == []
+    assert language.keep_identified(make(spark, [])).collect() == []
+
+
+def brute_language(rows):
+    """(language, confidence) by id from the formula itself: rows (id, text, declared, host)."""
+    import math
+
+    langs = sorted({d for _, _, d, _ in rows if d})
+    grams = {i: language.trigrams(t or "") for i, t, _, _ in rows}
+    count = {x: np.bincount(np.concatenate([grams[i] for i, _, d, _ in rows if d == x]), minlength=language.BUCKETS) for x in langs}
+    p = {x: (1 - language.NOISE) * c / c.sum() + language.NOISE / language.BUCKETS for x, c in count.items()}
+    like = {i: {x: float(np.log(p[x][g]).sum()) for x in langs} for i, g in grams.items()}
+    best = {i: max(langs, key=lambda x: (like[i][x], -langs.index(x))) if len(grams[i]) else None for i in grams}
+    domain = lambda h: ".".join(h.split(".")[-2:]) if h else None
+    suffix = lambda h: h.rsplit(".", 1)[1] if h and "." in h else ""
+    S = language.SMOOTH
+
+    def n(x=None, **where):
+        return sum(1 for i, _, d, h in rows if best[i] and (x is None or best[i] == x) and all({"host": h, "domain": domain(h), "suffix": suffix(h), "said": d}[k] == v for k, v in where.items()))
+
+    every = {x: (n(x) + 1) / (n() + len(langs)) for x in langs}
+    with_suffix = {x: sum(1 for i, _, _, h in rows if best[i] == x and suffix(h)) for x in langs}
+    with_said = {x: sum(1 for i, _, d, _ in rows if best[i] == x and d) for x in langs}
+    out = {}
+    for i, _, d, h in rows:
+        g = grams[i]
+        if not len(g) or max(like[i].values()) <= -len(g) * math.log(language.BUCKETS):
+            out[i] = ("und", 0.0)
+            continue
+        total = {}
+        for x in langs:
+            s = language.TEMPER * like[i][x]
+            if h:
+                over = (n(x, domain=domain(h)) + S * every[x]) / (n(domain=domain(h)) + S)
+                s += math.log((n(x, host=h) + S * over) / (n(host=h) + S))
+                if suffix(h):
+                    share = max(n(suffix=suffix(h)) / sum(with_suffix.values()), 1e-6)
+                    s += math.log((n(x, suffix=suffix(h)) + S * share) / (with_suffix[x] + S))
+            else:
+                s += math.log(every[x])
+            if d:
+                share = max(n(said=d) / sum(with_said.values()), 1e-6)
+                s += math.log((n(x, said=d) + S * share) / (with_said[x] + S))
+            total[x] = s
+        top = max(langs, key=lambda x: (total[x], -langs.index(x)))
+        out[i] = (top, 1 / sum(math.exp(v - total[top]) for v in total.values()))
+    return out
+
+
+def test_language_fusion_brute(spark):
+    r = random.Random(21)
+    words = {"en": "the thing that with other".split(), "de": "der über schön und nicht".split(), "fr": "le être où garçon avec".split()}
+    rows = []
+    for i in range(120):
+        x = r.choice(list(words))
+        mixed = words[x] + [r.choice(words[r.choice(list(words))])]
+        text = r.choice([" ".join(r.choice(mixed) for _ in range(r.randint(1, 12))), "", "123 4"]) if i % 9 == 0 else " ".join(r.choice(mixed) for _ in range(r.randint(1, 12)))
+        rows.append((i, text, r.choice([x, x, None, r.choice(list(words))]), r.choice([f"{r.choice('ab')}.{x}{r.choice('12')}.{x}", "one.com", "local", None])))
+    want = brute_language(rows)
+    for x in language.identify(spark.createDataFrame(rows, "id long, text string, declared string, host string")).collect():
+        assert x.language == want[x.id][0] and x.confidence == pytest.approx(want[x.id][1], rel=1e-3, abs=1e-4), (rows[x.id], want[x.id])
+
+
 def test_language_keeps_documents_columns(spark, docs):
     kept = language.keep_identified(docs)
     assert kept.columns == docs.columns
