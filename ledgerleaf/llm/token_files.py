@@ -34,89 +34,116 @@ END_ID = 1
 _BUCKETS = 1 << 20
 
 
+def _mixed(pairs: np.ndarray, bits: int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return ((pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
+
+
 def _frequent(pairs: np.ndarray, floor: int) -> tuple[np.ndarray, np.ndarray]:
     """(pairs, counts) of those that occur floor times or more, ascending."""
-    # counts by a hash first: most pairs need not be sorted
-    with np.errstate(over="ignore"):
-        bucket = (pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)
-    few = np.sort(pairs[np.bincount(bucket.astype(np.int64), minlength=_BUCKETS)[bucket.astype(np.int64)] >= floor])
+    if len(pairs) > 1 << 15:
+        # counts by a hash first: most pairs need not be sorted
+        bucket = _mixed(pairs, 20)
+        pairs = pairs[(np.bincount(bucket, minlength=_BUCKETS) >= floor)[bucket]]
+    few = np.sort(pairs)
     edge = np.flatnonzero(np.concatenate(([True], few[1:] != few[:-1]))) if len(few) else np.zeros(0, np.int64)
     count = np.diff(np.append(edge, len(few)))
     return few[edge[count >= floor]], count[count >= floor]
 
 
-def _places(pairs: np.ndarray, last: np.ndarray, chosen: np.ndarray, count: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """(position, number in chosen) of the occurrences that are replaced, none overlapping.
+def _known(where: np.ndarray, pairs: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(position, number in chosen) of the positions whose pair is chosen."""
+    if len(where) > 1 << 15:
+        maybe = np.zeros(1 << 18, bool)
+        maybe[_mixed(chosen, 18)] = True
+        hit = maybe[_mixed(pairs, 18)]
+        where, pairs = where[hit], pairs[hit]
+    at = np.minimum(np.searchsorted(chosen, pairs), len(chosen) - 1)
+    hit = chosen[at] == pairs
+    return where[hit], at[hit]
+
+
+def _winners(where: np.ndarray, at: np.ndarray, chosen: np.ndarray, count: np.ndarray, least: int) -> np.ndarray:
+    """Mask of the occurrences (positions, numbers in chosen) that are replaced, none overlapping.
 
     Of two that overlap the more frequent pair wins, ties by hash, so that equal stretches are parsed alike wherever they
     stand; in a stretch of one repeated symbol it is every other place from the left.
     """
-    with np.errstate(over="ignore"):
-        maybe = np.zeros(1 << 16, bool)
-        maybe[(chosen * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)] = True
-        where = np.flatnonzero(maybe[(pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)] & ~last[:-1])
-        order = np.lexsort((chosen * np.uint64(0x9E3779B97F4A7C15), count))
-    at = np.minimum(np.searchsorted(chosen, pairs[where]), len(chosen) - 1)
-    hit = chosen[at] == pairs[where]
-    where, at = where[hit], at[hit]
     place = np.arange(len(where))
-    again = np.concatenate(([False], (np.diff(where) == 1) & (at[1:] == at[:-1]))) if len(where) else np.zeros(0, bool)
+    next_to = np.concatenate(([False], np.diff(where) == 1)) if len(where) else np.zeros(0, bool)
+    again = next_to & np.concatenate(([False], at[1:] == at[:-1])) if len(where) else next_to
     nth = place - np.maximum.accumulate(np.where(again, 0, place))
-    # pairs of one symbol hold too few places where they overlap themselves
+    # pairs of one symbol hold too few places where they overlap themselves: those give way
     own = np.bincount(at[nth % 2 == 0], minlength=len(chosen)) >= least
-    keep = own[at]
-    where, at, nth, again = where[keep], at[keep], nth[keep], again[keep]
     rank = np.empty(len(chosen), np.int32)
-    rank[order] = np.arange(1, len(chosen) + 1, dtype=np.int32)
-    mine = rank[at]
-    around = np.zeros(len(pairs) + 2, np.int32)
-    around[where + 1] = mine
-    wins = (nth % 2 == 0) & (again | (around[where] < mine)) & (around[where + 2] <= mine)
-    return where[wins], at[wins]
+    rank[np.lexsort((_mixed(chosen, 62), count))] = np.arange(1, len(chosen) + 1, dtype=np.int32)
+    mine = np.where(own, rank, 0)[at]
+    before = np.where(next_to, np.concatenate(([0], mine[:-1])), 0) if len(where) else mine
+    after = np.where(np.concatenate((next_to[1:], [False])), np.concatenate((mine[1:], [0])), 0) if len(where) else mine
+    return (mine > 0) & (nth % 2 == 0) & (again | (before < mine)) & (after <= mine)
 
 
 def repair(ids: np.ndarray, doc_tokens: np.ndarray, least: int = LEAST):
-    """Re-Pair of concatenated documents: (alphabet, rules, lengths, symbols, doc_symbols)."""
+    """Re-Pair of concatenated documents: (alphabet, rules, lengths, symbols, doc_symbols).
+
+    Once a floor has been worked off at all places, only places can matter whose pair was frequent before or whose
+    neighbour was replaced since: all others' counts have not grown.
+    """
     alphabet = np.flatnonzero(np.bincount(ids)).astype(np.uint32)
-    place = np.zeros(int(alphabet[-1]) + 1 if len(alphabet) else 1, np.uint64)
-    place[alphabet] = np.arange(len(alphabet), dtype=np.uint64)
+    place = np.zeros(int(alphabet[-1]) + 1 if len(alphabet) else 1, np.uint32)
+    place[alphabet] = np.arange(len(alphabet), dtype=np.uint32)
     seq = place[ids]
     last = np.zeros(len(seq), bool)
-    last[np.cumsum(doc_tokens) - 1] = True
-    doc = np.repeat(np.arange(len(doc_tokens), dtype=np.uint32), doc_tokens)
-    rules, lengths, symbols = [], [np.ones(len(alphabet), np.uint32)], len(alphabet)
-    floor = None
+    ends = np.cumsum(doc_tokens) - 1
+    last[ends] = True
+    rules, lengths = [], np.ones(len(alphabet), np.uint32)
+    floor = places = None
     while len(seq) > 1:
-        pairs = (seq[:-1] << np.uint64(32)) | seq[1:]
-        known, count = _frequent(pairs[~last[:-1]], least if floor is None else floor)
+        if places is None:
+            places = np.flatnonzero(~last[:-1])
+        pairs = (seq[places].astype(np.uint64) << np.uint64(32)) | seq[places + 1]
+        known, count = _frequent(pairs, floor or least)
         if floor is None:
-            floor = max(least, int(count.max(initial=0)) // 4)
+            floor = max(least, int(count.max(initial=0)) // 8)
             known, count = known[count >= floor], count[count >= floor]
         where = at = np.zeros(0, np.int64)
         if len(known):
-            where, at = _places(pairs, last, known, count, least)
+            met, of = _known(places, pairs, known)
+            wins = _winners(met, of, known, count, least)
+            where, at = met[wins], of[wins]
             enough = np.bincount(at, minlength=len(known)) >= least
             use, number = enough[at], np.cumsum(enough) - 1
-            where, at, known = where[use], number[at[use]], known[enough]
+            where, at = where[use], number[at[use]]
         if not len(where):
             if floor == least:
                 break
-            floor = max(least, floor // 4)
+            floor, places = max(least, floor // 8), None
             continue
-        seq[where] = np.uint64(symbols) + at.astype(np.uint64)
+        new = known[enough]
+        new = np.stack([new >> np.uint64(32), new & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
+        seq[where] = (len(lengths) + at).astype(np.uint32)
         last[where] = last[where + 1]
-        keep = np.ones(len(seq), bool)
-        keep[where + 1] = False
-        seq, last, doc = seq[keep], last[keep], doc[keep]
-        new = np.stack([known >> np.uint64(32), known & np.uint64(0xFFFFFFFF)], 1).astype(np.int64)
-        of = np.concatenate(lengths) if len(lengths) > 1 else lengths[0]
-        lengths = [of, of[new[:, 0]] + of[new[:, 1]]]
+        gone = np.zeros(len(seq), bool)
+        gone[where + 1] = True
+        stay = np.flatnonzero(~gone)
+        if floor == least:
+            marked = np.zeros(len(seq), bool)
+            marked[met] = marked[where] = True
+            marked[where[where > 0] - 1] = True
+            # the symbol before a replaced one may itself be the end of a replaced pair
+            marked[np.maximum(where - 2, 0)] = True
+            places = marked[stay]
+        seq, last = seq[stay], last[stay]
+        if floor == least:
+            places[-1] = False
+            places = np.flatnonzero(places & ~last)
+        else:
+            floor, places = max(least, floor // 8), None
+        lengths = np.concatenate([lengths, lengths[new[:, 0]] + lengths[new[:, 1]]])
         rules.append(new)
-        symbols += len(new)
-        if floor > least:
-            floor = max(least, floor // 4)
-    table = np.concatenate(rules).astype(np.uint32) if rules else np.zeros((0, 2), np.uint32)
-    return alphabet, table, np.concatenate(lengths), seq.astype(np.uint32), np.bincount(doc, minlength=len(doc_tokens)).astype(np.uint32)
+    table = np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
+    stops = np.flatnonzero(last)
+    return alphabet, table, lengths, seq, np.diff(stops, prepend=-1).astype(np.uint32)
 
 
 def packed(symbols: np.ndarray) -> tuple[int, bytes]:

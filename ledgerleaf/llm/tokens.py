@@ -103,7 +103,7 @@ class Encoder:
             ends = ends + np.arange(len(ends))
         each = length[number]
         upto = np.concatenate(([0], np.cumsum(each)))
-        return table[runs(start[number], each)], np.diff(upto[ends])
+        return table.take(runs(start[number], each)), np.diff(upto[ends])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         ids, n = self.encode_array(pa.array(texts, pa.string()))
@@ -125,7 +125,10 @@ def runs(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     if not total:
         return np.zeros(0, np.int64)
     before = np.cumsum(lengths) - lengths
-    return np.repeat(starts - before, lengths) + np.arange(total)
+    kind = np.int32 if total < 1 << 31 and int(starts.max(initial=0)) + int(lengths.max(initial=0)) < 1 << 31 else np.int64
+    out = np.repeat((starts - before).astype(kind), lengths)
+    out += np.arange(total, dtype=kind)
+    return out
 
 
 def batches(texts: pa.Array, most_bytes: int = 8_000_000):
