@@ -2,9 +2,9 @@
 
 Documents are range-partitioned by doc_id, encoded, and written in ascending order as shards of about ``SHARD_TOKENS``
 ids (a shard ends with the document that fills it).  Each shard is a grammar of its own: pairs of neighbouring symbols that
-occur often become nonterminals, again and again, until none occurs ``LEAST`` times without overlapping itself (a rule costs
-three numbers, two symbols and an expansion length, so fewer do not pay).  A round replaces all pairs of at least a quarter of
-the highest count, the more frequent first where two overlap; one that is left fewer than LEAST places waits for the next.  Pairs never reach across a document's
+occur often become nonterminals, again and again, until none occurs ``LEAST`` times without overlapping itself (a rule takes 12
+bytes, two symbols and an expansion length, and saves 3 bytes a place, so fewer do not pay).  A round replaces all pairs of at least an
+eighth of the highest count, the more frequent first where two overlap; one that is left fewer than LEAST places waits for the next.  Pairs never reach across a document's
 end, so a document's symbols are a slice of the shard, and with the expansion lengths any run of its ids can be decoded
 alone (``decode``).
 
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from . import common, ordered, tokens
 from .tokens import runs
 
-SHARD_TOKENS, LEAST = 1 << 20, 4
+SHARD_TOKENS, LEAST = 1 << 20, 5
 END_ID = 1
 _BUCKETS = 1 << 20
 
@@ -52,25 +52,31 @@ def _frequent(pairs: np.ndarray, floor: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _known(where: np.ndarray, pairs: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(position, number in chosen) of the positions whose pair is chosen."""
-    if len(where) > 1 << 15:
-        maybe = np.zeros(1 << 18, bool)
-        maybe[_mixed(chosen, 18)] = True
-        hit = maybe[_mixed(pairs, 18)]
-        where, pairs = where[hit], pairs[hit]
-    at = np.minimum(np.searchsorted(chosen, pairs), len(chosen) - 1)
-    hit = chosen[at] == pairs
-    return where[hit], at[hit]
-
-
-def _winners(where: np.ndarray, at: np.ndarray, chosen: np.ndarray, count: np.ndarray, least: int) -> np.ndarray:
-    """Mask of the occurrences (positions, numbers in chosen) that are replaced, none overlapping.
+    """(position, number in chosen) of the positions whose pair is chosen; chosen ascends."""
+    slot, full = np.full(1 << 18, -1, np.int32), np.zeros(1 << 18, bool)
+    key = _mixed(chosen, 18)
+    slot[key] = np.arange(len(chosen))
+    twice = slot[key] != np.arange(len(chosen))
+    full[key[twice]] = True
+    bucket = _mixed(pairs, 18)
+    at = slot[bucket]
+    hit = np.flatnonzero(at >= 0)
+    at = at[hit]
+    # where two of the chosen share a bucket, by search
+    search = np.flatnonzero(full[bucket[hit]])
+    at[search] = np.minimum(np.searchsorted(chosen, pairs[hit[search]]), len(chosen) - 1)
+    same = chosen[at] == pairs[hit]
+    return where[hit[same]], at[same].astype(np.int64)
+
+
+def _winners(where: np.ndarray, following: np.ndarray, at: np.ndarray, chosen: np.ndarray, count: np.ndarray, least: int) -> np.ndarray:
+    """Mask of the occurrences (positions of both symbols, numbers in chosen) that are replaced, none overlapping.
 
     Of two that overlap the more frequent pair wins, ties by hash, so that equal stretches are parsed alike wherever they
     stand; in a stretch of one repeated symbol it is every other place from the left.
     """
     place = np.arange(len(where))
-    next_to = np.concatenate(([False], np.diff(where) == 1)) if len(where) else np.zeros(0, bool)
+    next_to = np.concatenate(([False], following[:-1] == where[1:])) if len(where) else np.zeros(0, bool)
     again = next_to & np.concatenate(([False], at[1:] == at[:-1])) if len(where) else next_to
     nth = place - np.maximum.accumulate(np.where(again, 0, place))
     # pairs of one symbol hold too few places where they overlap themselves: those give way
@@ -86,64 +92,55 @@ def _winners(where: np.ndarray, at: np.ndarray, chosen: np.ndarray, count: np.nd
 def repair(ids: np.ndarray, doc_tokens: np.ndarray, least: int = LEAST):
     """Re-Pair of concatenated documents: (alphabet, rules, lengths, symbols, doc_symbols).
 
-    Once a floor has been worked off at all places, only places can matter whose pair was frequent before or whose
-    neighbour was replaced since: all others' counts have not grown.
+    Symbols are linked by position, so a round's work is that of the places it looks at.  Once a floor has been worked off at all
+    places, only those can matter whose pair was frequent before or has a new symbol: all others' counts have not grown.
     """
     alphabet = np.flatnonzero(np.bincount(ids)).astype(np.uint32)
     place = np.zeros(int(alphabet[-1]) + 1 if len(alphabet) else 1, np.uint32)
     place[alphabet] = np.arange(len(alphabet), dtype=np.uint32)
-    seq = place[ids]
-    last = np.zeros(len(seq), bool)
-    ends = np.cumsum(doc_tokens) - 1
-    last[ends] = True
-    rules, lengths = [], np.ones(len(alphabet), np.uint32)
-    floor = places = None
-    while len(seq) > 1:
-        if places is None:
-            places = np.flatnonzero(~last[:-1])
-        pairs = (seq[places].astype(np.uint64) << np.uint64(32)) | seq[places + 1]
-        known, count = _frequent(pairs, floor or least)
+    seq, n = place[ids], len(ids)
+    last, rules, lengths = np.zeros(n, bool), [], np.ones(len(alphabet), np.uint32)
+    last[np.cumsum(doc_tokens) - 1] = True
+    after, before = np.arange(1, n + 1), np.arange(-1, n)  # of each place the next and the one before
+    gone = np.zeros(n, bool)
+    floor = None
+    places = np.flatnonzero(~last)
+    while len(places):
+        pairs = (seq[places].astype(np.uint64) << np.uint64(32)) | seq[after[places]]
         if floor is None:
-            floor = max(least, int(count.max(initial=0)) // 8)
-            known, count = known[count >= floor], count[count >= floor]
-        where = at = np.zeros(0, np.int64)
+            # no pair is more frequent than the fullest of the buckets of their hashes
+            floor = max(least, int(np.bincount(_mixed(pairs, 16)).max()) // 8)
+        known, count = _frequent(pairs, floor)
+        where = at = met = np.zeros(0, np.int64)
         if len(known):
             met, of = _known(places, pairs, known)
-            wins = _winners(met, of, known, count, least)
+            wins = _winners(met, after[met], of, known, count, least)
             where, at = met[wins], of[wins]
             enough = np.bincount(at, minlength=len(known)) >= least
             use, number = enough[at], np.cumsum(enough) - 1
             where, at = where[use], number[at[use]]
-        if not len(where):
-            if floor == least:
-                break
-            floor, places = max(least, floor // 8), None
-            continue
-        new = known[enough]
-        new = np.stack([new >> np.uint64(32), new & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
-        seq[where] = (len(lengths) + at).astype(np.uint32)
-        last[where] = last[where + 1]
-        gone = np.zeros(len(seq), bool)
-        gone[where + 1] = True
-        stay = np.flatnonzero(~gone)
-        if floor == least:
-            marked = np.zeros(len(seq), bool)
-            marked[met] = marked[where] = True
-            marked[where[where > 0] - 1] = True
-            # the symbol before a replaced one may itself be the end of a replaced pair
-            marked[np.maximum(where - 2, 0)] = True
-            places = marked[stay]
-        seq, last = seq[stay], last[stay]
-        if floor == least:
-            places[-1] = False
-            places = np.flatnonzero(places & ~last)
+        if len(where):
+            new = known[enough]
+            new = np.stack([new >> np.uint64(32), new & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
+            second = after[where]
+            third = after[second]
+            seq[where], last[where], after[where] = (len(lengths) + at).astype(np.uint32), last[second], third
+            before[third], gone[second] = where, True
+            lengths = np.concatenate([lengths, lengths[new[:, 0]] + lengths[new[:, 1]]])
+            rules.append(new)
+        if floor > least:
+            floor = max(least, floor // 8)
+            places = np.flatnonzero(~(gone | last))
+        elif len(where):
+            look = np.zeros(n, bool)
+            look[met] = look[where] = True
+            look[before[where][before[where] >= 0]] = True
+            places = np.flatnonzero(look & ~gone & ~last)
         else:
-            floor, places = max(least, floor // 8), None
-        lengths = np.concatenate([lengths, lengths[new[:, 0]] + lengths[new[:, 1]]])
-        rules.append(new)
+            break
+    stay = ~gone
     table = np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
-    stops = np.flatnonzero(last)
-    return alphabet, table, lengths, seq, np.diff(stops, prepend=-1).astype(np.uint32)
+    return alphabet, table, lengths, seq[stay], np.diff(np.flatnonzero(last[stay]), prepend=-1).astype(np.uint32)
 
 
 def packed(symbols: np.ndarray) -> tuple[int, bytes]:
