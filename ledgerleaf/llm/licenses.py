@@ -1,31 +1,34 @@
 """Licence scans: a trained paragraph classifier with template confirmation, in DataFrame operations only.
 
-A paragraph is a line.  Features are the word 1- to 3-grams of the licence templates below (present or not); a
-multinomial logistic regression with an L1 part is trained on the templates, shortened and embedded, against
-other prose that uses the same words, and against a bounded sample of ordinary paragraphs of the scanned table
-(``SAMPLE`` documents of least hash).  A held-out part of the made examples calibrates it: one temperature for
-the scores by least log-loss, and the probability below which a family is not named so that at least ``PRECISION`` of the
-named ones are right.  A named family is confirmed if ``CONFIRM`` or more of the words of one of its templates
-occur in the paragraph; without confirmation or below the threshold a licence-like paragraph is 'unknown'.
+A paragraph is a run of lines that are wrapped: every line of it but the last ends without a full stop, colon or the like, and no
+blank line lies between.  A paragraph in which nothing is found is looked at line by line.  Features are the
+word 1- to 3-grams of the licence templates below (present or not); a multinomial logistic regression with an L1 part is
+trained on the templates, shortened and embedded, against other prose that uses the same words, and against a bounded sample
+of ordinary lines of the scanned table (about ``SAMPLE`` documents by hash, lines without a template's 3-gram).
+
+Calibration: a first model is trained without the last template of every family and every fourth other text, and scores those in all
+their frames.  One temperature for the scores by least log-loss, and the probability below which a family is not named
+so that at least ``PRECISION`` of the named ones are right, come from texts it has not seen; the model in use is then trained on
+all.  A named family is confirmed if ``CONFIRM`` or more of the words of one of its templates occur in the paragraph;
+without confirmation or below the threshold a licence-like paragraph is 'unknown'.
 
 Paragraphs whose words cannot bring 'none' down to one half are not scored, by a bound on the model's scores that is
-exact for the decision; all others are.  Lines with one of ``STEMS`` or with a template's words
-are kept out of the ordinary examples.  Scoring is a projection of each document's row, so nothing is
-shuffled and no paragraph is cut short.
+exact for the decision: each word has a most that it can add, and the words that add least cannot reach the bound together, so
+one of the others must occur.  Scoring is a projection of each document's row, so nothing is shuffled and no
+paragraph is cut short.
 
-Null and empty texts have no paragraphs.  Repeated rows give equal results; null doc_ids stay.  If the scanned
-table is empty, training uses the made examples alone.  Ties between families go to the first by name.
+Null and empty texts have no paragraphs.  Repeated rows give equal results; null doc_ids stay; other columns are ignored.  If the
+scanned table is empty, training uses the made examples alone and the result is empty.  Ties between families go to the first by name.
 """
 
 from __future__ import annotations
 
-import itertools
 import math
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from . import common
 
@@ -35,25 +38,114 @@ GRAMS = 3
 
 # fixed values: short notices by licence family
 TEMPLATES = {
-    "agpl": ["licensed under the gnu affero general public license version 3", "this program is free software under the terms of the gnu affero general public license"],
-    "apache": ["licensed under the apache license version 2 0", "you may not use this file except in compliance with the apache license", "distributed under the apache software license"],
-    "bsd": ["released under the bsd license", "redistribution and use in source and binary forms with or without modification are permitted", "licensed under the 3 clause bsd license"],
-    "cc-by": ["licensed under cc by 4 0", "this work is licensed under a creative commons attribution 4 0 international license"],
-    "cc-by-nc": ["licensed under cc by nc 4 0", "this work is licensed under a creative commons attribution noncommercial 4 0 international license"],
-    "cc-by-sa": ["licensed under cc by sa 4 0", "this work is licensed under a creative commons attribution sharealike 4 0 international license"],
-    "cc0": ["dedicated to the public domain under cc0 1 0 with no rights reserved", "released under the cc0 1 0 universal public domain license"],
-    "gpl": ["this work is licensed under the gnu general public license version 3", "this program is free software you can redistribute it under the terms of the gnu general public license"],
-    "isc": ["released under the isc license", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted license"],
-    "lgpl": ["licensed under the gnu lesser general public license version 2 1", "this library is free software under the gnu lesser general public license"],
-    "mit": ["released under the mit license", "permission is hereby granted free of charge to any person obtaining a copy of this software mit license"],
-    "mpl": ["this source code form is subject to the terms of the mozilla public license v 2 0", "licensed under the mozilla public license version 2 0"],
-    "proprietary": ["all rights reserved", "copyright all rights reserved no part may be reproduced without permission"],
+    "agpl": [
+        "licensed under the gnu affero general public license version 3",
+        "agpl v3",
+        "this program is free software under the terms of the gnu affero general public license",
+    ],
+    "apache": [
+        "licensed under the apache license version 2 0",
+        "you may not use this file except in compliance with the apache license",
+        "distributed under the apache software license",
+    ],
+    "bsd": [
+        "released under the bsd license",
+        "redistribution and use in source and binary forms with or without modification are permitted",
+        "licensed under the 3 clause bsd license",
+    ],
+    "cc-by": [
+        "licensed under cc by 4 0",
+        "creative commons attribution 4 0 international",
+        "this work is licensed under a creative commons attribution 4 0 international license",
+    ],
+    "cc-by-nc": [
+        "licensed under cc by nc 4 0",
+        "creative commons attribution noncommercial 4 0 international",
+        "this work is licensed under a creative commons attribution noncommercial 4 0 international license",
+    ],
+    "cc-by-sa": [
+        "licensed under cc by sa 4 0",
+        "creative commons attribution sharealike 4 0 international",
+        "this work is licensed under a creative commons attribution sharealike 4 0 international license",
+    ],
+    "cc0": [
+        "dedicated to the public domain under cc0 1 0 with no rights reserved",
+        "dedicated under cc0",
+        "released under the cc0 1 0 universal public domain license",
+    ],
+    "gpl": [
+        "this work is licensed under the gnu general public license version 3",
+        "gplv3",
+        "this program is free software you can redistribute it under the terms of the gnu general public license",
+    ],
+    "isc": [
+        "released under the isc license",
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted",
+    ],
+    "lgpl": [
+        "licensed under the gnu lesser general public license version 2 1",
+        "lgpl v2 1",
+        "this library is free software under the gnu lesser general public license",
+    ],
+    "mit": [
+        "released under the mit license",
+        "the mit license",
+        "permission is hereby granted free of charge to any person obtaining a copy of this software",
+    ],
+    "mpl": [
+        "this source code form is subject to the terms of the mozilla public license v 2 0",
+        "licensed under the mozilla public license version 2 0",
+    ],
+    "proprietary": [
+        "all rights reserved",
+        "copyright all rights reserved no part may be reproduced without permission",
+    ],
 }
-#: A licence without a family here, and prose about licences: the classes 'unknown' and 'none'.
-UNKNOWN = ["licensed under the terms of our house license", "released under the artistic license", "distributed under the open software license version 3", "this work is licensed under the free art license", "licensed under the european union public licence", "use is subject to the license agreement", "see the license file for the terms of use", "released under a permissive license", "the licensor grants you a limited license", "licensed under the ms reciprocal license"]
-NONE = ["the driver lost his license after the accident", "a fishing license costs ten dollars a year", "they debated copyright law for two hours", "the pub had no license to sell spirits", "all seats are reserved for members", "the city licensed two hundred taxis this year", "she works for the public radio", "a general question about the source of the river", "the company released its report on friday", "free admission for any person under ten", "the warranty covers the engine for two years", "use the form to renew your license plate", "no part of the road was closed", "artists fear that copyright reform hurts them", "he was granted permission to leave", "rights of way are reserved for walkers"]
-STEMS = ("licen", "copyright", "rights reserved", "redistribut", "public domain")
-FRAMES = ["{}", "{}", "{}", "note that {}", "{} see the file for details", "unless stated otherwise {}", "code and data {}", "copyright 2021 the authors {}", "{} by the project contributors", "documentation {} and others"]
+#: Licence text of no family here, and prose about licences: the classes 'unknown' and 'none'.
+UNKNOWN = [
+    "licensed under the terms of our house license",
+    "released under the artistic license",
+    "distributed under the open software license version 3",
+    "this work is licensed under the free art license",
+    "licensed under the european union public licence",
+    "use is subject to the license agreement",
+    "see the license file for the terms of use",
+    "released under a permissive license",
+    "the licensor grants you a limited license",
+    "licensed under the ms reciprocal license",
+    "the software is provided as is without warranty of any kind express or implied",
+    "the above copyright notice and this permission notice shall be included in all copies",
+]
+NONE = [
+    "the driver lost his license after the accident",
+    "a fishing license costs ten dollars a year",
+    "they debated copyright law for two hours",
+    "the pub had no license to sell spirits",
+    "all seats are reserved for members",
+    "the city licensed two hundred taxis this year",
+    "she works for the public radio",
+    "a general question about the source of the river",
+    "the company released its report on friday",
+    "free admission for any person under ten",
+    "the warranty covers the engine for two years",
+    "use the form to renew your license plate",
+    "no part of the road was closed",
+    "artists fear that copyright reform hurts them",
+    "he was granted permission to leave",
+    "rights of way are reserved for walkers",
+]
+FRAMES = [
+    "{}",
+    "note that {}",
+    "{} see the file for details",
+    "unless stated otherwise {}",
+    "code and data {}",
+    "copyright 2021 the authors {}",
+    "{} by the project contributors",
+    "documentation {} and others",
+]
+#: What a line may not end with to be continued by the next.
+ENDINGS = r".!?:;"
 
 
 def words_of(text: Column) -> Column:
@@ -75,13 +167,12 @@ def _grams(words: list[str]) -> set[str]:
 
 
 def examples() -> list[tuple[str, str, bool]]:
-    """(class, text, held out): templates and counterexamples in frames, every fourth held out."""
-    out, turn = [], itertools.count()
-    classes = {**TEMPLATES, "unknown": UNKNOWN, "none": NONE}
-    for name, texts in classes.items():
-        for t in texts:
-            for frame in dict.fromkeys(FRAMES):
-                out.append((name, frame.format(t), next(turn) % 4 == 3))
+    """(class, text, held out): templates and counterexamples in all frames; whole texts are held out for calibration."""
+    out = []
+    for name, texts in {**TEMPLATES, "unknown": UNKNOWN, "none": NONE}.items():
+        for i, t in enumerate(texts):
+            held = i == len(texts) - 1 if name in TEMPLATES else i % 4 == 3
+            out += [(name, frame.format(t), held) for frame in FRAMES]
     return out
 
 
@@ -90,69 +181,78 @@ class Model:
     classes: list[str]
     bias: list[float]
     weights: dict[str, list[float]]
-    temperature: float
-    threshold: float
+    temperature: float = 1.0
+    threshold: float = 0.5
+
+    def logits(self, text: str) -> list[float]:
+        """By plain Python, for the few held-out examples: the scores that ``classify`` computes."""
+        out = list(self.bias)
+        for g in _grams(re.sub(r"[^\w]+|_", " ", text.lower()).split()):
+            if g in self.weights:
+                out = [x + w for x, w in zip(out, self.weights[g])]
+        return out
+
+
+def _probabilities(x: list[float], t: float) -> list[float]:
+    e = [math.exp((v - max(x)) / t) for v in x]
+    return [v / sum(e) for v in e]
+
+
+def _confirmed(family: str, text: str) -> bool:
+    words = set(text.split())
+    return any(len(words & set(t.split())) >= CONFIRM * len(set(t.split())) for t in TEMPLATES[family])
 
 
 def fit(spark: SparkSession, docs: DataFrame | None = None) -> Model:
-    """Trains on the examples and on ordinary paragraphs of at most SAMPLE documents."""
+    """Trains on the examples and on ordinary lines of about SAMPLE documents."""
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import CountVectorizerModel
 
-    rows = spark.createDataFrame(examples(), "name string, text string, held boolean")
-    if docs is not None:
-        few = docs.select("doc_id", "text").where("text is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-        plain = few.select(F.explode(F.split("text", "\n")).alias("text"), "doc_id").where(~_licence_like(F.col("text")) & (F.length("text") > 0) & ~_confirmable(F.col("text")))
-        rows = rows.unionByName(plain.select(F.lit("none").alias("name"), "text", (F.pmod(F.xxhash64("text"), F.lit(4)) == 3).alias("held")))
     vocabulary = sorted({g for texts in TEMPLATES.values() for t in texts for g in _grams(t.split())})
     classes = [*sorted(TEMPLATES), "none", "unknown"]
+    made = examples()
+    rows = spark.createDataFrame(made, "name string, text string, held boolean")
+    if docs is not None:
+        some = docs.select("doc_id", "text").where("text is not null and doc_id is not null")
+        share = min(1.0, SAMPLE / max(1, some.count()))
+        drawn = some.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))).limit(2 * SAMPLE)
+        lines = drawn.select(F.explode(F.split("text", "\n")).alias("text")).where(F.trim("text") != "").repartition(common.partitions(spark))
+        # a line with a template's 3-gram is no example of ordinary prose
+        telling = F.array(*(F.lit(g) for g in vocabulary if g.count(" ") == 2))
+        plain = lines.where(~F.arrays_overlap(grams_of(words_of(F.col("text"))), telling))
+        rows = rows.unionByName(plain.select(F.lit("none").alias("name"), "text", F.lit(False).alias("held")))
     label = F.create_map(*(F.lit(x) for i, c in enumerate(classes) for x in (c, float(i))))[F.col("name")]
-    counted = CountVectorizerModel.from_vocabulary(vocabulary, "grams", "features", binary=True).transform(rows.select("held", label.alias("label"), grams_of(words_of(F.col("text"))).alias("grams")))
-    # a table of a few thousand short rows at most: one partition's worth of work, cut from its lineage once
-    counted = common.cut(counted.select("held", "label", "features").coalesce(2))
-    size = F.count("*").over(Window.partitionBy("label"))
-    train = common.cut(counted.where("not held").withColumn("weight", 1.0 / F.sqrt(size.cast("double"))))
-    lr = LogisticRegression(family="multinomial", regParam=0.0005, elasticNetParam=0.5, maxIter=60, weightCol="weight", standardization=False).fit(train)
-    matrix = lr.coefficientMatrix.toArray()
-    weights = {g: [float(x) for x in matrix[:, j]] for j, g in enumerate(vocabulary) if abs(matrix[:, j]).max() > 1e-6}
-    held = lr.transform(counted.where("held")).select("label", "rawPrediction").collect()  # of the bounded examples
-    raw = [(int(r.label), r.rawPrediction.toArray()) for r in held]
-
-    def probabilities(x, t):
-        e = [math.exp((v - max(x)) / t) for v in x]
-        return [v / sum(e) for v in e]
-
-    def loss(t):
-        return -sum(math.log(max(1e-12, probabilities(x, t)[k])) for k, x in raw)
-
-    temperature = min((0.25, 0.35, 0.5, 0.7, 1.0, 1.4, 2.0, 2.8, 4.0), key=loss)
+    counted = CountVectorizerModel.from_vocabulary(vocabulary, "grams", "features", binary=True)
+    counted = counted.transform(rows.select("held", label.alias("label"), grams_of(words_of(F.col("text"))).alias("grams")))
+    # a few thousand short rows at most: the bounded sample and the examples
+    counted = common.cut(counted.select("held", "label", "features"))
+    lr = LogisticRegression(family="multinomial", regParam=0.0005, elasticNetParam=0.5, maxIter=60, weightCol="weight", standardization=False)
+
+    def trained(part: DataFrame) -> Model:
+        size = part.groupBy("label").agg((1.0 / F.sqrt(F.count("*").cast("double"))).alias("weight"))  # a row a class
+        part = common.cut(part.join(F.broadcast(size), "label"))
+        got = lr.fit(part)
+        matrix = got.coefficientMatrix.toArray()
+        return Model(classes, [float(x) for x in got.interceptVector], {g: [float(x) for x in matrix[:, j]] for j, g in enumerate(vocabulary) if abs(matrix[:, j]).max() > 1e-6})
+
+    first = trained(counted.where("not held"))
+    held = [(classes.index(name), text, first.logits(text)) for name, text, out in made if out]
+    temperature = min((0.25, 0.35, 0.5, 0.7, 1.0, 1.4, 2.0, 2.8, 4.0), key=lambda t: -sum(math.log(max(1e-12, _probabilities(x, t)[k])) for k, _, x in held))
     named = []
-    for k, x in raw:
-        p = probabilities(x, temperature)
+    for k, text, x in held:
+        p = _probabilities(x, temperature)
         best = max(range(len(TEMPLATES)), key=p.__getitem__)
-        if p[best] == max(p):
+        if p[best] >= p[classes.index("none")] and _confirmed(classes[best], text):
             named.append((p[best], best == k))
-    threshold = 0.5
-    for cut_at in sorted({p for p, _ in named} | {0.5}):
+    threshold = 0.9
+    for cut_at in sorted(p for p, _ in named if p >= 0.3):
         right = [ok for p, ok in named if p >= cut_at]
-        if cut_at >= 0.3 and right and sum(right) >= PRECISION * len(right):
+        if sum(right) >= PRECISION * len(right):
             threshold = min(cut_at, 0.9)
             break
-    return Model(classes, [float(x) for x in lr.interceptVector], weights, temperature, threshold)
-
-
-def _licence_like(text: Column) -> Column:
-    low = F.lower(text)
-    out = F.contains(low, F.lit(STEMS[0]))
-    for s in STEMS[1:]:
-        out = out | F.contains(low, F.lit(s))
-    return out
-
-
-def _confirmable(text: Column) -> Column:
-    """Whether the words of some template occur, CONFIRM or more of them: no example of ordinary prose."""
-    lists = F.array(*(F.array(*map(F.lit, dict.fromkeys(t.split()))) for f in sorted(TEMPLATES) for t in TEMPLATES[f]))
-    return _let(words_of(text), lambda words: F.exists(lists, lambda t: F.size(F.array_intersect(t, words)) / F.size(t) >= F.lit(CONFIRM)))
+    model = trained(counted)
+    model.temperature, model.threshold = temperature, threshold
+    return model
 
 
 def _let(value: Column, body) -> Column:
@@ -175,6 +275,25 @@ def bounds(model: Model) -> tuple[dict[str, float], float]:
     return gain, -model.temperature * math.log(odds) - 1e-6
 
 
+def telling_words(gain: dict[str, float], least: float) -> list[str]:
+    """Words of which one must occur for the sum to reach ``least``: all others together stay below it."""
+    out, rest = [], 0.0
+    for w in sorted(gain, key=lambda w: (gain[w], w)):
+        rest += gain[w]
+        if rest >= least:
+            out.append(w)
+    return out
+
+
+def may_tell(text: Column, model: Model) -> Column:
+    """False only for texts none of whose paragraphs can be found: none of the telling words begins a word in them."""
+    gain, least = bounds(model)
+    if least < 0:
+        return F.lit(True)
+    words = telling_words(gain, least)
+    return F.lower(text).rlike(r"(?<![\p{L}\p{N}])(?:" + "|".join(sorted(words)) + ")") if words else F.lit(False)
+
+
 def may_be_found(paragraph: Column, model: Model) -> Column:
     """False only for paragraphs that are surely 'none'."""
     gain, least = bounds(model)
@@ -182,7 +301,7 @@ def may_be_found(paragraph: Column, model: Model) -> Column:
         return F.lit(least < 0)
     of = F.create_map(*(F.lit(x) for kv in gain.items() for x in kv))
     known = F.array_intersect(words_of(paragraph), F.array(*map(F.lit, gain)))
-    return F.aggregate(known, F.lit(0.0), lambda a, w: a + of[w]) >= F.lit(least)
+    return may_tell(paragraph, model) & (F.aggregate(known, F.lit(0.0), lambda a, w: a + of[w]) >= F.lit(least))
 
 
 def classify(paragraph: Column, model: Model) -> Column:
@@ -208,22 +327,45 @@ def classify(paragraph: Column, model: Model) -> Column:
     return _let(words_of(paragraph), lambda words: _let(scored(words), lambda p: decide(words, p)))
 
 
-def paragraphs(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, paragraph, text, family, probability, similarity) of the paragraphs that may be found, by row."""
-    lines = F.filter(F.transform(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n"), lambda s, i: F.when(may_be_found(s, model), F.struct(i.cast("int").alias("at"), s.alias("s")))), lambda x: x.isNotNull())
-    found = docs.select("doc_id", F.explode(lines).alias("x"))
-    return found.select("doc_id", F.col("x.at").alias("paragraph"), F.col("x.s").alias("text"), classify(F.col("x.s"), model).alias("c")).select("doc_id", "paragraph", "text", "c.*")
+FOUND = "array<struct<at int, c struct<family string, probability double, similarity double>>>"
+
+
+def paragraphs(text: Column) -> Column:
+    """array<struct<at, lines>> of the paragraphs: at is the number of the first line, lines the paragraph's lines."""
+    split = F.split(F.coalesce(text.cast("string"), F.lit("")), "\n")
+    lines = F.transform(split, lambda s, i: F.struct(i.cast("int").alias("at"), F.trim(F.regexp_replace(s, r"[ \t\r]+", " ")).alias("s")))
+    # numbers of the lines that begin a paragraph: after a blank line, or after a line that ends a sentence
+    starts = F.filter(lines, lambda x, i: (x.s != "") & ((i == 0) | F.get(lines, i - 1)["s"].rlike(rf"^$|[{ENDINGS}]$")))
+    first = F.transform(starts, lambda x: x["at"])
+    runs = F.transform(first, lambda at, k: F.struct(at.alias("at"), F.slice(lines, at + 1, F.coalesce(F.get(first, k + 1), F.size(lines)) - at).alias("u")))
+    return F.transform(runs, lambda r: F.struct(r.at.alias("at"), F.filter(r.u, lambda x: x.s != "").alias("u")))
+
+
+def _found(text: Column, model: Model) -> Column:
+    """array<struct<at, c>> of the paragraphs found, or else their lines."""
+
+    def one(at, s):
+        return F.struct(at.alias("at"), F.when(may_be_found(s, model), classify(s, model)).alias("c"))
+
+    def of(p):
+        def by_line(_):
+            return F.filter(F.transform(p.u, lambda x: one(x["at"], x["s"])), lambda x: F.coalesce(x["c"]["family"], F.lit("none")) != "none")
+
+        whole = one(p["at"], F.array_join(F.transform(p.u, lambda x: x["s"]), " "))
+        return _let(whole, lambda w: F.when(F.coalesce(w["c"]["family"], F.lit("none")) != "none", F.array(w)).when(F.size(p.u) > 1, by_line(w)).otherwise(F.slice(F.array(w), 1, 0)))
+
+    return F.flatten(F.transform(paragraphs(text), of))
 
 
 def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """One row per document: doc_id, licenses (families found, by name), n_paragraphs named or unknown, and the
-    paragraphs found as a list of structs (at, family, probability, similarity)."""
+    paragraphs found as a list of structs (at, family, probability, similarity); at is the number of the first line."""
     model = model or fit(docs.sparkSession, docs)
-    lines = F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n")
-    like = F.filter(F.transform(lines, lambda s, i: F.when(may_be_found(s, model), F.struct(i.cast("int").alias("at"), s.alias("s")))), lambda x: x.isNotNull())
-    rows = docs.select("doc_id", like.alias("like"))
-    found = F.filter(F.transform("like", lambda x: F.struct(x.at.alias("at"), classify(x.s, model).alias("c"))), lambda x: x.c.family != "none")
-    rows = rows.select("doc_id", F.when(F.size("like") > 0, found).otherwise(F.filter(F.transform("like", lambda x: F.struct(x.at.alias("at"), F.struct(F.lit("").alias("family"), F.lit(0.0).alias("probability"), F.lit(0.0).alias("similarity")).alias("c"))), lambda x: F.lit(False))).alias("found"))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    found = _found(F.col("text"), model)
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("like", may_tell(text, model))
+    # texts without a telling word have no paragraph to look at
+    rows = rows.select("doc_id", F.when(F.col("like"), found).otherwise(F.array().cast(FOUND)).alias("found"))
     return rows.select(
         "doc_id",
         F.array_join(F.array_sort(F.array_distinct(F.transform("found", lambda x: x.c.family))), ",").alias("licenses"),

@@ -411,16 +411,56 @@ def test_license_families(spark):
     assert got == {1: "mit", 2: "apache,proprietary", 3: "", 4: "", 5: "", 6: "unknown", None: "cc-by-nc"}
 
 
-def test_license_gate_is_exact(spark):
-    texts = ["Released under the MIT terms", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software", "This work is under a Creative Commons Attribution 4.0 International", "CC BY-SA 4.0", "GPLv3", "dedicated under CC0", "free software under the terms", "the", "", *licenses.UNKNOWN, *licenses.NONE, *licenses.TEMPLATES["bsd"]]
+@pytest.fixture(scope="module")
+def licence_model(spark):
+    return licenses.fit(spark, spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
+
+
+NOTICES = ["Released under the MIT terms", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software", "This work is under a Creative Commons Attribution 4.0 International", "CC BY-SA 4.0", "GPLv3", "dedicated under CC0", "free software under the terms"]
+
+
+def test_license_gate_is_exact(spark, licence_model):
+    texts = [*NOTICES, "the", "", *licenses.UNKNOWN, *licenses.NONE, *licenses.TEMPLATES["bsd"]]
     prose = [t for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id").limit(40).collect() for t in r.text.split("\n")]
     docs = spark.createDataFrame(list(enumerate(texts + prose)), "doc_id long, text string")
-    model = licenses.fit(spark, docs)
-    every = {r.doc_id: r.f for r in docs.select("doc_id", licenses.classify(F.col("text"), model).family.alias("f")).collect()}
-    got = {r.doc_id: r.licenses for r in licenses.scan(docs, model).collect()}
+    every = {r.doc_id: r.f for r in docs.select("doc_id", licenses.classify(F.col("text"), licence_model).family.alias("f")).collect()}
+    got = {r.doc_id: r.licenses for r in licenses.scan(docs, licence_model).collect()}
     assert got == {i: "" if f == "none" else f for i, f in every.items()}
-    assert any(got[i] for i in range(3))
-    print(got[0], got[1], got[2], got[3], got[4], got[5])
+    assert all(got[i] for i in range(6)) and [got[i] for i in (1, 4, 5)] == ["mit", "gpl", "cc0"]
+
+
+def test_license_scores_brute(spark, licence_model):
+    """Probabilities and similarities by plain Python from the model's weights."""
+    m, texts = licence_model, [*NOTICES, "plain words of no licence at all", *licenses.UNKNOWN[:4], *(f"note that {t[0]}" for t in licenses.TEMPLATES.values())]
+    got = spark.createDataFrame(list(enumerate(texts)), "i int, text string").select("i", licenses.classify(F.col("text"), m).alias("c")).orderBy("i").collect()
+    families = sorted(licenses.TEMPLATES)
+    for r, t in zip(got, texts):
+        p = licenses._probabilities(m.logits(t), m.temperature)
+        best = max(range(len(families)), key=p.__getitem__)
+        words = set(licenses.re.sub(r"[^\w]+|_", " ", t.lower()).split())
+        like = max(len(words & set(x.split())) / len(set(x.split())) for x in licenses.TEMPLATES[families[best]])
+        none = p[m.classes.index("none")]
+        family = families[best] if p[best] >= m.threshold and like >= licenses.CONFIRM and p[best] >= none else "none" if none >= 0.5 else "unknown"
+        assert r.c.probability == pytest.approx(p[best], abs=1e-9) and r.c.similarity == pytest.approx(like) and r.c.family == family
+
+
+def test_license_calibration_holds_whole_texts_out():
+    held = {(n, t) for n, t, out in licenses.examples() if out}
+    assert not held & {(n, t) for n, t, out in licenses.examples() if not out}
+    assert {n for n, _ in held} == {*licenses.TEMPLATES, "unknown", "none"}
+
+
+def test_license_of_wrapped_notices_edges_and_no_rows(spark, licence_model):
+    wrapped = "First line of prose ends here.\n\n# Permission is hereby granted, free of\n# charge, to any person obtaining a\n# copy of this software.\n\nMore prose."
+    loose = "Licensed under CC BY-SA 4.0\nand then the story goes on for many words without any stop or end at all of it"
+    rows = [(1, wrapped), (2, loose), (2, loose), (3, None), (None, "All rights reserved."), (4, "word " * 200_000 + "\nAll rights reserved."), (5, "\n \t\r\n\n")]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, like string")
+    got = sorted((r.doc_id or 0, r.licenses, [x["at"] for x in r.found]) for r in licenses.scan(docs, licence_model).collect())
+    assert got == [(0, "proprietary", [0]), (1, "mit", [2]), (2, "cc-by-sa", [0]), (2, "cc-by-sa", [0]), (3, "", []), (4, "proprietary", [1]), (5, "", [])]
+    split = docs.where("doc_id in (1, 2)").select("doc_id", licenses.paragraphs(F.col("text")).alias("p")).distinct().orderBy("doc_id").collect()
+    assert [[(x["at"], len(x["u"])) for x in r.p] for r in split] == [[(0, 1), (2, 3), (6, 1)], [(0, 2)]]
+    empty = docs.limit(0)
+    assert licenses.scan(empty).collect() == []
 
 
 # ---------------------------------------------------------------- 6
