@@ -453,7 +453,7 @@ def test_license_calibration_holds_whole_texts_out():
 def test_license_of_wrapped_notices_edges_and_no_rows(spark, licence_model):
     wrapped = "First line of prose ends here.\n\n# Permission is hereby granted, free of\n# charge, to any person obtaining a\n# copy of this software.\n\nMore prose."
     loose = "Licensed under CC BY-SA 4.0\nand then the story goes on for many words without any stop or end at all of it"
-    rows = [(1, wrapped), (2, loose), (2, loose), (3, None), (None, "All rights reserved."), (4, "word " * 200_000 + "\nAll rights reserved."), (5, "\n \t\r\n\n")]
+    rows = [(1, wrapped), (2, loose), (2, loose), (3, None), (None, "All rights reserved."), (4, "word " * 200_000 + "end.\nAll rights reserved."), (5, "\n \t\r\n\n")]
     docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, like string")
     got = sorted((r.doc_id or 0, r.licenses, [x["at"] for x in r.found]) for r in licenses.scan(docs, licence_model).collect())
     assert got == [(0, "proprietary", [0]), (1, "mit", [2]), (2, "cc-by-sa", [0]), (2, "cc-by-sa", [0]), (3, "", []), (4, "proprietary", [1]), (5, "", [])]
