@@ -2,7 +2,7 @@
 
 A paragraph is a run of lines that are wrapped: every line of it but the last ends without a full stop, colon or the like, and no
 blank line lies between.  A paragraph in which nothing is found is looked at line by line.  Features are the
-word 1- to 3-grams of the licence templates below (present or not); a multinomial logistic regression with an L1 part is
+word 1- to 3-grams of the licence templates below (present or not; those of function words alone are left out); a multinomial logistic regression with an L1 part is
 trained on the templates, shortened and embedded, against other prose that uses the same words, and against a bounded sample
 of ordinary lines of the scanned table (about ``SAMPLE`` documents by hash, lines without a template's 3-gram).
 
@@ -144,6 +144,8 @@ FRAMES = [
     "{} by the project contributors",
     "documentation {} and others",
 ]
+#: Words that tell nothing alone: n-grams of these and of numbers only are no features.
+FUNCTION_WORDS = frozenset("a all and any as at be by for from in is it may no not of on or shall that the this to under use v with without you".split())
 #: What a line may not end with to be continued by the next.
 ENDINGS = r".!?:;"
 
@@ -152,9 +154,17 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "), " "), lambda w: w != "")
 
 
-def grams_of(words: Column) -> Column:
-    """The distinct 1- to GRAMS-grams."""
+def _let(value: Column, body) -> Column:
+    """body(value) with the value computed once: in a lambda an expression from outside would be computed for each element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def grams_of(text: Column) -> Column:
+    """The distinct 1- to GRAMS-grams of a text's words."""
+    return _let(words_of(text), grams_of_words)
 
+
+def grams_of_words(words: Column) -> Column:
     def of_length(n: int) -> Column:
         return F.transform(words, lambda w, i: F.when(i <= F.size(words) - n, F.array_join(F.slice(words, i + 1, n), " ")))
 
@@ -166,6 +176,10 @@ def _grams(words: list[str]) -> set[str]:
     return {" ".join(words[i : i + n]) for n in range(1, GRAMS + 1) for i in range(len(words) - n + 1)}
 
 
+def _telling(word: str) -> bool:
+    return word not in FUNCTION_WORDS and not word.isdecimal()
+
+
 def examples() -> list[tuple[str, str, bool]]:
     """(class, text, held out): templates and counterexamples in all frames; whole texts are held out for calibration."""
     out = []
@@ -208,7 +222,7 @@ def fit(spark: SparkSession, docs: DataFrame | None = None) -> Model:
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import CountVectorizerModel
 
-    vocabulary = sorted({g for texts in TEMPLATES.values() for t in texts for g in _grams(t.split())})
+    vocabulary = sorted({g for texts in TEMPLATES.values() for t in texts for g in _grams(t.split()) if any(map(_telling, g.split()))})
     classes = [*sorted(TEMPLATES), "none", "unknown"]
     made = examples()
     rows = spark.createDataFrame(made, "name string, text string, held boolean")
@@ -219,11 +233,11 @@ def fit(spark: SparkSession, docs: DataFrame | None = None) -> Model:
         lines = drawn.select(F.explode(F.split("text", "\n")).alias("text")).where(F.trim("text") != "").repartition(common.partitions(spark))
         # a line with a template's 3-gram is no example of ordinary prose
         telling = F.array(*(F.lit(g) for g in vocabulary if g.count(" ") == 2))
-        plain = lines.where(~F.arrays_overlap(grams_of(words_of(F.col("text"))), telling))
+        plain = lines.where(~F.arrays_overlap(grams_of(F.col("text")), telling))
         rows = rows.unionByName(plain.select(F.lit("none").alias("name"), "text", F.lit(False).alias("held")))
     label = F.create_map(*(F.lit(x) for i, c in enumerate(classes) for x in (c, float(i))))[F.col("name")]
     counted = CountVectorizerModel.from_vocabulary(vocabulary, "grams", "features", binary=True)
-    counted = counted.transform(rows.select("held", label.alias("label"), grams_of(words_of(F.col("text"))).alias("grams")))
+    counted = counted.transform(rows.select("held", label.alias("label"), grams_of(F.col("text")).alias("grams")))
     # a few thousand short rows at most: the bounded sample and the examples
     counted = common.cut(counted.select("held", "label", "features"))
     lr = LogisticRegression(family="multinomial", regParam=0.0005, elasticNetParam=0.5, maxIter=60, weightCol="weight", standardization=False)
@@ -255,20 +269,15 @@ def fit(spark: SparkSession, docs: DataFrame | None = None) -> Model:
     return model
 
 
-def _let(value: Column, body) -> Column:
-    """body(value) with the value computed once."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def bounds(model: Model) -> tuple[dict[str, float], float]:
     """(word: most that n-grams with it can raise a class over 'none'), and the sum up to which 'none' has half or more.
 
-    Each n-gram counts at its longest word, which is there if the n-gram is.
+    Each n-gram counts at its longest word that tells something, which is there if the n-gram is.
     """
     none = model.classes.index("none")
     gain: dict[str, float] = {}
     for g, w in model.weights.items():
-        word, most = max(g.split(), key=len), max(x - w[none] for x in w)
+        word, most = max(g.split(), key=lambda x: (_telling(x), len(x))), max(x - w[none] for x in w)
         if most > 0:
             gain[word] = gain.get(word, 0.0) + most
     odds = sum(math.exp((b - model.bias[none]) / model.temperature) for i, b in enumerate(model.bias) if i != none)
@@ -286,12 +295,17 @@ def telling_words(gain: dict[str, float], least: float) -> list[str]:
 
 
 def may_tell(text: Column, model: Model) -> Column:
-    """False only for texts none of whose paragraphs can be found: none of the telling words begins a word in them."""
+    """False only for texts none of whose paragraphs can be found: none of the telling words is in them."""
     gain, least = bounds(model)
     if least < 0:
         return F.lit(True)
     words = telling_words(gain, least)
-    return F.lower(text).rlike(r"(?<![\p{L}\p{N}])(?:" + "|".join(sorted(words)) + ")") if words else F.lit(False)
+    if not words:
+        return F.lit(False)
+    # by first letter, so that few alternatives are tried at a word
+    rest = {x: sorted(w[1:] for w in words if w[0] == x) for x in sorted({w[0] for w in words})}
+    any_of = "|".join(f"{x}(?:{'|'.join(r)})" for x, r in rest.items())
+    return F.lower(text).rlike(rf"(?<![\p{{L}}\p{{N}}])(?:{any_of})(?![\p{{L}}\p{{N}}])")
 
 
 def may_be_found(paragraph: Column, model: Model) -> Column:
@@ -311,7 +325,7 @@ def classify(paragraph: Column, model: Model) -> Column:
     wanted = F.array(*(F.array(*(F.array(*map(F.lit, dict.fromkeys(t.split()))) for t in TEMPLATES[f])) for f in families))
 
     def scored(words):
-        logits = F.aggregate(F.filter(F.transform(grams_of(words), lambda g: table[g]), lambda w: w.isNotNull()), F.array(*map(F.lit, model.bias)), lambda a, w: F.zip_with(a, w, lambda x, y: x + y))
+        logits = F.aggregate(F.filter(F.transform(grams_of_words(words), lambda g: table[g]), lambda w: w.isNotNull()), F.array(*map(F.lit, model.bias)), lambda a, w: F.zip_with(a, w, lambda x, y: x + y))
         scaled = F.transform(logits, lambda x: x / F.lit(model.temperature))
         return _let(scaled, lambda z: _let(F.transform(z, lambda x: F.exp(x - F.array_max(z))), lambda e: F.transform(e, lambda x: x / F.aggregate(e, F.lit(0.0), lambda a, y: a + y))))
 
@@ -331,21 +345,27 @@ FOUND = "array<struct<at int, c struct<family string, probability double, simila
 
 
 def paragraphs(text: Column) -> Column:
-    """array<struct<at, lines>> of the paragraphs: at is the number of the first line, lines the paragraph's lines."""
+    """array<struct<at, u>> of the paragraphs: at is the number of the first line, u the paragraph's lines (at, s)."""
     split = F.split(F.coalesce(text.cast("string"), F.lit("")), "\n")
-    lines = F.transform(split, lambda s, i: F.struct(i.cast("int").alias("at"), F.trim(F.regexp_replace(s, r"[ \t\r]+", " ")).alias("s")))
-    # numbers of the lines that begin a paragraph: after a blank line, or after a line that ends a sentence
-    starts = F.filter(lines, lambda x, i: (x.s != "") & ((i == 0) | F.get(lines, i - 1)["s"].rlike(rf"^$|[{ENDINGS}]$")))
-    first = F.transform(starts, lambda x: x["at"])
-    runs = F.transform(first, lambda at, k: F.struct(at.alias("at"), F.slice(lines, at + 1, F.coalesce(F.get(first, k + 1), F.size(lines)) - at).alias("u")))
-    return F.transform(runs, lambda r: F.struct(r.at.alias("at"), F.filter(r.u, lambda x: x.s != "").alias("u")))
+    numbered = F.transform(split, lambda s, i: F.struct(i.cast("int").alias("at"), F.trim(F.regexp_replace(s, r"[ \t\r]+", " ")).alias("s")))
+
+    def of_lines(lines):
+        # numbers of the lines that begin a paragraph: after a blank line, or after a line that ends a sentence
+        starts = F.filter(lines, lambda x, i: (x.s != "") & ((i == 0) | F.get(lines, i - 1)["s"].rlike(rf"^$|[{ENDINGS}]$")))
+        return _let(F.transform(starts, lambda x: x["at"]), lambda first: runs(lines, first))
+
+    def runs(lines, first):
+        cut_out = F.transform(first, lambda at, k: F.struct(at.alias("at"), F.slice(lines, at + 1, F.coalesce(F.get(first, k + 1), F.size(lines)) - at).alias("u")))
+        return F.transform(cut_out, lambda r: F.struct(r.at.alias("at"), F.filter(r.u, lambda x: x.s != "").alias("u")))
+
+    return _let(numbered, of_lines)
 
 
 def _found(text: Column, model: Model) -> Column:
     """array<struct<at, c>> of the paragraphs found, or else their lines."""
 
     def one(at, s):
-        return F.struct(at.alias("at"), F.when(may_be_found(s, model), classify(s, model)).alias("c"))
+        return _let(s, lambda t: F.struct(at.alias("at"), F.when(may_be_found(t, model), classify(t, model)).alias("c")))
 
     def of(p):
         def by_line(_):
