@@ -12,8 +12,8 @@ so that at least ``PRECISION`` of the named ones are right, come from texts it h
 all.  A named family is confirmed if ``CONFIRM`` or more of the words of one of its templates occur in the paragraph;
 without confirmation or below the threshold a licence-like paragraph is 'unknown'.
 
-Paragraphs whose words cannot bring 'none' down to one half are not scored, by a bound on the model's scores that is
-exact for the decision: each word has a most that it can add, and the words that add least cannot reach the bound together, so
+A paragraph for which 'none' is likeliest is ordinary prose.  Paragraphs whose words cannot change that are not scored, by a bound on
+the model's scores that is exact for the decision: each word has a most that it can add, and the words that add least cannot reach the bound together, so
 one of the others must occur.  Scoring is a projection of each document's row, so nothing is shuffled and no
 paragraph is cut short.
 
@@ -54,16 +54,19 @@ TEMPLATES = {
         "licensed under the 3 clause bsd license",
     ],
     "cc-by": [
+        "cc by 4 0",
         "licensed under cc by 4 0",
         "creative commons attribution 4 0 international",
         "this work is licensed under a creative commons attribution 4 0 international license",
     ],
     "cc-by-nc": [
+        "cc by nc 4 0",
         "licensed under cc by nc 4 0",
         "creative commons attribution noncommercial 4 0 international",
         "this work is licensed under a creative commons attribution noncommercial 4 0 international license",
     ],
     "cc-by-sa": [
+        "cc by sa 4 0",
         "licensed under cc by sa 4 0",
         "creative commons attribution sharealike 4 0 international",
         "this work is licensed under a creative commons attribution sharealike 4 0 international license",
@@ -133,6 +136,12 @@ NONE = [
     "artists fear that copyright reform hurts them",
     "he was granted permission to leave",
     "rights of way are reserved for walkers",
+    "he showed the officer his license",
+    "the clinic lost its license in march",
+    "pilots need a license to fly at night",
+    "the bar applied for a new license",
+    "a license is required to hunt deer",
+    "doctors licensed in other states may apply",
 ]
 FRAMES = [
     "{}",
@@ -225,7 +234,7 @@ def fit(spark: SparkSession, docs: DataFrame | None = None) -> Model:
     vocabulary = sorted({g for texts in TEMPLATES.values() for t in texts for g in _grams(t.split()) if any(map(_telling, g.split()))})
     classes = [*sorted(TEMPLATES), "none", "unknown"]
     made = examples()
-    rows = spark.createDataFrame(made, "name string, text string, held boolean")
+    rows = spark.createDataFrame([(*x, False) for x in made], "name string, text string, held boolean, plain boolean")
     if docs is not None:
         some = docs.select("doc_id", "text").where("text is not null and doc_id is not null")
         share = min(1.0, SAMPLE / max(1, some.count()))
@@ -234,17 +243,18 @@ def fit(spark: SparkSession, docs: DataFrame | None = None) -> Model:
         # a line with a template's 3-gram is no example of ordinary prose
         telling = F.array(*(F.lit(g) for g in vocabulary if g.count(" ") == 2))
         plain = lines.where(~F.arrays_overlap(grams_of(F.col("text")), telling))
-        rows = rows.unionByName(plain.select(F.lit("none").alias("name"), "text", F.lit(False).alias("held")))
+        rows = rows.unionByName(plain.select(F.lit("none").alias("name"), "text", F.lit(False).alias("held"), F.lit(True).alias("plain")))
     label = F.create_map(*(F.lit(x) for i, c in enumerate(classes) for x in (c, float(i))))[F.col("name")]
     counted = CountVectorizerModel.from_vocabulary(vocabulary, "grams", "features", binary=True)
-    counted = counted.transform(rows.select("held", label.alias("label"), grams_of(F.col("text")).alias("grams")))
+    counted = counted.transform(rows.select("held", "plain", label.alias("label"), grams_of(F.col("text")).alias("grams")))
     # a few thousand short rows at most: the bounded sample and the examples
-    counted = common.cut(counted.select("held", "label", "features"))
+    counted = common.cut(counted.select("held", "plain", "label", "features"))
     lr = LogisticRegression(family="multinomial", regParam=0.0005, elasticNetParam=0.5, maxIter=60, weightCol="weight", standardization=False)
 
     def trained(part: DataFrame) -> Model:
-        size = part.groupBy("label").agg((1.0 / F.sqrt(F.count("*").cast("double"))).alias("weight"))  # a row a class
-        part = common.cut(part.join(F.broadcast(size), "label"))
+        # a row a class; made examples of ordinary prose do not drown in the sampled lines
+        size = part.groupBy("label", "plain").agg((1.0 / F.sqrt(F.count("*").cast("double"))).alias("weight"))
+        part = common.cut(part.join(F.broadcast(size), ["label", "plain"]))
         got = lr.fit(part)
         matrix = got.coefficientMatrix.toArray()
         return Model(classes, [float(x) for x in got.interceptVector], {g: [float(x) for x in matrix[:, j]] for j, g in enumerate(vocabulary) if abs(matrix[:, j]).max() > 1e-6})
@@ -270,7 +280,7 @@ def fit(spark: SparkSession, docs: DataFrame | None = None) -> Model:
 
 
 def bounds(model: Model) -> tuple[dict[str, float], float]:
-    """(word: most that n-grams with it can raise a class over 'none'), and the sum up to which 'none' has half or more.
+    """(word: most that n-grams with it can raise a class over 'none'), and the sum up to which 'none' stays the likeliest.
 
     Each n-gram counts at its longest word that tells something, which is there if the n-gram is.
     """
@@ -280,8 +290,7 @@ def bounds(model: Model) -> tuple[dict[str, float], float]:
         word, most = max(g.split(), key=lambda x: (_telling(x), len(x))), max(x - w[none] for x in w)
         if most > 0:
             gain[word] = gain.get(word, 0.0) + most
-    odds = sum(math.exp((b - model.bias[none]) / model.temperature) for i, b in enumerate(model.bias) if i != none)
-    return gain, -model.temperature * math.log(odds) - 1e-6
+    return gain, model.bias[none] - max(b for i, b in enumerate(model.bias) if i != none) - 1e-6
 
 
 def telling_words(gain: dict[str, float], least: float) -> list[str]:
@@ -335,7 +344,7 @@ def classify(paragraph: Column, model: Model) -> Column:
         like = F.array_max(F.transform(F.element_at(wanted, best), lambda t: F.size(F.array_intersect(t, words)) / F.size(t)))
         none = F.element_at(p, model.classes.index("none") + 1)
         named = (top >= F.lit(model.threshold)) & (like >= F.lit(CONFIRM)) & (top >= none)
-        family = F.when(named, F.element_at(F.array(*map(F.lit, families)), best)).when(none >= 0.5, "none").otherwise("unknown")
+        family = F.when(named, F.element_at(F.array(*map(F.lit, families)), best)).when(none >= F.array_max(p), "none").otherwise("unknown")
         return F.struct(family.alias("family"), top.alias("probability"), like.alias("similarity"))
 
     return _let(words_of(paragraph), lambda words: _let(scored(words), lambda p: decide(words, p)))

@@ -32,7 +32,7 @@ WINDOW, SHARD_TOKENS, END_ID = 4096, 1 << 20, 2
 K1, B = 1.2, 0.75
 VOCABULARY = 1 << 16
 #: Lexical clusters: documents sampled to fit them and, others, to measure their sizes; most clusters; turns of fitting.
-SAMPLE, MEASURED, CLUSTERS, TURNS = 2048, 16_384, 256, 8
+SAMPLE, MEASURED, CLUSTERS, TURNS = 2048, 8192, 256, 8
 
 
 def _encode(path: str, end_id: int):
@@ -95,8 +95,9 @@ def _sampled(bm25: Bm25):
             n = np.asarray(b.column(1))
             doc, term, w = _vectors(bm25, b.column(0).to_pylist(), n)
             at = np.searchsorted(doc, np.arange(len(n) + 1)).tolist()
-            rows = [(term[x:y], w[x:y]) for x, y in zip(at, at[1:])]
-            yield pa.RecordBatch.from_arrays([pa.array([t for t, _ in rows], pa.list_(pa.int64())), pa.array([x for _, x in rows], pa.list_(pa.float32()))], names=["terms", "weights"])
+            terms = [term[x:y].astype("<u2").tobytes() for x, y in zip(at, at[1:])]
+            weights = [w[x:y].astype("<f4").tobytes() for x, y in zip(at, at[1:])]
+            yield pa.RecordBatch.from_arrays([pa.array(terms, pa.binary()), pa.array(weights, pa.binary())], names=["terms", "weights"])
 
     return run
 
@@ -337,8 +338,8 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, end_id: int = END_I
     # rows by hash: about SAMPLE to fit and MEASURED to measure, at most twice as many together
     wanted = min(1.0, (SAMPLE + MEASURED) / max(1, all_of.documents))
     draw = F.pmod(F.xxhash64("doc_id", "n"), F.lit(1 << 30)) < F.lit(int(wanted * (1 << 30)))
-    sample = coded.where(draw).select("ids", "n").limit(2 * (SAMPLE + MEASURED)).mapInArrow(_sampled(bm25), "terms array<long>, weights array<float>").toPandas()
-    sample = list(zip(sample["terms"], sample["weights"]))
+    sample = coded.where(draw).select("ids", "n").limit(2 * (SAMPLE + MEASURED)).mapInArrow(_sampled(bm25), "terms binary, weights binary").toPandas()
+    sample = [(np.frombuffer(t, "<u2"), np.frombuffer(w, "<f4")) for t, w in zip(sample["terms"], sample["weights"])]
     step = max(1, len(sample) // SAMPLE)
     centres, size = clusters(sample[::step], min(parts, CLUSTERS), [x for i, x in enumerate(sample) if i % step] if step > 1 else None)
     share = np.maximum(1, np.ceil(size / max(1, size.sum()) * parts)).astype(np.int64)

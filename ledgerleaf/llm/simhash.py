@@ -50,7 +50,6 @@ WORD_RADIUS, WORD_BITS, WORD_MASKS = 10, 20, 32
 SIGNATURE = (64, 1024)
 #: Candidates that each member of a cell names in the first round of ``similar``.
 NEAREST = 4
-FILTER_BITS = 22
 
 
 def _signed(x: int) -> int:
@@ -469,19 +468,14 @@ def _described(size: int):
     return run
 
 
-def _whole_sets(size: int, wanted: np.ndarray):
-    """Whole sets of the nodes that may be wanted; wanted is a bit for each value of a node's low bits."""
+def _whole_sets(size: int):
+    """(node, hashes) of every text."""
 
     def run(batches):
         for b in batches:
-            nodes, sets = [], []
-            for t in b.column(1).to_pylist():
-                h = np.unique(shingle_hashes(words_of(t), size))
-                x = node_of(h)
-                if wanted[x & (len(wanted) - 1)]:
-                    nodes.append(x)
-                    sets.append(h.view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(sets, pa.list_(pa.int64()))], names=["node", "hashes"])
+            sets = [np.unique(shingle_hashes(words_of(t), size)) for t in b.column(1).to_pylist()]
+            nodes = np.array([node_of(h) for h in sets], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array([h.view(np.int64) for h in sets], pa.list_(pa.int64()))], names=["node", "hashes"])
         common.trim()
 
     return run
@@ -574,16 +568,20 @@ def _bounded(similar: tuple[int, int]):
 
 
 def _verified(rows: DataFrame, members: DataFrame, size: int, similar: tuple[int, int], pairs: DataFrame) -> DataFrame:
-    """The pairs (u, v) of nodes whose whole sets are similar; members has node, n and sig, a row for each node."""
+    """The pairs (u, v) of nodes whose whole sets are similar; members has node, n, sig and least, a row for each node.
+
+    Only the texts of nodes in a pair that their signatures leave open are hashed again, one document for each node.
+    """
     num, den = similar
     for c, n, sig in (("u", "na", "x"), ("v", "nb", "y")):
         pairs = pairs.join(members.select(F.col("node").alias(c), F.col("n").alias(n), F.col("sig").alias(sig)), c)
     pairs = common.cut(pairs.select("u", "v", "na", "nb", "x", "y").mapInArrow(_bounded(similar), "u long, v long"))
     ends = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
-    wanted = np.zeros(1 << FILTER_BITS, bool)  # at most so many numbers reach the driver
-    wanted[ends.select(F.col("node").bitwiseAND(F.lit(len(wanted) - 1)).cast("int").alias("x")).distinct().toPandas()["x"].to_numpy(np.int64)] = True
-    sets = rows.mapInArrow(_whole_sets(size, wanted), "node long, hashes array<long>").dropDuplicates(["node"])
-    sets = common.cut(sets.join(ends, "node", "left_semi"))
+    wanted = common.cut(members.join(ends, "node", "left_semi").select("node", F.col("least").alias("doc_id")))
+    texts = rows.join(common.few(wanted.select("doc_id").distinct()), "doc_id", "left_semi")
+    # another text of the same doc_id is left out by its node
+    sets = texts.mapInArrow(_whole_sets(size), "node long, hashes array<long>").join(common.few(wanted.select("node")), "node", "left_semi")
+    sets = common.cut(sets.dropDuplicates(["node"]))
     both = pairs.join(sets.select(F.col("node").alias("u"), F.col("hashes").alias("a")), "u").join(sets.select(F.col("node").alias("v"), F.col("hashes").alias("b")), "v")
     return common.cut(both.where(F.size(F.array_intersect("a", "b")) * (num + den) >= (F.size("a") + F.size("b")) * num).select("u", "v"))
 
@@ -600,13 +598,13 @@ def similar(docs: DataFrame, size: int = SIMILAR_SHINGLE, least: tuple[int, int]
     rows = _texts(docs).where("doc_id is not null")
     made = common.cut(rows.mapInArrow(_described(size), "doc_id long, node long, fp long, n int, sig binary"))
     classes = common.cut(made.groupBy("node").agg(F.min("doc_id").alias("least")))
-    members = common.cut(made.select("node", "fp", "n", "sig").dropDuplicates(["node"]))
+    members = common.cut(made.select("node", "fp", "n", "sig").dropDuplicates(["node"]).join(classes, "node"))
     met = common.cut(cells(members.select("fp", "node"), word_masks(), WORD_RADIUS, limit))
 
     def pairs(labelled: DataFrame, each: int | None) -> DataFrame:
         small, large = _of_size(met)
         few = by_cell(small.join(labelled.select("node", "component"), "node"), "fp", "node", "component").drop("one", "two")
-        many = by_cell(large.join(labelled.drop("fp"), "node"), "part", "fp", "node", "component", "n", "sig")
+        many = by_cell(large.join(labelled.drop("fp", "least"), "node"), "part", "fp", "node", "component", "n", "sig")
         found = few.mapInArrow(_small_candidates(WORD_RADIUS), "u long, v long")
         return found.unionByName(many.mapInArrow(_candidates(WORD_RADIUS, least, each), "u long, v long")).distinct()
 
