@@ -36,9 +36,16 @@ def compare_cells(split: DataFrame, gt: DataFrame, pred: DataFrame) -> DataFrame
     reads blank on the other; predictions of samples outside the split are left out.
     """
     both = gt.select("row_idx", "key", "gt").join(pred.select("row_idx", "key", "pred"), ["row_idx", "key"], "full")
-    both = both.join(split.select("row_idx", "sample_id", "tier"), "row_idx")
-    both = both.withColumns({"gt": text.text("gt"), "pred": text.text("pred")})
-    both = both.withColumns({"cls": keys.class_of("key"), "gt_n": text.normalize("key", "gt"), "pred_n": text.normalize("key", "pred")})
+    return compared(both.join(split.select("row_idx", "sample_id", "tier"), "row_idx"))
+
+
+def compared(both: DataFrame) -> DataFrame:
+    """The cell table of rows (row_idx, sample_id, tier, key, gt, pred) that hold both sides.
+
+    Type, class and region follow from the key alone and are found once for a cell, not once for each side.
+    """
+    both = both.withColumns({"gt": text.text("gt"), "pred": text.text("pred"), "kind": text.kind_of("key"), "cls": keys.class_of("key")})
+    both = both.withColumns({"gt_n": text.normalize_as("kind", "gt"), "pred_n": text.normalize_as("kind", "pred")})
     cls = F.col("cls")
     return both.select(
         "row_idx",

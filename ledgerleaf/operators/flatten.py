@@ -94,37 +94,43 @@ def flat_json(texts: pd.Series) -> pd.Series:
     return texts.map(one)
 
 
-_STEP = re.compile(r"^(.*)\[(\d+)\]$")
+def steps_of(path: str) -> list:
+    """Names and list positions of a path: "a.b[2].c" is ["a", "b", 2, "c"]."""
+    out: list = []
+    for part in path.split("."):
+        name, bracket, number = part.rpartition("[")
+        if bracket and number.endswith("]") and number[:-1].isdecimal():
+            out += [name, int(number[:-1])]
+        else:
+            out.append(part)
+    return out
+
+
+def _level(steps: list) -> str:
+    return "value" if not steps else "list" if isinstance(steps[0], int) else "object"
+
+
+def _built(items: list[tuple[list, str]]):
+    """The value that items (remaining steps, text) make, groups of equal first steps first.
+
+    Items that want different things at one place, a text, an object or a list, follow each other: the last kind holds, from
+    where it began.
+    """
+    kind, first = _level(items[-1][0]), len(items)
+    while first and _level(items[first - 1][0]) == kind:
+        first -= 1
+    if kind == "value":
+        return items[-1][1]
+    groups: dict = {}
+    for steps, text in items[first:]:
+        groups.setdefault(steps[0], []).append((steps[1:], text))
+    made = {step: _built(rows) for step, rows in groups.items()}
+    return made if kind == "object" else [made.get(i, {}) for i in range(max(made) + 1)]
 
 
 def unflat(cells: list[tuple[str, str]]) -> dict:
     """Nested form of flat cells: dots make objects, [i] makes lists (gaps become {})."""
-    root: dict = {}
-    for path, value in cells:
-        node, steps = root, path.split(".")
-        for n, step in enumerate(steps):
-            last = n == len(steps) - 1
-            m = _STEP.match(step)
-            name, at = (m[1], int(m[2])) if m else (step, None)
-            if at is None:
-                if last:
-                    node[name] = value
-                else:
-                    if not isinstance(node.get(name), dict):
-                        node[name] = {}
-                    node = node[name]
-                continue
-            if not isinstance(node.get(name), list):
-                node[name] = []
-            row = node[name]
-            row.extend({} for _ in range(at + 1 - len(row)))
-            if last:
-                row[at] = value
-            else:
-                if not isinstance(row[at], dict):
-                    row[at] = {}
-                node = row[at]
-    return root
+    return _built([(steps_of(path), text) for path, text in cells]) if cells else {}
 
 
 @F.pandas_udf(T.StringType())

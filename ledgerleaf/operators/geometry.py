@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from ..functions.keys import SERVICE_FIELD
 
 PAGE = (612.0, 792.0)
+# fixed values: the standard form's bands on a page of 2550 x 3300 pixels (300 dpi): x0, y0, x1, y1
+STANDARD_PAGE = (2550, 3300)
+STANDARD_BANDS = {"top": (0, 0, 2550, 2254), "service": (0, 2154, 2550, 2847), "bottom": (0, 2747, 2550, 3300)}
 POINTS_PER_INCH = 72.0
 
 
@@ -35,3 +38,14 @@ def bands(rects: DataFrame, dpi: int = 300, page: tuple[float, float] = PAGE, ov
     clamp = lambda c: F.greatest(F.lit(0), F.least(F.lit(h), c))
     cuts = (("top", F.lit(0), clamp(F.col("a") + pad)), ("service", clamp(F.col("a") - pad), clamp(F.col("b") + pad)), ("bottom", clamp(F.col("b") - pad), F.lit(h)))
     return row.select(F.inline(F.array(*(F.struct(F.lit(n).alias("region"), F.lit(0).alias("x0"), y0.alias("y0"), F.lit(w).alias("x1"), y1.alias("y1")) for n, y0, y1 in cuts))))
+
+
+def standard_bands(pages: DataFrame, model_bands: tuple[str, ...] = tuple(STANDARD_BANDS)) -> DataFrame:
+    """pages (width, height, ..) with region, x0, y0, x1, y1: the standard bands scaled to each page's size, cut to whole pixels."""
+
+    def scaled(i: int, values: tuple) -> Column:
+        side = F.col("width") if i % 2 == 0 else F.col("height")
+        return F.floor(F.lit(values[i]) * (side / F.lit(STANDARD_PAGE[i % 2]))).cast("int")
+
+    rows = F.array(*(F.struct(F.lit(n).alias("region"), *(scaled(i, STANDARD_BANDS[n]).alias(c) for i, c in enumerate(("x0", "y0", "x1", "y1")))) for n in model_bands))
+    return pages.select("*", F.inline(rows))

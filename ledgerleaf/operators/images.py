@@ -12,6 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..functions.keys import TIERS
 
@@ -51,8 +52,9 @@ def salt_pepper(px, rng, share):
     return out
 
 
-def fade(px, rng, amount):
-    return _u8(255 - (255 - px.astype(float)) * (1 - amount))
+def fade(px, rng, black):
+    """Black becomes the grey ``black``, white stays."""
+    return _u8(black + px.astype(float) * (255 - black) / 255)
 
 
 def binarize(px, rng, level):
@@ -81,23 +83,34 @@ def perspective(px, rng, amount):
 
 
 def lighting(px, rng, amount):
+    """A slope of light across the page at a drawn angle, from 1 - amount to 1 + amount."""
     y, x = _grid(px)
     a = rng.uniform(0, 2 * np.pi)
-    ramp = (y / px.shape[0] - 0.5) * np.sin(a) + (x / px.shape[1] - 0.5) * np.cos(a)
-    return _u8(px * (1 - amount * (ramp + 0.5))[..., None])
+    ramp = np.sin(a) * y / px.shape[0] + np.cos(a) * x / px.shape[1]
+    ramp = (ramp - ramp.min()) / max(1e-6, np.ptp(ramp))
+    return _u8(px * (1 + amount * (2 * ramp - 1))[..., None])
 
 
-def shadow(px, rng, amount):
-    y, x = _grid(px)
-    edge = rng.uniform(0.2, 0.8) * px.shape[1] + rng.uniform(-0.3, 0.3) * y
-    return _u8(px * np.where(x < edge, 1 - amount, 1.0)[..., None])
+def shadow(px, rng, amount, sides: int = 4):
+    """Darkest at a drawn side (left, right, top, bottom) by amount, falling off to the other."""
+    side = int(rng.integers(0, sides))
+    n = px.shape[1] if side < 2 else px.shape[0]
+    fall = 1 - amount * np.linspace(1, 0, n)[:: -1 if side % 2 else 1]
+    return _u8(px * (fall[None, :, None] if side < 2 else fall[:, None, None]))
+
+
+def side_shadow(px, rng, amount):
+    return shadow(px, rng, amount, 2)
 
 
 def blur(px, rng, radius):
-    out, k = px.astype(float), int(radius)
+    k = max(1, int(3 * radius + 0.5))
+    weight = np.exp(-0.5 * (np.arange(-k, k + 1) / radius) ** 2)
+    weight /= weight.sum()
+    out = px.astype(float)
     for axis in (0, 1):
         pad = np.pad(out, [(k, k) if i == axis else (0, 0) for i in range(3)], mode="edge")
-        out = sum(np.take(pad, np.arange(px.shape[axis]) + i, axis=axis) for i in range(2 * k + 1)) / (2 * k + 1)
+        out = sum(w * np.take(pad, np.arange(px.shape[axis]) + i, axis=axis) for i, w in enumerate(weight))
     return _u8(out)
 
 
@@ -136,13 +149,14 @@ def crinkle(px, rng, amount):
     return _sample(px, y + amount * np.sin(x / 17 + py), x + amount * np.sin(y / 23 + pxs))
 
 
+# fixed values: the steps of a tier with their amounts; a pair is drawn from, both ends included
 STEPS: dict[str, list[tuple]] = {
     "pristine": [],
-    "clean_scan": [(rotate, 0.4), (gaussian_noise, 3)],
-    "worn_scan": [(rotate, 1.2), (fade, 0.25), (gaussian_noise, 7), (vertical_streaks, 3), (salt_pepper, 0.002)],
-    "fax": [(resample, 1.6), (binarize, 160), (salt_pepper, 0.006), (vertical_streaks, 4)],
-    "phone_photo": [(perspective, 0.12), (lighting, 0.35), (shadow, 0.25), (blur, 1), (gaussian_noise, 4)],
-    "worst": [(rotate, 2.5), (crinkle, 1.5), (coffee_stain, 0.6), (redaction_bars, 2), (staple_holes, 2), (fade, 0.35), (gaussian_noise, 10), (resample, 1.4)],
+    "clean_scan": [(rotate, 1.0), (gaussian_noise, 2), (fade, 10)],
+    "worn_scan": [(rotate, 3.0), (gaussian_noise, 5), (fade, 40), (salt_pepper, 0.0008)],
+    "fax": [(rotate, 2.0), (binarize, 160), (vertical_streaks, (6, 15)), (resample, 2)],
+    "phone_photo": [(perspective, 0.03), (rotate, 1.5), (lighting, 0.20), (shadow, 0.25), (blur, 0.8)],
+    "worst": [(crinkle, 4.0), (rotate, 5.0), (gaussian_noise, 6), (fade, 50), (side_shadow, 0.30), (coffee_stain, 0.35), (staple_holes, 2), (redaction_bars, (1, 3))],
 }
 assert tuple(STEPS) == TIERS
 
@@ -152,7 +166,7 @@ def degrade(px: np.ndarray, tier: str, seed: int) -> np.ndarray:
         raise ValueError(f"unknown tier: {tier}")
     rng = np.random.default_rng(seed)
     for step, amount in STEPS[tier]:
-        px = step(px, rng, amount)
+        px = step(px, rng, int(rng.integers(amount[0], amount[1] + 1)) if isinstance(amount, tuple) else amount)
     return px
 
 
@@ -173,3 +187,19 @@ def apply_tiers(images: DataFrame) -> DataFrame:
 def crop(px: np.ndarray, box: tuple[int, int, int, int]) -> np.ndarray:
     x0, y0, x1, y1 = box
     return px[y0:y1, x0:x1]
+
+
+def _cropped(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        out = []
+        for r in b.itertuples(index=False):
+            px = crop(np.frombuffer(r.pixels, np.uint8).reshape(r.height, r.width, -1), (r.x0, r.y0, r.x1, r.y1))
+            out.append((r.sample_id, r.region, *px.shape[:2], px.tobytes()))
+        yield pd.DataFrame(out, columns=["sample_id", "region", "height", "width", "pixels"])
+
+
+def crop_regions(images: DataFrame, bands: list[tuple[str, int, int, int, int]]) -> DataFrame:
+    """(sample_id, region, height, width, pixels): every page cut at each of the bands (region, x0, y0, x1, y1)."""
+    each = F.array(*(F.struct(F.lit(n).alias("region"), *(F.lit(v).alias(c) for c, v in zip(("x0", "y0", "x1", "y1"), box))) for n, *box in bands))
+    rows = images.select("sample_id", "height", "width", "pixels", F.inline(each))
+    return rows.mapInPandas(_cropped, "sample_id string, region string, height int, width int, pixels binary")

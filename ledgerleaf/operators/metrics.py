@@ -58,11 +58,21 @@ def worst_fields(cells: DataFrame, n: int = 15) -> DataFrame:
 
 
 def top_misses(cells: DataFrame, fields: int = 5, pairs: int = 5) -> DataFrame:
-    """(key, rank, gt_n, pred_n, misses) of the worst fields; equal counts by first row, then by text."""
-    worst = worst_fields(cells, fields).select("key")
-    per = cells.where(~F.col("norm")).join(F.broadcast(worst), "key").groupBy("key", "gt_n", "pred_n").agg(F.count("*").alias("misses"), F.min("row_idx").alias("first_row"))
-    order = Window.partitionBy("key").orderBy(F.desc("misses"), "first_row", "gt_n", "pred_n")
-    return per.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= pairs).select("key", "rank", "gt_n", "pred_n", "misses")
+    """(key, rank, gt_n, pred_n, misses) of the worst fields; equal counts by first row, then by text.
+
+    One pass over the cells: counts by (key, pair), from which both a field's accuracy and the order of its misses follow.  The
+    last ranking is over at most ``pairs`` rows a key.
+    """
+    per = cells.groupBy("key", "norm", "gt_n", "pred_n").agg(F.count("*").alias("misses"), F.min("row_idx").alias("first_row"))
+    # right pairs are summed up before they meet their field's misses
+    hit = F.col("norm")
+    per = per.groupBy("key", "norm", F.when(~hit, F.col("gt_n")).alias("gt_n"), F.when(~hit, F.col("pred_n")).alias("pred_n")).agg(F.sum("misses").alias("misses"), F.min("first_row").alias("first_row"))
+    field = Window.partitionBy("key")
+    per = per.withColumns({"total": F.sum("misses").over(field), "hits": F.sum(F.when(hit, F.col("misses")).otherwise(0)).over(field)})
+    rank = F.row_number().over(field.orderBy("norm", F.desc("misses"), "first_row", "gt_n", "pred_n"))
+    per = per.withColumn("rank", rank).where(~hit & (F.col("rank") <= pairs))
+    worst = F.dense_rank().over(Window.partitionBy(F.lit(0)).orderBy(F.col("hits") / F.col("total"), F.desc("total"), "key"))
+    return per.withColumn("_worst", worst).where(F.col("_worst") <= fields).select("key", "rank", "gt_n", "pred_n", "misses")
 
 
 def populated_blank(cells: DataFrame, *by: str) -> DataFrame:

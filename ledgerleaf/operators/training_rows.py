@@ -52,3 +52,12 @@ def vlm_rows(rows: DataFrame, prompt: str) -> DataFrame:
     """(image, prompt, target, sample_id, tier, split); val is named validation."""
     split = F.when(F.col("split") == "val", "validation").otherwise(F.col("split"))
     return rows.select(F.col("image_path").alias("image"), F.lit(prompt).alias("prompt"), F.col("target_json").alias("target"), "sample_id", "tier", split.alias("split"))
+
+
+def dataset_rows(rows: DataFrame, cells: DataFrame, keys: list[str], folder: str = "") -> DataFrame:
+    """Training rows of all splits: rows as ``sources.files.read_dataset_splits`` gives them, cells (json, cells) as
+    ``read_labels`` does; the prompt names the same keys for every row."""
+    labelled = rows.join(cells, "json")
+    path = F.concat(F.lit(f"{folder.rstrip('/')}/" if folder else ""), F.col("image"))
+    made = labelled.select(path.alias("image_path"), "sample_id", "tier", "split", target_json(F.col("cells")).alias("target_json"))
+    return vlm_rows(made, instruction(keys))

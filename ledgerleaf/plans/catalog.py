@@ -26,6 +26,10 @@ def query(name: str, oracle: str | None = None):
 
 
 def all_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cell_ops.compared(Claims(spark, sf_dir).both)
+
+
+def joined_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = Claims(spark, sf_dir)
     return cell_ops.compare_cells(c.split, c.gt, c.pred)
 
@@ -33,7 +37,7 @@ def all_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- scoring
 @query("cell_compare", claims.o_cells("SELECT row_idx, sample_id, tier, key, gt_n, pred_n, exact, norm, region, coalesce(cls, '') AS cls, round(coalesce(cer, -1.0), 6) AS cer FROM cells"))
 def cell_compare(spark, sf_dir):
-    x = all_cells(spark, sf_dir)
+    x = joined_cells(spark, sf_dir)
     return x.select("row_idx", "sample_id", "tier", "key", "gt_n", "pred_n", "exact", "norm", "region", F.coalesce("cls", F.lit("")).alias("cls"), F.round(F.coalesce("cer", F.lit(-1.0)), 6).alias("cer"))
 
 
@@ -123,7 +127,7 @@ def cer_by_class(spark, sf_dir):
 
 def _validity(spark, sf_dir):
     c = Claims(spark, sf_dir)
-    want = c.gt.groupBy("row_idx").agg(F.collect_set("key").alias("want"))
+    want = c.rows.select("row_idx", F.transform("cells", lambda x: x["key"]).alias("want"))
     out = c.pred.groupBy("row_idx").agg(F.collect_set("key").alias("got"))
     out = out.select(F.col("row_idx").cast("string").alias("sample_id"), (F.col("row_idx") % 7 != 0).alias("parse_ok"), F.when(F.col("row_idx") % 7 != 0, F.col("got")).otherwise(F.array().cast("array<string>")).alias("got"))
     return c.split, want, out

@@ -102,7 +102,7 @@ def _tagged(query: str, names: list[str]) -> str:
 
 
 class Claims:
-    """The claim tables of a folder as DataFrames."""
+    """The claim tables of a folder as DataFrames; each reads orders, customer, nation and lineitem once at most."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
@@ -115,29 +115,57 @@ class Claims:
         return self._of("split")
 
     @property
-    def gt(self) -> DataFrame:
-        """One pass over claims and one over lines: cells are unpivoted in the row, not by a union of scans."""
+    def claim(self) -> DataFrame:
+        return self._of("claim")
+
+    @property
+    def line(self) -> DataFrame:
+        return self._of("line")
+
+    @property
+    def rows(self) -> DataFrame:
+        """(row_idx, cells): a row a claim, with its cells (pos, key, gt) as an array.
 
-        def cells(exprs) -> F.Column:
-            return F.inline(F.array(*(F.struct(F.expr(p).cast("int").alias("pos"), F.expr(key).alias("key"), F.expr(v).alias("gt")) for p, key, v in exprs)))
+        The first six line items of an order: an order's items are few, so they are gathered and sorted in its row.
+        """
+        order = ("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+        items = table(self.spark, self.sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.slice(F.array_sort(F.collect_list(F.struct(*order, "l_shipdate"))), 1, 6).alias("items"))
 
-        header = self.claim.select(F.col("k").alias("row_idx"), cells((str(p), f"'{key}'", v) for p, key, v in HEADER))
-        lines = self.line.select(F.col("k").alias("row_idx"), cells((f"20 + 10 * i + {p}", f"concat('box_24_service_lines[', i, '].{name}')", v) for p, name, v in LINE))
-        return header.unionByName(lines)
+        def cell(pos, key, value) -> F.Column:
+            return F.struct(pos.cast("int").alias("pos"), key.alias("key"), value.cast("string").alias("gt"))
+
+        header = F.array(*(cell(F.lit(p), F.lit(key), F.expr(v)) for p, key, v in HEADER))
+
+        lines = F.expr(
+            "flatten(transform(items, (item, i) -> array("
+            + ", ".join(f"named_struct('pos', cast(20 + 10 * i + {p} as int), 'key', concat('box_24_service_lines[', i, '].{name}'), 'gt', {re.sub(chr(92) + 'bl_', 'item.l_', v)})" for p, name, v in LINE)
+            + ")))"
+        )
+        claims = self.claim.join(items, "k", "left")
+        return claims.select(F.col("k").alias("row_idx"), F.concat(header, F.coalesce(lines, F.slice(header, 1, 0))).alias("cells"))
 
     @property
-    def pred(self) -> DataFrame:
-        rows = self.gt.where(f"row_idx % 23 <> 0 AND {BUCKET} >= 4").select("row_idx", "pos", "key", F.expr(SPOILT).alias("pred"))
-        extra = self.split.where("row_idx % 11 = 0 AND row_idx % 23 <> 0").select("row_idx", F.lit(99).alias("pos"), F.lit("box_99_unknown").alias("key"), F.lit("x").alias("pred"))
-        return rows.unionByName(extra)
+    def gt(self) -> DataFrame:
+        return self.rows.select("row_idx", F.inline("cells"))
 
     @property
-    def claim(self) -> DataFrame:
-        return self._of("claim")
+    def pred(self) -> DataFrame:
+        """Predictions by the claim's row: its cells spoilt, and a key that the form does not have."""
+        extra = F.when(F.expr("row_idx % 11 = 0"), F.array(F.struct(F.lit(99).alias("pos"), F.lit("box_99_unknown").alias("key"), F.lit("x").alias("gt")))).otherwise(F.slice("cells", 1, 0))
+        cells = self.rows.where("row_idx % 23 <> 0").select("row_idx", F.inline(F.concat("cells", extra)))
+        return cells.where(f"pos = 99 OR {BUCKET} >= 4").select("row_idx", "pos", "key", F.expr(f"CASE WHEN pos = 99 THEN gt ELSE {SPOILT} END").alias("pred"))
 
     @property
-    def line(self) -> DataFrame:
-        return self._of("line")
+    def both(self) -> DataFrame:
+        """(row_idx, sample_id, tier, key, gt, pred): truth and prediction of each key from one pass over the tables.
+
+        Predictions follow from the truth row by row here, so no join is needed to put them side by side; ``compare_cells`` is
+        the operator for sides that are apart.
+        """
+        extra = F.when(F.expr("row_idx % 11 = 0 AND row_idx % 23 <> 0"), F.array(F.struct(F.lit(99).alias("pos"), F.lit("box_99_unknown").alias("key"), F.lit("").alias("gt")))).otherwise(F.slice("cells", 1, 0))
+        cells = self.rows.select("row_idx", F.expr(TIER.format(k="row_idx")).alias("tier"), F.inline(F.concat("cells", extra)))
+        pred = F.expr(f"CASE WHEN pos = 99 THEN 'x' WHEN row_idx % 23 = 0 OR {BUCKET} < 4 THEN '' ELSE {SPOILT} END")
+        return cells.select("row_idx", F.col("row_idx").cast("string").alias("sample_id"), "tier", "key", "gt", pred.alias("pred"))
 
     @property
     def predictions(self) -> DataFrame:

@@ -12,8 +12,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window
 
-from ..operators import flatten
+from ..operators import flatten, splits
 
 MANIFEST = T.StructType([T.StructField(n, T.LongType() if n == "seed" else T.StringType()) for n in ("sample_id", "tier", "seed", "image", "json", "pdf", "split")])
 
@@ -22,14 +23,39 @@ def slashes(path: Column) -> Column:
     return F.translate(path, "\\", "/")
 
 
-def _numbered(df: DataFrame) -> DataFrame:
-    """row_idx by file and place in it: lines of one file keep their order."""
-    return df.withColumn("row_idx", F.monotonically_increasing_id())
+def basename(path: Column) -> Column:
+    """The last part of a path, written with either kind of slash."""
+    return F.substring_index(slashes(path), "/", -1)
+
+
+def _placed(df: DataFrame) -> DataFrame:
+    """Rows as read with their place: file, start of the piece of it, and order within the piece.
+
+    Files are read by pieces packed by size, so the number that Spark gives a row follows a file's order only within a piece.
+    """
+    return df.select("*", F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("row")).alias("_at"))
+
+
+def _numbered(placed: DataFrame) -> DataFrame:
+    """row_idx 0, 1, 2, .. by file name and place in the file: pieces are counted, and rows numbered within their piece."""
+    piece = F.struct("_at.file", "_at.start")
+    rows = placed.withColumn("_piece", piece)
+    sizes = rows.groupBy("_piece").agg(F.count("*").alias("_c"))
+    base = sizes.select(F.col("_piece").alias("_p"), (F.sum("_c").over(Window.orderBy("_piece")) - F.col("_c")).alias("_base"))  # a row a piece
+    inside = F.row_number().over(Window.partitionBy("_piece").orderBy("_at.row"))
+    rows = rows.withColumn("_i", inside).join(F.broadcast(base), F.col("_piece") == F.col("_p"))
+    return rows.withColumn("row_idx", F.col("_base") + F.col("_i") - 1).drop("_at", "_piece", "_p", "_base", "_i")
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    sc = spark.sparkContext
+    where = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(where.getFileSystem(sc._jsc.hadoopConfiguration()).globStatus(where))
 
 
 def read_manifest(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
     """Manifest or split rows with row_idx; blank lines are skipped, duplicates kept.  strict: an empty one is an error."""
-    lines = _numbered(spark.read.text(path)).where(F.trim("value") != "")
+    lines = _numbered(_placed(spark.read.text(path)).where(F.trim("value") != ""))
     rows = lines.select("row_idx", F.from_json("value", MANIFEST, {"mode": "FAILFAST"}).alias("x")).select("row_idx", "x.*")
     rows = rows.withColumns({"image": slashes(F.col("image")), "json": slashes(F.col("json")), "pdf": slashes(F.col("pdf"))})
     if strict and not rows.limit(1).count():
@@ -37,6 +63,47 @@ def read_manifest(spark: SparkSession, path: str, strict: bool = False) -> DataF
     return rows
 
 
+def split_manifest(spark: SparkSession, path: str, out: str, seed: int = 0) -> DataFrame:
+    """Reads a manifest, splits it by tier with a seed, writes the splits to out and returns them."""
+    rows = splits.hash_stratified(read_manifest(spark, path).drop("split"), "tier", "sample_id", seed)
+    write_splits(rows.drop("row_idx"), out)
+    return rows
+
+
+def sample_artefacts(manifest: DataFrame, per_tier: int) -> DataFrame:
+    """(sample_id, tier, path) of the first samples of each tier: what a sample folder holds of a batch."""
+    some = splits.first_per_group(manifest, "tier", "row_idx", per_tier)
+    return some.select("sample_id", "tier", F.explode(F.filter(F.array("image", "json", "pdf"), lambda x: x.isNotNull())).alias("path"))
+
+
+def copy_artefacts(spark: SparkSession, artefacts: DataFrame, folder: str, out: str) -> DataFrame:
+    """(path, target, bytes): copies files by executors, from below folder to out, under tier and file name."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    found = files.join(F.broadcast(artefacts), files["path"].endswith(F.concat(F.lit("/"), artefacts["path"])))
+    rows = found.select(artefacts["path"].alias("path"), F.concat_ws("/", F.lit(out.rstrip("/")), "tier", basename(artefacts["path"])).alias("target"), "content")
+    return rows.mapInPandas(_copied, "path string, target string, bytes long")
+
+
+def _copied(batches):
+    import os
+
+    for b in batches:
+        for target, content in zip(b["target"], b["content"]):
+            where = target.removeprefix("file://").removeprefix("file:")
+            os.makedirs(os.path.dirname(where), exist_ok=True)
+            with open(f"{where}.part", "wb") as f:
+                f.write(content)
+            os.replace(f"{where}.part", where)  # a retried task writes the same file again
+        yield pd.DataFrame({"path": b["path"], "target": b["target"], "bytes": [len(c) for c in b["content"]]})
+
+
+def print_keys(cells: DataFrame, most_rows: int | None = None) -> list[str]:
+    """Prints the keys of a batch in first-seen order, a line each, and returns them."""
+    names = [r.key for r in splits.canonical_keys(cells, most_rows).orderBy("position").collect()]  # a row a key
+    print("\n".join(names))
+    return names
+
+
 def read_labels(spark: SparkSession, folder: str, part: str = "logical") -> DataFrame:
     """(json, cells): flat cells of each label file below folder; json is its path relative to the folder."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").load(folder)
@@ -96,28 +163,30 @@ def _prediction(lines: pd.Series) -> pd.DataFrame:
 
 
 def _prediction_lines(spark: SparkSession, path: str) -> DataFrame:
-    lines = _numbered(spark.read.text(path)).where(F.trim("value") != "")
-    return lines.select("row_idx", _prediction("value").alias("x")).select("row_idx", "x.*")
+    lines = _placed(spark.read.text(path)).where(F.trim("value") != "")
+    return lines.select("_at", _prediction("value").alias("x")).select("_at", "x.*")
 
 
 def read_predictions(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
-    """(sample_id, fields): the last line of each sample.  strict: a line that is no prediction is an error."""
+    """(sample_id, fields): the last line of each sample, files by name.  strict: a line that is no prediction is an error."""
     rows = _prediction_lines(spark, path)
     if strict:
         rows = rows.where(F.when(F.col("bad"), F.raise_error(F.lit("malformed prediction line"))).otherwise(F.lit(True)))
-    return rows.where(~F.col("bad")).groupBy("sample_id").agg(F.max_by("fields", "row_idx").alias("fields"))
+    return rows.where(~F.col("bad")).groupBy("sample_id").agg(F.max_by("fields", "_at").alias("fields"))
 
 
 def read_validity(spark: SparkSession, path: str) -> DataFrame:
-    """(sample_id, parse_ok, got): the tolerant reading; lines without a sample are skipped."""
+    """(sample_id, parse_ok, got): the tolerant reading; lines without a sample are skipped, a missing file has none."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], "sample_id string, parse_ok boolean, got array<string>")
     rows = _prediction_lines(spark, path).where(F.col("sample_id").isNotNull())
-    return rows.groupBy("sample_id").agg(F.max_by(F.struct("parse_ok", "got"), "row_idx").alias("x")).select("sample_id", "x.*")
+    return rows.groupBy("sample_id").agg(F.max_by(F.struct("parse_ok", "got"), "_at").alias("x")).select("sample_id", "x.*")
 
 
 def read_codes(spark: SparkSession, path: str) -> DataFrame:
-    """(ordinal, code, description) of a code set; codes keep their zeros."""
+    """(ordinal, code, description) of a code set, ordinals 0, 1, 2, ..; codes keep their zeros."""
     rows = spark.read.csv(path, header=True, schema="code string, description string")
-    return _numbered(rows).select(F.col("row_idx").alias("ordinal"), "code", "description")
+    return _numbered(_placed(rows)).select(F.col("row_idx").alias("ordinal"), "code", "description")
 
 
 def read_images(spark: SparkSession, folder: str, pattern: str = "*.png") -> DataFrame:
@@ -149,3 +218,19 @@ def write_report(parts: dict[str, DataFrame], path: str) -> None:
 
 def write_dataset(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").partitionBy("split").parquet(path)
+
+
+def read_dataset_splits(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of train.jsonl, val.jsonl and test.jsonl below folder; a missing one is left out, none at all is an error.
+
+    A row without a split takes its file's.
+    """
+    known = {name: f"{folder.rstrip('/')}/{name}.jsonl" for name in ("train", "val", "test")}
+    there = {name: path for name, path in known.items() if exists(spark, path)}
+    if not there:
+        raise FileNotFoundError(f"no split files below {folder}")
+    out = None
+    for name, path in there.items():
+        rows = read_manifest(spark, path).withColumn("split", F.coalesce("split", F.lit(name)))
+        out = rows if out is None else out.unionByName(rows)
+    return out
