@@ -42,11 +42,13 @@ def compare_cells(split: DataFrame, gt: DataFrame, pred: DataFrame) -> DataFrame
 def compared(both: DataFrame) -> DataFrame:
     """The cell table of rows (row_idx, sample_id, tier, key, gt, pred) that hold both sides.
 
-    Type, class and region follow from the key alone and are found once for a cell, not once for each side.
+    Type, class and region follow from the key alone: they are found once for a cell, not once for each side, or come with the
+    rows as kind, cls and region.  Sides that are equal as they are need no second comparison.
     """
-    both = both.withColumns({"gt": text.text("gt"), "pred": text.text("pred"), "kind": text.kind_of("key"), "cls": keys.class_of("key")})
+    found = {"kind": text.kind_of, "cls": keys.class_of, "region": keys.region_of}
+    both = both.withColumns({"gt": text.text("gt"), "pred": text.text("pred"), **{n: f("key") for n, f in found.items() if n not in both.columns}})
     both = both.withColumns({"gt_n": text.normalize_as("kind", "gt"), "pred_n": text.normalize_as("kind", "pred")})
-    cls = F.col("cls")
+    exact, cls = F.col("gt") == F.col("pred"), F.col("cls")
     return both.select(
         "row_idx",
         "sample_id",
@@ -56,9 +58,9 @@ def compared(both: DataFrame) -> DataFrame:
         "pred",
         "gt_n",
         "pred_n",
-        (F.col("gt") == F.col("pred")).alias("exact"),
-        (F.col("gt_n") == F.col("pred_n")).alias("norm"),
-        keys.region_of("key").alias("region"),
+        exact.alias("exact"),
+        (exact | (F.col("gt_n") == F.col("pred_n"))).alias("norm"),
+        "region",
         "cls",
-        F.when(cls.isin(*keys.CER_CLASSES) & (F.col("gt_n") != ""), keys.char_error_rate("pred_n", "gt_n")).alias("cer"),
+        F.when(cls.isin(*keys.CER_CLASSES) & (F.col("gt_n") != ""), F.when(exact, 0.0).otherwise(keys.char_error_rate("pred_n", "gt_n"))).alias("cer"),
     )

@@ -19,7 +19,10 @@ def _totals() -> tuple[Column, ...]:
 
 def field_stats(cells: DataFrame) -> DataFrame:
     """(tier, key, total, exact_hits, norm_hits, exact_acc, norm_acc); tier NULL is the key over all tiers."""
-    sets = cells.groupingSets([[F.col("tier"), F.col("key")], [F.col("key")]], F.col("tier"), F.col("key")).agg(*_totals())
+    per = cells.groupBy("tier", "key").agg(*_totals())
+    # the key over all tiers from the sums of each, a row a tier and key
+    sums = [F.sum(c).alias(c) for c in ("total", "exact_hits", "norm_hits")]
+    sets = per.groupingSets([[F.col("tier"), F.col("key")], [F.col("key")]], F.col("tier"), F.col("key")).agg(*sums)
     return sets.withColumns({"exact_acc": _rate(F.col("exact_hits"), F.col("total")), "norm_acc": _rate(F.col("norm_hits"), F.col("total"))})
 
 
@@ -99,7 +102,8 @@ def by_class(cells: DataFrame) -> DataFrame:
 
 def error_rates(cells: DataFrame) -> DataFrame:
     """(cls, n, mean_cer) of the classes that have one; cls 'overall' is the mean over all their cells."""
-    per = cells.where("cer is not null").groupBy("cls").agg(F.count("*").alias("n"), F.sum("cer").alias("s"))
+    # no filter on the rate: it would be computed a second time for it
+    per = cells.groupBy("cls").agg(F.count("cer").alias("n"), F.sum("cer").alias("s"))
     some = F.broadcast(_dimension(cells, "cls", keys.CER_CLASSES)).join(per, "cls", "left").fillna(0, ["n", "s"])
     every = some.agg(F.lit("overall").alias("cls"), F.sum("n").alias("n"), F.sum("s").alias("s"))
     return some.select("cls", "n", "s").unionByName(every).select("cls", "n", _rate(F.col("s"), F.col("n")).alias("mean_cer"))
@@ -130,18 +134,28 @@ def tier_order(seen: DataFrame) -> DataFrame:
 
 
 def summary_row(cells: DataFrame, split: DataFrame, valid: DataFrame, model: str) -> DataFrame:
-    """One wide row of a run: accuracies by tier and class, error rates and validity, rounded to four places."""
-
-    def part(df: DataFrame, name: str, value: str, names, pattern: str) -> DataFrame:
-        return df.agg(*(F.round(F.max(F.when(F.col(name) == x, F.col(value))), 4).alias(pattern.format(x)) for x in names))
+    """One wide row of a run: accuracies by tier and class, error rates and validity, rounded to four places.
 
-    pb = populated_blank(cells)
+    One aggregate over the cells by (tier, class, populated), a handful of rows, from which every number follows.  A tier without
+    populated cells is null, a class without any is 0.
+    """
+    sums = cells.groupBy("tier", "cls", (F.col("gt_n") != "").alias("full")).agg(
+        F.count("*").alias("n"), F.count_if("exact").alias("e"), F.count_if("norm").alias("h"), F.count("cer").alias("k"), F.coalesce(F.sum("cer"), F.lit(0.0)).alias("c")
+    )
+
+    def share(hits: str, of: str, when: Column, empty=0.0) -> Column:
+        total = F.sum(F.when(when, F.col(of)))
+        return F.round(F.when(total > 0, F.sum(F.when(when, F.col(hits))) / total).otherwise(F.lit(empty).cast("double")), 4)
+
+    full = F.col("full")
+    wide = {"populated_norm_acc": share("h", "n", full), "blank_norm_acc": share("h", "n", ~full)}
+    wide |= {f"tier_{t}_norm_acc": share("h", "n", full & (F.col("tier") == t), None) for t in keys.TIERS}
+    wide |= {f"class_{c}_exact": share("e", "n", full & (F.col("cls") == c)) for c in keys.CLASSES}
+    wide |= {f"cer_{c}": share("c", "k", F.col("cls") == c) for c in keys.CER_CLASSES}
+    wide["cer_overall"] = share("c", "k", F.lit(True))
     parts = [
         split.agg(F.count("*").alias("n_samples")),
-        pb.agg(*(F.round(F.coalesce(F.max(F.when(F.col("populated") == v, F.col("norm_acc"))), F.lit(0.0)), 4).alias(n) for v, n in ((True, "populated_norm_acc"), (False, "blank_norm_acc")))),
-        part(tier_populated(cells), "tier", "norm_acc", keys.TIERS, "tier_{}_norm_acc"),
-        part(by_class(cells), "cls", "exact_acc", keys.CLASSES, "class_{}_exact"),
-        part(error_rates(cells), "cls", "mean_cer", (*keys.CER_CLASSES, "overall"), "cer_{}"),
+        sums.agg(*(v.alias(k) for k, v in wide.items())),
         valid.select(F.round("valid_rate", 4).alias("json_valid_rate"), F.round("parse_rate", 4).alias("json_parse_rate")),
     ]
     one = [p.withColumn("_one", F.lit(1)) for p in parts]  # single rows, put side by side

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import forms, keys, text
 from ..operators import cells as cell_ops
-from ..operators import flatten, geometry, metrics, serving, splits, synth, training_rows, validators
+from ..operators import codes, flatten, geometry, metrics, report, serving, splits, synth, training_rows, validators
+from ..sources import files
 from . import claims
 from .claims import Claims, table, with_cells
 
@@ -155,24 +159,77 @@ def tier_order(spark, sf_dir):
     return metrics.tier_order(Claims(spark, sf_dir).split)
 
 
-@query(
-    "summary_wide",
-    claims.o_cells(""",
-t AS (SELECT tier, avg(CAST(norm AS INT)) AS a FROM cells WHERE gt_n <> '' GROUP BY tier)
-SELECT count(*) AS n_cells, """ + ", ".join(f"(SELECT round(max(CASE WHEN tier = '{x}' THEN a END), 6) FROM t) AS tier_{x}_norm_acc" for x in keys.TIERS) + " FROM cells"),
-)
-def summary_wide(spark, sf_dir):
-    c = all_cells(spark, sf_dir)
-    wide = c.where("gt_n <> ''").groupBy(F.lit(1).alias("_g")).pivot("tier", list(keys.TIERS)).agg(F.avg(F.col("norm").cast("int")))
-    n = c.agg(F.count("*").alias("n_cells")).withColumn("_g", F.lit(1))
-    return n.join(F.broadcast(wide), "_g").select("n_cells", *(F.round(F.col(x), 6).alias(f"tier_{x}_norm_acc") for x in keys.TIERS))
+_ROUND = "round(coalesce({}, 0.0), 4)"
+_VALID = """
+vw AS (SELECT g.row_idx, count(*) AS want, count(CASE WHEN g.row_idx % 7 <> 0 AND p.key IS NOT NULL THEN 1 END) AS got, bool_or(g.row_idx % 7 <> 0 AND q.row_idx IS NOT NULL) AS ok
+  FROM gt g LEFT JOIN pred p ON g.row_idx = p.row_idx AND g.key = p.key LEFT JOIN (SELECT DISTINCT row_idx FROM pred) q ON g.row_idx = q.row_idx GROUP BY g.row_idx)"""
+
+
+def _summary_sql(model: str) -> str:
+    acc = "avg(CASE WHEN {} THEN CAST({} AS INT) END)"
+    cols = [f"'{model}' AS model", "(SELECT count(*) FROM split) AS n_samples"]
+    cols += [_ROUND.format(acc.format(f"gt_n {op} ''", "norm")) + f" AS {n}" for op, n in (("<>", "populated_norm_acc"), ("=", "blank_norm_acc"))]
+    cols += [f"round({acc.format(f"gt_n <> '' AND tier = '{t}'", 'norm')}, 4) AS tier_{t}_norm_acc" for t in keys.TIERS]
+    cols += [_ROUND.format(acc.format(f"gt_n <> '' AND cls = '{c}'", "exact")) + f" AS class_{c}_exact" for c in keys.CLASSES]
+    cols += [_ROUND.format(f"avg(CASE WHEN cls = '{c}' THEN cer END)") + f" AS cer_{c}" for c in keys.CER_CLASSES] + [_ROUND.format("avg(cer)") + " AS cer_overall"]
+    cols += ["(SELECT round(avg(CAST(ok AND got = want AS INT)), 4) FROM vw) AS json_valid_rate", "(SELECT round(avg(CAST(ok AS INT)), 4) FROM vw) AS json_parse_rate"]
+    return claims.o_cells(f",{_VALID} SELECT {', '.join(cols)} FROM cells")
+
 
+def _summary(spark, sf_dir, model: str) -> DataFrame:
+    return metrics.summary_row(all_cells(spark, sf_dir), Claims(spark, sf_dir).split, metrics.validity(*_validity(spark, sf_dir)), model)
 
-@query("append_runs", claims.o_cells("SELECT r AS run, tier, count(*) AS total, CAST(sum(CASE WHEN r = 1 THEN CAST(norm AS INT) ELSE CAST(exact AS INT) END) AS BIGINT) AS hits FROM cells, (VALUES (1), (2)) AS v(r) GROUP BY r, tier"))
+
+@query("summary_row", _summary_sql("base"))
+def summary_row(spark, sf_dir):
+    return _summary(spark, sf_dir, "base")
+
+
+_RUN = "model, CAST(n_samples AS VARCHAR) AS n_samples, CAST(populated_norm_acc AS DOUBLE) AS populated_norm_acc, CAST(cer_overall AS DOUBLE) AS cer_overall"
+
+
+@query("append_runs", f"SELECT {_RUN} FROM ({_summary_sql('base')}) UNION ALL SELECT {_RUN} FROM ({_summary_sql('again')})")
 def append_runs(spark, sf_dir):
-    c = all_cells(spark, sf_dir)
-    one = lambda r, hit: c.groupBy("tier").agg(F.count("*").alias("total"), F.sum(F.col(hit).cast("int")).alias("hits")).select(F.lit(r).alias("run"), "tier", "total", "hits")
-    return one(1, "norm").unionByName(one(2, "exact"))
+    """Two runs' summary rows appended to one CSV by the library's writer, and read back."""
+    path = _scratch(spark, "summaries")
+    row = _summary(spark, sf_dir, "base").toPandas()  # one row, written twice under two names
+    for model in ("base", "again"):
+        files.write_summary(spark.createDataFrame(row.assign(model=model)), path)
+    rows = files.read_summaries(spark, path)
+    return rows.select("model", "n_samples", F.col("populated_norm_acc").cast("double").alias("populated_norm_acc"), F.col("cer_overall").cast("double").alias("cer_overall"))
+
+
+def _scratch(spark: SparkSession, tag: str) -> str:
+    """A new folder where executors can write: below the shared folder of the session, or of this machine if the master is local."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="ledgerleaf-")
+    return f"{base.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+
+
+@query("report_tiers", claims.o_cells(f""", {_DOCS},
+p AS (SELECT DISTINCT row_idx FROM pred),
+t AS (SELECT tier, avg(a) AS m FROM (SELECT tier, key, CAST(count_if(norm) AS DOUBLE) / count(*) AS a FROM cells GROUP BY tier, key) AS x GROUP BY tier),
+g AS (SELECT tier, count(*) AS docs, round(avg(CAST(all_right AS INT)), 6) AS all_correct, round(avg(a), 6) AS mean_field_acc FROM acc WHERE row_idx IN (SELECT row_idx FROM p) GROUP BY ROLLUP (tier))
+SELECT g.tier, docs, all_correct, mean_field_acc, round(t.m, 6) AS norm_field_acc FROM g LEFT JOIN t ON g.tier = t.tier"""))
+def report_tiers(spark, sf_dir):
+    c = Claims(spark, sf_dir)
+    said = c.pred.select(F.col("row_idx").cast("string").alias("sample_id")).distinct()
+    rows = report.tier_table(c.split, all_cells(spark, sf_dir), said)
+    return rows.select("tier", "docs", *(F.round(x, 6).alias(x) for x in ("all_correct", "mean_field_acc", "norm_field_acc")))
+
+
+@query("report_fields", claims.o_cells("""
+, m AS (SELECT tier, key, gt_n, pred_n, count(*) AS n, min(row_idx) AS f FROM (SELECT tier, key, gt_n, pred_n, row_idx, norm FROM cells UNION ALL SELECT NULL, key, gt_n, pred_n, row_idx, norm FROM cells) AS x WHERE NOT norm GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY tier, key ORDER BY n DESC, f, gt_n, pred_n) AS k FROM m),
+l AS (SELECT tier, key, string_agg(concat(gt_n, '>', pred_n, '=', CAST(n AS VARCHAR)), '|' ORDER BY k) AS misses FROM r WHERE k <= 10 GROUP BY tier, key),
+s AS (SELECT tier, key, count(*) AS total, CAST(count_if(exact) AS BIGINT) AS exact_hits, CAST(count_if(norm) AS BIGINT) AS norm_hits FROM cells GROUP BY GROUPING SETS ((tier, key), (key)))
+SELECT s.tier, s.key, total, exact_hits, norm_hits, coalesce(misses, '') AS misses FROM s LEFT JOIN l ON s.key = l.key AND s.tier IS NOT DISTINCT FROM l.tier"""))
+def report_fields(spark, sf_dir):
+    rows = report.field_report(all_cells(spark, sf_dir))
+    return rows.select("tier", "key", "total", "exact_hits", "norm_hits", F.array_join(F.transform("top_misses", lambda m: F.concat(m["gt"], F.lit(">"), m["pred"], F.lit("="), m["count"].cast("string"))), "|").alias("misses"))
 
 
 @query("model_fields", claims.o_cells("SELECT region, count(*) AS n, count(DISTINCT key) AS n_keys FROM cells WHERE region IN ('top', 'bottom') GROUP BY region"))
@@ -186,7 +243,7 @@ _VALUES = {
     "generic": ("concat('  ', o_orderpriority, '  x ')", "'n/a'", "lower(o_orderpriority)", "'None'", "o_orderstatus"),
     "date": (claims._date("o_orderdate"), f"concat({claims._text('month(o_orderdate)')}, '/', {claims._text('day(o_orderdate)')}, '/', lpad({claims._text('o_orderkey % 100')}, 2, '0'))", f"concat({claims._text('year(o_orderdate)')}, '-', {claims._text('month(o_orderdate)')}, '-7')", "'13/45/2020'", "'May 5'"),
     "phone": ("concat('(', lpad(CAST(o_custkey % 1000 AS VARCHAR(9)), 3, '0'), ') 555-0100')", "'na'", "'1-800 call'", "'555.0100'", "''"),
-    "money": (claims._money("o_totalprice"), f"concat('$ ', {claims._money('o_totalprice')})", f"concat({claims._text('o_custkey')}, ',000')", "'12d'", f"concat({claims._text('o_custkey')}, '.5')"),
+    "money": (claims._money("o_totalprice"), f"concat('$ ', {claims._money('o_totalprice')})", f"concat({claims._text('o_custkey')}, ',000')", f"CASE o_orderkey % 7 WHEN 0 THEN '12d' WHEN 1 THEN '2.675' WHEN 2 THEN '1e30' WHEN 3 THEN 'inf' WHEN 4 THEN '-0.001' ELSE concat({claims._text('o_custkey % 1000')}, '.', lpad({claims._text('o_orderkey % 100000')}, 5, '0')) END", f"concat({claims._text('o_custkey')}, '.5')"),
     "id": ("concat('w-', CAST(o_custkey AS VARCHAR(20)))", "'N/A.'", "' 12 34 '", "'null'", "o_orderpriority"),
     "sex": ("'male'", "'F'", "' female '", "''", "'none'"),
     "state": ("'california'", "'ny'", "' t'", "'NA'", "'Navarre'"),
@@ -313,11 +370,12 @@ def round_robin_tier(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- rows for training
-@query("chat_rows", "SELECT CAST(c.conv_id AS VARCHAR) AS sample_id, 3 AS n_messages, concat('{\"text\": ', to_json(text), '}') AS target_json FROM conversations c WHERE turn = 0")
+@query("chat_rows", "SELECT concat(CAST(c.conv_id AS VARCHAR), '-', CAST(turn AS VARCHAR)) AS sample_id, 3 AS n_messages, concat('{\"', role, '\": ', to_json(text), '}') AS target_json FROM conversations c")
 def chat_rows(spark, sf_dir):
-    c = table(spark, sf_dir, "conversations").where("turn = 0")
-    cells = F.array(F.struct(F.lit("text").alias("key"), F.col("text").alias("value")))
-    rows = c.select(F.col("conv_id").cast("string").alias("sample_id"), F.lit("pristine").alias("tier"), F.lit("train").alias("split"), F.lit("x.png").alias("image_path"), training_rows.target_json(cells).alias("target_json"))
+    """A row for every turn of every conversation."""
+    c = table(spark, sf_dir, "conversations")
+    cells = F.array(F.struct(F.col("role").alias("key"), F.col("text").alias("value")))
+    rows = c.select(F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("sample_id"), F.lit("pristine").alias("tier"), F.lit("train").alias("split"), F.lit("x.png").alias("image_path"), training_rows.target_json(cells).alias("target_json"))
     return training_rows.chat_rows(rows).select("sample_id", F.size("messages").alias("n_messages"), "target_json")
 
 
@@ -344,10 +402,15 @@ def luhn_npi(spark, sf_dir):
     return c.select("c_custkey", F.concat("b", keys.luhn_check_digit("b")).alias("npi"), keys.luhn_valid(F.concat("b", (F.col("c_custkey") % 10).cast("string"))).alias("other_valid"))
 
 
-@query("generate_npi")
+def _npi_sql(seed: str, lead: str) -> str:
+    base = f"concat('{lead}', lpad(CAST(CAST(concat('0x', substr(md5(concat({seed}, '|npi')), 1, 7)) AS BIGINT) % 100000000 AS VARCHAR), 8, '0'))"
+    return f"SELECT c_custkey, b || CAST((10 - s % 10) % 10 AS VARCHAR) AS npi FROM (SELECT c_custkey, b, CAST({_SUM} AS INTEGER) AS s FROM (SELECT c_custkey, {base} AS b FROM customer) AS x) AS y"
+
+
+@query("generate_npi", f"SELECT p.c_custkey, p.npi AS npi, o.npi AS organization, true AS valid FROM ({_npi_sql('c_custkey', '1')}) p JOIN ({_npi_sql('c_custkey', '2')}) o ON p.c_custkey = o.c_custkey")
 def generate_npi(spark, sf_dir):
-    c = table(spark, sf_dir, "customer")
-    return c.select("c_custkey", keys.generate_npi("c_custkey").alias("npi"), keys.luhn_valid(keys.generate_npi("c_custkey", True)).alias("valid"))
+    c = table(spark, sf_dir, "customer").select("c_custkey", keys.generate_npi("c_custkey").alias("npi"), keys.generate_npi("c_custkey", True).alias("organization"))
+    return c.select("*", (keys.luhn_valid("npi") & keys.luhn_valid("organization")).alias("valid"))
 
 
 @query("validate_total", with_cells("SELECT c.k AS row_idx, coalesce(sum(round(l.l_extendedprice * 100)), 0) = round(max(c.o_totalprice) * 100) + CASE WHEN c.k % 2 = 0 THEN sum(round(l.l_extendedprice * 100)) - round(max(c.o_totalprice) * 100) ELSE 0 END AS ok FROM claim c JOIN line l ON c.k = l.k GROUP BY c.k"))
@@ -391,11 +454,17 @@ def validate_self_mirror(spark, sf_dir):
     return c.select("c_custkey", validators.self_mirrored(F.when(k % 3 == 0, "self").otherwise("child"), me, F.struct(F.when(k % 2 == 0, F.col("c_name")).otherwise(F.lit("?")).alias("n"))).alias("ok"))
 
 
-@query("code_enrich", "SELECT p_brand AS code, p_type AS description, count(*) AS n, round(sum(l_extendedprice), 2) AS charges FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL")
+@query("code_enrich", """
+WITH c AS (SELECT p_brand AS code, arg_min(p_type, p_partkey) AS description FROM part WHERE p_brand <> 'Brand#11' GROUP BY p_brand)
+SELECT p.p_brand AS code, coalesce(c.description, '') AS description, count(*) AS n FROM lineitem JOIN part p ON l_partkey = p.p_partkey LEFT JOIN c ON p.p_brand = c.code GROUP BY ALL""")
 def code_enrich(spark, sf_dir):
-    p = table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("code"), F.col("p_type").alias("description"))
-    rows = table(spark, sf_dir, "lineitem").select("l_partkey", "l_extendedprice").join(p, F.col("l_partkey") == F.col("p_partkey"))
-    return rows.groupBy("code", "description").agg(F.count("*").alias("n"), F.round(F.sum("l_extendedprice"), 2).alias("charges"))
+    """Line items' codes described by a code set that was written and read as a file; one code is not in it."""
+    part = table(spark, sf_dir, "part")
+    path = _scratch(spark, "codes")
+    part.where("p_brand <> 'Brand#11'").select(F.col("p_brand").alias("code"), F.col("p_type").alias("description"), "p_partkey").orderBy("p_partkey").drop("p_partkey").coalesce(1).write.option("header", True).csv(path)
+    rows = table(spark, sf_dir, "lineitem").select("l_partkey").join(part.select("p_partkey", F.col("p_brand").alias("code")), F.col("l_partkey") == F.col("p_partkey"))
+    counts = rows.groupBy("code").agg(F.count("*").alias("n"))
+    return codes.described(counts, files.read_codes(spark, path), "code").select("code", "description", "n")
 
 
 # ---------------------------------------------------------------- model output
@@ -445,43 +514,165 @@ def form_dates(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", forms.full_date(d).alias("full_date"))
 
 
-@query("band_geometry", "SELECT * FROM (VALUES ('top', 0, 0, 2550, 2000), ('service', 0, 1900, 2550, 2250), ('bottom', 0, 2150, 2550, 3300)) AS v(region, x0, y0, x1, y1)")
+_WIDGETS = "SELECT concat(CASE p_partkey % 3 WHEN 0 THEN 'cpt' WHEN 1 THEN 'ch' ELSE 'total' END, CAST(p_size % 6 + 1 AS VARCHAR(4))) AS name, CAST(p_size AS DOUBLE) * 2.3 AS x0, 250.0 + p_size + p_partkey % 9 AS y0, CAST(p_size AS DOUBLE) * 4.1 + 3 AS x1, 240.0 + p_size % 7 AS y1 FROM part"
+
+
+@query("band_geometry", f"""
+WITH w AS ({_WIDGETS}),
+u AS (SELECT name, min(least(x0, x1)) AS x0, min(least(y0, y1)) AS y0, max(greatest(x0, x1)) AS x1, max(greatest(y0, y1)) AS y1 FROM w GROUP BY name),
+b AS (SELECT min(CAST(round_even((792.0 - y1) * (300 / 72.0), 0) AS INTEGER)) AS a, max(CAST(round_even((792.0 - y0) * (300 / 72.0), 0) AS INTEGER)) AS b FROM u WHERE name NOT LIKE 'total%')
+SELECT 'top' AS region, 0 AS x0, 0 AS y0, 2550 AS x1, least(3300, a + 50) AS y1 FROM b UNION ALL SELECT 'service', 0, greatest(0, a - 50), 2550, least(3300, b + 50) FROM b UNION ALL SELECT 'bottom', 0, greatest(0, b - 50), 2550, 3300 FROM b""")
 def band_geometry(spark, sf_dir):
-    rects = spark.createDataFrame([("cpt1", 100.0, 300.0, 60.0, 324.0), ("ch6", 400.0, 276.0, 450.0, 264.0), ("charge", 0.0, 0.0, 10.0, 10.0), ("cpt1", 90.0, 290.0, 120.0, 310.0)], "name string, x0 double, y0 double, x1 double, y1 double")
-    return geometry.bands(geometry.field_rects(rects))
+    return geometry.bands(geometry.field_rects(claims.run_sql(spark, sf_dir, _WIDGETS)))
+
+
+@query("standard_bands", "SELECT p_partkey, region, CAST(floor(a * (w / 2550)) AS INTEGER) AS x0, CAST(floor(b * (h / 3300)) AS INTEGER) AS y0, CAST(floor(c * (w / 2550)) AS INTEGER) AS x1, CAST(floor(d * (h / 3300)) AS INTEGER) AS y1 FROM (SELECT p_partkey, CAST(p_size * 10 AS DOUBLE) AS w, CAST(p_size * 17 AS DOUBLE) AS h FROM part) AS p, (VALUES ('top', 0, 0, 2550, 2254), ('service', 0, 2154, 2550, 2847), ('bottom', 0, 2747, 2550, 3300)) AS v(region, a, b, c, d)")
+def standard_bands(spark, sf_dir):
+    pages = table(spark, sf_dir, "part").select("p_partkey", (F.col("p_size") * 10).cast("double").alias("width"), (F.col("p_size") * 17).cast("double").alias("height"))
+    return geometry.standard_bands(pages).drop("width", "height")
+
+
+@query("region_split", with_cells(f"SELECT row_idx, r AS region, CAST(sum(CASE WHEN region = r THEN 1 ELSE 0 END) AS INTEGER) AS n FROM (SELECT row_idx, {claims.o_region('key')} AS region FROM gt) AS x, (VALUES ('top'), ('service'), ('bottom')) AS v(r) GROUP BY row_idx, r"))
+def region_split(spark, sf_dir):
+    """Cells of each claim by region; a region without cells is there too."""
+    cells = F.transform("cells", lambda x: F.struct(x["key"].alias("key"), x["gt"].alias("value")))
+    rows = Claims(spark, sf_dir).rows.select("row_idx", keys.split_regions(cells).alias("m"))
+    return rows.select("row_idx", F.explode("m").alias("region", "cells")).select("row_idx", "region", F.size("cells").alias("n"))
+
 
+@query("manifest_round_trip", f"SELECT o_orderkey % 3 AS file, CAST(row_number() OVER (ORDER BY o_orderkey % 3, o_orderkey) - 1 AS BIGINT) AS row_idx, CAST(o_orderkey AS VARCHAR) AS sample_id, concat('fax/', CAST(o_orderkey AS VARCHAR), '.png') AS image, concat(CAST(o_orderkey AS VARCHAR), '.png') AS name FROM orders")
+def manifest_round_trip(spark, sf_dir):
+    """Manifests written as three files and read back in order of file and line, with slashes mended."""
+    path = _scratch(spark, "manifest")
+    o = table(spark, sf_dir, "orders").select((F.col("o_orderkey") % 3).alias("file"), "o_orderkey", F.to_json(F.struct(F.col("o_orderkey").cast("string").alias("sample_id"), F.concat(F.lit("fax\\"), F.col("o_orderkey").cast("string"), F.lit(".png")).alias("image"))).alias("value"))
+    for k in range(3):
+        o.where(F.col("file") == k).orderBy("o_orderkey").coalesce(1).select("value").write.text(f"{path}/part={k}")
+    rows = files.read_manifest(spark, f"{path}/*")
+    return rows.select((F.col("sample_id").cast("long") % 3).alias("file"), "row_idx", "sample_id", "image", files.basename(F.col("image")).alias("name"))
 
-AS_OF, CLAIMS = "2024-06-01", 500
+
+AS_OF = "2024-06-01"
+
+
+def _seeds(spark, sf_dir) -> DataFrame:
+    """A claim for every order."""
+    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("seed"))
 
 
 @query("synth_records")
 def synth_records(spark, sf_dir):
-    b = synth.batch(spark, CLAIMS, AS_OF)
+    b = synth.batch(spark, _seeds(spark, sf_dir).count(), AS_OF)
     return b.select("sample_id", "tier", "seed", "image", "json", F.to_json("ground_truth").alias("ground_truth"))
 
 
-@query("record_to_fields")
+@query("synth_rules", "SELECT o_orderkey AS seed, true AS total_ok, true AS pointers_ok, true AS counts_ok, true AS tax_ok, true AS mirror_ok, true AS npi_ok FROM orders")
+def synth_rules(spark, sf_dir):
+    """What holds of every generated claim."""
+    r = synth.of_seeds(_seeds(spark, sf_dir), AS_OF)
+    lines, c = F.col("service_lines"), F.col
+    return r.select(
+        "seed",
+        validators.total_matches(lines, "charges", c("billing.total_charge")).alias("total_ok"),
+        F.forall(lines, lambda x: validators.pointers_valid(x["diagnosis_pointers"], c("diagnoses")) & (F.char_length(x["diagnosis_pointers"]) <= 4)).alias("pointers_ok"),
+        (F.size(lines).between(1, 6) & F.size("diagnoses").between(1, 12) & (F.size(F.array_distinct("diagnoses")) == F.size("diagnoses")) & F.forall(lines, lambda x: (F.size(x["modifiers"]) == 4) & x["units"].cast("int").between(1, 5))).alias("counts_ok"),
+        validators.tax_id_valid(c("billing.tax_id"), c("billing.tax_id_type")).alias("tax_ok"),
+        validators.self_mirrored(c("patient.relationship_to_insured"), c("patient.name"), c("insured.name")).alias("mirror_ok"),
+        (keys.luhn_valid("billing_office.npi") & F.forall(lines, lambda x: keys.luhn_valid(x["rendering_provider_npi"]))).alias("npi_ok"),
+    )
+
+
+def known_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records whose values follow from the tables: columns as the generator's, what the tables do not hold is null."""
+    k, d = F.col("k"), F.col("o_orderdate")
+    date = F.struct(*(F.date_format(d, p).alias(n) for n, p in (("mm", "MM"), ("dd", "dd"), ("yy", "yy"), ("yyyy", "yyyy"))))
+    name = F.struct(F.col("c_name").alias("last"), F.lit("A").alias("first"), F.lit("").alias("middle"))
+    line = lambda n: F.struct(date.alias("date_from"), F.lit("99213").alias("cpt"), F.array(F.lit("25"), F.lit("")).alias("modifiers"), F.lit(f"{n}0.00").alias("charges"), F.lit(str(n)).alias("units"))
+    doc = F.struct(
+        F.struct(F.when(k % 3 == 0, "TRICARE").otherwise("GroupHealthPlan").alias("type"), F.concat(F.lit("W"), F.col("o_custkey").cast("string")).alias("insured_id")).alias("insurance"),
+        F.struct(name.alias("name"), date.alias("dob"), F.when(k % 2 == 0, "M").otherwise("F").alias("sex"), F.struct(F.lit("555").alias("area"), F.lit("010-0000").alias("number")).alias("phone"), F.when(k % 4 == 0, "self").when(k % 4 == 1, "child").otherwise("other").alias("relationship_to_insured")).alias("patient"),
+        F.when(k % 5 == 0, F.struct(F.col("c_name").alias("name"), F.lit("P1").alias("policy_or_group"))).alias("other_insured"),
+        F.struct((k % 2 == 0).alias("yes")).alias("outside_lab"),
+        F.slice(F.array(F.lit("A01.1"), F.lit("B02")), 1, (k % 2 + 1).cast("int")).alias("diagnoses"),
+        F.slice(F.array(line(1), line(2)), 1, (k % 3).cast("int")).alias("service_lines"),
+    )
+    rows = Claims(spark, sf_dir).claim.select("k", F.from_json(F.to_json(doc), forms.RECORD).alias("r"))
+    return rows.select(F.col("k").alias("seed"), "r.*")
+
+
+_MM, _DD, _YY = ("lpad(CAST({}(o_orderdate) AS VARCHAR), 2, '0')".format(p) for p in ("month", "day", "year"))
+_YY = "substr(CAST(year(o_orderdate) AS VARCHAR), 3, 2)"
+_FIELDS_SQL = {
+    "pt_name": "concat(c_name, ', A ')", "birth_mm": _MM, "birth_dd": _DD, "birth_yy": _YY, "sex": "CASE WHEN k % 2 = 0 THEN 'M' ELSE 'F' END", "pt_phone": "'010-0000'", "pt_AreaCode": "'555'",
+    "insurance_type": "CASE WHEN k % 3 = 0 THEN 'Tricare' ELSE 'Group' END", "insurance_id": "concat('W', CAST(o_custkey AS VARCHAR))", "rel_to_ins": "CASE k % 4 WHEN 0 THEN 'S' WHEN 1 THEN 'C' ELSE 'O' END",
+    "ins_sex": "'MALE'", "lab": "CASE WHEN k % 2 = 0 THEN 'YES' ELSE 'NO' END", "prior_auth": "''", "diagnosis1": "'A01.1'", "cur_ill_mm": "''",
+}
+_MAYBE_SQL = {
+    "other_ins_name": ("k % 5 = 0", "c_name"), "other_ins_policy": ("k % 5 = 0", "'P1'"), "diagnosis2": ("k % 2 = 1", "'B02'"), "cpt1": ("k % 3 >= 1", "'99213'"), "ch2": ("k % 3 = 2", "'20.00'"),
+    "sv1_mm_from": ("k % 3 >= 1", _MM), "sv2_yy_from": ("k % 3 = 2", _YY), "mod1": ("k % 3 >= 1", "'25'"), "mod1a": ("k % 3 >= 1", "''"), "mod2c": ("k % 3 = 2", "''"), "day2": ("k % 3 = 2", "'2'"),
+}
+
+
+def _cells_sql(always: dict, maybe: dict, name: str) -> str:
+    parts = [f"SELECT k AS seed, '{f}' AS {name}, {v} AS value FROM claim" for f, v in always.items()]
+    parts += [f"SELECT k, '{f}', {v} FROM claim WHERE {w}" for f, (w, v) in maybe.items()]
+    return with_cells(" UNION ALL ".join(parts))
+
+
+@query("record_to_fields", _cells_sql(_FIELDS_SQL, _MAYBE_SQL, "field"))
 def record_to_fields(spark, sf_dir):
-    return synth.records(spark, CLAIMS, AS_OF).select("seed", forms.fields().alias("f")).select("seed", F.explode("f").alias("field", "value"))
+    rows = known_records(spark, sf_dir).select("seed", forms.fields().alias("f")).select("seed", F.explode("f").alias("field", "value"))
+    return rows.where(F.col("field").isin(*_FIELDS_SQL, *_MAYBE_SQL))
+
 
+_DATE_SQL = claims._date("o_orderdate")
+_LOGICAL_SQL = {
+    "box_1_insurance_type": "CASE WHEN k % 3 = 0 THEN 'TRICARE' ELSE 'GroupHealthPlan' END", "box_1a_insured_id": "concat('W', CAST(o_custkey AS VARCHAR))", "box_2_patient_name.last": "c_name", "box_2_patient_name.first": "'A'",
+    "box_3_patient_birth": _DATE_SQL, "box_5_patient_address.phone": "'(555) 010-0000'", "box_6_relationship_to_insured": "CASE k % 4 WHEN 0 THEN 'self' WHEN 1 THEN 'child' ELSE 'other' END",
+    "box_14_current_illness_date": "''", "box_20_outside_lab.yes": "CASE WHEN k % 2 = 0 THEN 'YES' ELSE 'NO' END", "box_21_diagnoses": "CASE WHEN k % 2 = 0 THEN 'A01.1' ELSE 'A01.1 | B02' END", "box_21_icd_indicator": "'0'",
+}
+_LOGICAL_MAYBE = {
+    "box_9_other_insured": ("k % 5 <> 0", "''"), "box_9_other_insured.name": ("k % 5 = 0", "c_name"), "box_24_service_lines": ("k % 3 = 0", "''"), "box_24_service_lines[0].line_number": ("k % 3 >= 1", "'1'"),
+    "box_24_service_lines[0].date_from": ("k % 3 >= 1", _DATE_SQL), "box_24_service_lines[1].procedure_code": ("k % 3 = 2", "'99213'"), "box_24_service_lines[1].modifiers": ("k % 3 = 2", "'25'"), "box_24_service_lines[1].charges": ("k % 3 = 2", "'20.00'"),
+}
 
-@query("record_to_logical")
+
+@query("record_to_logical", _cells_sql(_LOGICAL_SQL, _LOGICAL_MAYBE, "key"))
 def record_to_logical(spark, sf_dir):
-    df = synth.records(spark, CLAIMS, AS_OF).select("seed", forms.logical().alias("doc"))
-    return flatten.explode_cells(df, flatten.flat_cells(F.col("doc"), df.schema["doc"].dataType), "seed")
+    df = known_records(spark, sf_dir).select("seed", forms.logical().alias("doc"))
+    return flatten.explode_cells(df, flatten.flat_cells(F.col("doc"), df.schema["doc"].dataType), "seed").drop("pos").where(F.col("key").isin(*_LOGICAL_SQL, *_LOGICAL_MAYBE))
+
+
+_SYNTH_WEIGHTS = ((60, "plain"), (30, "one"), (10, "two"))
 
 
-@query("weighted_choice", "SELECT tier, CAST(sum(n) AS BIGINT) AS n FROM (SELECT CASE WHEN o_orderkey % 100 < 60 THEN 'plain' WHEN o_orderkey % 100 < 90 THEN 'one' ELSE 'two' END AS tier, 1 AS n FROM orders) AS x GROUP BY tier")
+@query("weighted_choice", "SELECT kind, count(*) AS n FROM (SELECT CASE WHEN o_orderkey % 1000 < 600 THEN 'plain' WHEN o_orderkey % 1000 < 900 THEN 'one' ELSE 'two' END AS kind FROM orders) AS x GROUP BY kind")
 def weighted_choice(spark, sf_dir):
-    r = F.col("o_orderkey") % 100
-    return table(spark, sf_dir, "orders").select(F.when(r < 60, "plain").when(r < 90, "one").otherwise("two").alias("tier")).groupBy("tier").agg(F.count("*").alias("n"))
+    o = table(spark, sf_dir, "orders").select(synth.choose(F.col("o_orderkey") % 1000, list(_SYNTH_WEIGHTS)).alias("kind"))
+    return o.groupBy("kind").agg(F.count("*").alias("n"))
 
 
-@query("image_tiers")
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A small page for every part, its size and grey levels from the table."""
+    p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("i"), (F.col("p_size") % 16 + 32).alias("height"), (F.col("p_size") % 8 + 24).alias("width"))
+    rows = splits.round_robin(p, "i", list(keys.TIERS))
+    pixels = F.unhex(F.repeat(F.lit("ff00e0"), F.col("height") * F.col("width")))
+    return rows.select(F.col("i").cast("string").alias("sample_id"), "tier", F.col("i").alias("seed"), "height", "width", pixels.alias("pixels"))
+
+
+@query("image_tiers", f"SELECT CAST(p_partkey AS VARCHAR) AS sample_id, {claims.TIER.format(k='p_partkey')} AS tier, CAST((p_size % 16 + 32) * (p_size % 8 + 24) * 3 AS INTEGER) AS bytes, true AS as_should FROM part")
 def image_tiers(spark, sf_dir):
+    """Pages degraded by tier: the size stays, and a pristine page stays as it is."""
     from ..operators import images
 
-    rows = splits.round_robin(spark.range(60).select(F.col("id").alias("i")), "i", list(keys.TIERS))
-    page = rows.select(F.col("i").cast("string").alias("sample_id"), "tier", F.col("i").alias("seed"), F.lit(48).alias("height"), F.lit(32).alias("width"), F.unhex(F.repeat(F.lit("ff00e0"), 512)).alias("pixels"))
-    return images.apply_tiers(page).select("sample_id", "tier", F.length("pixels").alias("bytes"), F.crc32("pixels").alias("crc32"))
+    before = _pages(spark, sf_dir)
+    made = images.apply_tiers(before).select("sample_id", "tier", "height", "width", "pixels")
+    same = F.col("pixels") == F.unhex(F.repeat(F.lit("ff00e0"), F.col("height") * F.col("width")))
+    return made.select("sample_id", "tier", F.length("pixels").alias("bytes"), F.when(F.col("tier") == keys.TIERS[0], same).otherwise(F.lit(True)).alias("as_should"))
+
+
+@query("image_crops", "SELECT CAST(p_partkey AS VARCHAR) AS sample_id, region, y1 - y0 AS height, p_size % 8 + 20 AS width, CAST((y1 - y0) * (p_size % 8 + 20) * 3 AS INTEGER) AS bytes FROM part, (VALUES ('top', 0, 12), ('service', 10, 20), ('bottom', 18, 30)) AS v(region, y0, y1)")
+def image_crops(spark, sf_dir):
+    from ..operators import images
 
+    crops = images.crop_regions(_pages(spark, sf_dir), [("top", 4, 0, 999, 12), ("service", 4, 10, 999, 20), ("bottom", 4, 18, 999, 30)])
+    return crops.select("sample_id", "region", "height", "width", F.length("pixels").alias("bytes"))

@@ -11,6 +11,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import keys, text
+
 TIER = "CASE {k} % 6 WHEN 0 THEN 'pristine' WHEN 1 THEN 'clean_scan' WHEN 2 THEN 'worn_scan' WHEN 3 THEN 'fax' WHEN 4 THEN 'phone_photo' ELSE 'worst' END"
 
 
@@ -124,48 +126,56 @@ class Claims:
 
     @property
     def rows(self) -> DataFrame:
-        """(row_idx, cells): a row a claim, with its cells (pos, key, gt) as an array.
+        """(row_idx, cells): a row a claim, with its cells (pos, key, gt, kind, cls, region) as an array.
 
         The first six line items of an order: an order's items are few, so they are gathered and sorted in its row.
         """
         order = ("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
-        items = table(self.spark, self.sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.slice(F.array_sort(F.collect_list(F.struct(*order, "l_shipdate"))), 1, 6).alias("items"))
+        values = F.array(*(F.expr(v).cast("string") for _, _, v in LINE)).alias("values")
+        items = table(self.spark, self.sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.slice(F.array_sort(F.collect_list(F.struct(*order, values))), 1, 6).alias("items"))
 
-        def cell(pos, key, value) -> F.Column:
-            return F.struct(pos.cast("int").alias("pos"), key.alias("key"), value.cast("string").alias("gt"))
+        def cell(pos, key, value, example: str) -> F.Column:
+            # type, class and region of a key are the same for every row: literals that the optimizer folds
+            of = F.lit(example)
+            return F.struct(pos.cast("int").alias("pos"), key.alias("key"), value.alias("gt"), text.kind_of(of).alias("kind"), keys.class_of(of).alias("cls"), keys.region_of(of).alias("region"))
 
-        header = F.array(*(cell(F.lit(p), F.lit(key), F.expr(v)) for p, key, v in HEADER))
+        def of_item(x, i):
+            named = ((p, f"].{name}", n) for n, (p, name, _) in enumerate(LINE))
+            return F.array(*(cell(20 + 10 * i + p, F.concat(F.lit("box_24_service_lines["), i.cast("string"), F.lit(end)), x["values"][n], f"box_24_service_lines[0{end}") for p, end, n in named))
 
-        lines = F.expr(
-            "flatten(transform(items, (item, i) -> array("
-            + ", ".join(f"named_struct('pos', cast(20 + 10 * i + {p} as int), 'key', concat('box_24_service_lines[', i, '].{name}'), 'gt', {re.sub(chr(92) + 'bl_', 'item.l_', v)})" for p, name, v in LINE)
-            + ")))"
-        )
+        header = F.array(*(cell(F.lit(p), F.lit(key), F.expr(v).cast("string"), key) for p, key, v in HEADER))
         claims = self.claim.join(items, "k", "left")
+        lines = F.flatten(F.transform("items", of_item))
         return claims.select(F.col("k").alias("row_idx"), F.concat(header, F.coalesce(lines, F.slice(header, 1, 0))).alias("cells"))
 
+    def _extra(self, when: str, value: str) -> F.Column:
+        """A cell of a key that the form does not have, in claims that fulfil a condition."""
+        key = F.lit("box_99_unknown")
+        one = F.struct(F.lit(99).alias("pos"), key.alias("key"), F.lit(value).alias("gt"), text.kind_of(key).alias("kind"), keys.class_of(key).alias("cls"), keys.region_of(key).alias("region"))
+        return F.when(F.expr(when), F.array(one)).otherwise(F.slice("cells", 1, 0))
+
     @property
     def gt(self) -> DataFrame:
-        return self.rows.select("row_idx", F.inline("cells"))
+        return self.rows.select("row_idx", F.inline("cells")).select("row_idx", "pos", "key", "gt")
 
     @property
     def pred(self) -> DataFrame:
         """Predictions by the claim's row: its cells spoilt, and a key that the form does not have."""
-        extra = F.when(F.expr("row_idx % 11 = 0"), F.array(F.struct(F.lit(99).alias("pos"), F.lit("box_99_unknown").alias("key"), F.lit("x").alias("gt")))).otherwise(F.slice("cells", 1, 0))
+        extra = self._extra("row_idx % 11 = 0", "x")
         cells = self.rows.where("row_idx % 23 <> 0").select("row_idx", F.inline(F.concat("cells", extra)))
         return cells.where(f"pos = 99 OR {BUCKET} >= 4").select("row_idx", "pos", "key", F.expr(f"CASE WHEN pos = 99 THEN gt ELSE {SPOILT} END").alias("pred"))
 
     @property
     def both(self) -> DataFrame:
-        """(row_idx, sample_id, tier, key, gt, pred): truth and prediction of each key from one pass over the tables.
+        """(row_idx, sample_id, tier, key, gt, pred, kind, cls, region): truth and prediction of each key from one pass over the tables.
 
         Predictions follow from the truth row by row here, so no join is needed to put them side by side; ``compare_cells`` is
         the operator for sides that are apart.
         """
-        extra = F.when(F.expr("row_idx % 11 = 0 AND row_idx % 23 <> 0"), F.array(F.struct(F.lit(99).alias("pos"), F.lit("box_99_unknown").alias("key"), F.lit("").alias("gt")))).otherwise(F.slice("cells", 1, 0))
+        extra = self._extra("row_idx % 11 = 0 AND row_idx % 23 <> 0", "")
         cells = self.rows.select("row_idx", F.expr(TIER.format(k="row_idx")).alias("tier"), F.inline(F.concat("cells", extra)))
         pred = F.expr(f"CASE WHEN pos = 99 THEN 'x' WHEN row_idx % 23 = 0 OR {BUCKET} < 4 THEN '' ELSE {SPOILT} END")
-        return cells.select("row_idx", F.col("row_idx").cast("string").alias("sample_id"), "tier", "key", "gt", pred.alias("pred"))
+        return cells.select("row_idx", F.col("row_idx").cast("string").alias("sample_id"), "tier", "key", "gt", pred.alias("pred"), "kind", "cls", "region")
 
     @property
     def predictions(self) -> DataFrame:
