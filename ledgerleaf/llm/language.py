@@ -202,32 +202,58 @@ class Evidence:
         self.hosts = common.cut(hosts.select("host", prior("l_host", "n_host", "l_domain", "n_domain", "l_suffix", "n_suffix").alias("host_prior")))
         self.said = common.cut(lists("said").select("said", declares("l_said", "n_said").alias("said_evidence")))
 
-    def fuse(self, scored: DataFrame) -> DataFrame:
-        """Adds language ('und' if rejected) and confidence."""
-        langs = self.model.languages
-        if not langs:
-            return scored.withColumn("language", F.lit("und")).withColumn("confidence", F.lit(0.0)).drop("likelihoods")
-        most = max(1, BROADCAST_NUMBERS // len(langs))
-        rows = scored.join(common.few(self.hosts.withColumnRenamed("host", "_host"), most), F.col("host") == F.col("_host"), "left").drop("_host")
+    def fused(self, likelihoods, n, evidence, host) -> pd.DataFrame:
+        """language ('und' if rejected) and confidence of scored rows."""
+        langs, least, base = self.model.languages, -math.log(BUCKETS), np.log(self.all)
+        out = []
+        for x, k, e, h in zip(likelihoods, n, evidence, host):
+            if not k or not langs or x.max() <= k * least:
+                out.append(("und", 0.0))
+                continue
+            s = TEMPER * x + (0.0 if e is None else e) + (base if h is None else h)
+            i = int(s.argmax())
+            out.append((langs[i], float(1 / np.exp(s - s[i]).sum())))
+        return pd.DataFrame(out, columns=["language", "confidence"])
+
+    def joined(self, rows: DataFrame, said: str) -> DataFrame:
+        """rows with host_prior and said_evidence, both null where there is none; said names the column of declared values."""
+        if self.hosts is None:
+            nothing = F.lit(None).cast("array<double>")
+            return rows.withColumn("host_prior", nothing).withColumn("said_evidence", nothing)
+        most = max(1, BROADCAST_NUMBERS // len(self.model.languages))
+        rows = rows.join(common.few(self.hosts.withColumnRenamed("host", "_host"), most), F.col("host") == F.col("_host"), "left").drop("_host")
         # at most a row a language
-        rows = rows.join(F.broadcast(self.said.withColumnRenamed("said", "_said")), F.col("said") == F.col("_said"), "left").drop("_said")
-        nothing, base, least = np.zeros(len(langs)), np.log(self.all), -math.log(BUCKETS)
+        return rows.join(F.broadcast(self.said.withColumnRenamed("said", "_said")), F.col(said) == F.col("_said"), "left").drop("_said")
+
+    def _light(self) -> Evidence:
+        """Without the tables, to be sent to executors."""
+        out = object.__new__(Evidence)
+        out.model, out.all = self.model, self.all
+        return out
+
+    def fuse(self, scored: DataFrame) -> DataFrame:
+        """Scored rows with language and confidence."""
+        rows, fused = self.joined(scored, "said"), self._light().fused
 
         @F.pandas_udf("language string, confidence double")
-        def fused(likelihoods: pd.Series, n: pd.Series, evidence: pd.Series, host: pd.Series) -> pd.DataFrame:
-            out = []
-            for x, k, e, h in zip(likelihoods, n, evidence, host):
-                if not k or x.max() <= k * least:
-                    out.append(("und", 0.0))
-                    continue
-                s = TEMPER * x + (nothing if e is None else e) + (base if h is None else h)
-                i = int(s.argmax())
-                out.append((langs[i], float(1 / np.exp(s - s[i]).sum())))
-            return pd.DataFrame(out, columns=["language", "confidence"])
+        def run(likelihoods: pd.Series, n: pd.Series, evidence: pd.Series, host: pd.Series) -> pd.DataFrame:
+            return fused(likelihoods, n, evidence, host)
+
+        rest = [F.col(f"`{c}`") for c in rows.columns if c not in ("said_evidence", "host_prior", "likelihoods")]
+        return rows.select(*rest, run("likelihoods", "n_trigrams", "said_evidence", "host_prior").alias("_f")).select(*rest, "_f.*")
+
+    def score_and_fuse(self, rows: DataFrame) -> DataFrame:
+        """The same of rows with text, declared and host, in one pass of Python over the text."""
+        rest = [c for c in rows.columns if c not in MADE]
+        rows, fused, scores = self.joined(rows.select(*(F.col(f"`{c}`") for c in rest)), "declared"), self._light().fused, self.model.scores
+
+        @F.pandas_udf("n_trigrams long, text_language string, said string, language string, confidence double")
+        def run(texts: pd.Series, declared: pd.Series, evidence: pd.Series, host: pd.Series) -> pd.DataFrame:
+            s = scores(texts, declared)
+            return pd.concat([s.drop(columns="likelihoods"), fused(s["likelihoods"], s["n_trigrams"], evidence, host)], axis=1)
 
-        rest = [c for c in rows.columns if c not in ("said_evidence", "host_prior", "likelihoods")]
-        rows = rows.select(*(F.col(f"`{c}`") for c in rest), fused("likelihoods", "n_trigrams", "said_evidence", "host_prior").alias("_f"))
-        return rows.select(*(F.col(f"`{c}`") for c in rest), "_f.*")
+        rest = [F.col(f"`{c}`") for c in rest]
+        return rows.select(*rest, run("text", "declared", "said_evidence", "host_prior").alias("_f")).select(*rest, "_f.*")
 
 
 def identify(rows: DataFrame, languages: list[str] | None = None, keep_text: bool = True) -> DataFrame:
@@ -237,9 +263,10 @@ def identify(rows: DataFrame, languages: list[str] | None = None, keep_text: boo
     are cut in between and the text is read twice.  No text moves between machines unless the hosts are too many to broadcast.
     """
     model = fit(rows, languages)
-    scored = with_scores(rows, model)
-    if not keep_text:
-        scored = common.cut(scored.drop("text"))
+    if keep_text:
+        scored = with_scores(rows.select("text", "declared", "host"), model).select("text_language", "said", "host")
+        return Evidence(scored, model).score_and_fuse(rows)
+    scored = common.cut(with_scores(rows, model).drop("text"))
     return Evidence(scored.select("text_language", "said", "host"), model).fuse(scored)
 
 
