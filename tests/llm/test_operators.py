@@ -562,7 +562,6 @@ def test_clusters_bring_neighbours_together(spark):
     assert np.bincount(of, minlength=len(size)).tolist() == size.tolist()
     shard = packing.Shard(ids, n, bm25)
     recall = [np.mean(of[[x for x in shard.neighbours(s)[:11] if x != s][:10]] == of[s]) for s in range(0, len(n), 10)]
-    print("recall of the global top 10 in a cluster", np.mean(recall))
     assert np.mean(recall) >= 0.4
 
 
@@ -805,7 +804,7 @@ def test_mixing_shortage_goes_to_siblings(spark):
     docs = make(spark, rows).withColumn("lang", F.lit("en"))
     out = mixing.mix(docs, total=(1, 2), max_epochs=1, domains={}, domain=F.when(F.col("source") == "b", "y").otherwise("x")).collect()
     budget = {r.source: r.leaf_budget for r in out}
-    assert budget == {"a": 10, "e": 93, "b": 102} or sum(budget.values()) == 205 and budget["a"] == 10 and budget["e"] >= 92
+    assert budget == {"a": 10, "e": 93, "b": 102}
 
 
 # ---------------------------------------------------------------- 10
