@@ -62,5 +62,8 @@ def compared(both: DataFrame) -> DataFrame:
         (exact | (F.col("gt_n") == F.col("pred_n"))).alias("norm"),
         "region",
         "cls",
-        F.when(cls.isin(*keys.CER_CLASSES) & (F.col("gt_n") != ""), F.when(exact, 0.0).otherwise(keys.char_error_rate("pred_n", "gt_n"))).alias("cer"),
+        F.when(
+            cls.isin(*keys.CER_CLASSES) & (F.col("gt_n") != ""),
+            F.when(exact, 0.0).otherwise(keys.char_error_rate("pred_n", "gt_n")),
+        ).alias("cer"),
     )

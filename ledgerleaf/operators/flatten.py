@@ -145,4 +145,7 @@ def unflat_lines(cells: DataFrame, row: str, box: str, names: list[str]) -> Data
     name = F.regexp_extract("key", rf"^{re.escape(box)}\[([0-9]+)\]\.(.+)$", 2)
     lines = cells.where(part != "").withColumn("_i", part.try_cast("int")).withColumn("_n", name)
     wide = lines.groupBy(row, "_i").agg(*(F.coalesce(F.max(F.when(F.col("_n") == n, F.col("value"))), F.lit("")).alias(n) for n in names))
-    return wide.groupBy(row).agg(F.array_sort(F.collect_list(F.struct("_i", *names))).alias("x")).select(row, F.transform("x", lambda s: F.struct(*(s[n].alias(n) for n in names))).alias("lines"))
+    return wide.groupBy(row).agg(F.array_sort(F.collect_list(F.struct("_i", *names))).alias("x")).select(
+        row,
+        F.transform("x", lambda s: F.struct(*(s[n].alias(n) for n in names))).alias("lines"),
+    )

@@ -27,16 +27,29 @@ def field_rects(widgets: DataFrame) -> DataFrame:
 
 def pixel_boxes(rects: DataFrame, dpi: int = 300, page: tuple[float, float] = PAGE) -> DataFrame:
     s, h = dpi / POINTS_PER_INCH, page[1]
-    return rects.select("name", _px(F.col("x0") * s).alias("x0"), _px((h - F.col("y1")) * s).alias("y0"), _px(F.col("x1") * s).alias("x1"), _px((h - F.col("y0")) * s).alias("y1"))
+    return rects.select(
+        "name",
+        _px(F.col("x0") * s).alias("x0"),
+        _px((h - F.col("y1")) * s).alias("y0"),
+        _px(F.col("x1") * s).alias("x1"),
+        _px((h - F.col("y0")) * s).alias("y1"),
+    )
 
 
 def bands(rects: DataFrame, dpi: int = 300, page: tuple[float, float] = PAGE, overlap: float = 0.015) -> DataFrame:
     """(region, x0, y0, x1, y1): top, service and bottom, a little overlapping; no service field: no rows."""
     w, h = (int(round(x * dpi / POINTS_PER_INCH)) for x in page)
     pad = int(round(overlap * h))
-    row = pixel_boxes(rects, dpi, page).where(F.col("name").rlike(SERVICE_FIELD)).agg(F.min("y0").alias("a"), F.max("y1").alias("b")).where("a is not null")
+    row = pixel_boxes(rects, dpi, page).where(F.col("name").rlike(SERVICE_FIELD)).agg(
+        F.min("y0").alias("a"),
+        F.max("y1").alias("b"),
+    ).where("a is not null")
     clamp = lambda c: F.greatest(F.lit(0), F.least(F.lit(h), c))
-    cuts = (("top", F.lit(0), clamp(F.col("a") + pad)), ("service", clamp(F.col("a") - pad), clamp(F.col("b") + pad)), ("bottom", clamp(F.col("b") - pad), F.lit(h)))
+    cuts = (
+        ("top", F.lit(0), clamp(F.col("a") + pad)),
+        ("service", clamp(F.col("a") - pad), clamp(F.col("b") + pad)),
+        ("bottom", clamp(F.col("b") - pad), F.lit(h)),
+    )
     return row.select(F.inline(F.array(*(F.struct(F.lit(n).alias("region"), F.lit(0).alias("x0"), y0.alias("y0"), F.lit(w).alias("x1"), y1.alias("y1")) for n, y0, y1 in cuts))))
 
 
@@ -47,5 +60,8 @@ def standard_bands(pages: DataFrame, model_bands: tuple[str, ...] = tuple(STANDA
         side = F.col("width") if i % 2 == 0 else F.col("height")
         return F.floor(F.lit(values[i]) * (side / F.lit(STANDARD_PAGE[i % 2]))).cast("int")
 
-    rows = F.array(*(F.struct(F.lit(n).alias("region"), *(scaled(i, STANDARD_BANDS[n]).alias(c) for i, c in enumerate(("x0", "y0", "x1", "y1")))) for n in model_bands))
+    rows = F.array(*(F.struct(
+        F.lit(n).alias("region"),
+        *(scaled(i, STANDARD_BANDS[n]).alias(c) for i, c in enumerate(("x0", "y0", "x1", "y1"))),
+    ) for n in model_bands))
     return pages.select("*", F.inline(rows))

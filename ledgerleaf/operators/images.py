@@ -156,7 +156,16 @@ STEPS: dict[str, list[tuple]] = {
     "worn_scan": [(rotate, 3.0), (gaussian_noise, 5), (fade, 40), (salt_pepper, 0.0008)],
     "fax": [(rotate, 2.0), (binarize, 160), (vertical_streaks, (6, 15)), (resample, 2)],
     "phone_photo": [(perspective, 0.03), (rotate, 1.5), (lighting, 0.20), (shadow, 0.25), (blur, 0.8)],
-    "worst": [(crinkle, 4.0), (rotate, 5.0), (gaussian_noise, 6), (fade, 50), (side_shadow, 0.30), (coffee_stain, 0.35), (staple_holes, 2), (redaction_bars, (1, 3))],
+    "worst": [
+        (crinkle, 4.0),
+        (rotate, 5.0),
+        (gaussian_noise, 6),
+        (fade, 50),
+        (side_shadow, 0.30),
+        (coffee_stain, 0.35),
+        (staple_holes, 2),
+        (redaction_bars, (1, 3)),
+    ],
 }
 assert tuple(STEPS) == TIERS
 
@@ -181,7 +190,10 @@ def _run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def apply_tiers(images: DataFrame) -> DataFrame:
     """images (sample_id, tier, seed, height, width, pixels) degraded by tier."""
-    return images.select("sample_id", "tier", "seed", "height", "width", "pixels").mapInPandas(_run, "sample_id string, tier string, seed long, height int, width int, pixels binary")
+    return images.select("sample_id", "tier", "seed", "height", "width", "pixels").mapInPandas(
+        _run,
+        "sample_id string, tier string, seed long, height int, width int, pixels binary",
+    )
 
 
 def crop(px: np.ndarray, box: tuple[int, int, int, int]) -> np.ndarray:

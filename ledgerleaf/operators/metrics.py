@@ -45,7 +45,11 @@ def doc_accuracy(split: DataFrame, cells: DataFrame, preds: DataFrame | None = N
 
 def doc_stats(split: DataFrame, cells: DataFrame) -> DataFrame:
     """(tier, docs, docs_all_correct, mean_field_acc); tier NULL is the total."""
-    return doc_accuracy(split, cells).rollup("tier").agg(F.count("*").alias("docs"), F.count_if(F.col("all_correct")).alias("docs_all_correct"), F.avg("acc").alias("mean_field_acc"))
+    return doc_accuracy(split, cells).rollup("tier").agg(
+        F.count("*").alias("docs"),
+        F.count_if(F.col("all_correct")).alias("docs_all_correct"),
+        F.avg("acc").alias("mean_field_acc"),
+    )
 
 
 def tier_macro(cells: DataFrame) -> DataFrame:
@@ -69,7 +73,12 @@ def top_misses(cells: DataFrame, fields: int = 5, pairs: int = 5) -> DataFrame:
     per = cells.groupBy("key", "norm", "gt_n", "pred_n").agg(F.count("*").alias("misses"), F.min("row_idx").alias("first_row"))
     # right pairs are summed up before they meet their field's misses
     hit = F.col("norm")
-    per = per.groupBy("key", "norm", F.when(~hit, F.col("gt_n")).alias("gt_n"), F.when(~hit, F.col("pred_n")).alias("pred_n")).agg(F.sum("misses").alias("misses"), F.min("first_row").alias("first_row"))
+    per = per.groupBy(
+        "key",
+        "norm",
+        F.when(~hit, F.col("gt_n")).alias("gt_n"),
+        F.when(~hit, F.col("pred_n")).alias("pred_n"),
+    ).agg(F.sum("misses").alias("misses"), F.min("first_row").alias("first_row"))
     field = Window.partitionBy("key")
     per = per.withColumns({"total": F.sum("misses").over(field), "hits": F.sum(F.when(hit, F.col("misses")).otherwise(0)).over(field)})
     rank = F.row_number().over(field.orderBy("norm", F.desc("misses"), "first_row", "gt_n", "pred_n"))
@@ -80,12 +89,20 @@ def top_misses(cells: DataFrame, fields: int = 5, pairs: int = 5) -> DataFrame:
 
 def populated_blank(cells: DataFrame, *by: str) -> DataFrame:
     """(by.., populated, total, exact_acc, norm_acc): cells whose truth holds something against those left blank."""
-    return cells.groupBy(*by, (F.col("gt_n") != "").alias("populated")).agg(F.count("*").alias("total"), F.avg(F.col("exact").cast("int")).alias("exact_acc"), F.avg(F.col("norm").cast("int")).alias("norm_acc"))
+    return cells.groupBy(*by, (F.col("gt_n") != "").alias("populated")).agg(
+        F.count("*").alias("total"),
+        F.avg(F.col("exact").cast("int")).alias("exact_acc"),
+        F.avg(F.col("norm").cast("int")).alias("norm_acc"),
+    )
 
 
 def tier_populated(cells: DataFrame) -> DataFrame:
     """(tier, total, exact_acc, norm_acc) over populated cells."""
-    return cells.where("gt_n <> ''").groupBy("tier").agg(F.count("*").alias("total"), F.avg(F.col("exact").cast("int")).alias("exact_acc"), F.avg(F.col("norm").cast("int")).alias("norm_acc"))
+    return cells.where("gt_n <> ''").groupBy("tier").agg(
+        F.count("*").alias("total"),
+        F.avg(F.col("exact").cast("int")).alias("exact_acc"),
+        F.avg(F.col("norm").cast("int")).alias("norm_acc"),
+    )
 
 
 def _dimension(df: DataFrame, name: str, values) -> DataFrame:
@@ -95,9 +112,20 @@ def _dimension(df: DataFrame, name: str, values) -> DataFrame:
 def by_class(cells: DataFrame) -> DataFrame:
     """(cls, total, populated, exact_acc, norm_acc): every class, accuracies over populated cells."""
     full = F.col("gt_n") != ""
-    per = cells.where("cls is not null").groupBy("cls").agg(F.count("*").alias("total"), F.count_if(full).alias("populated"), F.count_if(full & F.col("exact")).alias("e"), F.count_if(full & F.col("norm")).alias("n"))
+    per = cells.where("cls is not null").groupBy("cls").agg(
+        F.count("*").alias("total"),
+        F.count_if(full).alias("populated"),
+        F.count_if(full & F.col("exact")).alias("e"),
+        F.count_if(full & F.col("norm")).alias("n"),
+    )
     out = F.broadcast(_dimension(cells, "cls", keys.CLASSES)).join(per, "cls", "left").fillna(0, ["total", "populated", "e", "n"])
-    return out.select("cls", "total", "populated", _rate(F.col("e"), F.col("populated")).alias("exact_acc"), _rate(F.col("n"), F.col("populated")).alias("norm_acc"))
+    return out.select(
+        "cls",
+        "total",
+        "populated",
+        _rate(F.col("e"), F.col("populated")).alias("exact_acc"),
+        _rate(F.col("n"), F.col("populated")).alias("norm_acc"),
+    )
 
 
 def error_rates(cells: DataFrame) -> DataFrame:
@@ -122,7 +150,13 @@ def validity(split: DataFrame, expected: DataFrame, outputs: DataFrame) -> DataF
     cover = F.when(F.col("parse_ok").isNull(), 0.0).when(F.size(want) > 0, shared / F.size(F.array_distinct(want))).otherwise(1.0)
     rows = rows.select(ok.alias("ok"), has.alias("has"), cover.alias("cover"))
     one = lambda c: F.coalesce(F.avg(c), F.lit(0.0))
-    return rows.agg(F.count("*").alias("samples"), one(F.col("ok").cast("int")).alias("parse_rate"), one(F.col("has").cast("int")).alias("has_expected_keys_rate"), one((F.col("ok") & F.col("has")).cast("int")).alias("valid_rate"), one(F.col("cover")).alias("mean_key_coverage"))
+    return rows.agg(
+        F.count("*").alias("samples"),
+        one(F.col("ok").cast("int")).alias("parse_rate"),
+        one(F.col("has").cast("int")).alias("has_expected_keys_rate"),
+        one((F.col("ok") & F.col("has")).cast("int")).alias("valid_rate"),
+        one(F.col("cover")).alias("mean_key_coverage"),
+    )
 
 
 def tier_order(seen: DataFrame) -> DataFrame:

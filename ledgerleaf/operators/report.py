@@ -30,7 +30,11 @@ def _line(head: tuple, values: tuple | None = None) -> str:
 
 def tier_table(split: DataFrame, cells: DataFrame, preds: DataFrame | None = None) -> DataFrame:
     """(tier, docs, all_correct, mean_field_acc, norm_field_acc), tiers by name, the total (tier null) last."""
-    docs = metrics.doc_accuracy(split, cells, preds).rollup("tier").agg(F.count("*").alias("docs"), F.avg(F.col("all_correct").cast("int")).alias("all_correct"), F.avg("acc").alias("mean_field_acc"))
+    docs = metrics.doc_accuracy(split, cells, preds).rollup("tier").agg(
+        F.count("*").alias("docs"),
+        F.avg(F.col("all_correct").cast("int")).alias("all_correct"),
+        F.avg("acc").alias("mean_field_acc"),
+    )
     out = docs.join(F.broadcast(metrics.tier_macro(cells)), "tier", "left")  # a row a tier
     return out.select("tier", "docs", "all_correct", "mean_field_acc", "norm_field_acc").orderBy(F.col("tier").asc_nulls_last())
 
@@ -40,15 +44,35 @@ def field_report(cells: DataFrame, pairs: int = 10) -> DataFrame:
     null) with its most frequent misses as a list of (gt, pred, count); one pass over the cells."""
     per = cells.groupBy("tier", "key", "exact", "norm", "gt_n", "pred_n").agg(F.count("*").alias("n"), F.min("row_idx").alias("first_row"))
     both = per.unionByName(per.withColumn("tier", F.lit(None).cast("string")))
-    both = both.groupBy("tier", "key", "gt_n", "pred_n", "norm").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("exact"), F.col("n")).otherwise(0)).alias("e"), F.min("first_row").alias("first_row"))
+    both = both.groupBy("tier", "key", "gt_n", "pred_n", "norm").agg(
+        F.sum("n").alias("n"),
+        F.sum(F.when(F.col("exact"), F.col("n")).otherwise(0)).alias("e"),
+        F.min("first_row").alias("first_row"),
+    )
     field = Window.partitionBy("tier", "key")
     rank = F.row_number().over(field.orderBy("norm", F.desc("n"), "first_row", "gt_n", "pred_n"))
-    totals = {"total": F.sum("n").over(field), "exact_hits": F.sum("e").over(field), "norm_hits": F.sum(F.when(F.col("norm"), F.col("n")).otherwise(0)).over(field)}
+    totals = {
+        "total": F.sum("n").over(field),
+        "exact_hits": F.sum("e").over(field),
+        "norm_hits": F.sum(F.when(F.col("norm"), F.col("n")).otherwise(0)).over(field),
+    }
     rows = both.withColumns({**totals, "rank": rank}).where((F.col("rank") <= pairs) | F.col("norm"))
-    miss = F.when(~F.col("norm") & (F.col("rank") <= pairs), F.struct("rank", F.col("gt_n").alias("gt"), F.col("pred_n").alias("pred"), F.col("n").alias("count")))
+    miss = F.when(
+        ~F.col("norm") & (F.col("rank") <= pairs),
+        F.struct("rank", F.col("gt_n").alias("gt"), F.col("pred_n").alias("pred"), F.col("n").alias("count")),
+    )
     out = rows.groupBy("tier", "key", "total", "exact_hits", "norm_hits").agg(F.array_sort(F.collect_list(miss)).alias("x"))
     misses = F.transform("x", lambda y: F.struct(y["gt"].alias("gt"), y["pred"].alias("pred"), y["count"].alias("count")))
-    return out.select("tier", "key", "total", "exact_hits", "norm_hits", (F.col("exact_hits") / F.col("total")).alias("exact_acc"), (F.col("norm_hits") / F.col("total")).alias("norm_acc"), misses.alias("top_misses"))
+    return out.select(
+        "tier",
+        "key",
+        "total",
+        "exact_hits",
+        "norm_hits",
+        (F.col("exact_hits") / F.col("total")).alias("exact_acc"),
+        (F.col("norm_hits") / F.col("total")).alias("norm_acc"),
+        misses.alias("top_misses"),
+    )
 
 
 def report_text(split: DataFrame, cells: DataFrame, missing: DataFrame, preds: DataFrame | None = None, worst: int = 15) -> str:
@@ -92,5 +116,9 @@ def summary_text(cells: DataFrame, split: DataFrame, valid: DataFrame, model: st
     every = rates["overall"]
     out.append(f"{'CER overall':<12}{every.n:>7}{'':>18}{float(every.mean_cer):>9.3f}")
     v = valid.first()
-    out += ["", "--- JSON validity ---", "  ".join(f"{name}={getattr(v, col):.3f}" for name, col in (("parse_rate", "parse_rate"), ("has_expected_keys", "has_expected_keys_rate"), ("valid_rate", "valid_rate"), ("mean_key_coverage", "mean_key_coverage")))]
+    out += [
+        "",
+        "--- JSON validity ---",
+        "  ".join(f"{name}={getattr(v, col):.3f}" for name, col in (("parse_rate", "parse_rate"), ("has_expected_keys", "has_expected_keys_rate"), ("valid_rate", "valid_rate"), ("mean_key_coverage", "mean_key_coverage"))),
+    ]
     return "\n".join(out)

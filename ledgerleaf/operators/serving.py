@@ -75,7 +75,10 @@ def confidence(raw: Column) -> Column:
 def classified(answer: Column) -> Column:
     """struct(doc_type, confidence) of a classifier's answer; an answer without JSON is unknown, low."""
     found = extract_json(answer)
-    return F.struct(doc_type(F.get_json_object(found, "$.doc_type")).alias("doc_type"), confidence(F.get_json_object(found, "$.confidence")).alias("confidence"))
+    return F.struct(
+        doc_type(F.get_json_object(found, "$.doc_type")).alias("doc_type"),
+        confidence(F.get_json_object(found, "$.confidence")).alias("confidence"),
+    )
 
 
 def bill_gate(raw_type: Column, raw_confidence: Column, force: Column) -> Column:

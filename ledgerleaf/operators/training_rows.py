@@ -29,7 +29,11 @@ def target_json(cells: Column, dropped: tuple[str, ...] = DROPPED) -> Column:
     """JSON object text of array<struct<key, value>>, in order, as Python writes it (', ' and ': ')."""
     kept = F.filter(cells, lambda x: ~x["key"].isin(*dropped)) if dropped else cells
     quote = lambda s: F.regexp_extract(F.to_json(F.array(s)), r"(?s)^\[(.*)\]$", 1)
-    return F.concat(F.lit("{"), F.array_join(F.transform(kept, lambda x: F.concat(quote(x["key"]), F.lit(": "), quote(x["value"]))), ", "), F.lit("}"))
+    return F.concat(
+        F.lit("{"),
+        F.array_join(F.transform(kept, lambda x: F.concat(quote(x["key"]), F.lit(": "), quote(x["value"]))), ", "),
+        F.lit("}"),
+    )
 
 
 def _text(c: Column | str) -> Column:
@@ -51,7 +55,14 @@ def chat_rows(rows: DataFrame, user: str = MINIMAL, system: str = SYSTEM) -> Dat
 def vlm_rows(rows: DataFrame, prompt: str) -> DataFrame:
     """(image, prompt, target, sample_id, tier, split); val is named validation."""
     split = F.when(F.col("split") == "val", "validation").otherwise(F.col("split"))
-    return rows.select(F.col("image_path").alias("image"), F.lit(prompt).alias("prompt"), F.col("target_json").alias("target"), "sample_id", "tier", split.alias("split"))
+    return rows.select(
+        F.col("image_path").alias("image"),
+        F.lit(prompt).alias("prompt"),
+        F.col("target_json").alias("target"),
+        "sample_id",
+        "tier",
+        split.alias("split"),
+    )
 
 
 def dataset_rows(rows: DataFrame, cells: DataFrame, keys: list[str], folder: str = "") -> DataFrame:

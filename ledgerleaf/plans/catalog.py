@@ -42,7 +42,19 @@ def joined_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("cell_compare", claims.o_cells("SELECT row_idx, sample_id, tier, key, gt_n, pred_n, exact, norm, region, coalesce(cls, '') AS cls, round(coalesce(cer, -1.0), 6) AS cer FROM cells"))
 def cell_compare(spark, sf_dir):
     x = joined_cells(spark, sf_dir)
-    return x.select("row_idx", "sample_id", "tier", "key", "gt_n", "pred_n", "exact", "norm", "region", F.coalesce("cls", F.lit("")).alias("cls"), F.round(F.coalesce("cer", F.lit(-1.0)), 6).alias("cer"))
+    return x.select(
+        "row_idx",
+        "sample_id",
+        "tier",
+        "key",
+        "gt_n",
+        "pred_n",
+        "exact",
+        "norm",
+        "region",
+        F.coalesce("cls", F.lit("")).alias("cls"),
+        F.round(F.coalesce("cer", F.lit(-1.0)), 6).alias("cer"),
+    )
 
 
 _FIELDS = "CAST(count(*) AS BIGINT) AS total, CAST(count_if(exact) AS BIGINT) AS exact_hits, CAST(count_if(norm) AS BIGINT) AS norm_hits, CAST(count_if(exact) AS DOUBLE) / count(*) AS exact_acc, CAST(count_if(norm) AS DOUBLE) / count(*) AS norm_acc"
@@ -133,7 +145,11 @@ def _validity(spark, sf_dir):
     c = Claims(spark, sf_dir)
     want = c.rows.select("row_idx", F.transform("cells", lambda x: x["key"]).alias("want"))
     out = c.pred.groupBy("row_idx").agg(F.collect_set("key").alias("got"))
-    out = out.select(F.col("row_idx").cast("string").alias("sample_id"), (F.col("row_idx") % 7 != 0).alias("parse_ok"), F.when(F.col("row_idx") % 7 != 0, F.col("got")).otherwise(F.array().cast("array<string>")).alias("got"))
+    out = out.select(
+        F.col("row_idx").cast("string").alias("sample_id"),
+        (F.col("row_idx") % 7 != 0).alias("parse_ok"),
+        F.when(F.col("row_idx") % 7 != 0, F.col("got")).otherwise(F.array().cast("array<string>")).alias("got"),
+    )
     return c.split, want, out
 
 
@@ -172,7 +188,10 @@ def _summary_sql(model: str) -> str:
     cols += [f"round({acc.format(f"gt_n <> '' AND tier = '{t}'", 'norm')}, 4) AS tier_{t}_norm_acc" for t in keys.TIERS]
     cols += [_ROUND.format(acc.format(f"gt_n <> '' AND cls = '{c}'", "exact")) + f" AS class_{c}_exact" for c in keys.CLASSES]
     cols += [_ROUND.format(f"avg(CASE WHEN cls = '{c}' THEN cer END)") + f" AS cer_{c}" for c in keys.CER_CLASSES] + [_ROUND.format("avg(cer)") + " AS cer_overall"]
-    cols += ["(SELECT round(avg(CAST(ok AND got = want AS INT)), 4) FROM vw) AS json_valid_rate", "(SELECT round(avg(CAST(ok AS INT)), 4) FROM vw) AS json_parse_rate"]
+    cols += [
+        "(SELECT round(avg(CAST(ok AND got = want AS INT)), 4) FROM vw) AS json_valid_rate",
+        "(SELECT round(avg(CAST(ok AS INT)), 4) FROM vw) AS json_parse_rate",
+    ]
     return claims.o_cells(f",{_VALID} SELECT {', '.join(cols)} FROM cells")
 
 
@@ -196,7 +215,12 @@ def append_runs(spark, sf_dir):
     for model in ("base", "again"):
         files.write_summary(spark.createDataFrame(row.assign(model=model)), path)
     rows = files.read_summaries(spark, path)
-    return rows.select("model", "n_samples", F.col("populated_norm_acc").cast("double").alias("populated_norm_acc"), F.col("cer_overall").cast("double").alias("cer_overall"))
+    return rows.select(
+        "model",
+        "n_samples",
+        F.col("populated_norm_acc").cast("double").alias("populated_norm_acc"),
+        F.col("cer_overall").cast("double").alias("cer_overall"),
+    )
 
 
 def _scratch(spark: SparkSession, tag: str) -> str:
@@ -229,26 +253,59 @@ s AS (SELECT tier, key, count(*) AS total, CAST(count_if(exact) AS BIGINT) AS ex
 SELECT s.tier, s.key, total, exact_hits, norm_hits, coalesce(misses, '') AS misses FROM s LEFT JOIN l ON s.key = l.key AND s.tier IS NOT DISTINCT FROM l.tier"""))
 def report_fields(spark, sf_dir):
     rows = report.field_report(all_cells(spark, sf_dir))
-    return rows.select("tier", "key", "total", "exact_hits", "norm_hits", F.array_join(F.transform("top_misses", lambda m: F.concat(m["gt"], F.lit(">"), m["pred"], F.lit("="), m["count"].cast("string"))), "|").alias("misses"))
+    return rows.select(
+        "tier",
+        "key",
+        "total",
+        "exact_hits",
+        "norm_hits",
+        F.array_join(
+            F.transform("top_misses", lambda m: F.concat(m["gt"], F.lit(">"), m["pred"], F.lit("="), m["count"].cast("string"))),
+            "|",
+        ).alias("misses"),
+    )
 
 
 @query("model_fields", claims.o_cells("SELECT region, count(*) AS n, count(DISTINCT key) AS n_keys FROM cells WHERE region IN ('top', 'bottom') GROUP BY region"))
 def model_fields(spark, sf_dir):
-    return all_cells(spark, sf_dir).where(keys.in_model("key", "fields")).groupBy("region").agg(F.count("*").alias("n"), F.count_distinct("key").alias("n_keys"))
+    return all_cells(spark, sf_dir).where(keys.in_model("key", "fields")).groupBy("region").agg(
+        F.count("*").alias("n"),
+        F.count_distinct("key").alias("n_keys"),
+    )
 
 
 # ---------------------------------------------------------------- normalisers
 _RAW = "SELECT o_orderkey AS k, CASE o_orderkey % 5 WHEN 0 THEN {a} WHEN 1 THEN {b} WHEN 2 THEN {c} WHEN 3 THEN {d} ELSE {e} END AS v FROM orders"
 _VALUES = {
     "generic": ("concat('  ', o_orderpriority, '  x ')", "'n/a'", "lower(o_orderpriority)", "'None'", "o_orderstatus"),
-    "date": (claims._date("o_orderdate"), f"concat({claims._text('month(o_orderdate)')}, '/', {claims._text('day(o_orderdate)')}, '/', lpad({claims._text('o_orderkey % 100')}, 2, '0'))", f"concat({claims._text('year(o_orderdate)')}, '-', {claims._text('month(o_orderdate)')}, '-7')", "'13/45/2020'", "'May 5'"),
+    "date": (
+        claims._date("o_orderdate"),
+        f"concat({claims._text('month(o_orderdate)')}, '/', {claims._text('day(o_orderdate)')}, '/', lpad({claims._text('o_orderkey % 100')}, 2, '0'))",
+        f"concat({claims._text('year(o_orderdate)')}, '-', {claims._text('month(o_orderdate)')}, '-7')",
+        "'13/45/2020'",
+        "'May 5'",
+    ),
     "phone": ("concat('(', lpad(CAST(o_custkey % 1000 AS VARCHAR(9)), 3, '0'), ') 555-0100')", "'na'", "'1-800 call'", "'555.0100'", "''"),
-    "money": (claims._money("o_totalprice"), f"concat('$ ', {claims._money('o_totalprice')})", f"concat({claims._text('o_custkey')}, ',000')", f"CASE o_orderkey % 7 WHEN 0 THEN '12d' WHEN 1 THEN '2.675' WHEN 2 THEN '1e30' WHEN 3 THEN 'inf' WHEN 4 THEN '-0.001' ELSE concat({claims._text('o_custkey % 1000')}, '.', lpad({claims._text('o_orderkey % 100000')}, 5, '0')) END", f"concat({claims._text('o_custkey')}, '.5')"),
+    "money": (
+        claims._money("o_totalprice"),
+        f"concat('$ ', {claims._money('o_totalprice')})",
+        f"concat({claims._text('o_custkey')}, ',000')",
+        f"CASE o_orderkey % 7 WHEN 0 THEN '12d' WHEN 1 THEN '2.675' WHEN 2 THEN '1e30' WHEN 3 THEN 'inf' WHEN 4 THEN '-0.001' ELSE concat({claims._text('o_custkey % 1000')}, '.', lpad({claims._text('o_orderkey % 100000')}, 5, '0')) END",
+        f"concat({claims._text('o_custkey')}, '.5')",
+    ),
     "id": ("concat('w-', CAST(o_custkey AS VARCHAR(20)))", "'N/A.'", "' 12 34 '", "'null'", "o_orderpriority"),
     "sex": ("'male'", "'F'", "' female '", "''", "'none'"),
     "state": ("'california'", "'ny'", "' t'", "'NA'", "'Navarre'"),
 }
-_FUNCTIONS = {"generic": text.generic, "date": text.date, "phone": text.phone, "money": text.money, "id": text.identifier, "sex": text.sex, "state": text.state}
+_FUNCTIONS = {
+    "generic": text.generic,
+    "date": text.date,
+    "phone": text.phone,
+    "money": text.money,
+    "id": text.identifier,
+    "sex": text.sex,
+    "state": text.state,
+}
 
 
 def _normaliser(name: str) -> None:
@@ -268,14 +325,26 @@ for _name in _VALUES:
 def classify_keys(spark, sf_dir):
     c = Claims(spark, sf_dir)
     k = c.gt.select("key").unionByName(c.pred.select("key")).distinct()
-    return k.select("key", text.kind_of("key").alias("kind"), F.coalesce(keys.class_of("key"), F.lit("")).alias("cls"), keys.region_of("key").alias("region"))
+    return k.select(
+        "key",
+        text.kind_of("key").alias("kind"),
+        F.coalesce(keys.class_of("key"), F.lit("")).alias("cls"),
+        keys.region_of("key").alias("region"),
+    )
 
 
 # ---------------------------------------------------------------- nested and flat
 def nested_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = Claims(spark, sf_dir)
-    lines = c.line.groupBy("k").agg(F.array_sort(F.collect_list(F.struct("i", F.lpad((F.col("l_partkey") % 100000).cast("string"), 5, "0").alias("procedure_code"), F.col("l_quantity").cast("long").cast("string").alias("units")))).alias("x"))
-    lines = lines.select("k", F.transform("x", lambda s: F.struct(s["procedure_code"].alias("procedure_code"), s["units"].alias("units"))).alias("lines"))
+    lines = c.line.groupBy("k").agg(F.array_sort(F.collect_list(F.struct(
+        "i",
+        F.lpad((F.col("l_partkey") % 100000).cast("string"), 5, "0").alias("procedure_code"),
+        F.col("l_quantity").cast("long").cast("string").alias("units"),
+    ))).alias("x"))
+    lines = lines.select(
+        "k",
+        F.transform("x", lambda s: F.struct(s["procedure_code"].alias("procedure_code"), s["units"].alias("units"))).alias("lines"),
+    )
     other = F.when(F.col("k") % 3 == 0, F.struct(F.col("c_name").alias("name"), F.lit("").alias("plan_name")))
     doc = F.struct(
         F.col("c_name").alias("name"),
@@ -319,7 +388,10 @@ SELECT k AS row_idx, string_agg(concat(lpad(CAST(l_partkey % 100000 AS VARCHAR),
 )
 def unflatten_lines(spark, sf_dir):
     got = flatten.unflat_lines(Claims(spark, sf_dir).gt.withColumnRenamed("gt", "value"), "row_idx", keys.SERVICE_BOX, ["procedure_code", "units"])
-    return got.select("row_idx", F.array_join(F.transform("lines", lambda x: F.concat(x["procedure_code"], F.lit("="), x["units"])), ",").alias("lines"))
+    return got.select(
+        "row_idx",
+        F.array_join(F.transform("lines", lambda x: F.concat(x["procedure_code"], F.lit("="), x["units"])), ",").alias("lines"),
+    )
 
 
 @query("canonical_keys", with_cells("SELECT CAST(row_number() OVER (ORDER BY r, p) - 1 AS INTEGER) AS position, key FROM (SELECT key, min(row_idx) AS r, arg_min(pos, row_idx) AS p FROM gt GROUP BY key) AS x"))
@@ -375,7 +447,13 @@ def chat_rows(spark, sf_dir):
     """A row for every turn of every conversation."""
     c = table(spark, sf_dir, "conversations")
     cells = F.array(F.struct(F.col("role").alias("key"), F.col("text").alias("value")))
-    rows = c.select(F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("sample_id"), F.lit("pristine").alias("tier"), F.lit("train").alias("split"), F.lit("x.png").alias("image_path"), training_rows.target_json(cells).alias("target_json"))
+    rows = c.select(
+        F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("sample_id"),
+        F.lit("pristine").alias("tier"),
+        F.lit("train").alias("split"),
+        F.lit("x.png").alias("image_path"),
+        training_rows.target_json(cells).alias("target_json"),
+    )
     return training_rows.chat_rows(rows).select("sample_id", F.size("messages").alias("n_messages"), "target_json")
 
 
@@ -385,8 +463,17 @@ _PROMPT = training_rows.instruction(["name", "total"])
 @query("vlm_rows", f"SELECT concat(CAST(o_orderkey AS VARCHAR), '.png') AS image, '{_PROMPT.replace(chr(39), chr(39) * 2)}' AS prompt, concat('{{\"name\": \"', o_orderstatus, '\", \"total\": \"', {claims._money('o_totalprice')}, '\"}}') AS target, CAST(o_orderkey AS VARCHAR) AS sample_id, CASE WHEN o_orderkey % 10 = 0 THEN 'validation' ELSE 'train' END AS split FROM orders")
 def vlm_rows(spark, sf_dir):
     o = claims.run_sql(spark, sf_dir, f"SELECT *, {claims._money('o_totalprice')} AS total FROM orders")
-    cells = F.array(F.struct(F.lit("name").alias("key"), F.col("o_orderstatus").alias("value")), F.struct(F.lit("total").alias("key"), F.col("total").alias("value")))
-    rows = o.select(F.concat(F.col("o_orderkey").cast("string"), F.lit(".png")).alias("image_path"), F.col("o_orderkey").cast("string").alias("sample_id"), F.lit("").alias("tier"), F.when(F.col("o_orderkey") % 10 == 0, "val").otherwise("train").alias("split"), training_rows.target_json(cells).alias("target_json"))
+    cells = F.array(
+        F.struct(F.lit("name").alias("key"), F.col("o_orderstatus").alias("value")),
+        F.struct(F.lit("total").alias("key"), F.col("total").alias("value")),
+    )
+    rows = o.select(
+        F.concat(F.col("o_orderkey").cast("string"), F.lit(".png")).alias("image_path"),
+        F.col("o_orderkey").cast("string").alias("sample_id"),
+        F.lit("").alias("tier"),
+        F.when(F.col("o_orderkey") % 10 == 0, "val").otherwise("train").alias("split"),
+        training_rows.target_json(cells).alias("target_json"),
+    )
     return training_rows.vlm_rows(rows, _PROMPT).drop("tier")
 
 
@@ -399,7 +486,11 @@ _SUM = "list_sum(list_transform(range(1, 15), lambda i: CASE WHEN (14 - i) % 2 =
 def luhn_npi(spark, sf_dir):
     base = F.concat(F.lit("1"), F.lpad((F.col("c_custkey") % 100000000).cast("string"), 8, "0"))
     c = table(spark, sf_dir, "customer").select("c_custkey", base.alias("b"))
-    return c.select("c_custkey", F.concat("b", keys.luhn_check_digit("b")).alias("npi"), keys.luhn_valid(F.concat("b", (F.col("c_custkey") % 10).cast("string"))).alias("other_valid"))
+    return c.select(
+        "c_custkey",
+        F.concat("b", keys.luhn_check_digit("b")).alias("npi"),
+        keys.luhn_valid(F.concat("b", (F.col("c_custkey") % 10).cast("string"))).alias("other_valid"),
+    )
 
 
 def _npi_sql(seed: str, lead: str) -> str:
@@ -409,7 +500,11 @@ def _npi_sql(seed: str, lead: str) -> str:
 
 @query("generate_npi", f"SELECT p.c_custkey, p.npi AS npi, o.npi AS organization, true AS valid FROM ({_npi_sql('c_custkey', '1')}) p JOIN ({_npi_sql('c_custkey', '2')}) o ON p.c_custkey = o.c_custkey")
 def generate_npi(spark, sf_dir):
-    c = table(spark, sf_dir, "customer").select("c_custkey", keys.generate_npi("c_custkey").alias("npi"), keys.generate_npi("c_custkey", True).alias("organization"))
+    c = table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        keys.generate_npi("c_custkey").alias("npi"),
+        keys.generate_npi("c_custkey", True).alias("organization"),
+    )
     return c.select("*", (keys.luhn_valid("npi") & keys.luhn_valid("organization")).alias("valid"))
 
 
@@ -418,7 +513,10 @@ def validate_total(spark, sf_dir):
     c = Claims(spark, sf_dir)
     cents = lambda x: F.round(F.col(x) * 100).cast("long")
     money = lambda v: (v.cast("decimal(18,0)") / 100).cast("decimal(18,2)").cast("string")
-    lines = c.line.groupBy("k").agg(F.collect_list(F.struct(money(cents("l_extendedprice")).alias("charges"))).alias("lines"), F.sum(cents("l_extendedprice")).alias("s"))
+    lines = c.line.groupBy("k").agg(
+        F.collect_list(F.struct(money(cents("l_extendedprice")).alias("charges"))).alias("lines"),
+        F.sum(cents("l_extendedprice")).alias("s"),
+    )
     rows = c.claim.join(lines, "k").withColumn("total", money(F.when(F.col("k") % 2 == 0, F.col("s")).otherwise(cents("o_totalprice"))))
     return rows.select(F.col("k").alias("row_idx"), validators.total_matches(F.col("lines"), "charges", F.col("total")).alias("ok"))
 
@@ -435,7 +533,12 @@ def validate_pointers(spark, sf_dir):
 def validate_tax_id(spark, sf_dir):
     s, k = table(spark, sf_dir, "supplier"), F.col("s_suppkey")
     d = F.lpad(k.cast("string"), 9, "0")
-    ein, ssn = F.concat(F.substring(d, 1, 2), F.lit("-"), F.substring(d, 3, 7)), F.concat_ws("-", F.substring(d, 1, 3), F.substring(d, 4, 2), F.substring(d, 6, 4))
+    ein, ssn = F.concat(F.substring(d, 1, 2), F.lit("-"), F.substring(d, 3, 7)), F.concat_ws(
+        "-",
+        F.substring(d, 1, 3),
+        F.substring(d, 4, 2),
+        F.substring(d, 6, 4),
+    )
     value = F.when(k % 3 == 0, ein).when(k % 3 == 1, ssn).otherwise(d)
     return s.select("s_suppkey", validators.tax_id_valid(value, F.when(k % 3 == 1, "SSN").otherwise("EIN")).alias("ok"))
 
@@ -444,14 +547,26 @@ def validate_tax_id(spark, sf_dir):
 def validate_dates(spark, sf_dir):
     o, li = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
     rows = o.join(li, o.o_orderkey == li.l_orderkey)
-    return rows.select("o_orderkey", "l_linenumber", "l_shipdate", validators.dates_in_order(F.col("o_orderdate"), F.col("l_shipdate"), F.lit("1997-06-01 00:00:00").cast("timestamp")).alias("ok"))
+    return rows.select(
+        "o_orderkey",
+        "l_linenumber",
+        "l_shipdate",
+        validators.dates_in_order(F.col("o_orderdate"), F.col("l_shipdate"), F.lit("1997-06-01 00:00:00").cast("timestamp")).alias("ok"),
+    )
 
 
 @query("validate_self_mirror", "SELECT c_custkey, c_custkey % 3 <> 0 OR c_custkey % 2 = 0 AS ok FROM customer")
 def validate_self_mirror(spark, sf_dir):
     c, k = table(spark, sf_dir, "customer"), F.col("c_custkey")
     me = F.struct(F.col("c_name").alias("n"))
-    return c.select("c_custkey", validators.self_mirrored(F.when(k % 3 == 0, "self").otherwise("child"), me, F.struct(F.when(k % 2 == 0, F.col("c_name")).otherwise(F.lit("?")).alias("n"))).alias("ok"))
+    return c.select(
+        "c_custkey",
+        validators.self_mirrored(
+            F.when(k % 3 == 0, "self").otherwise("child"),
+            me,
+            F.struct(F.when(k % 2 == 0, F.col("c_name")).otherwise(F.lit("?")).alias("n")),
+        ).alias("ok"),
+    )
 
 
 @query("code_enrich", """
@@ -461,8 +576,15 @@ def code_enrich(spark, sf_dir):
     """Line items' codes described by a code set that was written and read as a file; one code is not in it."""
     part = table(spark, sf_dir, "part")
     path = _scratch(spark, "codes")
-    part.where("p_brand <> 'Brand#11'").select(F.col("p_brand").alias("code"), F.col("p_type").alias("description"), "p_partkey").orderBy("p_partkey").drop("p_partkey").coalesce(1).write.option("header", True).csv(path)
-    rows = table(spark, sf_dir, "lineitem").select("l_partkey").join(part.select("p_partkey", F.col("p_brand").alias("code")), F.col("l_partkey") == F.col("p_partkey"))
+    part.where("p_brand <> 'Brand#11'").select(
+        F.col("p_brand").alias("code"),
+        F.col("p_type").alias("description"),
+        "p_partkey",
+    ).orderBy("p_partkey").drop("p_partkey").coalesce(1).write.option("header", True).csv(path)
+    rows = table(spark, sf_dir, "lineitem").select("l_partkey").join(
+        part.select("p_partkey", F.col("p_brand").alias("code")),
+        F.col("l_partkey") == F.col("p_partkey"),
+    )
     counts = rows.groupBy("code").agg(F.count("*").alias("n"))
     return codes.described(counts, files.read_codes(spark, path), "code").select("code", "description", "n")
 
@@ -473,7 +595,10 @@ def extract_json_salvage(spark, sf_dir):
     e = table(spark, sf_dir, "events")
     whole = F.concat(F.lit('{"t": "'), F.col("event_type"), F.lit('", "u": "'), F.col("user_id").cast("string"), F.lit('"}'))
     cut = F.concat(F.lit('Sure: {"t": "'), F.col("event_type"), F.lit('", "u": "'), F.col("user_id").cast("string"))
-    said = F.element_at(F.array(whole, F.concat(F.lit("```json\n"), whole, F.lit("\n```")), cut, F.lit("no object")), (F.col("event_id") % 4 + 1).cast("int"))
+    said = F.element_at(
+        F.array(whole, F.concat(F.lit("```json\n"), whole, F.lit("\n```")), cut, F.lit("no object")),
+        (F.col("event_id") % 4 + 1).cast("int"),
+    )
     return e.select("event_id", serving.extract_json(said).alias("found"))
 
 
@@ -502,7 +627,11 @@ def radio_maps(spark, sf_dir):
     return c.select(
         "c_custkey",
         forms.choice(F.when(k == 0, "self").when(k == 1, "child").otherwise("cousin"), forms.RELATIONSHIP, "O").alias("relationship"),
-        forms.choice(F.when(k == 0, "TRICARE").when(k == 1, "GroupHealthPlan").otherwise(F.col("c_mktsegment")), forms.INSURANCE_TYPE, "Other").alias("insurance"),
+        forms.choice(
+            F.when(k == 0, "TRICARE").when(k == 1, "GroupHealthPlan").otherwise(F.col("c_mktsegment")),
+            forms.INSURANCE_TYPE,
+            "Other",
+        ).alias("insurance"),
         forms.choice(F.when(k == 0, "F").when(k == 1, "M"), forms.INSURED_SEX, "MALE").alias("sex"),
     )
 
@@ -510,7 +639,12 @@ def radio_maps(spark, sf_dir):
 @query("form_dates", "SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN '' ELSE concat(lpad(CAST(month(o_orderdate) AS VARCHAR), 2, '0'), '/', lpad(CAST(day(o_orderdate) AS VARCHAR), 2, '0'), '/', CASE WHEN o_orderkey % 4 = 1 THEN CAST(year(o_orderdate) AS VARCHAR) ELSE concat(CASE WHEN o_orderkey % 100 < 50 THEN '20' ELSE '19' END, lpad(CAST(o_orderkey % 100 AS VARCHAR), 2, '0')) END) END AS full_date FROM orders")
 def form_dates(spark, sf_dir):
     k = F.col("o_orderkey")
-    d = F.struct(F.when(k % 4 == 0, "").otherwise(F.date_format("o_orderdate", "MM")).alias("mm"), F.date_format("o_orderdate", "dd").alias("dd"), F.lpad((k % 100).cast("string"), 2, "0").alias("yy"), F.when(k % 4 == 1, F.date_format("o_orderdate", "yyyy")).otherwise("").alias("yyyy"))
+    d = F.struct(
+        F.when(k % 4 == 0, "").otherwise(F.date_format("o_orderdate", "MM")).alias("mm"),
+        F.date_format("o_orderdate", "dd").alias("dd"),
+        F.lpad((k % 100).cast("string"), 2, "0").alias("yy"),
+        F.when(k % 4 == 1, F.date_format("o_orderdate", "yyyy")).otherwise("").alias("yyyy"),
+    )
     return table(spark, sf_dir, "orders").select("o_orderkey", forms.full_date(d).alias("full_date"))
 
 
@@ -528,7 +662,11 @@ def band_geometry(spark, sf_dir):
 
 @query("standard_bands", "SELECT p_partkey, region, CAST(floor(a * (w / 2550)) AS INTEGER) AS x0, CAST(floor(b * (h / 3300)) AS INTEGER) AS y0, CAST(floor(c * (w / 2550)) AS INTEGER) AS x1, CAST(floor(d * (h / 3300)) AS INTEGER) AS y1 FROM (SELECT p_partkey, CAST(p_size * 10 AS DOUBLE) AS w, CAST(p_size * 17 AS DOUBLE) AS h FROM part) AS p, (VALUES ('top', 0, 0, 2550, 2254), ('service', 0, 2154, 2550, 2847), ('bottom', 0, 2747, 2550, 3300)) AS v(region, a, b, c, d)")
 def standard_bands(spark, sf_dir):
-    pages = table(spark, sf_dir, "part").select("p_partkey", (F.col("p_size") * 10).cast("double").alias("width"), (F.col("p_size") * 17).cast("double").alias("height"))
+    pages = table(spark, sf_dir, "part").select(
+        "p_partkey",
+        (F.col("p_size") * 10).cast("double").alias("width"),
+        (F.col("p_size") * 17).cast("double").alias("height"),
+    )
     return geometry.standard_bands(pages).drop("width", "height")
 
 
@@ -544,11 +682,24 @@ def region_split(spark, sf_dir):
 def manifest_round_trip(spark, sf_dir):
     """Manifests written as three files and read back in order of file and line, with slashes mended."""
     path = _scratch(spark, "manifest")
-    o = table(spark, sf_dir, "orders").select((F.col("o_orderkey") % 3).alias("file"), "o_orderkey", F.to_json(F.struct(F.col("o_orderkey").cast("string").alias("sample_id"), F.concat(F.lit("fax\\"), F.col("o_orderkey").cast("string"), F.lit(".png")).alias("image"))).alias("value"))
+    o = table(spark, sf_dir, "orders").select(
+        (F.col("o_orderkey") % 3).alias("file"),
+        "o_orderkey",
+        F.to_json(F.struct(
+            F.col("o_orderkey").cast("string").alias("sample_id"),
+            F.concat(F.lit("fax\\"), F.col("o_orderkey").cast("string"), F.lit(".png")).alias("image"),
+        )).alias("value"),
+    )
     for k in range(3):
         o.where(F.col("file") == k).orderBy("o_orderkey").coalesce(1).select("value").write.text(f"{path}/part={k}")
     rows = files.read_manifest(spark, f"{path}/*")
-    return rows.select((F.col("sample_id").cast("long") % 3).alias("file"), "row_idx", "sample_id", "image", files.basename(F.col("image")).alias("name"))
+    return rows.select(
+        (F.col("sample_id").cast("long") % 3).alias("file"),
+        "row_idx",
+        "sample_id",
+        "image",
+        files.basename(F.col("image")).alias("name"),
+    )
 
 
 AS_OF = "2024-06-01"
@@ -573,8 +724,14 @@ def synth_rules(spark, sf_dir):
     return r.select(
         "seed",
         validators.total_matches(lines, "charges", c("billing.total_charge")).alias("total_ok"),
-        F.forall(lines, lambda x: validators.pointers_valid(x["diagnosis_pointers"], c("diagnoses")) & (F.char_length(x["diagnosis_pointers"]) <= 4)).alias("pointers_ok"),
-        (F.size(lines).between(1, 6) & F.size("diagnoses").between(1, 12) & (F.size(F.array_distinct("diagnoses")) == F.size("diagnoses")) & F.forall(lines, lambda x: (F.size(x["modifiers"]) == 4) & x["units"].cast("int").between(1, 5))).alias("counts_ok"),
+        F.forall(
+            lines,
+            lambda x: validators.pointers_valid(x["diagnosis_pointers"], c("diagnoses")) & (F.char_length(x["diagnosis_pointers"]) <= 4),
+        ).alias("pointers_ok"),
+        (F.size(lines).between(1, 6) & F.size("diagnoses").between(1, 12) & (F.size(F.array_distinct("diagnoses")) == F.size("diagnoses")) & F.forall(
+            lines,
+            lambda x: (F.size(x["modifiers"]) == 4) & x["units"].cast("int").between(1, 5),
+        )).alias("counts_ok"),
         validators.tax_id_valid(c("billing.tax_id"), c("billing.tax_id_type")).alias("tax_ok"),
         validators.self_mirrored(c("patient.relationship_to_insured"), c("patient.name"), c("insured.name")).alias("mirror_ok"),
         (keys.luhn_valid("billing_office.npi") & F.forall(lines, lambda x: keys.luhn_valid(x["rendering_provider_npi"]))).alias("npi_ok"),
@@ -588,8 +745,17 @@ def known_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.struct(F.col("c_name").alias("last"), F.lit("A").alias("first"), F.lit("").alias("middle"))
     line = lambda n: F.struct(date.alias("date_from"), F.lit("99213").alias("cpt"), F.array(F.lit("25"), F.lit("")).alias("modifiers"), F.lit(f"{n}0.00").alias("charges"), F.lit(str(n)).alias("units"))
     doc = F.struct(
-        F.struct(F.when(k % 3 == 0, "TRICARE").otherwise("GroupHealthPlan").alias("type"), F.concat(F.lit("W"), F.col("o_custkey").cast("string")).alias("insured_id")).alias("insurance"),
-        F.struct(name.alias("name"), date.alias("dob"), F.when(k % 2 == 0, "M").otherwise("F").alias("sex"), F.struct(F.lit("555").alias("area"), F.lit("010-0000").alias("number")).alias("phone"), F.when(k % 4 == 0, "self").when(k % 4 == 1, "child").otherwise("other").alias("relationship_to_insured")).alias("patient"),
+        F.struct(
+            F.when(k % 3 == 0, "TRICARE").otherwise("GroupHealthPlan").alias("type"),
+            F.concat(F.lit("W"), F.col("o_custkey").cast("string")).alias("insured_id"),
+        ).alias("insurance"),
+        F.struct(
+            name.alias("name"),
+            date.alias("dob"),
+            F.when(k % 2 == 0, "M").otherwise("F").alias("sex"),
+            F.struct(F.lit("555").alias("area"), F.lit("010-0000").alias("number")).alias("phone"),
+            F.when(k % 4 == 0, "self").when(k % 4 == 1, "child").otherwise("other").alias("relationship_to_insured"),
+        ).alias("patient"),
         F.when(k % 5 == 0, F.struct(F.col("c_name").alias("name"), F.lit("P1").alias("policy_or_group"))).alias("other_insured"),
         F.struct((k % 2 == 0).alias("yes")).alias("outside_lab"),
         F.slice(F.array(F.lit("A01.1"), F.lit("B02")), 1, (k % 2 + 1).cast("int")).alias("diagnoses"),
@@ -639,7 +805,11 @@ _LOGICAL_MAYBE = {
 @query("record_to_logical", _cells_sql(_LOGICAL_SQL, _LOGICAL_MAYBE, "key"))
 def record_to_logical(spark, sf_dir):
     df = known_records(spark, sf_dir).select("seed", forms.logical().alias("doc"))
-    return flatten.explode_cells(df, flatten.flat_cells(F.col("doc"), df.schema["doc"].dataType), "seed").drop("pos").where(F.col("key").isin(*_LOGICAL_SQL, *_LOGICAL_MAYBE))
+    return flatten.explode_cells(
+        df,
+        flatten.flat_cells(F.col("doc"), df.schema["doc"].dataType),
+        "seed",
+    ).drop("pos").where(F.col("key").isin(*_LOGICAL_SQL, *_LOGICAL_MAYBE))
 
 
 _SYNTH_WEIGHTS = ((60, "plain"), (30, "one"), (10, "two"))
@@ -653,7 +823,11 @@ def weighted_choice(spark, sf_dir):
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A small page for every part, its size and grey levels from the table."""
-    p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("i"), (F.col("p_size") % 16 + 32).alias("height"), (F.col("p_size") % 8 + 24).alias("width"))
+    p = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("i"),
+        (F.col("p_size") % 16 + 32).alias("height"),
+        (F.col("p_size") % 8 + 24).alias("width"),
+    )
     rows = splits.round_robin(p, "i", list(keys.TIERS))
     pixels = F.unhex(F.repeat(F.lit("ff00e0"), F.col("height") * F.col("width")))
     return rows.select(F.col("i").cast("string").alias("sample_id"), "tier", F.col("i").alias("seed"), "height", "width", pixels.alias("pixels"))
@@ -667,7 +841,12 @@ def image_tiers(spark, sf_dir):
     before = _pages(spark, sf_dir)
     made = images.apply_tiers(before).select("sample_id", "tier", "height", "width", "pixels")
     same = F.col("pixels") == F.unhex(F.repeat(F.lit("ff00e0"), F.col("height") * F.col("width")))
-    return made.select("sample_id", "tier", F.length("pixels").alias("bytes"), F.when(F.col("tier") == keys.TIERS[0], same).otherwise(F.lit(True)).alias("as_should"))
+    return made.select(
+        "sample_id",
+        "tier",
+        F.length("pixels").alias("bytes"),
+        F.when(F.col("tier") == keys.TIERS[0], same).otherwise(F.lit(True)).alias("as_should"),
+    )
 
 
 @query("image_crops", "SELECT CAST(p_partkey AS VARCHAR) AS sample_id, region, y1 - y0 AS height, p_size % 8 + 20 AS width, CAST((y1 - y0) * (p_size % 8 + 20) * 3 AS INTEGER) AS bytes FROM part, (VALUES ('top', 0, 12), ('service', 10, 20), ('bottom', 18, 30)) AS v(region, y0, y1)")

@@ -92,7 +92,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def run_sql(spark: SparkSession, sf_dir: str, query: str) -> DataFrame:
     """A portable query over the tables; views are named apart so that two folders do not meet in one session."""
-    names = [t for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "labels", "conversations") if f" {t}" in query]
+    names = [t for t in (
+        "region",
+        "nation",
+        "customer",
+        "supplier",
+        "part",
+        "orders",
+        "lineitem",
+        "events",
+        "documents",
+        "labels",
+        "conversations",
+    ) if f" {t}" in query]
     return spark.sql(_tagged(query, names), **{f"t_{n}": table(spark, sf_dir, n) for n in names})
 
 
@@ -132,12 +144,23 @@ class Claims:
         """
         order = ("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
         values = F.array(*(F.expr(v).cast("string") for _, _, v in LINE)).alias("values")
-        items = table(self.spark, self.sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.slice(F.array_sort(F.collect_list(F.struct(*order, values))), 1, 6).alias("items"))
+        items = table(self.spark, self.sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.slice(
+            F.array_sort(F.collect_list(F.struct(*order, values))),
+            1,
+            6,
+        ).alias("items"))
 
         def cell(pos, key, value, example: str) -> F.Column:
             # type, class and region of a key are the same for every row: literals that the optimizer folds
             of = F.lit(example)
-            return F.struct(pos.cast("int").alias("pos"), key.alias("key"), value.alias("gt"), text.kind_of(of).alias("kind"), keys.class_of(of).alias("cls"), keys.region_of(of).alias("region"))
+            return F.struct(
+                pos.cast("int").alias("pos"),
+                key.alias("key"),
+                value.alias("gt"),
+                text.kind_of(of).alias("kind"),
+                keys.class_of(of).alias("cls"),
+                keys.region_of(of).alias("region"),
+            )
 
         def of_item(x, i):
             named = ((p, f"].{name}", n) for n, (p, name, _) in enumerate(LINE))
@@ -151,7 +174,14 @@ class Claims:
     def _extra(self, when: str, value: str) -> F.Column:
         """A cell of a key that the form does not have, in claims that fulfil a condition."""
         key = F.lit("box_99_unknown")
-        one = F.struct(F.lit(99).alias("pos"), key.alias("key"), F.lit(value).alias("gt"), text.kind_of(key).alias("kind"), keys.class_of(key).alias("cls"), keys.region_of(key).alias("region"))
+        one = F.struct(
+            F.lit(99).alias("pos"),
+            key.alias("key"),
+            F.lit(value).alias("gt"),
+            text.kind_of(key).alias("kind"),
+            keys.class_of(key).alias("cls"),
+            keys.region_of(key).alias("region"),
+        )
         return F.when(F.expr(when), F.array(one)).otherwise(F.slice("cells", 1, 0))
 
     @property
@@ -163,7 +193,12 @@ class Claims:
         """Predictions by the claim's row: its cells spoilt, and a key that the form does not have."""
         extra = self._extra("row_idx % 11 = 0", "x")
         cells = self.rows.where("row_idx % 23 <> 0").select("row_idx", F.inline(F.concat("cells", extra)))
-        return cells.where(f"pos = 99 OR {BUCKET} >= 4").select("row_idx", "pos", "key", F.expr(f"CASE WHEN pos = 99 THEN gt ELSE {SPOILT} END").alias("pred"))
+        return cells.where(f"pos = 99 OR {BUCKET} >= 4").select(
+            "row_idx",
+            "pos",
+            "key",
+            F.expr(f"CASE WHEN pos = 99 THEN gt ELSE {SPOILT} END").alias("pred"),
+        )
 
     @property
     def both(self) -> DataFrame:
@@ -175,7 +210,17 @@ class Claims:
         extra = self._extra("row_idx % 11 = 0 AND row_idx % 23 <> 0", "")
         cells = self.rows.select("row_idx", F.expr(TIER.format(k="row_idx")).alias("tier"), F.inline(F.concat("cells", extra)))
         pred = F.expr(f"CASE WHEN pos = 99 THEN 'x' WHEN row_idx % 23 = 0 OR {BUCKET} < 4 THEN '' ELSE {SPOILT} END")
-        return cells.select("row_idx", F.col("row_idx").cast("string").alias("sample_id"), "tier", "key", "gt", pred.alias("pred"), "kind", "cls", "region")
+        return cells.select(
+            "row_idx",
+            F.col("row_idx").cast("string").alias("sample_id"),
+            "tier",
+            "key",
+            "gt",
+            pred.alias("pred"),
+            "kind",
+            "cls",
+            "region",
+        )
 
     @property
     def predictions(self) -> DataFrame:

@@ -16,7 +16,15 @@ from pyspark.sql import Window
 
 from ..operators import flatten, splits
 
-MANIFEST = T.StructType([T.StructField(n, T.LongType() if n == "seed" else T.StringType()) for n in ("sample_id", "tier", "seed", "image", "json", "pdf", "split")])
+MANIFEST = T.StructType([T.StructField(n, T.LongType() if n == "seed" else T.StringType()) for n in (
+    "sample_id",
+    "tier",
+    "seed",
+    "image",
+    "json",
+    "pdf",
+    "split",
+)])
 
 
 def slashes(path: Column) -> Column:
@@ -33,7 +41,14 @@ def _placed(df: DataFrame) -> DataFrame:
 
     Files are read by pieces packed by size, so the number that Spark gives a row follows a file's order only within a piece.
     """
-    return df.select("*", F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("row")).alias("_at"))
+    return df.select(
+        "*",
+        F.struct(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("start"),
+            F.monotonically_increasing_id().alias("row"),
+        ).alias("_at"),
+    )
 
 
 def _numbered(placed: DataFrame) -> DataFrame:
@@ -80,7 +95,11 @@ def copy_artefacts(spark: SparkSession, artefacts: DataFrame, folder: str, out:
     """(path, target, bytes): copies files by executors, from below folder to out, under tier and file name."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
     found = files.join(F.broadcast(artefacts), files["path"].endswith(F.concat(F.lit("/"), artefacts["path"])))
-    rows = found.select(artefacts["path"].alias("path"), F.concat_ws("/", F.lit(out.rstrip("/")), "tier", basename(artefacts["path"])).alias("target"), "content")
+    rows = found.select(
+        artefacts["path"].alias("path"),
+        F.concat_ws("/", F.lit(out.rstrip("/")), "tier", basename(artefacts["path"])).alias("target"),
+        "content",
+    )
     return rows.mapInPandas(_copied, "path string, target string, bytes long")
 
 

@@ -39,7 +39,10 @@ def test_unflat_inverts(doc):
 @pytest.fixture
 def batch(spark):
     split = spark.createDataFrame([(0, "s1", "fax"), (1, "s2", "worst")], "row_idx long, sample_id string, tier string")
-    gt = spark.createDataFrame([(i, k, v) for i in (0, 1) for k, v in (("a_date", "01/02/2020"), ("x.npi", "123"), ("blank", ""))], "row_idx long, key string, gt string")
+    gt = spark.createDataFrame(
+        [(i, k, v) for i in (0, 1) for k, v in (("a_date", "01/02/2020"), ("x.npi", "123"), ("blank", ""))],
+        "row_idx long, key string, gt string",
+    )
     return split, gt
 
 
@@ -47,7 +50,10 @@ def test_perfect_and_spoilt(spark, batch):
     split, gt = batch
     same = cells.compare_cells(split, gt, gt.withColumnRenamed("gt", "pred"))
     assert {(r.populated, r.norm_acc) for r in metrics.populated_blank(same).collect()} == {(True, 1.0), (False, 1.0)}
-    bad = spark.createDataFrame([(0, "a_date", "2020-1-2"), (0, "x.npi", "124"), (0, "blank", "made up"), (0, "extra", "v")], "row_idx long, key string, pred string")
+    bad = spark.createDataFrame(
+        [(0, "a_date", "2020-1-2"), (0, "x.npi", "124"), (0, "blank", "made up"), (0, "extra", "v")],
+        "row_idx long, key string, pred string",
+    )
     c = cells.compare_cells(split, gt, bad)
     rows = {(r.row_idx, r.key): r for r in c.collect()}
     assert rows[0, "a_date"].norm and not rows[0, "a_date"].exact and not rows[0, "extra"].norm and not rows[1, "a_date"].norm
@@ -84,7 +90,11 @@ def test_generator(spark):
     b = synth.batch(spark, 12, "2024-01-31", ["fax", "worst"])
     assert [r.tier for r in b.orderBy("seed").collect()] == ["fax", "worst"] * 6
     rec = synth.records(spark, 60, "2024-01-31")
-    ok = validators.total_matches(F.col("service_lines"), "charges", F.col("billing.total_charge")) & validators.self_mirrored(F.col("patient.relationship_to_insured"), F.col("patient.name"), F.col("insured.name"))
+    ok = validators.total_matches(F.col("service_lines"), "charges", F.col("billing.total_charge")) & validators.self_mirrored(
+        F.col("patient.relationship_to_insured"),
+        F.col("patient.name"),
+        F.col("insured.name"),
+    )
     assert rec.where(~ok).count() == 0 and keys.TIERS[0] == "pristine"
     with pytest.raises(ValueError):
         synth.batch(spark, 1, "2024-01-31", ["nope"])
@@ -115,7 +125,10 @@ def test_sources(spark, tmp_path):
 def test_serving(spark):
     df = spark.createDataFrame([('```json\n{"a": "1"}\n```',), ('x {"a": "1", "b": "2', ), ("none",), (None,)], "t string")
     assert [r.x for r in df.select(serving.extract_json("t").alias("x")).collect()] == ['{"a":"1"}', '{"a":"1"}', None, None]
-    said = spark.createDataFrame([('sure: {"doc_type": "EOB ", "confidence": "High"}',), ("no",)], "t string").select(serving.classified(F.col("t")).alias("x")).collect()
+    said = spark.createDataFrame(
+        [('sure: {"doc_type": "EOB ", "confidence": "High"}',), ("no",)],
+        "t string",
+    ).select(serving.classified(F.col("t")).alias("x")).collect()
     assert [tuple(r.x) for r in said] == [("eob", "high"), ("unknown", "low")]
     assert spark.sql("select map('a', '', 'b', 'x') m").select(serving.num_fields(F.col("m")).alias("n")).first().n == 1
 

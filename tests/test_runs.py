@@ -14,8 +14,14 @@ from ledgerleaf.sources import files
 @pytest.fixture
 def scored(spark):
     split = spark.createDataFrame([(0, "s1", "worst"), (1, "s2", "fax"), (2, "s3", "fax")], "row_idx long, sample_id string, tier string")
-    gt = spark.createDataFrame([(i, k, v) for i in range(3) for k, v in (("a_date", "01/02/2020"), ("x.npi", "123"), ("blank", ""))], "row_idx long, key string, gt string")
-    pred = spark.createDataFrame([(0, "a_date", "2020-1-2"), (0, "x.npi", "124"), (1, "a_date", "01/02/2020"), (1, "x.npi", "124"), (1, "blank", "")], "row_idx long, key string, pred string")
+    gt = spark.createDataFrame(
+        [(i, k, v) for i in range(3) for k, v in (("a_date", "01/02/2020"), ("x.npi", "123"), ("blank", ""))],
+        "row_idx long, key string, gt string",
+    )
+    pred = spark.createDataFrame(
+        [(0, "a_date", "2020-1-2"), (0, "x.npi", "124"), (1, "a_date", "01/02/2020"), (1, "x.npi", "124"), (1, "blank", "")],
+        "row_idx long, key string, pred string",
+    )
     missing = spark.createDataFrame([(2, "s3", "fax")], "row_idx long, sample_id string, tier string")
     said = spark.createDataFrame([("s1",), ("s2",)], "sample_id string")
     return split, cells.compare_cells(split, gt, pred), missing, said
@@ -25,7 +31,12 @@ def test_report_text(scored):
     split, c, missing, said = scored
     lines = report.report_text(split, c, missing, said).split("\n")
     assert lines[:3] == ["Scored 3 samples (1 missing predictions)", "", "=== Per-tier accuracy ==="]
-    assert [x.split() for x in lines[3:7]] == [["tier", "docs", "all_correct", "mean_field_acc", "norm_field_acc"], ["fax", "1", "0.000", "0.667", "0.500"], ["worst", "1", "0.000", "0.667", "0.667"], ["OVERALL", "2", "0.000", "0.667"]]
+    assert [x.split() for x in lines[3:7]] == [
+        ["tier", "docs", "all_correct", "mean_field_acc", "norm_field_acc"],
+        ["fax", "1", "0.000", "0.667", "0.500"],
+        ["worst", "1", "0.000", "0.667", "0.667"],
+        ["OVERALL", "2", "0.000", "0.667"],
+    ]
     assert lines[4] == f"{'fax':<14}{1:>6}{0.0:>14.3f}{2 / 3:>18.3f}{0.5:>18.3f}"
     at = lines.index("=== Worst 15 fields (by normalized accuracy) ===")
     assert lines[at + 2].split() == ["x.npi", "3", "0.000", "0.000"]
@@ -70,7 +81,12 @@ def test_last_prediction_over_files_and_missing_file(spark, tmp_path):
 
 
 def test_split_manifest_and_artefacts(spark, tmp_path):
-    (tmp_path / "m.jsonl").write_text("".join(json.dumps({"sample_id": str(i), "tier": ("fax", "worst")[i % 2], "image": f"x\\{i}.png", "json": f"x/{i}.json"}) + "\n" for i in range(60)))
+    (tmp_path / "m.jsonl").write_text("".join(json.dumps({
+        "sample_id": str(i),
+        "tier": ("fax", "worst")[i % 2],
+        "image": f"x\\{i}.png",
+        "json": f"x/{i}.json",
+    }) + "\n" for i in range(60)))
     rows = files.split_manifest(spark, str(tmp_path / "m.jsonl"), str(tmp_path / "out")).collect()
     assert Counter((r.tier, r.split) for r in rows) == {(t, s): n for t in ("fax", "worst") for s, n in (("train", 24), ("val", 3), ("test", 3))}
     assert spark.read.json(str(tmp_path / "out")).count() == 60
@@ -92,7 +108,12 @@ def test_dataset_rules(spark, tmp_path, capsys):
     rows = files.read_dataset_splits(spark, str(tmp_path))
     labels = spark.createDataFrame([("a.json", [("k", "1")]), ("b.json", [("k", "2")])], "json string, cells array<struct<key:string,value:string>>")
     got = {r.sample_id: r for r in training_rows.dataset_rows(rows, labels, ["k"], "/d/").collect()}
-    assert (got["1"].split, got["2"].split, got["1"].image, got["1"].target) == ("validation", "test", "/d/a.png", '{"k": "1"}') and got["1"].prompt == got["2"].prompt
+    assert (
+        got["1"].split,
+        got["2"].split,
+        got["1"].image,
+        got["1"].target,
+    ) == ("validation", "test", "/d/a.png", '{"k": "1"}') and got["1"].prompt == got["2"].prompt
     gt = spark.createDataFrame([(0, 1, "b"), (0, 0, "a"), (1, 0, "b"), (1, 1, "c")], "row_idx long, pos int, key string")
     assert files.print_keys(gt) == ["a", "b", "c"] and capsys.readouterr().out == "a\nb\nc\n"
 
@@ -155,6 +176,13 @@ def test_ordered_split_ties_nulls_and_ranges(spark):
 
 def test_top_misses_and_orders(scored, spark):
     _, c, _, _ = scored
-    assert [(r.key, r.rank, r.pred_n, r.misses) for r in metrics.top_misses(c).orderBy("key", "rank").collect()] == [("a_date", 1, "", 1), ("x.npi", 1, "124", 2), ("x.npi", 2, "", 1)]
-    order = metrics.tier_order(spark.createDataFrame([(0, "new"), (1, "fax"), (2, "other"), (3, "pristine")], "row_idx long, tier string")).orderBy("position").collect()
+    assert [(r.key, r.rank, r.pred_n, r.misses) for r in metrics.top_misses(c).orderBy("key", "rank").collect()] == [
+        ("a_date", 1, "", 1),
+        ("x.npi", 1, "124", 2),
+        ("x.npi", 2, "", 1),
+    ]
+    order = metrics.tier_order(spark.createDataFrame(
+        [(0, "new"), (1, "fax"), (2, "other"), (3, "pristine")],
+        "row_idx long, tier string",
+    )).orderBy("position").collect()
     assert [r.tier for r in order] == ["pristine", "fax", "new", "other"]
