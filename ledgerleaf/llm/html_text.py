@@ -221,13 +221,20 @@ def main_text(page: str | None) -> str:
 def _extract(batches):
     for b in batches:
         texts = [main_text(x) for x in b.column(2).to_pylist()]
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
+        yield pa.RecordBatch.from_arrays(
+            [b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
+            names=["page_id", "url", "text", "n_chars"],
+        )
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
     common.ship(pages.sparkSession)
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
+    rows = pages.select(
+        F.col("page_id").cast("long").alias("page_id"),
+        F.col("url").cast("string").alias("url"),
+        F.col("html").cast("string").alias("html"),
+    )
     return rows.mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
 
 

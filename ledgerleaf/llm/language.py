@@ -83,7 +83,12 @@ class Model:
             n.append(len(b))
             best.append(self.languages[int(out[-1].argmax())] if len(b) and known else None)
         common.trim()
-        return pd.DataFrame({"likelihoods": out, "n_trigrams": np.array(n, np.int64), "text_language": best, "said": [d if d in known else None for d in declared]})
+        return pd.DataFrame({
+            "likelihoods": out,
+            "n_trigrams": np.array(n, np.int64),
+            "text_language": best,
+            "said": [d if d in known else None for d in declared],
+        })
 
 
 def _counts(languages: list[str]):
@@ -98,7 +103,10 @@ def _counts(languages: list[str]):
                     total[at[lang]] += np.bincount(trigrams(text), minlength=BUCKETS)
         common.trim()
         lang, bucket = np.nonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(lang, pa.int32()), pa.array(bucket, pa.int32()), pa.array(total[lang, bucket])], names=["language", "bucket", "n"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(lang, pa.int32()), pa.array(bucket, pa.int32()), pa.array(total[lang, bucket])],
+            names=["language", "bucket", "n"],
+        )
 
     return run
 
@@ -115,7 +123,10 @@ def fit(rows: DataFrame, languages: list[str] | None = None) -> Model:
         languages = sorted(r.declared for r in said.where(F.col("n") >= F.lit(whole * LEAST_SHARE)).select("declared").collect())
     counts = np.zeros((len(languages), BUCKETS), np.int64)
     if languages:
-        got = rows.mapInArrow(_counts(languages), "language int, bucket int, n long").groupBy("language", "bucket").agg(F.sum("n").alias("n")).toPandas()
+        got = rows.mapInArrow(
+            _counts(languages),
+            "language int, bucket int, n long",
+        ).groupBy("language", "bucket").agg(F.sum("n").alias("n")).toPandas()
         counts[got["language"], got["bucket"]] = got["n"]
     return Model(languages, counts)
 
@@ -157,9 +168,21 @@ class Evidence:
         self.model, langs = model, model.languages
         at, size = {x: i for i, x in enumerate(langs)}, len(langs)
         domain = F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1)
-        rows = scored.select("text_language", "said", "host", F.when(domain == "", F.col("host")).otherwise(domain).alias("domain"), suffix_of(F.col("host")).alias("suffix"))
+        rows = scored.select(
+            "text_language",
+            "said",
+            "host",
+            F.when(domain == "", F.col("host")).otherwise(domain).alias("domain"),
+            suffix_of(F.col("host")).alias("suffix"),
+        )
         # rows without a language leave after the cut: a filter before it would run the scores twice
-        counts = common.cut(rows.groupBy("text_language", "said", "host", "domain", "suffix").agg(F.count("*").alias("n"))).where("text_language is not null")
+        counts = common.cut(rows.groupBy(
+            "text_language",
+            "said",
+            "host",
+            "domain",
+            "suffix",
+        ).agg(F.count("*").alias("n"))).where("text_language is not null")
 
         def whole(of: DataFrame) -> np.ndarray:
             got = of.groupBy("text_language").agg(F.sum("n").alias("n")).collect()  # a row a language
@@ -175,7 +198,12 @@ class Evidence:
             """(key, beside.., x_key): the languages and counts of each key."""
             some = counts.where((F.col(key) != "")).groupBy(key, *beside, "text_language").agg(F.sum("n").alias("n"))
             some = some.groupBy(key, *beside).agg(F.collect_list(F.struct("text_language", "n")).alias("x"))
-            return some.select(key, *beside, F.transform("x", lambda y: y["text_language"]).alias(f"l_{key}"), F.transform("x", lambda y: y["n"]).alias(f"n_{key}"))
+            return some.select(
+                key,
+                *beside,
+                F.transform("x", lambda y: y["text_language"]).alias(f"l_{key}"),
+                F.transform("x", lambda y: y["n"]).alias(f"n_{key}"),
+            )
 
         p, ending, said = self.all, whole(counts.where("suffix <> ''")), whole(counts.where("said is not null"))
         total, known = max(1.0, ending.sum()), max(1.0, said.sum())
@@ -281,7 +309,12 @@ def declared_in(html) -> F.Column:
 def keep_identified(docs: DataFrame, languages: list[str] | None = None) -> DataFrame:
     """docs (documents' columns) without the rejected ones; source serves as host, lang as the declared language."""
     names = docs.columns
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("_row"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.col("lang").alias("declared"), F.col("source").alias("host"))
+    rows = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in names)).alias("_row"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+        F.col("lang").alias("declared"),
+        F.col("source").alias("host"),
+    )
     return identify(rows, languages).where("language <> 'und'").select("_row.*")
 
 
@@ -296,7 +329,13 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         return html.map(html_text.main_text)
 
     declared = declared_in(F.col("html"))
-    rows = pages.select("page_id", "url", F.when(declared != "", declared).alias("declared"), host_of(F.col("url")).alias("host"), text_of("html").alias("text"))
+    rows = pages.select(
+        "page_id",
+        "url",
+        F.when(declared != "", declared).alias("declared"),
+        host_of(F.col("url")).alias("host"),
+        text_of("html").alias("text"),
+    )
     found = identify(rows, keep_text=False)
     return found.select("page_id", "url", "declared", "host", "text_language", "language", F.round("confidence", 6).alias("confidence"), "n_trigrams")
 

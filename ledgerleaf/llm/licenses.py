@@ -257,11 +257,18 @@ def fit(spark: SparkSession, docs: DataFrame | None = None) -> Model:
         part = common.cut(part.join(F.broadcast(size), ["label", "plain"]))
         got = lr.fit(part)
         matrix = got.coefficientMatrix.toArray()
-        return Model(classes, [float(x) for x in got.interceptVector], {g: [float(x) for x in matrix[:, j]] for j, g in enumerate(vocabulary) if abs(matrix[:, j]).max() > 1e-6})
+        return Model(
+            classes,
+            [float(x) for x in got.interceptVector],
+            {g: [float(x) for x in matrix[:, j]] for j, g in enumerate(vocabulary) if abs(matrix[:, j]).max() > 1e-6},
+        )
 
     first = trained(counted.where("not held"))
     held = [(classes.index(name), text, first.logits(text)) for name, text, out in made if out]
-    temperature = min((0.25, 0.35, 0.5, 0.7, 1.0, 1.4, 2.0, 2.8, 4.0), key=lambda t: -sum(math.log(max(1e-12, _probabilities(x, t)[k])) for k, _, x in held))
+    temperature = min(
+        (0.25, 0.35, 0.5, 0.7, 1.0, 1.4, 2.0, 2.8, 4.0),
+        key=lambda t: -sum(math.log(max(1e-12, _probabilities(x, t)[k])) for k, _, x in held),
+    )
     named = []
     for k, text, x in held:
         p = _probabilities(x, temperature)
@@ -334,9 +341,17 @@ def classify(paragraph: Column, model: Model) -> Column:
     wanted = F.array(*(F.array(*(F.array(*map(F.lit, dict.fromkeys(t.split()))) for t in TEMPLATES[f])) for f in families))
 
     def scored(words):
-        logits = F.aggregate(F.filter(F.transform(grams_of_words(words), lambda g: table[g]), lambda w: w.isNotNull()), F.array(*map(F.lit, model.bias)), lambda a, w: F.zip_with(a, w, lambda x, y: x + y))
+        logits = F.aggregate(
+            F.filter(F.transform(grams_of_words(words), lambda g: table[g]), lambda w: w.isNotNull()),
+            F.array(*map(F.lit, model.bias)),
+            lambda a,
+            w: F.zip_with(a, w, lambda x, y: x + y),
+        )
         scaled = F.transform(logits, lambda x: x / F.lit(model.temperature))
-        return _let(scaled, lambda z: _let(F.transform(z, lambda x: F.exp(x - F.array_max(z))), lambda e: F.transform(e, lambda x: x / F.aggregate(e, F.lit(0.0), lambda a, y: a + y))))
+        return _let(
+            scaled,
+            lambda z: _let(F.transform(z, lambda x: F.exp(x - F.array_max(z))), lambda e: F.transform(e, lambda x: x / F.aggregate(e, F.lit(0.0), lambda a, y: a + y))),
+        )
 
     def decide(words, p):
         best = F.array_position(F.slice(p, 1, len(families)), F.array_max(F.slice(p, 1, len(families)))).cast("int")
@@ -364,7 +379,11 @@ def paragraphs(text: Column) -> Column:
         return _let(F.transform(starts, lambda x: x["at"]), lambda first: runs(lines, first))
 
     def runs(lines, first):
-        cut_out = F.transform(first, lambda at, k: F.struct(at.alias("at"), F.slice(lines, at + 1, F.coalesce(F.get(first, k + 1), F.size(lines)) - at).alias("u")))
+        cut_out = F.transform(
+            first,
+            lambda at,
+            k: F.struct(at.alias("at"), F.slice(lines, at + 1, F.coalesce(F.get(first, k + 1), F.size(lines)) - at).alias("u")),
+        )
         return F.transform(cut_out, lambda r: F.struct(r.at.alias("at"), F.filter(r.u, lambda x: x.s != "").alias("u")))
 
     return _let(numbered, of_lines)
@@ -381,7 +400,10 @@ def _found(text: Column, model: Model) -> Column:
             return F.filter(F.transform(p.u, lambda x: one(x["at"], x["s"])), lambda x: F.coalesce(x["c"]["family"], F.lit("none")) != "none")
 
         whole = one(p["at"], F.array_join(F.transform(p.u, lambda x: x["s"]), " "))
-        return _let(whole, lambda w: F.when(F.coalesce(w["c"]["family"], F.lit("none")) != "none", F.array(w)).when(F.size(p.u) > 1, by_line(w)).otherwise(F.slice(F.array(w), 1, 0)))
+        return _let(
+            whole,
+            lambda w: F.when(F.coalesce(w["c"]["family"], F.lit("none")) != "none", F.array(w)).when(F.size(p.u) > 1, by_line(w)).otherwise(F.slice(F.array(w), 1, 0)),
+        )
 
     return F.flatten(F.transform(paragraphs(text), of))
 
@@ -399,7 +421,10 @@ def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
         "doc_id",
         F.array_join(F.array_sort(F.array_distinct(F.transform("found", lambda x: x.c.family))), ",").alias("licenses"),
         F.size("found").cast("long").alias("n_paragraphs"),
-        F.transform("found", lambda x: F.struct(x["at"].alias("at"), x.c.family.alias("family"), F.round(x.c.probability, 6).alias("probability"), F.round(x.c.similarity, 6).alias("similarity"))).alias("found"),
+        F.transform(
+            "found",
+            lambda x: F.struct(x["at"].alias("at"), x.c.family.alias("family"), F.round(x.c.probability, 6).alias("probability"), F.round(x.c.similarity, 6).alias("similarity")),
+        ).alias("found"),
     )
 
 

@@ -35,13 +35,26 @@ def selected(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     it, as (first, last, a, b).
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    lines = F.transform(F.split(text, "\n"), lambda x, i: F.struct(i.cast("int").alias("at"), F.trim(F.regexp_replace(x, r"[ \t\r]+", " ")).alias("s")))
+    lines = F.transform(
+        F.split(text, "\n"),
+        lambda x,
+        i: F.struct(i.cast("int").alias("at"), F.trim(F.regexp_replace(x, r"[ \t\r]+", " ")).alias("s")),
+    )
 
     def unit(x):
         # the second function has another seed: the hash of the number before the line
-        return F.struct(x.at.alias("at"), F.xxhash64(x.s).alias("a"), F.xxhash64(F.lit(1), x.s).alias("b"), (F.length(x.s) - F.length(F.translate(x.s, " ", "")) + 1).alias("w"))
+        return F.struct(
+            x.at.alias("at"),
+            F.xxhash64(x.s).alias("a"),
+            F.xxhash64(F.lit(1), x.s).alias("b"),
+            (F.length(x.s) - F.length(F.translate(x.s, " ", "")) + 1).alias("w"),
+        )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("tag"), F.transform(F.filter(lines, lambda x: x.s != ""), unit).alias("u"))
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.xxhash64(text).alias("tag"),
+        F.transform(F.filter(lines, lambda x: x.s != ""), unit).alias("u"),
+    )
 
     def window(u, i, step):
         """The shortest passage from unit i in the direction of step, (first << 32) + last; null if there is none."""
@@ -56,7 +69,10 @@ def selected(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     # numbers, because lists of structs are told apart pair by pair; a line that is a window alone needs none
     short = F.filter(F.transform("u", lambda x, i: F.when(x.w < min_words, i)), lambda i: i.isNotNull())
-    spans = F.array_distinct(F.filter(F.concat(F.transform(short, lambda i: window(F.col("u"), i, 1)), F.transform(short, lambda i: window(F.col("u"), i, -1))), lambda x: x.isNotNull()))
+    spans = F.array_distinct(F.filter(
+        F.concat(F.transform(short, lambda i: window(F.col("u"), i, 1)), F.transform(short, lambda i: window(F.col("u"), i, -1))),
+        lambda x: x.isNotNull(),
+    ))
 
     def content(span):
         """A window's ends, hashes and selected unit."""
@@ -72,8 +88,21 @@ def selected(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         )
 
     rows = rows.withColumn("long", F.transform(spans, content))
-    of = F.transform("u", lambda x, i: F.struct(x.at.alias("at"), x.a.alias("a"), x.b.alias("b"), (x.w >= min_words).alias("alone"), F.filter("long", lambda y: y.chosen == i).alias("more")))
-    plain = F.transform("u", lambda x: F.struct(x.at.alias("at"), x.a.alias("a"), x.b.alias("b"), (x.w >= min_words).alias("alone"), F.slice("long", 1, 0).alias("more")))
+    of = F.transform(
+        "u",
+        lambda x,
+        i: F.struct(
+            x.at.alias("at"),
+            x.a.alias("a"),
+            x.b.alias("b"),
+            (x.w >= min_words).alias("alone"),
+            F.filter("long", lambda y: y.chosen == i).alias("more"),
+        ),
+    )
+    plain = F.transform(
+        "u",
+        lambda x: F.struct(x.at.alias("at"), x.a.alias("a"), x.b.alias("b"), (x.w >= min_words).alias("alone"), F.slice("long", 1, 0).alias("more")),
+    )
     chosen = F.filter(F.when(F.size("long") == 0, plain).otherwise(of), lambda x: x.alone | (F.size(x.more) > 0))
     return rows.select("doc_id", "tag", F.explode(chosen).alias("x")).select("doc_id", "tag", "x.*")
 
@@ -107,7 +136,11 @@ def dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     names = docs.columns
     made = ("text", "n_chars", "n_lines_removed", "chars_before")
     docs = docs.select(F.struct(*(F.col(f"`{c}`") for c in names if c not in made)).alias("_row"), "doc_id", "text")
-    spans = repeats(docs.select("doc_id", "text"), min_words).select(F.col("doc_id").alias("_d"), F.col("tag").alias("_t"), F.col("spans").alias("_spans"))
+    spans = repeats(docs.select("doc_id", "text"), min_words).select(
+        F.col("doc_id").alias("_d"),
+        F.col("tag").alias("_t"),
+        F.col("spans").alias("_spans"),
+    )
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.withColumn("_tag", F.xxhash64(text))
     rows = rows.join(spans, (F.col("doc_id").cast("long").eqNullSafe(F.col("_d"))) & (F.col("_tag") == F.col("_t")), "left")
@@ -116,7 +149,10 @@ def dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     rows = rows.withColumn("_before", F.length(text)).withColumn("n_lines_removed", F.coalesce(F.size("_lines") - F.size("_kept"), F.lit(0)))
     rows = rows.withColumn("n_lines_removed", F.when(F.col("_spans").isNotNull(), F.col("n_lines_removed")).otherwise(0))
     rows = rows.withColumn("text", F.when(F.col("_spans").isNotNull(), F.array_join("_kept", "\n", "")).otherwise(F.col("text")))
-    rows = rows.withColumn("n_chars", F.length(F.coalesce(F.col("text").cast("string"), F.lit(""))).cast("long")).withColumn("chars_before", F.col("_before").cast("long"))
+    rows = rows.withColumn(
+        "n_chars",
+        F.length(F.coalesce(F.col("text").cast("string"), F.lit(""))).cast("long"),
+    ).withColumn("chars_before", F.col("_before").cast("long"))
     kept = [F.col(c) if c in made else F.col("_row")[c].alias(c) for c in names]
     return rows.select(*kept, *(F.col(c) for c in made if c not in names))
 

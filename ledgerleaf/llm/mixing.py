@@ -70,13 +70,19 @@ def _share(nodes: DataFrame, parent: list[str]) -> DataFrame:
     taken = F.sum(F.when(F.col("full"), F.col("cap")).otherwise(0)).over(by)
     weights = F.sum(F.when(F.col("full"), 0).otherwise(F.col("w"))).over(by)
     rows = rows.withColumn("left", F.col("b") - taken).withColumn("open", weights)
-    part = F.when(F.col("full"), F.col("cap")).when((F.col("w") == 0) | (F.col("open") == 0), 0).otherwise(F.expr("cast(cast(left as decimal(38,0)) * w div open as bigint)"))
+    part = F.when(F.col("full"), F.col("cap")).when(
+        (F.col("w") == 0) | (F.col("open") == 0),
+        0,
+    ).otherwise(F.expr("cast(cast(left as decimal(38,0)) * w div open as bigint)"))
     rows = rows.withColumn("budget", part)
     open_rows = by.orderBy(F.when(F.col("full") | (F.col("w") == 0), 1).otherwise(0), "name")
     short = F.when(F.col("open") > 0, F.col("left") - F.sum(F.when(F.col("full"), 0).otherwise(F.col("budget"))).over(by)).otherwise(0)
     rows = rows.withColumn("short", short).withColumn("k", F.row_number().over(open_rows))
     extra = F.when(~F.col("full") & (F.col("w") > 0) & (F.col("k") <= F.col("short")), 1).otherwise(0)
-    return rows.withColumn("budget", F.least("cap", F.col("budget") + extra).cast("long")).drop("before", "weights", "full", "left", "open", "short", "k")
+    return rows.withColumn(
+        "budget",
+        F.least("cap", F.col("budget") + extra).cast("long"),
+    ).drop("before", "weights", "full", "left", "open", "short", "k")
 
 
 def budgets(leaves: DataFrame, total: tuple[int, int], max_epochs: int, domains: dict, languages: dict, sources: dict) -> DataFrame:
@@ -110,20 +116,36 @@ def plan(docs: DataFrame, total=BUDGET, max_epochs: int = MAX_EPOCHS, domains=No
         tokens_in(F.col("text")).alias("n_tokens"),
     )
     rows = common.cut(rows)
-    tree = budgets(rows.groupBy(*LEAF).agg(F.sum("n_tokens").alias("tokens")), total, max_epochs, DOMAINS if domains is None else domains, LANGUAGES if languages is None else languages, sources or {})
+    tree = budgets(
+        rows.groupBy(*LEAF).agg(F.sum("n_tokens").alias("tokens")),
+        total,
+        max_epochs,
+        DOMAINS if domains is None else domains,
+        LANGUAGES if languages is None else languages,
+        sources or {},
+    )
     epochs = F.when(F.col("tokens") == 0, 1).otherwise(F.expr("budget div tokens"))
-    tree = common.cut(tree.withColumn("epochs", epochs.cast("int")).withColumn("rest", F.when(F.col("tokens") == 0, 0).otherwise(F.col("budget") % F.col("tokens"))))
+    tree = common.cut(tree.withColumn("epochs", epochs.cast("int")).withColumn(
+        "rest",
+        F.when(F.col("tokens") == 0, 0).otherwise(F.col("budget") % F.col("tokens")),
+    ))
     small = _small(tree)
     keyed = rows.join(small(tree.where("rest > 0").select(*LEAF, "rest", "epochs")), LEAF)
     keyed = keyed.withColumn("key", order_key(F.col("epochs"), F.col("doc_id"), F.col("tag"), seed))
     keyed = keyed.withColumn("range", F.conv(F.substring("key", 1, 3), 16, 10).cast("int"))
     sums = keyed.groupBy(*LEAF, "rest", "range").agg(F.sum("n_tokens").alias("n"))
     upto = Window.partitionBy(*LEAF).orderBy("range")  # at most RANGES rows a leaf
-    ends = sums.withColumn("before", F.sum("n").over(upto) - F.col("n")).where((F.col("before") < F.col("rest")) & (F.col("before") + F.col("n") >= F.col("rest")))
+    ends = sums.withColumn(
+        "before",
+        F.sum("n").over(upto) - F.col("n"),
+    ).where((F.col("before") < F.col("rest")) & (F.col("before") + F.col("n") >= F.col("rest")))
     at = common.cut(ends.select(*LEAF, "range", "before"))
     inside = keyed.join(small(at), [*LEAF, "range"]).groupBy(*LEAF, "rest", "before", "key").agg(F.sum("n_tokens").alias("n"))
     within = Window.partitionBy(*LEAF).orderBy("key")
-    last = inside.withColumn("start", F.col("before") + F.sum("n").over(within) - F.col("n")).where(F.col("start") < F.col("rest")).groupBy(*LEAF).agg(F.max("key").alias("last_key"))
+    last = inside.withColumn(
+        "start",
+        F.col("before") + F.sum("n").over(within) - F.col("n"),
+    ).where(F.col("start") < F.col("rest")).groupBy(*LEAF).agg(F.max("key").alias("last_key"))
     cuts = common.cut(tree.join(last, LEAF, "left"))
     return rows, cuts
 
@@ -152,7 +174,16 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     """(doc_id, epoch, domain, language, source, n_tokens, leaf_tokens, leaf_budget): what the mixture reads."""
     rows, cuts = plan(docs, **options)
     out = select(rows, cuts, options.get("seed", SEED))
-    return out.select("doc_id", F.col("epoch").cast("long").alias("epoch"), "domain", "language", F.col("leaf").alias("source"), "n_tokens", F.col("tokens").alias("leaf_tokens"), F.col("budget").alias("leaf_budget"))
+    return out.select(
+        "doc_id",
+        F.col("epoch").cast("long").alias("epoch"),
+        "domain",
+        "language",
+        F.col("leaf").alias("source"),
+        "n_tokens",
+        F.col("tokens").alias("leaf_tokens"),
+        F.col("budget").alias("leaf_budget"),
+    )
 
 
 def keep_mixed(docs: DataFrame, **options) -> DataFrame:

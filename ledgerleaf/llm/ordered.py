@@ -20,7 +20,11 @@ def with_shard(docs: DataFrame, shards: int) -> tuple[DataFrame, list[int]]:
     keyed = docs.withColumn("key", F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)))
     bounds: list[int] = []
     if shards > 1:
-        at = keyed.select("key").agg(F.percentile_approx("key", [i / shards for i in range(1, shards)], max(10_000, 20 * shards)).alias("b")).first().b
+        at = keyed.select("key").agg(F.percentile_approx(
+            "key",
+            [i / shards for i in range(1, shards)],
+            max(10_000, 20 * shards),
+        ).alias("b")).first().b
         bounds = sorted(set(at or []))
     edges = np.array(bounds, np.int64)
 
@@ -46,7 +50,10 @@ def with_successors(docs: DataFrame, shards: int) -> DataFrame:
     Rows of equal doc_id follow each other by text; only the least of them follows another shard.
     """
     spark = docs.sparkSession
-    rows, _ = with_shard(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")), shards)
+    rows, _ = with_shard(
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")),
+        shards,
+    )
     firsts = rows.groupBy("shard").agg(F.min("key").alias("key")).orderBy("shard").collect()
     own = rows.withColumn("own", F.lit(True))
     if firsts:
@@ -54,7 +61,10 @@ def with_successors(docs: DataFrame, shards: int) -> DataFrame:
         hops = [(keys[(i + 1) % len(keys)], firsts[i].shard) for i in range(len(keys))]
         hop = spark.createDataFrame(hops, "key long, shard int")
         wanted = docs.where(F.col("doc_id").isin([k for k in keys if k != LOWEST]) | (F.col("doc_id").isNull() if LOWEST in keys else F.lit(False)))
-        copies = wanted.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("key", F.coalesce("doc_id", F.lit(LOWEST)))
+        copies = wanted.select(
+            F.col("doc_id").cast("long").alias("doc_id"),
+            F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+        ).withColumn("key", F.coalesce("doc_id", F.lit(LOWEST)))
         copies = copies.join(F.broadcast(hop), "key").withColumn("own", F.lit(False))  # one row for each shard
         own = own.unionByName(copies.select(*own.columns))
     return own.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", F.desc("own"), "key", "text").select("shard", "own", "doc_id", "text")

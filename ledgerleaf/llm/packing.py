@@ -171,7 +171,10 @@ def _routed(bm25: Bm25, centres: np.ndarray, first: np.ndarray, share: np.ndarra
             salt = (place + np.arange(len(n))) % salts[top]
             place += len(n)
             part = first[of] + (top * 40_503 + salt * 9_973) % share[of]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(part.astype(np.int32)), pa.array(top.astype(np.int32))], names=["doc_id", "ids", "n", "part", "term"])
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns, pa.array(part.astype(np.int32)), pa.array(top.astype(np.int32))],
+                names=["doc_id", "ids", "n", "part", "term"],
+            )
         common.trim()
 
     return run

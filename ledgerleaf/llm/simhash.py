@@ -354,7 +354,11 @@ def cells(members: DataFrame, masks: list[int], radius: int, limit: int) -> Data
         ranked = met.where(F.col("count") > limit).withColumn("rank", rank)
         # a boundary for each quantile that the cell's size asks for
         step = F.greatest(F.lit(1), F.floor(F.lit(QUANTILES) / F.ceil(2 * F.col("count") / F.lit(limit)))).cast("int")
-        marks = ranked.groupBy("mask", "value", "count").agg(F.percentile_approx("rank", [i / QUANTILES for i in range(1, QUANTILES)], 4 * QUANTILES).alias("at"))
+        marks = ranked.groupBy("mask", "value", "count").agg(F.percentile_approx(
+            "rank",
+            [i / QUANTILES for i in range(1, QUANTILES)],
+            4 * QUANTILES,
+        ).alias("at"))
         marks = common.cut(marks.select("mask", "value", F.array_distinct(F.filter("at", lambda _, i: (i + 1) % step == 0)).alias("at")))
         run = F.aggregate("at", F.lit(0), lambda n, x: n + F.when(x < F.col("rank"), 1).otherwise(0))
         ranked = ranked.join(common.few(marks, 500), ["mask", "value"]).withColumn("run", run).drop("at", "rank")
@@ -406,13 +410,19 @@ def components(links: DataFrame) -> DataFrame:
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # small star: a node and its smaller neighbours link to the least of them
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("x")).select("x.*")
+        small = large.join(least, "u").select(F.explode(F.array(
+            F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
+            F.struct("u", F.col("m").alias("v")),
+        )).alias("x")).select("x.*")
         now = common.cut(small.where("u <> v").distinct())
         changed = now.join(edges, ["u", "v"], "left_anti").count() + edges.join(now, ["u", "v"], "left_anti").count()
         edges = now
         if not changed:
             break
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    return edges.select(
+        F.col("u").alias("node"),
+        F.col("v").alias("component"),
+    ).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
 def _named(classes: DataFrame, links: DataFrame, key: str) -> DataFrame:
@@ -463,7 +473,13 @@ def _described(size: int):
             made = [_sets_of(t, size) for t in b.column(1).to_pylist()]
             nodes = np.array([node_of(h) for h, _ in made], np.uint64).view(np.int64)
             fps = np.array([f for _, f in made], np.uint64).view(np.int64)
-            arrays = [b.column(0), pa.array(nodes), pa.array(fps), pa.array([len(h) for h, _ in made], pa.int32()), pa.array([signature(h) for h, _ in made], pa.binary())]
+            arrays = [
+                b.column(0),
+                pa.array(nodes),
+                pa.array(fps),
+                pa.array([len(h) for h, _ in made], pa.int32()),
+                pa.array([signature(h) for h, _ in made], pa.binary()),
+            ]
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "node", "fp", "n", "sig"])
         common.trim()
 
@@ -477,7 +493,10 @@ def _whole_sets(size: int):
         for b in batches:
             sets = [np.unique(shingle_hashes(words_of(t), size)) for t in b.column(1).to_pylist()]
             nodes = np.array([node_of(h) for h in sets], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array([h.view(np.int64) for h in sets], pa.list_(pa.int64()))], names=["node", "hashes"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(nodes), pa.array([h.view(np.int64) for h in sets], pa.list_(pa.int64()))],
+                names=["node", "hashes"],
+            )
         common.trim()
 
     return run
@@ -584,7 +603,10 @@ def _verified(rows: DataFrame, members: DataFrame, size: int, similar: tuple[int
     # another text of the same doc_id is left out by its node
     sets = texts.mapInArrow(_whole_sets(size), "node long, hashes array<long>").join(common.few(wanted.select("node")), "node", "left_semi")
     sets = common.cut(sets.dropDuplicates(["node"]))
-    both = pairs.join(sets.select(F.col("node").alias("u"), F.col("hashes").alias("a")), "u").join(sets.select(F.col("node").alias("v"), F.col("hashes").alias("b")), "v")
+    both = pairs.join(sets.select(F.col("node").alias("u"), F.col("hashes").alias("a")), "u").join(
+        sets.select(F.col("node").alias("v"), F.col("hashes").alias("b")),
+        "v",
+    )
     return common.cut(both.where(F.size(F.array_intersect("a", "b")) * (num + den) >= (F.size("a") + F.size("b")) * num).select("u", "v"))
 
 
@@ -627,11 +649,18 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     labels = similar(docs.select("doc_id", "text"), **options)
     gone = common.cut(labels.where("component_id <> doc_id").select(F.col("doc_id").alias("_id")).distinct())
     again = common.cut(labels.groupBy(F.col("doc_id").alias("_id")).count().where("count > 1").select("_id"))
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("_row"), F.col("doc_id").cast("long").alias("_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text"))
+    rows = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in names)).alias("_row"),
+        F.col("doc_id").cast("long").alias("_id"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text"),
+    )
     rows = rows.join(common.few(gone), "_id", "left_anti")
     if not again.isEmpty():
         twice = common.few(again)
-        rows = rows.join(twice, "_id", "left_anti").unionByName(rows.join(twice, "_id", "left_semi").groupBy("_id", F.md5("_text")).agg(F.first("_row").alias("_row"), F.first("_text").alias("_text")).select("_id", "_row", "_text"))
+        rows = rows.join(twice, "_id", "left_anti").unionByName(rows.join(twice, "_id", "left_semi").groupBy("_id", F.md5("_text")).agg(
+            F.first("_row").alias("_row"),
+            F.first("_text").alias("_text"),
+        ).select("_id", "_row", "_text"))
     return rows.select("_row.*")
 
 

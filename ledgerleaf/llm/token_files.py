@@ -202,11 +202,28 @@ def _shards(path: str, end_id: int, shard_tokens: int, names: list[str], types:
             doc_ids = np.array([x or 0 for x in held_docs], "<i8")
             nulls = np.array([x is None for x in held_docs], np.uint8)
             width, raw = packed(symbols)
-            row = (part, shard, before, len(ids), alphabet.astype("<u4"), rules.astype("<u4"), lengths.astype("<u4"), width, raw, doc_ids, nulls, doc_symbols.astype("<u4"), n.astype("<u4"))
+            row = (
+                part,
+                shard,
+                before,
+                len(ids),
+                alphabet.astype("<u4"),
+                rules.astype("<u4"),
+                lengths.astype("<u4"),
+                width,
+                raw,
+                doc_ids,
+                nulls,
+                doc_symbols.astype("<u4"),
+                n.astype("<u4"),
+            )
             before, shard, size = before + len(ids), shard + 1, 0
             held_ids.clear()
             held_docs.clear()
-            return pa.RecordBatch.from_arrays([pa.array([x.tobytes() if isinstance(x, np.ndarray) else x], t) for x, t in zip(row, types)], names=names)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([x.tobytes() if isinstance(x, np.ndarray) else x], t) for x, t in zip(row, types)],
+                names=names,
+            )
 
         for b in batches:
             doc_ids = b.column(0).to_pylist()
@@ -229,7 +246,10 @@ def write(docs: DataFrame, path: str, tokenizer_path: str | None = None, end_id:
     """Encodes docs (doc_id, text) and writes the token files to path, a folder that executors share."""
     spark = docs.sparkSession
     common.ship(spark)
-    rows = ordered.in_order(common.with_defaults(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")), parts or common.partitions(spark)).select("doc_id", "text")
+    rows = ordered.in_order(
+        common.with_defaults(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")),
+        parts or common.partitions(spark),
+    ).select("doc_id", "text")
     names = [x.split()[0] for x in FILE_SCHEMA.split(", ")]
     types = [{"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}[x.split()[1]] for x in FILE_SCHEMA.split(", ")]
     rows.mapInArrow(_shards(tokenizer_path or tokens.vocabulary_path(), end_id, shard_tokens, names, types), FILE_SCHEMA).write.parquet(path)

@@ -42,7 +42,10 @@ def finite_vectors(vectors: DataFrame, id_col: str, vector_col: str) -> DataFram
     """(vec_id, v array<double>) of the rows that take part."""
     x = F.col(f"`{vector_col}`").cast("array<double>")
     key = F.col(f"`{id_col}`").cast("long")
-    return vectors.select(key.alias("vec_id"), x.alias("v")).where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & ~F.exists("v", lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf"))))
+    return vectors.select(key.alias("vec_id"), x.alias("v")).where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & ~F.exists(
+        "v",
+        lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")),
+    ))
 
 
 def integers(x: np.ndarray, scale: int) -> np.ndarray:
@@ -139,8 +142,14 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = K, query_block: in
     # at least as many cells as tasks can run at once, as long as blocks stay of some size
     cs = max(cs, min(common.partitions(spark) // qs, -(-nc // 1024)))
     tag = F.xxhash64("vec_id", "v")
-    q = queries.withColumn("query", tag).withColumn("q", F.pmod("query", F.lit(qs)).cast("int")).withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(cs - 1))))
-    c = candidates.select("vec_id", "v").withColumn("c", F.pmod(tag, F.lit(cs)).cast("int")).withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(qs - 1))))
+    q = queries.withColumn("query", tag).withColumn("q", F.pmod("query", F.lit(qs)).cast("int")).withColumn(
+        "c",
+        F.explode(F.sequence(F.lit(0), F.lit(cs - 1))),
+    )
+    c = candidates.select("vec_id", "v").withColumn("c", F.pmod(tag, F.lit(cs)).cast("int")).withColumn(
+        "q",
+        F.explode(F.sequence(F.lit(0), F.lit(qs - 1))),
+    )
     found = q.groupBy("q", "c").cogroup(c.groupBy("q", "c")).applyInPandas(_cell(k, scale), CELL)
     order = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), F.desc("beyond"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

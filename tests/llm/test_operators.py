@@ -131,13 +131,26 @@ def test_fingerprints_of_empty_and_single_tables(spark):
 def test_language_fusion(spark):
     r = random.Random(1)
     en, de = ["the", "thing", "that", "with", "other"], ["der", "über", "schön", "und", "nicht"]
-    rows = [(i, " ".join(r.choice(en if i % 2 else de) for _ in range(30)), "en" if i % 2 else "de", "a.de" if i % 2 == 0 else "b.com") for i in range(200)]
-    rows += [(900, "", "en", "b.com"), (901, None, None, None), (902, "12345 %%", "de", "a.de"), (903, "the thing AKIAX7QZ3J9KD2 with that other", None, None)]
+    rows = [(
+        i,
+        " ".join(r.choice(en if i % 2 else de) for _ in range(30)),
+        "en" if i % 2 else "de",
+        "a.de" if i % 2 == 0 else "b.com",
+    ) for i in range(200)]
+    rows += [
+        (900, "", "en", "b.com"),
+        (901, None, None, None),
+        (902, "12345 %%", "de", "a.de"),
+        (903, "the thing AKIAX7QZ3J9KD2 with that other", None, None),
+    ]
     out = {x.id: x for x in language.identify(spark.createDataFrame(rows, "id long, text string, declared string, host string")).collect()}
     assert all(out[i].language == ("en" if i % 2 else "de") for i in range(200))
     assert [out[i].language for i in (900, 901, 902, 903)] == ["und", "und", "und", "en"]
     assert out[3].confidence > 0.99
-    assert {x.language for x in language.identify(spark.createDataFrame([(1, "abc", None, None)], "id long, text string, declared string, host string")).collect()} == {"und"}
+    assert {x.language for x in language.identify(spark.createDataFrame(
+        [(1, "abc", None, None)],
+        "id long, text string, declared string, host string",
+    )).collect()} == {"und"}
 
 
 def test_language_every_suffix_counts(spark):
@@ -167,7 +180,12 @@ def test_many_languages(spark):
 def test_language_of_repeats_long_texts_and_no_rows(spark):
     schema = "id long, text string, declared string, host string, language string, confidence string, n_trigrams string"
     long = "the other thing with that " * 40_000
-    rows = [(1, long, "en", None), (2, "der über schön und nicht " * 20, "de", ""), (2, "der über schön und nicht " * 20, "de", ""), (None, "the thing", None, "x")]
+    rows = [
+        (1, long, "en", None),
+        (2, "der über schön und nicht " * 20, "de", ""),
+        (2, "der über schön und nicht " * 20, "de", ""),
+        (None, "the thing", None, "x"),
+    ]
     got = [(x.id, x.language) for x in language.identify(spark.createDataFrame([(*x, "a", "b", "c") for x in rows], schema)).collect()]
     assert sorted(got, key=str) == sorted([(1, "en"), (2, "de"), (2, "de"), (None, "en")], key=str)
     empty = spark.createDataFrame([], schema)
@@ -228,8 +246,17 @@ def test_language_fusion_brute(spark):
     for i in range(120):
         x = r.choice(list(words))
         mixed = words[x] + [r.choice(words[r.choice(list(words))])]
-        text = r.choice([" ".join(r.choice(mixed) for _ in range(r.randint(1, 12))), "", "123 4"]) if i % 9 == 0 else " ".join(r.choice(mixed) for _ in range(r.randint(1, 12)))
-        rows.append((i, text, r.choice([x, x, None, r.choice(list(words))]), r.choice([f"{r.choice('ab')}.{x}{r.choice('12')}.{x}", "one.com", "local", None])))
+        text = r.choice([
+            " ".join(r.choice(mixed) for _ in range(r.randint(1, 12))),
+            "",
+            "123 4",
+        ]) if i % 9 == 0 else " ".join(r.choice(mixed) for _ in range(r.randint(1, 12)))
+        rows.append((
+            i,
+            text,
+            r.choice([x, x, None, r.choice(list(words))]),
+            r.choice([f"{r.choice('ab')}.{x}{r.choice('12')}.{x}", "one.com", "local", None]),
+        ))
     want = brute_language(rows)
     for x in language.identify(spark.createDataFrame(rows, "id long, text string, declared string, host string")).collect():
         assert x.language == want[x.id][0] and x.confidence == pytest.approx(want[x.id][1], rel=1e-3, abs=1e-4), (rows[x.id], want[x.id])
@@ -299,12 +326,30 @@ def test_winnowing_stores_fewer_lines_and_meets_every_shared_window(spark):
 
 def test_line_dedup_of_a_very_long_text(spark):
     body = "\n".join(f"line number {i} of it" for i in range(20_000))
-    got = {x.doc_id: x.n_lines_removed for x in lines.dedup(spark.createDataFrame([(1, body), (2, body + "\nand one more line")], "doc_id long, text string")).collect()}
+    got = {x.doc_id: x.n_lines_removed for x in lines.dedup(spark.createDataFrame(
+        [(1, body), (2, body + "\nand one more line")],
+        "doc_id long, text string",
+    )).collect()}
     assert got == {1: 0, 2: 20_000}
 
 
 def test_clashing_columns(spark):
-    extra = {c: F.lit(7) for c in ("_row", "_tag", "_spans", "fp", "term", "shard", "key", "leaf", "domain", "language", "confidence", "component_id", "text_language", "n_trigrams")}
+    extra = {c: F.lit(7) for c in (
+        "_row",
+        "_tag",
+        "_spans",
+        "fp",
+        "term",
+        "shard",
+        "key",
+        "leaf",
+        "domain",
+        "language",
+        "confidence",
+        "component_id",
+        "text_language",
+        "n_trigrams",
+    )}
     docs = make(spark, [(1, "one two three\nfour", "s"), (2, "five six", "s")]).withColumns(extra)
     for stage in (lines.drop_repeats, simhash.keep_one, mixing.keep_mixed, language.keep_identified):
         out = stage(docs)
@@ -360,7 +405,14 @@ def test_random_access_inside_documents():
     alphabet, rules, lengths, symbols, per = token_files.repair(ids, n)
     width, raw = token_files.packed(symbols)
     assert (token_files.unpacked(raw, width) == symbols).all() and lengths.max() > 16
-    row = {"alphabet": alphabet.astype("<u4").tobytes(), "rules": rules.astype("<u4").tobytes(), "lengths": lengths.astype("<u4").tobytes(), "width": width, "symbols": raw, "doc_symbols": per.astype("<u4").tobytes()}
+    row = {
+        "alphabet": alphabet.astype("<u4").tobytes(),
+        "rules": rules.astype("<u4").tobytes(),
+        "lengths": lengths.astype("<u4").tobytes(),
+        "width": width,
+        "symbols": raw,
+        "doc_symbols": per.astype("<u4").tobytes(),
+    }
     start = np.cumsum(n) - n
     for i in range(4):
         whole = ids[start[i] : start[i] + n[i]].tolist()
@@ -397,7 +449,10 @@ def test_token_files_of_a_table_nulls_and_no_rows(spark, tmp_path):
         want.append((i, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         at += len(ids)
     assert sorted(tuple(r) for r in token_files.op4_token_files(spark, sf).collect()) == want
-    rows = make(spark, [(None, "alpha", "s"), (1, None, "s"), (1, "alpha", "s"), (1, "alpha", "s")]).withColumn("shard", F.lit(1)).withColumn("key", F.lit(2))
+    rows = make(
+        spark,
+        [(None, "alpha", "s"), (1, None, "s"), (1, "alpha", "s"), (1, "alpha", "s")],
+    ).withColumn("shard", F.lit(1)).withColumn("key", F.lit(2))
     token_files.write(rows, str(tmp_path / "a"))
     assert [(r.doc_id, r.start) for r in token_files.read(spark, str(tmp_path / "a")).orderBy("start").collect()] == [(None, 0), (1, 2), (1, 3), (1, 5)]
     token_files.write(make(spark, []), str(tmp_path / "b"))
@@ -406,7 +461,15 @@ def test_token_files_of_a_table_nulls_and_no_rows(spark, tmp_path):
 
 # ---------------------------------------------------------------- 5
 def test_license_families(spark):
-    rows = [(1, "Plain words here.\nReleased under the MIT License."), (2, "Licensed under the Apache License, Version 2.0.\nAll rights reserved."), (3, "the driver renewed her license yesterday"), (4, None), (5, ""), (6, "Licensed under the Frobnicator Public License 7"), (None, "Licensed under CC BY-NC 4.0.")]
+    rows = [
+        (1, "Plain words here.\nReleased under the MIT License."),
+        (2, "Licensed under the Apache License, Version 2.0.\nAll rights reserved."),
+        (3, "the driver renewed her license yesterday"),
+        (4, None),
+        (5, ""),
+        (6, "Licensed under the Frobnicator Public License 7"),
+        (None, "Licensed under CC BY-NC 4.0."),
+    ]
     got = {r.doc_id: r.licenses for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {1: "mit", 2: "apache,proprietary", 3: "", 4: "", 5: "", 6: "unknown", None: "cc-by-nc"}
 
@@ -416,7 +479,15 @@ def licence_model(spark):
     return licenses.fit(spark, spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
 
 
-NOTICES = ["Released under the MIT terms", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software", "This work is under a Creative Commons Attribution 4.0 International", "CC BY-SA 4.0", "GPLv3", "dedicated under CC0", "free software under the terms"]
+NOTICES = [
+    "Released under the MIT terms",
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software",
+    "This work is under a Creative Commons Attribution 4.0 International",
+    "CC BY-SA 4.0",
+    "GPLv3",
+    "dedicated under CC0",
+    "free software under the terms",
+]
 
 
 def test_license_gate_is_exact(spark, licence_model):
@@ -431,8 +502,16 @@ def test_license_gate_is_exact(spark, licence_model):
 
 def test_license_scores_brute(spark, licence_model):
     """Probabilities and similarities by plain Python from the model's weights."""
-    m, texts = licence_model, [*NOTICES, "plain words of no licence at all", *licenses.UNKNOWN[:4], *(f"note that {t[0]}" for t in licenses.TEMPLATES.values())]
-    got = spark.createDataFrame(list(enumerate(texts)), "i int, text string").select("i", licenses.classify(F.col("text"), m).alias("c")).orderBy("i").collect()
+    m, texts = licence_model, [
+        *NOTICES,
+        "plain words of no licence at all",
+        *licenses.UNKNOWN[:4],
+        *(f"note that {t[0]}" for t in licenses.TEMPLATES.values()),
+    ]
+    got = spark.createDataFrame(list(enumerate(texts)), "i int, text string").select(
+        "i",
+        licenses.classify(F.col("text"), m).alias("c"),
+    ).orderBy("i").collect()
     families = sorted(licenses.TEMPLATES)
     for r, t in zip(got, texts):
         p = licenses._probabilities(m.logits(t), m.temperature)
@@ -453,10 +532,26 @@ def test_license_calibration_holds_whole_texts_out():
 def test_license_of_wrapped_notices_edges_and_no_rows(spark, licence_model):
     wrapped = "First line of prose ends here.\n\n# Permission is hereby granted, free of\n# charge, to any person obtaining a\n# copy of this software.\n\nMore prose."
     loose = "Licensed under CC BY-SA 4.0\nand then the story goes on for many words without any stop or end at all of it"
-    rows = [(1, wrapped), (2, loose), (2, loose), (3, None), (None, "All rights reserved."), (4, "word " * 200_000 + "end.\nAll rights reserved."), (5, "\n \t\r\n\n")]
+    rows = [
+        (1, wrapped),
+        (2, loose),
+        (2, loose),
+        (3, None),
+        (None, "All rights reserved."),
+        (4, "word " * 200_000 + "end.\nAll rights reserved."),
+        (5, "\n \t\r\n\n"),
+    ]
     docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, like string")
     got = sorted((r.doc_id or 0, r.licenses, [x["at"] for x in r.found]) for r in licenses.scan(docs, licence_model).collect())
-    assert got == [(0, "proprietary", [0]), (1, "mit", [2]), (2, "cc-by-sa", [0]), (2, "cc-by-sa", [0]), (3, "", []), (4, "proprietary", [1]), (5, "", [])]
+    assert got == [
+        (0, "proprietary", [0]),
+        (1, "mit", [2]),
+        (2, "cc-by-sa", [0]),
+        (2, "cc-by-sa", [0]),
+        (3, "", []),
+        (4, "proprietary", [1]),
+        (5, "", []),
+    ]
     split = docs.where("doc_id in (1, 2)").select("doc_id", licenses.paragraphs(F.col("text")).alias("p")).distinct().orderBy("doc_id").collect()
     assert [[(x["at"], len(x["u"])) for x in r.p] for r in split] == [[(0, 1), (2, 3), (6, 1)], [(0, 2)]]
     empty = docs.limit(0)
@@ -567,7 +662,11 @@ def test_clusters_bring_neighbours_together(spark):
 
 def test_packing_of_null_ids_repeats_and_a_long_text(spark):
     long = " ".join(f"{WORDS[i % 24]}{i % 977}" for i in range(30_000))
-    rows = [(None, f"text {i % 5} of none", "s") for i in range(300)] + [(7, "alpha beta", "s")] * 200 + [(8, long, "s"), (9, None, "s"), (10, "", "s")]
+    rows = [(None, f"text {i % 5} of none", "s") for i in range(300)] + [(7, "alpha beta", "s")] * 200 + [
+        (8, long, "s"),
+        (9, None, "s"),
+        (10, "", "s"),
+    ]
     docs = make(spark, rows).repartition(6).withColumn("part", F.lit("x")).withColumn("term", F.lit("y"))
     got = packing.pack(docs).collect()
     assert sum(r.length for r in got) == sum(len(x) for x in encoded([t for _, t, _ in rows], 2))
@@ -609,7 +708,10 @@ def labelled_pages():
         '<form><label>Your address</label><input name=q><button>Go</button></form>',
         "<div><a href=/1>One more page</a> <a href=/2>And another page</a> <a href=/3>A third one</a></div>",
     ]
-    after = ['<div id="comments"><p>first! what a long comment this is, going on and on and on about it all</p></div>', "<footer>&copy; x, all of it, in every country and for ever and a day</footer>"]
+    after = [
+        '<div id="comments"><p>first! what a long comment this is, going on and on and on about it all</p></div>',
+        "<footer>&copy; x, all of it, in every country and for ever and a day</footer>",
+    ]
     for turn in range(120):
         body = [f"<h1>{sentence(4)}</h1>"] + [f"<p>{sentence(r.choice((1, 2, 12, 30, 60)))}</p>" for _ in range(r.randint(3, 9))]
         body[1] = f"<p>{sentence(40)}</p>"
@@ -617,7 +719,12 @@ def labelled_pages():
         for _ in range(r.randint(0, 3)):
             body.insert(r.randint(2, len(body)), r.choice(beside[2:5]))
         inner = "\n".join(body)
-        inner = [f"<article>{inner}</article>", f'<main><div class="post-body">{inner}</div></main>', f'<div class="entry">{inner}</div>', f'<div class="share-price"><div>{inner}</div></div>'][turn % 4]
+        inner = [
+            f"<article>{inner}</article>",
+            f'<main><div class="post-body">{inner}</div></main>',
+            f'<div class="entry">{inner}</div>',
+            f'<div class="share-price"><div>{inner}</div></div>',
+        ][turn % 4]
         yield f"<!DOCTYPE html><html><head><title>t</title></head><body>{''.join(r.sample(beside, 4))}{inner}{''.join(after)}</body></html>", "\n".join(text)
 
 
@@ -717,7 +824,10 @@ def test_gray_index_brute():
     rng = np.random.default_rng(3)
     for turn in range(25):
         base = rng.integers(0, 2**63, 6, dtype=np.uint64)
-        f = np.unique(np.array([int(rng.choice(base)) ^ sum(1 << int(b) for b in rng.choice(64, int(rng.integers(0, 5)), replace=False)) for _ in range(150)], np.uint64))
+        f = np.unique(np.array(
+            [int(rng.choice(base)) ^ sum(1 << int(b) for b in rng.choice(64, int(rng.integers(0, 5)), replace=False)) for _ in range(150)],
+            np.uint64,
+        ))
         side = rng.integers(0, 2, len(f)) if turn % 2 else None
 
         def joined(pairs):
@@ -771,10 +881,21 @@ def test_word_index_recall(spark):
 def test_similar_of_repeats_nulls_and_no_rows(spark):
     assert simhash.keep_one(make(spark, [])).count() == 0 and simhash.near_duplicates(make(spark, [])).count() == 0
     text = "one two three four five six seven"
-    docs = make(spark, [(1, text, "a"), (1, text, "a"), (2, text, "b"), (1, "quite another text of more words", "a"), (None, text, "c"), (None, text, "c")])
-    assert sorted((r.doc_id or 0, r.text) for r in simhash.keep_one(docs).collect()) == sorted([(1, text), (1, "quite another text of more words"), (0, text), (0, text)])
+    docs = make(
+        spark,
+        [(1, text, "a"), (1, text, "a"), (2, text, "b"), (1, "quite another text of more words", "a"), (None, text, "c"), (None, text, "c")],
+    )
+    assert sorted((r.doc_id or 0, r.text) for r in simhash.keep_one(docs).collect()) == sorted([
+        (1, text),
+        (1, "quite another text of more words"),
+        (0, text),
+        (0, text),
+    ])
     long = " ".join(f"w{i}" for i in range(60_000))
-    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(make(spark, [(1, long, "a"), (2, long + " w", "a"), (None, long, "a")])).collect()}
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(make(
+        spark,
+        [(1, long, "a"), (2, long + " w", "a"), (None, long, "a")],
+    )).collect()}
     assert got == {1: 1, 2: 1, None: None}
 
 
@@ -782,7 +903,10 @@ def test_keep_one_and_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "u long, v long")
     got = {r.node: r.component for r in simhash.components(links).collect()}
     assert got == {**dict.fromkeys(range(41), 0), 100: 100, 101: 100}
-    docs = make(spark, [(7, "same text here now", "s"), (3, "same text here now", "s"), (None, "same text here now", "s"), (9, "quite other words in this", "s")])
+    docs = make(
+        spark,
+        [(7, "same text here now", "s"), (3, "same text here now", "s"), (None, "same text here now", "s"), (9, "quite other words in this", "s")],
+    )
     assert {r.doc_id for r in simhash.keep_one(docs).collect()} == {3, None, 9}
 
 
@@ -832,7 +956,11 @@ def test_top_k_of_large_components_repeats_and_empty_tables(spark):
 
     assert run([(0, [3e6] * 64), (1, [3e6] * 64)]) == [(0, 1, 1, 2**63 - 1)]
     assert run([(0, [3e6] * 8), (1, [3e5] * 8)]) == [(0, 1, 1, 8 * 3_000_000 * 300_000 * 1024**2)]
-    assert run([(0, [1e30, 1.0]), (1, [1e30, 0.0]), (2, [1e30, 1.0]), (3, [-1e300, 0.5])]) == [(0, 1, 2, 2**63 - 1), (0, 2, 1, 2**63 - 1), (0, 3, 3, -(2**63))]
+    assert run([(0, [1e30, 1.0]), (1, [1e30, 0.0]), (2, [1e30, 1.0]), (3, [-1e300, 0.5])]) == [
+        (0, 1, 2, 2**63 - 1),
+        (0, 2, 1, 2**63 - 1),
+        (0, 3, 3, -(2**63)),
+    ]
     # ties to the smaller vec_id; a shorter vector; a row that repeats the query, and another of its vec_id
     rows = [(100, [1.0, 2.0]), (100, [1.0, 2.0]), (100, [9.0]), (5, [1.0, 2.0]), (4, [1.0, 2.0]), (6, [])]
     mb = 1 << 20

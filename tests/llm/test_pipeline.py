@@ -74,7 +74,10 @@ def test_near_dedup_brute(spark):
 
 
 def test_line_dedup_takes_single_lines(spark):
-    rows = [(i, f"own words of {i}\nOf.\nlast of {i} here\nRead more about this on our site") for i in range(5)] + [(9, "Read  more about this on our site")]
+    rows = [(
+        i,
+        f"own words of {i}\nOf.\nlast of {i} here\nRead more about this on our site",
+    ) for i in range(5)] + [(9, "Read  more about this on our site")]
     out = corpus_pipeline.dedup_lines(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF)
     got = {r.doc_id: r.text for r in out.collect()}
     assert got == {0: rows[0][1], **{i: f"own words of {i}\nOf.\nlast of {i} here" for i in range(1, 5)}}
@@ -84,8 +87,18 @@ def test_run_of_repeats_nulls_and_extra_columns(spark, tmp_path):
     """The whole pipeline on a small table: each kept text is packed once, and every piece of it."""
     prose = [" ".join(f"{w}{(i * 7 + k) % 90}" for k, w in enumerate("alpha beta gamma delta epsilon zeta eta theta iota kappa lambda".split() * 4)) for i in range(12)]
     rows = [(i, t, "en", f"src{i % 2}", len(t)) for i, t in enumerate(prose)]
-    rows += [rows[3], rows[3], (50, prose[4] + " one more", "en", "src1", 1), (51, None, None, None, None), (52, "", "en", "src0", 0), (53, "123 456", "en", "src0", 7)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").selectExpr("*", "1 as node", "2 as component", "3 as part")
+    rows += [
+        rows[3],
+        rows[3],
+        (50, prose[4] + " one more", "en", "src1", 1),
+        (51, None, None, None, None),
+        (52, "", "en", "src0", 0),
+        (53, "123 456", "en", "src0", 7),
+    ]
+    docs = spark.createDataFrame(
+        rows,
+        "doc_id long, text string, lang string, source string, n_chars long",
+    ).selectExpr("*", "1 as node", "2 as component", "3 as part")
     (tmp_path / "sf").mkdir()
     docs.write.parquet(str(tmp_path / "sf" / "documents.parquet"))
     got = corpus_pipeline.run(spark, str(tmp_path / "sf")).collect()
