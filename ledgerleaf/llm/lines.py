@@ -14,8 +14,8 @@ and that is deleted.  Two 64-bit hash functions of each line, and of the hashes
 The first occurrence of a passage stays.  Rows with equal doc_id and text count as one document and get equal
 results; a null doc_id comes before all others.  Null and blank texts stay as they are.  A text whose lines all
 go becomes empty.  Blank lines stay unless they lie inside a deleted window.  An empty table gives an empty result.
-A line that very many documents share is one hot key of narrow rows (its first place is an aggregate with partial
-sums; the join to it is left to AQE to split).
+A line that very many documents share is one hot key of narrow rows: its first place is an aggregate with partial sums, and the
+join to it is by broadcast or left to AQE to split.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from . import common
 
 MIN_LINES, MIN_WORDS = 3, 3
+#: Tables of first places up to this many rows (of six numbers) are broadcast; larger ones are joined by a shuffle, which AQE may split.
+FEW = 200_000
 
 
 def selected(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -112,13 +114,14 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     rows = common.cut(selected(docs, min_words))
     place, key = F.struct("doc_id", "tag", F.col("at").alias("first")), ["a", "b"]
     shared = rows.groupBy(*key).agg(F.min(place).alias("least"), F.max(place).alias("most")).where("least <> most").select(*key, "least")
-    met = common.cut(rows.join(shared, key))
+    # first places are broadcast while they are few, so that a line of very many documents is no hot key of a join
+    met = common.cut(rows.join(common.few(common.cut(shared), FEW), key))
     alone = met.where(F.col("alone") & ~(place == F.col("least"))).select("doc_id", "tag", F.col("at").alias("first"), F.col("at").alias("last"))
     # extended both ways to the ends of the windows: their whole content must have an earlier place
     grown = met.select("doc_id", "tag", F.explode("more").alias("x")).select("doc_id", "tag", "x.first", "x.last", "x.a", "x.b")
     at = F.struct("doc_id", "tag", "first")
     firsts = grown.groupBy(*key).agg(F.min(at).alias("least"), F.max(at).alias("most")).where("least <> most").select(*key, "least")
-    later = grown.join(firsts, key).where(~(at == F.col("least"))).select("doc_id", "tag", "first", "last")
+    later = grown.join(common.few(common.cut(firsts), FEW), key).where(~(at == F.col("least"))).select("doc_id", "tag", "first", "last")
     return alone.unionByName(later).groupBy("doc_id", "tag").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
 
 

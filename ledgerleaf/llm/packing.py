@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import math
 import zlib
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -102,9 +103,16 @@ def _sampled(bm25: Bm25):
     return run
 
 
-def _nearest(centres: np.ndarray, doc: np.ndarray, term: np.ndarray, w: np.ndarray, n: int) -> np.ndarray:
-    """The centre of the greatest inner product for each of n documents; 0 for one without a term.  centres is (terms, clusters)."""
-    out = np.zeros(n, np.int64)
+class Centres(NamedTuple):
+    """A row of ``table`` (terms, clusters) for each term that some centre has; row 0 is for all others."""
+
+    row: np.ndarray
+    table: np.ndarray
+
+
+def _nearest(centres: Centres, doc: np.ndarray, term: np.ndarray, w: np.ndarray, n: int) -> np.ndarray:
+    """The centre of the greatest inner product for each of n documents; 0 for one without a term."""
+    out, rows = np.zeros(n, np.int64), centres.row[term]
     edge = np.searchsorted(doc, np.arange(n + 1))
     # runs of documents of a bounded number of terms
     a = 0
@@ -113,7 +121,7 @@ def _nearest(centres: np.ndarray, doc: np.ndarray, term: np.ndarray, w: np.ndarr
         full = np.flatnonzero(np.diff(edge[a : b + 1])) + a
         if len(full):
             x, y = int(edge[a]), int(edge[b])
-            out[full] = np.add.reduceat(centres[term[x:y]] * w[x:y, None], edge[full] - x, axis=0).argmax(1)
+            out[full] = np.add.reduceat(centres.table[rows[x:y]] * w[x:y, None], edge[full] - x, axis=0).argmax(1)
         a = b
     return out
 
@@ -124,32 +132,35 @@ def _joined(sample: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return doc, np.concatenate([t for t, _ in sample]).astype(np.int64), np.concatenate([w for _, w in sample]).astype(np.float32)
 
 
-def clusters(sample: list, k: int, measured: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+def clusters(sample: list, k: int, measured: list | None = None) -> tuple[Centres, np.ndarray]:
     """(centres, documents of ``measured`` in each) of at most k clusters fitted to sample; both hold (terms, weights)."""
     measured = [x for x in measured or sample if len(x[0])]
     sample = [(np.asarray(t, np.int64), np.asarray(w, np.float32) / max(1e-9, float(np.linalg.norm(w)))) for t, w in sample if len(t)]
     k = max(1, min(k, len(sample) // 4))
+    row = np.zeros(VOCABULARY, np.int32)
     if not sample:
-        return np.zeros((VOCABULARY, 1), np.float32), np.ones(1, np.int64)
+        return Centres(row, np.zeros((1, 1), np.float32)), np.ones(1, np.int64)
     doc, term, w = _joined(sample)
-    centres = np.zeros((VOCABULARY, k), np.float32)
+    used = np.unique(term)
+    row[used] = np.arange(1, len(used) + 1)
+    centres = Centres(row, np.zeros((len(used) + 1, k), np.float32))
     for turn in range(TURNS):
         if turn:
             of = _nearest(centres, doc, term, w, len(sample))
         else:  # the first centres are single documents
             of = np.full(len(sample), -1)
             of[np.random.default_rng(1).choice(len(sample), k, replace=False)] = np.arange(k)
-        fresh = np.zeros_like(centres)
-        use = of[doc] >= 0
-        np.add.at(fresh, (term[use], of[doc[use]]), w[use])
+        fresh, use = np.zeros_like(centres.table), of[doc] >= 0
+        np.add.at(fresh, (row[term[use]], of[doc[use]]), w[use])
         size = np.linalg.norm(fresh, axis=0)
-        centres = np.where(size > 0, fresh / np.maximum(size, 1e-9), centres).astype(np.float32)
+        fresh /= np.maximum(size, 1e-9)
+        centres = Centres(row, np.where(size > 0, fresh, centres.table))
     if not measured:
         return centres, np.ones(k, np.int64)
     return centres, np.bincount(_nearest(centres, *_joined(measured), len(measured)), minlength=k)
 
 
-def _routed(bm25: Bm25, centres: np.ndarray, first: np.ndarray, share: np.ndarray, salts: np.ndarray):
+def _routed(bm25: Bm25, centres: Centres, first: np.ndarray, share: np.ndarray, salts: np.ndarray):
     """Adds part: the first of a cluster's ``share`` parts, moved by the strongest term and its salt."""
 
     def run(batches):

@@ -18,7 +18,7 @@ fingerprints holds that similarity (pairs at 0.8 differ in about 10 of 64 bits),
 their words: the fingerprint of the distinct words differs in about 3 bits, and unrelated texts begin at 12.  Candidates
 are the pairs of the same index within ``WORD_RADIUS`` bits of that fingerprint, in the cells of ``WORD_MASKS``
 masks of ``WORD_BITS`` bits; each is bounded by a signature of its shingles and then decided by the whole sets.  The index
-finds about 0.99 of the pairs among edited copies of the given tables (tests/llm measures it against brute force), least of
+finds about 0.98 of the pairs among edited copies of the given tables (tests/llm measures it against brute force), least of
 texts under 30 words, where one word weighs much; no pair it finds is left undecided.  The number of bits is fixed, so recall does not
 depend on the number of documents N; unrelated ones that share a cell are about WORD_MASKS * N * N / 2 ** (WORD_BITS + 1) comparisons of
 two 64-bit words, which the index prunes and no row is written for.
@@ -47,11 +47,11 @@ CELL_LIMIT, LEAF = 8192, 16
 #: A cell beyond the limit is cut at quantiles of Gray rank; this many are asked of it at most.
 QUANTILES = 4096
 SIMILAR, SIMILAR_SHINGLE = (4, 5), 5
-WORD_RADIUS, WORD_BITS, WORD_MASKS = 10, 22, 32
+WORD_RADIUS, WORD_BITS, WORD_MASKS = 10, 24, 40
 #: Bits of a signature of shingles (4 for each shingle, within these bounds).
 SIGNATURE = (64, 1024)
 #: Candidates that each member of a cell names in the first round of ``similar``.
-NEAREST = 4
+NEAREST = 1
 
 
 def _signed(x: int) -> int:
