@@ -160,6 +160,19 @@ def clusters(sample: list, k: int, measured: list | None = None) -> tuple[Centre
     return centres, np.bincount(_nearest(centres, *_joined(measured), len(measured)), minlength=k)
 
 
+def _strongest(doc: np.ndarray, term: np.ndarray, w: np.ndarray, n: int) -> np.ndarray:
+    """The term of greatest weight of each of n documents, the least of equal ones; 0 for one without a term."""
+    top = np.zeros(n, np.int64)
+    if len(doc):
+        size = np.bincount(doc, minlength=n)
+        full = np.flatnonzero(size)
+        most = np.maximum.reduceat(w, (np.cumsum(size) - size)[full])
+        at = np.flatnonzero(w == np.repeat(most, size[full]))
+        lead = at[np.concatenate(([True], doc[at][1:] != doc[at][:-1]))]
+        top[doc[lead]] = term[lead]
+    return top
+
+
 def _routed(bm25: Bm25, centres: Centres, first: np.ndarray, share: np.ndarray, salts: np.ndarray):
     """Adds part: the first of a cluster's ``share`` parts, moved by the strongest term and its salt."""
 
@@ -174,11 +187,7 @@ def _routed(bm25: Bm25, centres: Centres, first: np.ndarray, share: np.ndarray,
                 continue
             doc, term, w = _vectors(bm25, b.column(1).to_pylist(), n)
             of = _nearest(centres, doc, term, w, len(n))
-            best = np.lexsort((term, -w, doc))
-            top = np.zeros(len(n), np.int64)
-            if len(best):
-                lead = best[np.concatenate(([True], doc[best][1:] != doc[best][:-1]))]
-                top[doc[lead]] = term[lead]
+            top = _strongest(doc, term, w, len(n))
             salt = (place + np.arange(len(n))) % salts[top]
             place += len(n)
             part = first[of] + (top * 40_503 + salt * 9_973) % share[of]

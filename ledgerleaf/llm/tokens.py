@@ -14,8 +14,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Words kept per worker, and the longest piece kept.
-CACHE_WORDS, CACHE_CHARS = 400_000, 48
+#: Pieces kept per worker, and the longest one kept (in bytes).
+CACHE_WORDS, CACHE_BYTES = 600_000, 64
 #: A piece of letters and then marks of these kinds is split exactly there by the tokenizer's pattern, which
 #: matches runs of letters and runs of marks; it has alternatives of its own for the apostrophe only.
 LETTERS = "abcdefghijklmnopqrstuvwxyz" + "".join(map(chr, (*range(0xC0, 0xD7), *range(0xD8, 0xF7), *range(0xF8, 0x100))))
@@ -39,7 +39,8 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         if self.tokenizer.get_vocab_size() > 65_536:
             raise ValueError("ids must fit in 16 bits")
-        self.words: dict[str, bytes] = {"": b""}
+        # the pieces seen, their ids one after the other, and the number of each one's ids
+        self.known, self.flat, self.length = pa.array([""], pa.string()), np.zeros(0, "<u2"), np.zeros(1, np.int64)
 
     def _each(self, pieces: list[str]) -> list[bytes]:
         return [array("H", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
@@ -57,18 +58,30 @@ class Encoder:
             out += [raw[a:b] for a, b in zip(cut, cut[1:])]
         return out
 
-    def _ids(self, pieces: list[str], letters: bool) -> list[bytes]:
-        known = self.words
-        got = list(map(known.get, pieces))
-        gaps = [i for i, g in enumerate(got) if g is None]
-        if gaps:
-            new = [pieces[i] for i in gaps]
-            full = len(known) > CACHE_WORDS
-            for i, w, ids in zip(gaps, new, (self._joined if letters else self._each)(new)):
-                got[i] = ids
-                if not full and len(w) <= CACHE_CHARS:
-                    known[w] = ids
-        return got
+    def _numbers(self, pieces: pa.Array, letters: bool) -> np.ndarray:
+        """Numbers of distinct pieces among the known ones, which new ones join."""
+        at = pc.index_in(pieces, value_set=self.known)
+        new = np.asarray(pc.is_null(at))
+        out = at.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        if new.any():
+            rows = pieces.filter(pa.array(new))
+            got = (self._joined if letters else self._each)(rows.to_pylist())
+            out[new] = len(self.length) + np.arange(len(got))
+            self.known = pa.concat_arrays([self.known, rows])
+            self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(got), "<u2")])
+            self.length = np.concatenate([self.length, np.fromiter(map(len, got), np.int64, len(got)) // 2])
+        return out
+
+    def _forget(self, base: int) -> None:
+        """Keeps of the pieces from number base on the short ones, as long as there is room."""
+        short = np.asarray(pc.less_equal(pc.binary_length(self.known.slice(base)), CACHE_BYTES))
+        keep = base + np.flatnonzero(short)[: max(0, CACHE_WORDS - base)]
+        if len(keep) < len(self.length) - base:
+            start = np.cumsum(self.length) - self.length
+            ends = int(start[base]) if base < len(start) else len(self.flat)
+            self.flat = np.concatenate([self.flat[:ends], self.flat[runs(start[keep], self.length[keep])]])
+            self.known = pa.concat_arrays([self.known.slice(0, base), self.known.take(pa.array(keep))])
+            self.length = np.concatenate([self.length[:base], self.length[keep]])
 
     def encode_array(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, ids per text), each text followed by end_id if that is given.
@@ -86,14 +99,11 @@ class Encoder:
         # a piece is a word and a mark, or an odd piece and nothing
         words = pc.if_else(plain, word, "").dictionary_encode()
         others = pc.if_else(plain, mark, pieces).dictionary_encode()
-        got = self._ids(words.dictionary.to_pylist(), True)
-        first = len(got)
-        got += self._ids(others.dictionary.to_pylist(), False)
-        flat = np.frombuffer(b"".join(got), "<u2")
-        length = np.fromiter(map(len, got), np.int64, len(got)) // 2
-        start = np.cumsum(length) - length
-        parts = np.stack([words.indices.to_numpy(), others.indices.to_numpy() + first], 1)
-        table, length = flat[runs(start[parts.reshape(-1)], length[parts.reshape(-1)])], length[parts].sum(1)
+        base = len(self.length)
+        numbers = [self._numbers(x.dictionary, letters)[x.indices.to_numpy()] for x, letters in ((words, True), (others, False))]
+        parts, start = np.stack(numbers, 1), np.cumsum(self.length) - self.length
+        table, length = self.flat[runs(start[parts.reshape(-1)], self.length[parts.reshape(-1)])], self.length[parts].sum(1)
+        self._forget(base)
         if end_id is not None:
             table, length = np.append(table, np.array([end_id], "<u2")), np.append(length, 1)
         start = np.cumsum(length) - length

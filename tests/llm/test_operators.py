@@ -615,6 +615,16 @@ def test_bm25_neighbours_brute():
         assert all(scores[a] >= scores[b] - 1e-4 for a, b in zip(got, got[1:]))
 
 
+def test_strongest_term_brute():
+    rng = np.random.default_rng(4)
+    doc = np.sort(rng.choice([0, 1, 3, 4, 8], 60))
+    term, w = np.arange(60) % 13 + 1, rng.integers(1, 5, 60).astype(np.float32)
+    order = np.lexsort((term, doc))
+    doc, term, w = doc[order], term[order], w[order]
+    want = [min((t for d, t, x in zip(doc, term, w) if d == i and x == max(w[doc == i])), default=0) for i in range(10)]
+    assert packing._strongest(doc, term, w, 10).tolist() == want and packing._strongest(doc[:0], term[:0], w[:0], 2).tolist() == [0, 0]
+
+
 def test_windows_are_filled_greedily_by_best_unused_neighbour():
     r = random.Random(10)
     texts = [[r.randrange(1, 200) for _ in range(r.randint(5, 60))] for _ in range(60)]
