@@ -98,10 +98,10 @@ def summary_text(cells: DataFrame, split: DataFrame, valid: DataFrame, model: st
     """The summary of a run: populated and blank fields, tiers, classes with their error rates, validity."""
     found = {r.populated: r for r in metrics.populated_blank(cells).collect()}
     out = [f"=== Summary: {model or '(unnamed)'} ({split.count()} samples) ==="]
-    for label, key in (("populated", True), ("blank    ", False)):
-        r = found.get(key)
+    for label, full in (("populated fields", True), ("blank fields", False)):
+        r = found.get(full)
         norm, exact, n = (r.norm_acc, r.exact_acc, r.total) if r else (0.0, 0.0, 0)
-        out.append(f"{label} fields : norm={norm:.3f}  exact={exact:.3f}  (n={n})" if key else f"blank fields     : norm={norm:.3f}  exact={exact:.3f}  (n={n})")
+        out.append(f"{label:<17}: norm={norm:.3f}  exact={exact:.3f}  (n={n})")
     seen = {r.tier: r for r in metrics.tier_populated(cells).collect()}
     out += ["", "--- Per-tier (populated fields, normalized) ---", _line(_POPULATED_HEAD)]
     for r in metrics.tier_order(split).orderBy("position").collect():

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -103,6 +105,11 @@ def top_miss_pairs(spark, sf_dir):
     return metrics.top_misses(all_cells(spark, sf_dir))
 
 
+@query("miss_pairs", claims.o_cells("SELECT tier, key, gt_n, pred_n, count(*) AS misses, min(row_idx) AS first_row FROM cells WHERE NOT norm GROUP BY ALL"))
+def miss_pairs(spark, sf_dir):
+    return metrics.miss_pairs(all_cells(spark, sf_dir))
+
+
 _ACC = "count(*) AS total, avg(CAST(exact AS INT)) AS exact_acc, avg(CAST(norm AS INT)) AS norm_acc"
 
 
@@ -230,6 +237,7 @@ def _scratch(spark: SparkSession, tag: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="ledgerleaf-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
     return f"{base.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
 
 

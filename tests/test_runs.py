@@ -6,8 +6,8 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerleaf.functions import keys
-from ledgerleaf.operators import cells, codes, flatten, geometry, images, metrics, report, serving, splits, synth, training_rows
+from ledgerleaf.functions import forms, keys, text
+from ledgerleaf.operators import cells, codes, flatten, geometry, images, metrics, report, serving, splits, synth, training_rows, validators
 from ledgerleaf.sources import files
 
 
@@ -186,3 +186,20 @@ def test_top_misses_and_orders(scored, spark):
         "row_idx long, tier string",
     )).orderBy("position").collect()
     assert [r.tier for r in order] == ["pristine", "fax", "new", "other"]
+
+
+def test_pointed_codes_and_restyled_dates(spark):
+    df = spark.createDataFrame([("CA", ["x", "y", "z"]), ("D", ["x"]), ("", ["x"])], "p string, d array<string>")
+    assert [r.c for r in df.select(validators.pointed_codes(F.col("p"), F.col("d")).alias("c")).collect()] == [["z", "x"], [None], []]
+    days = spark.range(400).select("id", F.date_format(F.date_add(F.lit("1990-01-01").cast("date"), (F.col("id") * 17).cast("int")), "MM/dd/yyyy").alias("d"))
+    styled = days.select("d", forms.restyled_date(F.col("d"), F.col("id")).alias("s")).collect()
+    slashed = [(r.d, r.s) for r in styled if "/" in r.s]
+    assert {c for r in styled for c in r.s if not c.isdigit()} == set("/-.") and len(slashed) > 100
+    got = spark.createDataFrame(slashed, "d string, s string").select("d", text.date("s").alias("n")).collect()
+    assert all(r.n == r.d for r in got)
+    assert spark.createDataFrame([("soon",)], "d string").select(forms.restyled_date(F.col("d"), F.lit(1)).alias("s")).first().s == "soon"
+
+
+def test_first_keys_of_a_few_rows(spark):
+    gt = spark.createDataFrame([(0, 0, "a"), (5, 0, "late")], "row_idx long, pos int, key string")
+    assert [r.key for r in splits.canonical_keys(gt, 3).collect()] == ["a"]
