@@ -1,7 +1,7 @@
 """Main text of web pages by line-block distribution.
 
 Markup is stripped into blocks in page order (block-level tags end a block, ``br`` is white space); a block is a line.
-Its weight is its text length without the text of links; an element whose tag, role or class names a menu, page header,
+Its weight is its text length without the text of links (those of headings count); an element whose tag, role or class names a menu, page header,
 footer, sidebar, notice, advert, form or reader comment gives its blocks no weight, and where the page marks its article
 (``article``, else ``main``) blocks outside weigh nothing and those inside ``MARK`` code points more each.  Weights are
 summed over a sliding window of ``WINDOW`` lines.  Text surges at the first line with weight whose window's sum is over
@@ -32,6 +32,7 @@ WINDOW, SURGE, MARK = 3, 86, 87
 
 # fixed values: elements by role
 BLOCK_TAGS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section summary table tbody tfoot thead title tr ul".split())
+HEADING_TAGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 SKIPPED_TAGS = frozenset("head nav menu header footer aside form dialog button select template svg canvas audio video object noscript".split())
 RAW_TAGS = frozenset("script style textarea title iframe noembed noframes xmp".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -127,7 +128,7 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool, bool]]:
     parts: list[str] = []
     links: list[str] = []
     skip_tag = skip_why = ""
-    skip_depth = article = main = anchor = 0
+    skip_depth = article = main = anchor = heading = 0
     state = (False, False, False)
 
     def close():
@@ -141,7 +142,7 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool, bool]]:
     for text, tag, closing, attributes in tags(page):
         if text:
             parts.append(text)
-            if anchor:
+            if anchor and not heading:
                 links.append(text)
         if not tag:
             continue
@@ -151,6 +152,8 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool, bool]]:
             continue
         if tag == "a":
             anchor = 0 if closing else 1
+        elif tag in HEADING_TAGS:
+            heading = 0 if closing else 1
         if tag in BLOCK_TAGS:
             close()
         elif tag in ("br", "td", "th"):

@@ -766,6 +766,11 @@ def test_article_parts_with_names_like_menus_stay():
         assert html_text.main_text(f'<article><p>Text.</p><div class="{name}">Some text of it.</div></article>') == "Text."
 
 
+def test_linked_headings_of_unmarked_pages_stay():
+    page = "<body><nav><a>Menu</a></nav><h2><a href=/x>Linked title</a></h2><p>" + "long text " * 20 + "</p><div><a>One more page</a></div></body>"
+    assert html_text.main_text(page).split("\n") == ["Linked title", ("long text " * 20).strip()]
+
+
 def test_unclosed_markup_takes_linear_time():
     import time
 
