@@ -188,9 +188,12 @@ def _routed(bm25: Bm25, centres: Centres, first: np.ndarray, share: np.ndarray,
             doc, term, w = _vectors(bm25, b.column(1).to_pylist(), n)
             of = _nearest(centres, doc, term, w, len(n))
             top = _strongest(doc, term, w, len(n))
-            salt = (place + np.arange(len(n))) % salts[top]
+            row = place + np.arange(len(n))
             place += len(n)
-            part = first[of] + (top * 40_503 + salt * 9_973) % share[of]
+            part = first[of] + (top * 40_503 + row % salts[top] * 9_973) % share[of]
+            # documents without a term that weighs have no neighbours: they fill up all parts
+            bare = np.bincount(doc, minlength=len(n)) == 0
+            part[bare] = row[bare] % int(share.sum())
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, pa.array(part.astype(np.int32)), pa.array(top.astype(np.int32))],
                 names=["doc_id", "ids", "n", "part", "term"],
