@@ -155,6 +155,9 @@ def clusters(sample: list, k: int, measured: list | None = None) -> tuple[Centre
         size = np.linalg.norm(fresh, axis=0)
         fresh /= np.maximum(size, 1e-9)
         centres = Centres(row, np.where(size > 0, fresh, centres.table))
+    # centres that no document of the sample is nearest to are copies of others: a tie would be broken by rounding
+    kept = np.unique(_nearest(centres, doc, term, w, len(sample)))
+    centres, k = Centres(row, np.ascontiguousarray(centres.table[:, kept])), len(kept)
     if not measured:
         return centres, np.ones(k, np.int64)
     return centres, np.bincount(_nearest(centres, *_joined(measured), len(measured)), minlength=k)
