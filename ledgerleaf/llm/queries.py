@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import fingerprints, html_text, language, licenses, lines, mixing, packing, simhash, token_files, topk
+from . import fingerprints, html_text, language, licenses, lines, mixing, packing, simhash, substrings, token_files, topk
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
-for _module in (fingerprints, language, lines, token_files, licenses, packing, html_text, simhash, mixing, topk):
+for _module in (fingerprints, language, lines, token_files, licenses, packing, html_text, simhash, mixing, topk, substrings):
     QUERIES.update(_module.QUERIES)
     ORACLES.update(_module.ORACLES)
