@@ -5,10 +5,11 @@ span's hash is a difference of two prefixes times an inverse power, so span equa
 longest common extension of two positions is a binary search.
 
 ``Fingerprint`` holds a text's prefix hashes and its anchors: spans of ``SPAN`` code points (shorter in short texts) whose
-mixed hash ends in two zero bits, and the first span.  The likeness of two fingerprints aligns their shared anchors, extends
+mixed hash ends in zero bits (two in long texts, none in short ones), and the first span.  The likeness of two fingerprints aligns their shared anchors, extends
 each both ways to the longest common extension, and is the share of the code points of both texts that the common
 runs cover: equal texts 1, texts without a common run 0.  Runs of a span and a few dozen code points are found for sure in
-practice (each span is an anchor with probability 1/4); of an anchor that occurs several times in a text the first place counts.
+practice (each span of a long text is an anchor with probability 1/4).  Of an anchor that occurs several times each place has a partner, and
+on each diagonal a new run is looked for behind every difference.
 The written form is the whole text's hash and length and the ``SKETCH`` smallest mixed hashes of its spans, repeats
 numbered, so equal texts have equal fingerprints, and ``sketch_likeness`` estimates a likeness from that form alone.
 
@@ -32,6 +33,8 @@ from . import common, ordered
 P = (2147483647, 2147483629)  # primes under 2**31
 BASE = (911382323, 972663749)
 SPAN, SHORT, SHORT_SPAN, SKETCH = 12, 64, 3, 64
+#: Beyond each of these lengths of the shorter text anchors are half as many.
+DENSE = (768, 4096)
 _POWERS: dict = {}
 
 
@@ -159,10 +162,10 @@ class Fingerprint:
     def __str__(self) -> str:
         return f"{self.whole:016x}.{self.n:x}." + self.sketch.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 2:].tobytes().hex()
 
-    def anchors(self, width: int) -> tuple[np.ndarray, np.ndarray]:
-        """(hash, position) of the anchors of one width, in order of position."""
+    def anchors(self, width: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        """(hash, position) of the anchors of one width, spans whose mixed hash ends in so many zero bits, in order of position."""
         h = self.hashes if width == min(SPAN, self.n) else self.prefixes.spans(np.arange(self.n - width + 1), width)
-        take = _mix(h) & np.uint64(3) == 0
+        take = _mix(h) & np.uint64((1 << bits) - 1) == 0
         take[0] = True
         at = np.flatnonzero(take)
         return h[at], at
@@ -172,21 +175,20 @@ class Fingerprint:
         if not self.n or not other.n:
             return []
         width = min(span_length(self.n), span_length(other.n))
-        (ha, ia), (hb, ib) = self.anchors(width), other.anchors(width)
-        _, x, y = np.intersect1d(ha, hb, return_indices=True)
-        i, j = ia[x], ib[y]
-        order = np.argsort(i, kind="stable")
+        bits = sum(min(self.n, other.n) > n for n in DENSE)
+        i, j = _paired(*self.anchors(width, bits), *other.anchors(width, bits))
+        order = np.lexsort((i, j - i))
         i, j = i[order], j[order]
-        # of neighbouring anchors on one diagonal the first will reach the others
-        fresh = np.concatenate(([True], np.diff(j - i) != 0)) if len(i) else np.zeros(0, bool)
-        a, b, runs, reached = self.prefixes, other.prefixes, [], {}
-        for p, q in zip(i[fresh].tolist(), j[fresh].tolist()):
-            if p < reached.get(q - p, 0):
-                continue
-            back, ahead = a.common_extension_back(p, b, q), a.common_extension(p, b, q)
-            reached[q - p] = p + ahead
-            if back + ahead >= width:
-                runs.append((p - back, q - back, back + ahead))
+        ends = np.append(np.flatnonzero(np.diff(j - i)) + 1, len(i)).tolist()
+        a, b, runs, at = self.prefixes, other.prefixes, [], 0
+        for end in ends if len(i) else []:  # a diagonal each
+            while at < end:
+                p, q = int(i[at]), int(j[at])
+                back, ahead = a.common_extension_back(p, b, q), a.common_extension(p, b, q)
+                if back + ahead >= width:
+                    runs.append((p - back, q - back, back + ahead))
+                # the anchors that lie in the run are done; behind the difference that ends it another run may begin
+                at += max(1, int(np.searchsorted(i[at:end], p + ahead)))
         return runs
 
     def likeness(self, other: Fingerprint) -> float:
@@ -208,6 +210,19 @@ class Fingerprint:
         return float(2 * j / (1 + j))
 
 
+def _paired(ha: np.ndarray, ia: np.ndarray, hb: np.ndarray, ib: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of shared anchors: each occurrence in either text gets a partner, the k-th the k-th or else the last of the other text."""
+    oa, ob = np.argsort(ha, kind="stable"), np.argsort(hb, kind="stable")
+    va, fa, na = np.unique(ha[oa], return_index=True, return_counts=True)
+    vb, fb, nb = np.unique(hb[ob], return_index=True, return_counts=True)
+    _, x, y = np.intersect1d(va, vb, assume_unique=True, return_indices=True)
+    n = np.maximum(na[x], nb[y])
+    k = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    left = np.repeat(fa[x], n) + np.minimum(k, np.repeat(na[x] - 1, n))
+    right = np.repeat(fb[y], n) + np.minimum(k, np.repeat(nb[y] - 1, n))
+    return ia[oa[left]], ib[ob[right]]
+
+
 def _covered(spans: list[tuple[int, int]]) -> int:
     """Number of places in one span or more."""
     total = end = 0

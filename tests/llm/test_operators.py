@@ -85,6 +85,30 @@ def test_likeness_is_the_share_in_common_runs():
     assert of("aaaa" * 50).likeness(of("aaaa" * 40)) == 320 / 360 and of("abcdefgh").likeness(of("abcdefxy")) == 0.75
 
 
+def test_likeness_after_edits_of_any_kind():
+    """Replaced, inserted, deleted and repeated code points against all pairs of positions."""
+    r = random.Random(21)
+    text = lambda n: "".join(r.choice("abcdefghij klmnop") for _ in range(n))
+    of = lambda t: fingerprints.Fingerprint(fingerprints.codes_of(t))
+    long = text(2000)
+    for at in (0, 100, 1000, 1999):
+        assert of(long).likeness(of(long[:at] + "#" + long[at + 1 :])) >= 0.99
+        assert of(long).likeness(of(long[:at] + "##" + long[at:])) >= 0.99
+    assert of(long).likeness(of(long + long)) == 1 and of(long * 2).likeness(of(long * 3)) == 1
+    for turn in range(12):
+        a = text(600)
+        b = list(a)
+        for _ in range(r.randint(1, 6)):
+            at, kind = r.randrange(len(b)), r.randrange(3)
+            b[at : at + (0 if kind == 0 else 1)] = "#" * (0 if kind == 2 else 1)
+        b = "".join(b)
+        if turn % 3 == 0:
+            b = b[300:] + b[:400]
+        x, y = of(a), of(b)
+        assert x.likeness(y) == pytest.approx(brute_cover(a, b, 12) / (len(a) + len(b)), abs=0.02)
+        assert x.likeness(y) == y.likeness(x)
+
+
 def test_edited_fingerprints_brute(spark, docs, corpus):
     import hashlib
 
