@@ -133,6 +133,29 @@ def test_serving(spark):
     assert spark.sql("select map('a', '', 'b', 'x') m").select(serving.num_fields(F.col("m")).alias("n")).first().n == 1
 
 
+@pytest.mark.parametrize(
+    ("said", "found"),
+    [
+        ('{"a": "1", "b": 2, "c": {"d": ["x", null]}}', {"a": "1", "b": 2, "c": {"d": ["x", None]}}),
+        ("  {}  ", {}),
+        ('```json\n{ "a" : true }\n```', {"a": True}),
+        ('```\n{"a": "1"}', {"a": "1"}),
+        ('well: {"a": "x, y", "b": "{", "c": "br', {"a": "x, y", "b": "{"}),
+        ('{"a": "1", "b": 5, "c": 6', {"a": "1"}),
+        ('{"a": "1", "b": "2"} and more', {"a": "1"}),
+        ('{"a": "\\"", "b": "2", "a": "3", "z', {"a": "3", "b": "2"}),
+        ('{"a": 5, "b": 6', None),
+        ('{"a"', None),
+        ("{1: 2}", None),
+        ("[1, 2]", None),
+        ("", None),
+        (None, None),
+    ],
+)
+def test_salvage(said, found):
+    assert serving._salvage(said) == found
+
+
 def test_rows_geometry_images(spark):
     c = spark.sql("""select array(named_struct('key', 'a"b', 'value', 'é')) c""")
     assert c.select(training_rows.target_json(F.col("c")).alias("j")).first().j == json.dumps({'a"b': "é"}, ensure_ascii=False)
