@@ -97,8 +97,11 @@ class PrefixHash:
 
 
 def _longest(most: int, holds) -> int:
-    """The greatest length up to most that holds, by binary search; all shorter ones hold too."""
-    low, high = 0, most
+    """The greatest length up to most that holds, by doubling steps and then binary search; all shorter ones hold too."""
+    low, step = 0, 4
+    while low + step <= most and holds(low + step):
+        low, step = low + step, 2 * step
+    high = min(most, low + step - 1)
     while low < high:
         mid = (low + high + 1) // 2
         if holds(mid):
@@ -143,11 +146,28 @@ def span_length(n: int) -> int:
     return min(SPAN, max(2, n // 8), n)
 
 
+class Anchors:
+    """Anchors by hash: the distinct values, where in ``places`` the positions of each begin, and how many there are."""
+
+    __slots__ = ("places", "values", "first", "times")
+
+    def __init__(self, h: np.ndarray, at: np.ndarray):
+        order = np.argsort(h)
+        held = h[order]
+        self.places, self.first = at[order], np.flatnonzero(np.concatenate(([True], held[1:] != held[:-1])))
+        self.values, self.times = held[self.first], np.diff(np.append(self.first, len(h)))
+        many = np.repeat(self.times > 1, self.times)
+        if many.any():  # the positions of a repeated hash ascend
+            places, of = self.places[many], np.repeat(np.arange(len(self.times)), self.times)[many]
+            self.places[many] = places[np.lexsort((places, of))]
+
+
 class Fingerprint:
-    __slots__ = ("n", "whole", "sketch", "prefixes", "hashes")
+    __slots__ = ("n", "whole", "sketch", "prefixes", "hashes", "grouped")
 
     def __init__(self, codes: np.ndarray):
         ph = self.prefixes = PrefixHash(codes)
+        self.grouped: dict = {}
         n = self.n = ph.n
         self.whole = ph.span(0, n) if n else 0
         if not n:
@@ -162,13 +182,18 @@ class Fingerprint:
     def __str__(self) -> str:
         return f"{self.whole:016x}.{self.n:x}." + self.sketch.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 2:].tobytes().hex()
 
-    def anchors(self, width: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
-        """(hash, position) of the anchors of one width, spans whose mixed hash ends in so many zero bits, in order of position."""
-        h = self.hashes if width == min(SPAN, self.n) else self.prefixes.spans(np.arange(self.n - width + 1), width)
-        take = _mix(h) & np.uint64((1 << bits) - 1) == 0
-        take[0] = True
-        at = np.flatnonzero(take)
-        return h[at], at
+    def anchors(self, width: int, bits: int) -> Anchors:
+        """The anchors of one width: spans whose mixed hash ends in so many zero bits, and the first; a text is compared more than once."""
+        if (width, bits) not in self.grouped:
+            h = self.hashes if width == min(SPAN, self.n) else self.prefixes.spans(np.arange(self.n - width + 1), width)
+            at = np.arange(len(h))
+            if bits:
+                take = _mix(h) & np.uint64((1 << bits) - 1) == 0
+                take[0] = True
+                at = np.flatnonzero(take)
+                h = h[at]
+            self.grouped[width, bits] = Anchors(h, at)
+        return self.grouped[width, bits]
 
     def common_runs(self, other: Fingerprint) -> list[tuple[int, int, int]]:
         """(start here, start there, length) of common runs: shared anchors, extended both ways."""
@@ -176,7 +201,7 @@ class Fingerprint:
             return []
         width = min(span_length(self.n), span_length(other.n))
         bits = sum(min(self.n, other.n) > n for n in DENSE)
-        i, j = _paired(*self.anchors(width, bits), *other.anchors(width, bits))
+        i, j = _paired(self.anchors(width, bits), other.anchors(width, bits))
         order = np.lexsort((i, j - i))
         i, j = i[order], j[order]
         ends = np.append(np.flatnonzero(np.diff(j - i)) + 1, len(i)).tolist()
@@ -210,17 +235,17 @@ class Fingerprint:
         return float(2 * j / (1 + j))
 
 
-def _paired(ha: np.ndarray, ia: np.ndarray, hb: np.ndarray, ib: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _paired(a: Anchors, b: Anchors) -> tuple[np.ndarray, np.ndarray]:
     """Positions of shared anchors: each occurrence in either text gets a partner, the k-th the k-th or else the last of the other text."""
-    oa, ob = np.argsort(ha, kind="stable"), np.argsort(hb, kind="stable")
-    va, fa, na = np.unique(ha[oa], return_index=True, return_counts=True)
-    vb, fb, nb = np.unique(hb[ob], return_index=True, return_counts=True)
-    _, x, y = np.intersect1d(va, vb, assume_unique=True, return_indices=True)
+    at = np.minimum(np.searchsorted(b.values, a.values), len(b.values) - 1)
+    x = np.flatnonzero(b.values[at] == a.values)
+    y = at[x]
+    na, fa, nb, fb = a.times, a.first, b.times, b.first
     n = np.maximum(na[x], nb[y])
     k = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
     left = np.repeat(fa[x], n) + np.minimum(k, np.repeat(na[x] - 1, n))
     right = np.repeat(fb[y], n) + np.minimum(k, np.repeat(nb[y] - 1, n))
-    return ia[oa[left]], ib[ob[right]]
+    return a.places[left], b.places[right]
 
 
 def _covered(spans: list[tuple[int, int]]) -> int:
