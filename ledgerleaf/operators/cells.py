@@ -29,13 +29,21 @@ def missing(split: DataFrame, preds: DataFrame) -> DataFrame:
     return split.join(preds.select("sample_id").distinct(), "sample_id", "left_anti").select("row_idx", "sample_id", "tier").orderBy("row_idx")
 
 
+def side_by_side(gt: DataFrame, pred: DataFrame) -> DataFrame:
+    """(row_idx, key, gt, pred, has_gt, has_pred): the full outer join of both sides."""
+    there = F.lit(True)
+    gt = gt.select("row_idx", "key", "gt", there.alias("has_gt"))
+    both = gt.join(pred.select("row_idx", "key", "pred", there.alias("has_pred")), ["row_idx", "key"], "full")
+    return both.fillna(False, ["has_gt", "has_pred"])
+
+
 def compare_cells(split: DataFrame, gt: DataFrame, pred: DataFrame) -> DataFrame:
-    """(row_idx, sample_id, tier, key, gt, pred, gt_n, pred_n, exact, norm, region, cls, cer).
+    """(row_idx, sample_id, tier, key, gt, pred, gt_n, pred_n, exact, norm, region, cls, cer, has_gt, has_pred).
 
     split (row_idx, sample_id, tier); gt (row_idx, key, gt); pred (row_idx, key, pred).  A key of one side only
     reads blank on the other; predictions of samples outside the split are left out.
     """
-    both = gt.select("row_idx", "key", "gt").join(pred.select("row_idx", "key", "pred"), ["row_idx", "key"], "full")
+    both = side_by_side(gt, pred)
     return compared(both.join(split.select("row_idx", "sample_id", "tier"), "row_idx"))
 
 
@@ -43,12 +51,15 @@ def compared(both: DataFrame) -> DataFrame:
     """The cell table of rows (row_idx, sample_id, tier, key, gt, pred) that hold both sides.
 
     Type, class and region follow from the key alone: they are found once for a cell, not once for each side, or come with the
-    rows as kind, cls and region.  Sides that are equal as they are need no second comparison.
+    rows as kind, cls and region.  A prediction that equals the truth as it is takes over its normal form.  has_gt and has_pred, which
+    tell a blank side from an absent one, are kept if the rows have them.
     """
     found = {"kind": text.kind_of, "cls": keys.class_of, "region": keys.region_of}
     both = both.withColumns({"gt": text.text("gt"), "pred": text.text("pred"), **{n: f("key") for n, f in found.items() if n not in both.columns}})
-    both = both.withColumns({"gt_n": text.normalize_as("kind", "gt"), "pred_n": text.normalize_as("kind", "pred")})
     exact, cls = F.col("gt") == F.col("pred"), F.col("cls")
+    both = both.withColumns({"exact": exact, "gt_n": text.normalize_as("kind", "gt")})
+    both = both.withColumn("pred_n", F.when(F.col("exact"), F.col("gt_n")).otherwise(text.normalize_as("kind", "pred")))
+    flags = [c for c in ("has_gt", "has_pred") if c in both.columns]
     return both.select(
         "row_idx",
         "sample_id",
@@ -58,12 +69,13 @@ def compared(both: DataFrame) -> DataFrame:
         "pred",
         "gt_n",
         "pred_n",
-        exact.alias("exact"),
-        (exact | (F.col("gt_n") == F.col("pred_n"))).alias("norm"),
+        "exact",
+        (F.col("gt_n") == F.col("pred_n")).alias("norm"),
         "region",
         "cls",
         F.when(
             cls.isin(*keys.CER_CLASSES) & (F.col("gt_n") != ""),
-            F.when(exact, 0.0).otherwise(keys.char_error_rate("pred_n", "gt_n")),
+            F.when(F.col("exact"), 0.0).otherwise(keys.char_error_rate("pred_n", "gt_n")),
         ).alias("cer"),
+        *flags,
     )

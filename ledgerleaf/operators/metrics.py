@@ -64,27 +64,34 @@ def worst_fields(cells: DataFrame, n: int = 15) -> DataFrame:
     return per.orderBy("norm_acc", F.desc("total"), "key").limit(n).select("key", "total", "norm_hits", "norm_acc")
 
 
-def top_misses(cells: DataFrame, fields: int = 5, pairs: int = 5) -> DataFrame:
-    """(key, rank, gt_n, pred_n, misses) of the worst fields; equal counts by first row, then by text.
+def pair_counts(cells: DataFrame, *by: str) -> DataFrame:
+    """(by.., gt_n, pred_n, total, exact_hits, norm_hits, first_row): cells counted by field and miss; the right cells of a field are one row."""
+    miss = ~F.col("norm")
+    pair = [F.when(miss, F.col(c)).alias(c) for c in ("gt_n", "pred_n")]
+    return cells.groupBy(*by, *pair).agg(*_totals(), F.min("row_idx").alias("first_row"))
+
+
+def _field_totals(per: DataFrame, *by: str) -> DataFrame:
+    """Totals of each field from its pair counts.  It asks for every column, so that Spark runs the counts once for both uses."""
+    sums = [F.sum(c).alias(c) for c in ("total", "exact_hits", "norm_hits")]
+    return per.groupBy(*by).agg(*sums, F.min("first_row").alias("first_row"))
+
+
+def ranked_misses(per: DataFrame, pairs: int, *by: str) -> DataFrame:
+    """The ``pairs`` most frequent misses of each field, with rank; equal counts by first row, then by text.
 
-    One pass over the cells: counts by (key, pair), from which both a field's accuracy and the order of its misses follow.  The
-    last ranking is over at most ``pairs`` rows a key.
+    A rank below a limit: every task keeps its own first ``pairs`` rows of a field before they meet, so none sees all misses of a field.
     """
-    per = cells.groupBy("key", "norm", "gt_n", "pred_n").agg(F.count("*").alias("misses"), F.min("row_idx").alias("first_row"))
-    # right pairs are summed up before they meet their field's misses
-    hit = F.col("norm")
-    per = per.groupBy(
-        "key",
-        "norm",
-        F.when(~hit, F.col("gt_n")).alias("gt_n"),
-        F.when(~hit, F.col("pred_n")).alias("pred_n"),
-    ).agg(F.sum("misses").alias("misses"), F.min("first_row").alias("first_row"))
-    field = Window.partitionBy("key")
-    per = per.withColumns({"total": F.sum("misses").over(field), "hits": F.sum(F.when(hit, F.col("misses")).otherwise(0)).over(field)})
-    rank = F.row_number().over(field.orderBy("norm", F.desc("misses"), "first_row", "gt_n", "pred_n"))
-    per = per.withColumn("rank", rank).where(~hit & (F.col("rank") <= pairs))
-    worst = F.dense_rank().over(Window.partitionBy(F.lit(0)).orderBy(F.col("hits") / F.col("total"), F.desc("total"), "key"))
-    return per.withColumn("_worst", worst).where(F.col("_worst") <= fields).select("key", "rank", "gt_n", "pred_n", "misses")
+    place = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("total"), "first_row", "gt_n", "pred_n"))
+    rows = per.where(F.col("norm_hits") == 0).withColumn("rank", place).where(F.col("rank") <= pairs)
+    return rows.select(*by, "rank", "gt_n", "pred_n", F.col("total").alias("misses"))
+
+
+def top_misses(cells: DataFrame, fields: int = 5, pairs: int = 5) -> DataFrame:
+    """(key, rank, gt_n, pred_n, misses) of the worst fields, the rows of which are few and broadcast."""
+    per = pair_counts(cells, "key")
+    worst = _field_totals(per, "key").orderBy(F.col("norm_hits") / F.col("total"), F.desc("total"), "key").limit(fields).select("key")
+    return ranked_misses(per, pairs, "key").join(F.broadcast(worst), "key", "left_semi")
 
 
 def populated_blank(cells: DataFrame, *by: str) -> DataFrame:
@@ -98,11 +105,14 @@ def populated_blank(cells: DataFrame, *by: str) -> DataFrame:
 
 def tier_populated(cells: DataFrame) -> DataFrame:
     """(tier, total, exact_acc, norm_acc) over populated cells."""
-    return cells.where("gt_n <> ''").groupBy("tier").agg(
-        F.count("*").alias("total"),
-        F.avg(F.col("exact").cast("int")).alias("exact_acc"),
-        F.avg(F.col("norm").cast("int")).alias("norm_acc"),
+    # conditions in place of a filter, which would normalise every value a second time
+    full = F.col("gt_n") != ""
+    per = cells.groupBy("tier").agg(
+        F.count_if(full).alias("total"),
+        F.avg(F.when(full, F.col("exact").cast("int"))).alias("exact_acc"),
+        F.avg(F.when(full, F.col("norm").cast("int"))).alias("norm_acc"),
     )
+    return per.where("total > 0")
 
 
 def _dimension(df: DataFrame, name: str, values) -> DataFrame:
@@ -133,8 +143,8 @@ def error_rates(cells: DataFrame) -> DataFrame:
     # no filter on the rate: it would be computed a second time for it
     per = cells.groupBy("cls").agg(F.count("cer").alias("n"), F.sum("cer").alias("s"))
     some = F.broadcast(_dimension(cells, "cls", keys.CER_CLASSES)).join(per, "cls", "left").fillna(0, ["n", "s"])
-    every = some.agg(F.lit("overall").alias("cls"), F.sum("n").alias("n"), F.sum("s").alias("s"))
-    return some.select("cls", "n", "s").unionByName(every).select("cls", "n", _rate(F.col("s"), F.col("n")).alias("mean_cer"))
+    sets = some.rollup("cls").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))  # a row a class, and one of all
+    return sets.select(F.coalesce("cls", F.lit("overall")).alias("cls"), F.coalesce("n", F.lit(0)).alias("n"), _rate(F.col("s"), F.col("n")).alias("mean_cer"))
 
 
 def validity(split: DataFrame, expected: DataFrame, outputs: DataFrame) -> DataFrame:
@@ -159,6 +169,32 @@ def validity(split: DataFrame, expected: DataFrame, outputs: DataFrame) -> DataF
     )
 
 
+def cell_validity(split: DataFrame, cells: DataFrame, outputs: DataFrame) -> DataFrame:
+    """``validity`` from the cell table: expected are a sample's keys that the truth has, found those of them that its prediction has.
+
+    outputs (sample_id, parse_ok); an output that does not parse has no keys.
+    """
+    has = F.col("has_gt")
+    per = cells.groupBy("row_idx").agg(F.count_if(has).alias("want"), F.count_if(has & F.col("has_pred")).alias("got"))
+    rows = split.select("row_idx", "sample_id").join(per, "row_idx", "left").join(outputs.select("sample_id", "parse_ok"), "sample_id", "left")
+    rows = rows.fillna(0, ["want", "got"]).select(
+        F.col("parse_ok").isNotNull().alias("said"),
+        F.coalesce("parse_ok", F.lit(False)).alias("ok"),
+        "want",
+        F.when(F.coalesce("parse_ok", F.lit(False)), F.col("got")).otherwise(0).alias("got"),
+    )
+    whole = F.col("said") & (F.col("got") == F.col("want"))
+    cover = F.when(~F.col("said"), 0.0).when(F.col("want") > 0, F.col("got") / F.col("want")).otherwise(1.0)
+    one = lambda c: F.coalesce(F.avg(c), F.lit(0.0))
+    return rows.agg(
+        F.count("*").alias("samples"),
+        one(F.col("ok").cast("int")).alias("parse_rate"),
+        one(whole.cast("int")).alias("has_expected_keys_rate"),
+        one((F.col("ok") & whole).cast("int")).alias("valid_rate"),
+        one(cover).alias("mean_key_coverage"),
+    )
+
+
 def tier_order(seen: DataFrame) -> DataFrame:
     """(tier, position): the known tiers in their order, others after them by first row; seen (row_idx, tier)."""
     known = _dimension(seen, "tier", keys.TIERS)

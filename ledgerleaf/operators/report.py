@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from ..functions import keys
 from . import metrics
@@ -41,27 +40,20 @@ def tier_table(split: DataFrame, cells: DataFrame, preds: DataFrame | None = Non
 
 def field_report(cells: DataFrame, pairs: int = 10) -> DataFrame:
     """(tier, key, total, exact_hits, norm_hits, exact_acc, norm_acc, top_misses): each field of each tier and of all (tier
-    null) with its most frequent misses as a list of (gt, pred, count); one pass over the cells."""
-    per = cells.groupBy("tier", "key", "exact", "norm", "gt_n", "pred_n").agg(F.count("*").alias("n"), F.min("row_idx").alias("first_row"))
-    both = per.unionByName(per.withColumn("tier", F.lit(None).cast("string")))
-    both = both.groupBy("tier", "key", "gt_n", "pred_n", "norm").agg(
-        F.sum("n").alias("n"),
-        F.sum(F.when(F.col("exact"), F.col("n")).otherwise(0)).alias("e"),
-        F.min("first_row").alias("first_row"),
-    )
-    field = Window.partitionBy("tier", "key")
-    rank = F.row_number().over(field.orderBy("norm", F.desc("n"), "first_row", "gt_n", "pred_n"))
-    totals = {
-        "total": F.sum("n").over(field),
-        "exact_hits": F.sum("e").over(field),
-        "norm_hits": F.sum(F.when(F.col("norm"), F.col("n")).otherwise(0)).over(field),
-    }
-    rows = both.withColumns({**totals, "rank": rank}).where((F.col("rank") <= pairs) | F.col("norm"))
-    miss = F.when(
-        ~F.col("norm") & (F.col("rank") <= pairs),
-        F.struct("rank", F.col("gt_n").alias("gt"), F.col("pred_n").alias("pred"), F.col("n").alias("count")),
-    )
-    out = rows.groupBy("tier", "key", "total", "exact_hits", "norm_hits").agg(F.array_sort(F.collect_list(miss)).alias("x"))
+    null) with its most frequent misses as a list of (gt, pred, count); one pass over the cells.
+
+    Misses are counted by tier, added up over tiers, and ranked within a limit: what meets in one task is ``pairs`` rows of each other task.
+    """
+    per = metrics.pair_counts(cells, "tier", "key")
+    counts = [F.sum(c).alias(c) for c in ("total", "exact_hits", "norm_hits")]
+    every = per.groupBy("key", "gt_n", "pred_n").agg(*counts, F.min("first_row").alias("first_row"))
+    both = per.unionByName(every.withColumn("tier", F.lit(None).cast("string")))
+    totals = metrics._field_totals(both, "tier", "key")
+    miss = F.struct("rank", F.col("gt_n").alias("gt"), F.col("pred_n").alias("pred"), F.col("misses").alias("count"))
+    lists = metrics.ranked_misses(both, pairs, "tier", "key").groupBy("tier", "key").agg(F.array_sort(F.collect_list(miss)).alias("x"))
+    lists = lists.select(F.col("tier").alias("_t"), F.col("key").alias("_k"), "x")
+    out = totals.join(lists, F.col("tier").eqNullSafe(F.col("_t")) & (F.col("key") == F.col("_k")), "left")
+    none = F.array().cast("array<struct<gt:string,pred:string,count:bigint>>")
     misses = F.transform("x", lambda y: F.struct(y["gt"].alias("gt"), y["pred"].alias("pred"), y["count"].alias("count")))
     return out.select(
         "tier",
@@ -71,7 +63,7 @@ def field_report(cells: DataFrame, pairs: int = 10) -> DataFrame:
         "norm_hits",
         (F.col("exact_hits") / F.col("total")).alias("exact_acc"),
         (F.col("norm_hits") / F.col("total")).alias("norm_acc"),
-        misses.alias("top_misses"),
+        F.coalesce(misses, none).alias("top_misses"),
     )
 
 

@@ -136,90 +136,78 @@ class Claims:
     def line(self) -> DataFrame:
         return self._of("line")
 
-    @property
-    def rows(self) -> DataFrame:
-        """(row_idx, cells): a row a claim, with its cells (pos, key, gt, kind, cls, region) as an array.
+    def cells(self, *fields: str, extra: bool = False) -> DataFrame:
+        """(row_idx, fields..): the cells of all claims; fields are of pos, key, gt, kind, cls and region.
 
-        The first six line items of an order: an order's items are few, so they are gathered and sorted in its row.
+        The first six line items of an order meet their claim in one join, and each row of it is unrolled by literal keys: type, class and region
+        of a key are found when the plan is built, fields not asked for are not made.  The first row of a claim has its header cells too,
+        and with ``extra`` a cell of a key that the form does not have (position 99, in every eleventh claim).
         """
-        order = ("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
-        values = F.array(*(F.expr(v).cast("string") for _, _, v in LINE)).alias("values")
-        items = table(self.spark, self.sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.slice(
-            F.array_sort(F.collect_list(F.struct(*order, values))),
-            1,
-            6,
-        ).alias("items"))
 
         def cell(pos, key, value, example: str) -> F.Column:
-            # type, class and region of a key are the same for every row: literals that the optimizer folds
             of = F.lit(example)
-            return F.struct(
-                pos.cast("int").alias("pos"),
-                key.alias("key"),
-                value.alias("gt"),
-                text.kind_of(of).alias("kind"),
-                keys.class_of(of).alias("cls"),
-                keys.region_of(of).alias("region"),
-            )
-
-        def of_item(x, i):
-            named = ((p, f"].{name}", n) for n, (p, name, _) in enumerate(LINE))
-            return F.array(*(cell(20 + 10 * i + p, F.concat(F.lit("box_24_service_lines["), i.cast("string"), F.lit(end)), x["values"][n], f"box_24_service_lines[0{end}") for p, end, n in named))
-
-        header = F.array(*(cell(F.lit(p), F.lit(key), F.expr(v).cast("string"), key) for p, key, v in HEADER))
-        claims = self.claim.join(items, "k", "left")
-        lines = F.flatten(F.transform("items", of_item))
-        return claims.select(F.col("k").alias("row_idx"), F.concat(header, F.coalesce(lines, F.slice(header, 1, 0))).alias("cells"))
-
-    def _extra(self, when: str, value: str) -> F.Column:
-        """A cell of a key that the form does not have, in claims that fulfil a condition."""
-        key = F.lit("box_99_unknown")
-        one = F.struct(
-            F.lit(99).alias("pos"),
-            key.alias("key"),
-            F.lit(value).alias("gt"),
-            text.kind_of(key).alias("kind"),
-            keys.class_of(key).alias("cls"),
-            keys.region_of(key).alias("region"),
-        )
-        return F.when(F.expr(when), F.array(one)).otherwise(F.slice("cells", 1, 0))
+            made = {
+                "pos": lambda: pos.cast("int"),
+                "key": lambda: key,
+                "gt": lambda: value,
+                "kind": lambda: text.kind_of(of),
+                "cls": lambda: keys.class_of(of),
+                "region": lambda: keys.region_of(of),
+            }
+            return F.struct(*(made[f]().alias(f) for f in fields))
+
+        def of_item(p: int, name: str, value: str) -> F.Column:
+            i, end = F.col("i"), f"].{name}"
+            return cell(20 + 10 * i + p, F.concat(F.lit("box_24_service_lines["), i.cast("string"), F.lit(end)), F.expr(value).cast("string"), f"box_24_service_lines[0{end}")
+
+        header = [cell(F.lit(p), F.lit(key), F.expr(v).cast("string"), key) for p, key, v in HEADER]
+        odd = cell(F.lit(99), F.lit("box_99_unknown"), F.lit("x"), "box_99_unknown")
+        lines = F.array(*(of_item(p, name, v) for p, name, v in LINE))
+        none = F.slice(lines, 1, 0)
+        first = F.coalesce(F.col("i") == 0, F.lit(True))
+        parts = [F.when(first, F.array(*header)).otherwise(none), F.when(F.col("i").isNotNull(), lines).otherwise(none)]
+        if extra:
+            parts.append(F.when(first & F.expr("k % 11 = 0"), F.array(odd)).otherwise(none))
+        return self.claim.join(self.line, "k", "left").select(F.col("k").alias("row_idx"), F.inline(F.concat(*parts)))
+
+    @property
+    def rows(self) -> DataFrame:
+        """(row_idx, cells): a row a claim, with its cells (pos, key, gt) as an array in order; a claim's cells are few."""
+        per = self.cells("pos", "key", "gt").groupBy("row_idx").agg(F.array_sort(F.collect_list(F.struct("pos", "key", "gt"))).alias("cells"))
+        return per
 
     @property
     def gt(self) -> DataFrame:
-        return self.rows.select("row_idx", F.inline("cells")).select("row_idx", "pos", "key", "gt")
+        return self.cells("pos", "key", "gt")
 
     @property
     def pred(self) -> DataFrame:
         """Predictions by the claim's row: its cells spoilt, and a key that the form does not have."""
-        extra = self._extra("row_idx % 11 = 0", "x")
-        cells = self.rows.where("row_idx % 23 <> 0").select("row_idx", F.inline(F.concat("cells", extra)))
-        return cells.where(f"pos = 99 OR {BUCKET} >= 4").select(
-            "row_idx",
-            "pos",
-            "key",
-            F.expr(f"CASE WHEN pos = 99 THEN gt ELSE {SPOILT} END").alias("pred"),
-        )
+        cells = self.cells("pos", "key", "gt", extra=True).where(f"row_idx % 23 <> 0 AND (pos = 99 OR {BUCKET} >= 4)")
+        return cells.select("row_idx", "pos", "key", F.expr(f"CASE WHEN pos = 99 THEN gt ELSE {SPOILT} END").alias("pred"))
 
     @property
     def both(self) -> DataFrame:
-        """(row_idx, sample_id, tier, key, gt, pred, kind, cls, region): truth and prediction of each key from one pass over the tables.
+        """(row_idx, sample_id, tier, key, gt, pred, kind, cls, region, has_gt, has_pred): truth and prediction of each key from one pass
+        over the tables.
 
         Predictions follow from the truth row by row here, so no join is needed to put them side by side; ``compare_cells`` is
         the operator for sides that are apart.
         """
-        extra = self._extra("row_idx % 11 = 0 AND row_idx % 23 <> 0", "")
-        cells = self.rows.select("row_idx", F.expr(TIER.format(k="row_idx")).alias("tier"), F.inline(F.concat("cells", extra)))
+        cells = self.cells("pos", "key", "gt", "kind", "cls", "region", extra=True).where("pos <> 99 OR row_idx % 23 <> 0")
         pred = F.expr(f"CASE WHEN pos = 99 THEN 'x' WHEN row_idx % 23 = 0 OR {BUCKET} < 4 THEN '' ELSE {SPOILT} END")
         return cells.select(
             "row_idx",
             F.col("row_idx").cast("string").alias("sample_id"),
-            "tier",
+            F.expr(TIER.format(k="row_idx")).alias("tier"),
             "key",
-            "gt",
+            F.expr("CASE WHEN pos = 99 THEN '' ELSE gt END").alias("gt"),
             pred.alias("pred"),
             "kind",
             "cls",
             "region",
+            F.expr("pos <> 99").alias("has_gt"),
+            F.expr(f"row_idx % 23 <> 0 AND (pos = 99 OR {BUCKET} >= 4)").alias("has_pred"),
         )
 
     @property

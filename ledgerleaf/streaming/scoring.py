@@ -1,11 +1,22 @@
-"""Streaming scorer (an addition): predictions arrive as JSON lines and are held against static ground truth."""
+"""Streaming scorer (an addition): predictions arrive as JSON lines and are held against static ground truth.
+
+``running_accuracy`` counts each sample's first prediction within a watermark, all in Spark's own state.  ``last_wins`` follows the rule of the
+batch reader instead: of a sample's predictions the latest holds, in whatever order they arrive.  Its state is the prediction that holds now; when a
+later one comes the earlier is retracted, a row of sign -1, before the later is given, a row of sign 1.  Sums over signed rows are thus
+right after every batch, and equal the batch result on the predictions seen so far.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions import text
+from ..sources import files
 
 PREDICTION = "sample_id string, fields map<string,string>, at timestamp"
 
@@ -21,12 +32,82 @@ def running_accuracy(preds: DataFrame, split: DataFrame, gt: DataFrame, delay: s
     both dropped behind the watermark.
     """
     once = preds.withWatermark("at", delay).dropDuplicatesWithinWatermark(["sample_id"])
-    truth = gt.join(split.select("row_idx", "sample_id", "tier"), "row_idx").withColumn("gt_n", text.normalize("key", "gt"))
-    truth = truth.where("gt_n <> ''").select("sample_id", "tier", "key", "gt_n")
-    cells = once.join(truth, "sample_id").withColumn("pred", F.try_element_at("fields", F.col("key")))
+    cells = once.join(_truth(split, gt), "sample_id").withColumn("pred", F.try_element_at("fields", F.col("key")))
     hit = text.normalize("key", "pred") == F.col("gt_n")
     return cells.groupBy(F.window("at", window), "tier").agg(F.count("*").alias("total"), F.sum(hit.cast("int")).alias("norm_hits"))
 
 
+def _truth(split: DataFrame, gt: DataFrame) -> DataFrame:
+    """(sample_id, tier, key, gt_n) of the populated cells."""
+    truth = gt.join(split.select("row_idx", "sample_id", "tier"), "row_idx").withColumn("gt_n", text.normalize("key", "gt"))
+    return truth.where("gt_n <> ''").select("sample_id", "tier", "key", "gt_n")
+
+
 def start(scores: DataFrame, path: str, checkpoint: str, **trigger):
     return scores.writeStream.outputMode("append").format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
+
+# ---------------------------------------------------------------- the latest prediction holds
+SIGNED = "sample_id string, fields string, sign int"
+HELD = "at long, fields string"
+
+
+def _latest(keep_micros: int | None):
+    def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        held = tuple(state.get) if state.exists else None
+        best = held
+        for frame in frames:
+            rows = zip(frame["micros"].tolist(), frame["fields"].tolist())
+            best = max([r for r in (best, *rows) if r is not None])
+        if best != held:
+            state.update(best)
+            if keep_micros is not None:
+                state.setTimeoutTimestamp(max(best[0] + keep_micros, state.getCurrentWatermarkMs() * 1000 + 1000) // 1000)
+            out = [(key[0], held[1], -1)] if held else []
+            yield pd.DataFrame([*out, (key[0], best[1], 1)], columns=["sample_id", "fields", "sign"])
+
+    return run
+
+
+def last_wins(preds: DataFrame, keep: str | None = None) -> DataFrame:
+    """(sample_id, fields, sign): changes of each sample's latest prediction; fields are JSON, sign -1 takes back what was given before.
+
+    The latest is that of the greatest ``at``, among equal ones of the greatest text, so the order of arrival does not matter; rows without
+    a sample or a time are left out, a repeated prediction changes nothing.  ``keep``, an interval such as '1 hour', is the watermark: what is
+    later than that is dropped, and a sample's state goes when the watermark has passed its prediction by as much again.  Without it state stays.
+    """
+    rows = preds.where("sample_id is not null and at is not null")
+    micros, interval = F.unix_micros("at").alias("micros"), None
+    if keep is not None:
+        rows = rows.withWatermark("at", keep)
+        interval = int(pd.Timedelta(keep).total_seconds() * 1_000_000)
+    fields = F.to_json(F.coalesce("fields", F.create_map().cast("map<string,string>"))).alias("fields")
+    rows = rows.select("sample_id", "at", micros, fields)
+    timeout = GroupStateTimeout.NoTimeout if keep is None else GroupStateTimeout.EventTimeTimeout
+    return rows.groupBy("sample_id").applyInPandasWithState(_latest(interval), SIGNED, HELD, "update", timeout)
+
+
+def score_changes(changes: DataFrame, split: DataFrame, gt: DataFrame) -> DataFrame:
+    """(tier, total, norm_hits) that a batch of changes adds to or takes from the scores."""
+    cells = changes.withColumn("fields", F.from_json("fields", "map<string,string>")).join(_truth(split, gt), "sample_id")
+    hit = text.normalize("key", F.try_element_at("fields", F.col("key"))) == F.col("gt_n")
+    return cells.groupBy("tier").agg(F.sum("sign").cast("long").alias("total"), F.sum(F.when(hit, F.col("sign")).otherwise(0)).cast("long").alias("norm_hits"))
+
+
+def start_last_wins(preds: DataFrame, split: DataFrame, gt: DataFrame, path: str, checkpoint: str, keep: str | None = None, **trigger):
+    """Starts the scorer: every batch appends the changes of its scores below path, once, however often the batch is run."""
+
+    def add(changes: DataFrame, batch: int) -> None:
+        files.append_once(score_changes(changes, split, gt), path, str(batch), form="parquet")
+
+    stream = last_wins(preds, keep).writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+    return stream.foreachBatch(add).trigger(**(trigger or {"availableNow": True})).start()
+
+
+def scores(spark: SparkSession, path: str) -> DataFrame:
+    """(tier, total, norm_hits) of the samples' latest predictions so far."""
+    rows = files.read_appended(spark, path, "parquet", "tier string, total long, norm_hits long")
+    return rows.groupBy("tier").agg(F.sum("total").alias("total"), F.sum("norm_hits").alias("norm_hits")).where("total <> 0")

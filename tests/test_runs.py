@@ -1,6 +1,7 @@
 """Reports, ordered sources, data set rules, code sets and generator weights."""
 
 import json
+import random
 from collections import Counter
 
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerleaf.functions import forms, keys, text
 from ledgerleaf.operators import cells, codes, flatten, geometry, images, metrics, report, serving, splits, synth, training_rows, validators
 from ledgerleaf.sources import files
+from ledgerleaf.streaming import scoring
 
 
 @pytest.fixture
@@ -89,7 +91,12 @@ def test_split_manifest_and_artefacts(spark, tmp_path):
     }) + "\n" for i in range(60)))
     rows = files.split_manifest(spark, str(tmp_path / "m.jsonl"), str(tmp_path / "out")).collect()
     assert Counter((r.tier, r.split) for r in rows) == {(t, s): n for t in ("fax", "worst") for s, n in (("train", 24), ("val", 3), ("test", 3))}
-    assert spark.read.json(str(tmp_path / "out")).count() == 60
+    back = files.read_dataset_splits(spark, str(tmp_path / "out")).collect()
+    assert sorted((r.sample_id, r.split, r.image) for r in back) == sorted((r.sample_id, r.split, r.image) for r in rows)
+    order = [int(r.sample_id) for r in sorted(back, key=lambda r: r.row_idx) if r.split == "train"]
+    assert order == sorted(order)  # a split keeps the manifest's order
+    assert files.split_manifest(spark, str(tmp_path / "m.jsonl"), str(tmp_path / "out")).count() == 60  # and is replaced by a rerun
+    assert files.read_dataset_splits(spark, str(tmp_path / "out")).count() == 60
     (tmp_path / "x").mkdir()
     for i in range(4):
         for end in ("png", "json"):
@@ -203,3 +210,64 @@ def test_pointed_codes_and_restyled_dates(spark):
 def test_first_keys_of_a_few_rows(spark):
     gt = spark.createDataFrame([(0, 0, "a"), (5, 0, "late")], "row_idx long, pos int, key string")
     assert [r.key for r in splits.canonical_keys(gt, 3).collect()] == ["a"]
+
+
+# ---------------------------------------------------------------- streams
+def _predictions(folder, rows, parts):
+    folder.mkdir(exist_ok=True)
+    for k in range(parts):
+        (folder / f"{k}.json").write_text("".join(json.dumps(r) + "\n" for r in rows[k::parts]))
+
+
+def test_stream_last_wins(spark, tmp_path):
+    """Shuffled and repeated predictions, over several batches and a restart, give the batch result of the latest of each sample."""
+    r = random.Random(3)
+    split = spark.createDataFrame([(i, f"s{i}", ("fax", "worst")[i % 2]) for i in range(40)], "row_idx long, sample_id string, tier string")
+    gt = spark.createDataFrame([(i, k, v) for i in range(40) for k, v in (("a_date", "01/02/2020"), ("x.npi", str(i)), ("blank", ""))], "row_idx long, key string, gt string")
+    said = []
+    for i in range(30):
+        for turn in range(r.randint(1, 4)):
+            fields = {"a_date": r.choice(["2020-1-2", "1/2/2020", "no"]), "x.npi": r.choice([str(i), "0"])}
+            said.append({"sample_id": f"s{i}", "fields": r.choice([fields, None, {}]), "at": f"2024-01-0{r.randint(1, 3)}T00:00:0{turn}.{i:06d}Z"})
+    said += [{"sample_id": "unknown", "fields": {"a_date": "x"}, "at": "2024-01-01T00:00:00Z"}, {"sample_id": None, "at": "2024-01-01T00:00:00Z"}, {"sample_id": "s1", "fields": {}}]
+    said += said[::3]
+    r.shuffle(said)
+    last = {}
+    for x in said:
+        if x["sample_id"] and x.get("at"):
+            key = (x["at"], json.dumps(x["fields"] or {}, separators=(",", ":")))
+            last[x["sample_id"]] = max(last.get(x["sample_id"], key), key)
+    want = Counter()
+    for i in range(40):
+        if f"s{i}" in last:
+            fields = json.loads(last[f"s{i}"][1])
+            want[("fax", "worst")[i % 2], "total"] += 2
+            want[("fax", "worst")[i % 2], "hits"] += (fields.get("a_date") in ("2020-1-2", "1/2/2020")) + (fields.get("x.npi") == str(i))
+
+    def got():
+        return Counter({(x.tier, n): v for x in scoring.scores(spark, f"{tmp_path}/out").collect() for n, v in (("total", x.total), ("hits", x.norm_hits))})
+
+    half = len(said) // 2
+    for part, rows in (("a", said[:half]), ("b", said[half:])):
+        folder = tmp_path / "in"
+        _predictions(folder, rows, 3) if part == "a" else [(folder / f"b{k}.json").write_text("".join(json.dumps(x) + "\n" for x in rows[k::2])) for k in range(2)]
+        stream = scoring.start_last_wins(scoring.read_predictions(spark, str(folder), 1), split, gt, f"{tmp_path}/out", f"{tmp_path}/cp")
+        assert stream.awaitTermination(180) and stream.exception() is None
+    assert got() == want
+    assert scoring.scores(spark, f"{tmp_path}/none").collect() == []
+    # a batch that is run again adds nothing
+    assert not files.append_once(spark.sql("select 'fax' tier, 1L total, 1L norm_hits"), f"{tmp_path}/out", "0", form="parquet")
+    assert got() == want
+
+
+def test_stream_state_goes_behind_the_watermark(spark, tmp_path):
+    """Late predictions are dropped, and a sample whose state has gone counts anew."""
+    rows = ["2024-01-01T00:00:00Z", "2024-01-02T00:00:00Z", "2024-01-01T00:30:00Z", "2024-01-03T00:00:00Z", "2024-01-04T00:00:00Z"]
+    (tmp_path / "in").mkdir()
+    seen = []
+    for i, at in enumerate(rows):
+        (tmp_path / "in" / f"{i}.json").write_text(json.dumps({"sample_id": "s" if i in (0, 2) else f"t{i}", "fields": {"a": str(i)}, "at": at}) + "\n")
+        stream = scoring.last_wins(scoring.read_predictions(spark, str(tmp_path / "in"), 1), "1 hour").writeStream.outputMode("update").option("checkpointLocation", f"{tmp_path}/cp")
+        q = stream.foreachBatch(lambda df, _: seen.extend(tuple(r) for r in df.collect())).trigger(availableNow=True).start()
+        assert q.awaitTermination(120) and q.exception() is None
+    assert ("s", '{"a":"0"}', 1) in seen and not [x for x in seen if x[0] == "s" and x[1] == '{"a":"2"}'] and not [x for x in seen if x[2] < 0]
