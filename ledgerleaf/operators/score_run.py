@@ -96,7 +96,7 @@ def start(split: DataFrame, both: DataFrame, outputs: DataFrame, path: str, mode
         F.count("*").alias("cells"),
         F.count_if("exact").alias("exact"),
         F.count_if("norm").alias("norm"),
-        F.count_if("has_gt and has_pred").alias("both_sides"),
+        F.count_if(F.col("has_gt") & F.col("has_pred")).alias("both_sides"),
     )
     cells.write.mode("overwrite").parquet(f"{path}/cells")
     asked = Observation("samples")

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from ..functions import forms, keys, text
 from ..operators import cells as cell_ops
-from ..operators import codes, flatten, geometry, metrics, report, serving, splits, synth, training_rows, validators
-from ..sources import files
+from ..operators import codes, flatten, geometry, metrics, report, score_run, serving, splits, synth, training_rows, validators
+from ..sources import cell_store, files
+from ..streaming import scoring
 from . import claims
 from .claims import Claims, table, with_cells
 
@@ -277,6 +278,87 @@ def model_fields(spark, sf_dir):
     )
 
 
+# ---------------------------------------------------------------- runs from end to end
+_LONG = "CAST({} AS VARCHAR) AS tier, CAST({} AS VARCHAR) AS name, '{}' AS metric, round(CAST({} AS DOUBLE), 6) AS value"
+
+
+def _long_sql(part: str, tier: str, name: str, values: dict[str, str], source: str) -> str:
+    return " UNION ALL ".join(f"SELECT '{part}' AS part, {_LONG.format(tier, name, m, v)} FROM {source}" for m, v in values.items())
+
+
+def _long(part: str, df: DataFrame, tier: str | None, name: str | None, *values: str) -> DataFrame:
+    """A table of a run as rows (part, tier, name, metric, value)."""
+    metric = F.inline(F.array(*(F.struct(F.lit(v).alias("metric"), F.round(F.col(v).cast("double"), 6).alias("value")) for v in values)))
+    of = lambda c: (F.col(c) if c else F.lit(None)).cast("string")
+    return df.select(F.lit(part).alias("part"), of(tier).alias("tier"), of(name).alias("name"), metric)
+
+
+_HITS = "count(*) AS total, count_if(exact) AS exact_hits, count_if(norm) AS norm_hits"
+_RUN_SQL = [
+    _long_sql("fields", "tier", "key", {"total": "total", "exact_hits": "exact_hits", "norm_hits": "norm_hits"}, f"(SELECT tier, key, {_HITS} FROM cells GROUP BY GROUPING SETS ((tier, key), (key)))"),
+    _long_sql("tiers", "tier", "NULL", {"docs": "docs", "all_correct": "r", "mean_field_acc": "m"}, "(SELECT tier, count(*) AS docs, avg(CAST(all_right AS INT)) AS r, avg(a) AS m FROM acc WHERE row_idx % 23 <> 0 GROUP BY ROLLUP (tier))"),
+    _long_sql("worst", "NULL", "key", {"norm_acc": "norm_acc"}, f"({_WORST} LIMIT 15)"),
+    _long_sql("tier_populated", "tier", "NULL", {"total": "total", "norm_acc": "norm_acc"}, f"(SELECT tier, {_ACC} FROM cells WHERE gt_n <> '' GROUP BY tier)"),
+    _long_sql("populated", "NULL", "populated", {"total": "total", "exact_acc": "exact_acc"}, f"(SELECT gt_n <> '' AS populated, {_ACC} FROM cells GROUP BY 1)"),
+    _long_sql("error_rates", "NULL", "cls", {"n": "n", "mean_cer": "m"}, "(SELECT cls, count(cer) AS n, avg(cer) AS m FROM cells WHERE cls IN ('codes', 'money', 'npis') GROUP BY cls)"),
+    _long_sql("validity", "NULL", "NULL", {"samples": "count(*)", "parse_rate": "avg(CAST(ok AS INT))", "valid_rate": "avg(CAST(ok AND got = want AS INT))", "mean_key_coverage": "avg(CAST(got AS DOUBLE) / want)"}, "vw"),
+    _long_sql("missing", "tier", "sample_id", {"row_idx": "row_idx"}, "split WHERE row_idx % 23 = 0"),
+]
+
+
+@query("score_run", claims.o_cells(f", {_DOCS}, {_VALID} {' UNION ALL '.join(_RUN_SQL)}"))
+def scored_run(spark, sf_dir):
+    """A run written once and read for every table: the tables of a run as one."""
+    c = Claims(spark, sf_dir)
+    run = score_run.start(c.split, c.both, _outputs(c.split), _scratch(spark, "run"), "base")
+    t = run.tables()
+    parts = [
+        _long("fields", t["fields"], "tier", "key", "total", "exact_hits", "norm_hits"),
+        _long("tiers", t["tiers"], "tier", None, "docs", "all_correct", "mean_field_acc"),
+        _long("worst", t["worst"], None, "key", "norm_acc"),
+        _long("tier_populated", t["tier_populated"], "tier", None, "total", "norm_acc"),
+        _long("populated", t["populated"], None, "populated", "total", "exact_acc"),
+        _long("error_rates", t["error_rates"].where("cls <> 'overall' and n > 0"), None, "cls", "n", "mean_cer"),
+        _long("validity", t["validity"], None, None, "samples", "parse_rate", "valid_rate", "mean_key_coverage"),
+        _long("missing", t["missing"], "tier", "sample_id", "row_idx"),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query("cell_join_bucketed", claims.o_cells("SELECT row_idx, sample_id, tier, key, gt_n, pred_n, exact, norm FROM cells"))
+def cell_join_bucketed(spark, sf_dir):
+    """Truth and predictions written in buckets of their cells, and joined bucket by bucket."""
+    c = Claims(spark, sf_dir)
+    path = _scratch(spark, "store")
+    store = cell_store.CellStore(spark, path, path.rsplit("/", 1)[-1].replace("-", "_"), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    store.put_truth(c.split, c.gt)
+    store.put_predictions("base", c.split, c.pred)
+    return store.cells("base").select("row_idx", "sample_id", "tier", "key", "gt_n", "pred_n", "exact", "norm")
+
+
+@query("stream_last_wins", claims.o_cells("SELECT tier, count(*) AS total, CAST(count_if(norm) AS BIGINT) AS norm_hits FROM cells WHERE gt_n <> '' AND row_idx % 23 <> 0 GROUP BY tier"))
+def stream_last_wins(spark, sf_dir):
+    """Every sample's prediction comes twice, first empty and then whole, some again and out of order; the stream's sums hold the whole ones."""
+    c = Claims(spark, sf_dir)
+    path = _scratch(spark, "stream")
+    at = F.timestamp_seconds(F.col("sample_id").cast("long"))
+    whole = c.predictions.select("sample_id", "fields", at.alias("at"), F.lit(1).alias("turn"))
+    first = whole.withColumns({"fields": F.create_map(F.lit("box_2_patient_name.last"), F.lit("?")), "at": F.col("at") - F.expr("INTERVAL 1 SECOND"), "turn": F.lit(0)})
+    said = whole.unionByName(first).unionByName(first.where("sample_id % 3 = 0"))
+    files_of = said.repartition(4, F.xxhash64("sample_id", "turn"))
+    files_of.select("sample_id", "fields", "at").write.json(f"{path}/in")
+    # truth is read by every batch: it is written once
+    c.gt.join(c.split, "row_idx").select("row_idx", "sample_id", "tier", "key", "gt").write.parquet(f"{path}/truth")
+    truth = spark.read.parquet(f"{path}/truth")
+    split = truth.select("row_idx", "sample_id", "tier").distinct()
+    stream = scoring.start_last_wins(scoring.read_predictions(spark, f"{path}/in", 2), split, truth.select("row_idx", "key", "gt"), f"{path}/out", f"{path}/checkpoint")
+    stream.awaitTermination()
+    return scoring.scores(spark, f"{path}/out")
+
+
 # ---------------------------------------------------------------- normalisers
 _RAW = "SELECT o_orderkey AS k, CASE o_orderkey % 5 WHEN 0 THEN {a} WHEN 1 THEN {b} WHEN 2 THEN {c} WHEN 3 THEN {d} ELSE {e} END AS v FROM orders"
 _VALUES = {
@@ -397,6 +479,37 @@ def unflatten_lines(spark, sf_dir):
     )
 
 
+@query("props_round_trip", "SELECT event_id, 0 AS pos, 'k' AS key, json_extract_string(props, '$.k') AS value, concat('{\"k\":\"', json_extract_string(props, '$.k'), '\"}') AS doc FROM events")
+def props_round_trip(spark, sf_dir):
+    """Properties of any shape to rows by the table function, and back to documents by levels."""
+    rows = flatten.flat_rows(table(spark, sf_dir, "events").select("event_id", "props"), "props", "event_id")
+    return rows.join(flatten.nested_json(rows, "event_id"), "event_id")
+
+
+@query("nested_round_trip", """
+WITH l AS (
+  SELECT l_orderkey, string_agg(concat('{"part":"', l_partkey, '","ship":{"flag":"', l_returnflag, '","line":"', l_linenumber, '"}}'), ',' ORDER BY l_linenumber, l_partkey, l_returnflag) AS x, count(*) AS n
+  FROM lineitem GROUP BY l_orderkey)
+SELECT o_orderkey, concat('{"order":{"id":"', o_orderkey, '","status":"', o_orderstatus, '"},"lines":', CASE WHEN x IS NULL THEN '""' ELSE concat('[', x, ']') END, ',"n":"', coalesce(n, 0), '"}') AS doc,
+  2 + CASE WHEN n IS NULL THEN 1 ELSE 3 * n END + 1 AS cells
+FROM orders LEFT JOIN l ON o_orderkey = l_orderkey""")
+def nested_round_trip(spark, sf_dir):
+    """Orders with their lines as documents of unknown shape: flat cells, and the same documents built from them."""
+    item = F.struct(F.col("l_linenumber").alias("a"), F.col("l_partkey").alias("b"), F.col("l_returnflag").alias("c"))
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(item)).alias("x"))  # an order has few lines
+    shaped = F.transform("x", lambda i: F.struct(i["b"].alias("part"), F.struct(i["c"].alias("flag"), i["a"].alias("line")).alias("ship")))
+    o = table(spark, sf_dir, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    doc = F.struct(
+        F.struct(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status")).alias("order"),
+        F.coalesce(shaped, F.slice(shaped, 1, 0), F.array().cast("array<struct<part:bigint,ship:struct<flag:string,line:int>>>")).alias("lines"),
+        F.coalesce(F.size("x"), F.lit(0)).alias("n"),
+    )
+    n = F.when(F.col("x").isNull(), 0).otherwise(F.size("x"))
+    rows = flatten.flat_rows(o.select("o_orderkey", F.to_json(doc.withField("n", n)).alias("doc")), "doc", "o_orderkey")
+    counts = rows.groupBy("o_orderkey").agg(F.count("*").alias("cells"))
+    return flatten.nested_json(rows, "o_orderkey", depth=4).join(counts, "o_orderkey")
+
+
 @query("canonical_keys", with_cells("SELECT CAST(row_number() OVER (ORDER BY r, p) - 1 AS INTEGER) AS position, key FROM (SELECT key, min(row_idx) AS r, arg_min(pos, row_idx) AS p FROM gt GROUP BY key) AS x"))
 def canonical_keys(spark, sf_dir):
     return splits.canonical_keys(Claims(spark, sf_dir).cells("pos", "key"))
@@ -707,6 +820,28 @@ def manifest_round_trip(spark, sf_dir):
     )
 
 
+_PART = "CASE o_orderkey % 10 WHEN 0 THEN 'val' WHEN 1 THEN 'test' ELSE 'train' END"
+
+
+@query("split_round_trip", f"SELECT split, CAST(row_number() OVER (PARTITION BY split ORDER BY o_orderkey) - 1 AS BIGINT) AS row_idx, CAST(o_orderkey AS VARCHAR) AS sample_id, tier FROM (SELECT o_orderkey, {_PART} AS split, {claims.TIER.format(k='o_orderkey')} AS tier FROM orders) AS x")
+def split_round_trip(spark, sf_dir):
+    """Split rows written as train, val and test files and read back in their order."""
+    o, path = table(spark, sf_dir, "orders"), _scratch(spark, "splits")
+    rows = o.select(F.col("o_orderkey").alias("row_idx"), F.col("o_orderkey").cast("string").alias("sample_id"), F.expr(claims.TIER.format(k="o_orderkey")).alias("tier"), F.expr(_PART).alias("split"))
+    files.write_splits(rows, path)
+    return files.read_dataset_splits(spark, path).select("split", "row_idx", "sample_id", "tier")
+
+
+@query("append_manifest", "SELECT CAST(o_orderkey AS VARCHAR) AS sample_id, o_orderkey AS seed, CASE WHEN o_orderkey % 2 = 0 THEN 'even' ELSE 'all' END AS batch FROM orders")
+def append_manifest(spark, sf_dir):
+    """Two overlapping batches appended to a manifest, and the first once more: no sample comes twice."""
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("sample_id"), F.col("o_orderkey").alias("seed"))
+    path = _scratch(spark, "appended")
+    for batch, some in (("even", rows.where("seed % 2 = 0")), ("all", rows), ("even", rows)):
+        files.append_manifest(some, path, batch)
+    return files.read_appended_manifest(spark, path).select("sample_id", "seed", "batch")
+
+
 AS_OF = "2024-06-01"
 
 

@@ -145,14 +145,14 @@ class Claims:
         """
 
         def cell(pos, key, value, example: str) -> F.Column:
-            of = F.lit(example)
+            kind, cls = text.name_that_holds(example, text.KINDS) or "generic", text.name_that_holds(example, keys.CLASS_ROWS)
             made = {
                 "pos": lambda: pos.cast("int"),
                 "key": lambda: key,
                 "gt": lambda: value,
-                "kind": lambda: text.kind_of(of),
-                "cls": lambda: keys.class_of(of),
-                "region": lambda: keys.region_of(of),
+                "kind": lambda: F.lit(kind),
+                "cls": lambda: F.lit(cls).cast("string"),
+                "region": lambda: F.lit(keys.region_name(example)),
             }
             return F.struct(*(made[f]().alias(f) for f in fields))
 
@@ -168,7 +168,8 @@ class Claims:
         parts = [F.when(first, F.array(*header)).otherwise(none), F.when(F.col("i").isNotNull(), lines).otherwise(none)]
         if extra:
             parts.append(F.when(first & F.expr("k % 11 = 0"), F.array(odd)).otherwise(none))
-        return self.claim.join(self.line, "k", "left").select(F.col("k").alias("row_idx"), F.inline(F.concat(*parts)))
+        # a join by shuffle: what follows is the work, and a broadcast would leave it to the tasks that read the orders
+        return self.claim.join(self.line.hint("merge"), "k", "left").select(F.col("k").alias("row_idx"), F.inline(F.concat(*parts)))
 
     @property
     def rows(self) -> DataFrame:
