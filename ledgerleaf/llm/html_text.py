@@ -3,11 +3,11 @@
 Markup is stripped into blocks in page order (block-level tags end a block, ``br`` is white space); a block is a line.
 Its weight is its text length without the text of links (those of headings count); an element whose tag, role or class names a menu, page header,
 footer, sidebar, notice, advert, form or reader comment gives its blocks no weight, and where the page marks its article
-(``article``, else ``main``) blocks outside weigh nothing and those inside ``MARK`` code points more each.  Weights are
-summed over a sliding window of ``WINDOW`` lines.  Text surges at the first line with weight whose window's sum is over
+(``article``, else ``main``, or ``main`` if its articles hold less than half of its text) blocks outside weigh nothing and those inside
+``MARK`` code points more each, which lets every such block surge by itself.  Weights are summed over a sliding window of ``WINDOW`` lines.  Text surges at the first line with weight whose window's sum is over
 ``SURGE``; it dives after the last line whose window's sum is over zero for that line's own weight, so a short closing paragraph
-behind an advert stays.  The lines with weight between the two points are the main text: on every page the sums
-decide.  A page that never surges keeps all its lines with weight, unless they are a single code point together.
+behind an advert stays.  The lines with weight between the two points are the main text.  As an article keeps all its own blocks, the
+points can only cut pages that mark none.  A page that never surges keeps all its lines with weight, unless they are a single code point together.
 
 Character references are decoded, white space in a block becomes one space, blocks join by a newline.  Null or
 empty html, or a page without such text, gives an empty text.  Comments, scripts and styles are skipped as
@@ -196,7 +196,9 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool, bool]]:
 
 def weights_of(rows: list[tuple[str, int, bool, bool, bool]]) -> list[int]:
     """Weight of each block."""
-    marked = next((k for k in (3, 4) if any(r[k] and not r[2] for r in rows)), None)
+    inside = {k: sum(len(r[0]) for r in rows if r[k] and not r[2]) for k in (3, 4)}
+    # articles that hold less than half of what main does are teasers beside its own text
+    marked = 3 if inside[3] and 2 * inside[3] >= inside[4] else 4 if inside[4] else None
     if marked:
         return [len(r[0]) + MARK if r[marked] and not r[2] else 0 for r in rows]
     return [0 if r[2] else max(0, len(r[0]) - r[1]) for r in rows]

@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerleaf.llm import divergence, resampling, substrings
+from ledgerleaf.llm import divergence, html_text, resampling, substrings
 
 SCHEMA = "doc_id long, text string, lang string, source string, bucket string, block int, n long"
 WORDS = "alpha beta gamma delta Epsilon zeta éta theta iota kappa lambda mu".split()
@@ -224,3 +224,11 @@ def test_resampling_ranks_over_many_partitions(spark):
     assert sorted((tuple(r) for r in got), key=str) == brute_resample(rows, ["u1"], 10_000, 20, 25)
     ranks = sorted(r.rank for r in got if r.rank)
     assert ranks == list(range(1, 126))
+
+
+def test_teaser_articles_do_not_swallow_the_page():
+    own = "".join(f"<p>Paragraph {i} of the page's own long and winding story.</p>" for i in range(6))
+    teaser = "<article><h3>Read next</h3><p>A teaser of another story.</p></article>"
+    assert html_text.main_text(f"<main><h1>Title</h1>{own}{teaser}</main>").startswith("Title\nParagraph 0") and "Paragraph 5" in html_text.main_text(f"<main><h1>Title</h1>{own}{teaser}</main>")
+    whole = html_text.main_text(f"<main><p>Intro.</p><article><h1>Title</h1>{own}</article></main>")
+    assert whole.startswith("Title") and "Intro" not in whole
