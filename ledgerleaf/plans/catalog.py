@@ -696,7 +696,7 @@ def code_enrich(spark, sf_dir):
         F.col("p_brand").alias("code"),
         F.col("p_type").alias("description"),
         "p_partkey",
-    ).orderBy("p_partkey").drop("p_partkey").coalesce(1).write.option("header", True).csv(path)
+    ).repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "p_partkey").sortWithinPartitions("p_partkey").drop("p_partkey").write.option("header", True).csv(path)
     rows = table(spark, sf_dir, "lineitem").select("l_partkey").join(
         part.select("p_partkey", F.col("p_brand").alias("code")),
         F.col("l_partkey") == F.col("p_partkey"),
@@ -852,10 +852,55 @@ def _seeds(spark, sf_dir) -> DataFrame:
 
 @query("synth_records")
 def synth_records(spark, sf_dir):
-    b = synth.batch(spark, _seeds(spark, sf_dir).count(), AS_OF)
+    b = synth.batch_of(_seeds(spark, sf_dir), AS_OF)
     return b.select("sample_id", "tier", "seed", "image", "json", F.to_json("ground_truth").alias("ground_truth"))
 
 
+_SAMPLE_ID = "lpad(CAST(o_orderkey AS VARCHAR), CAST(greatest(5, length(CAST(o_orderkey AS VARCHAR))) AS INTEGER), '0')"
+
+
+@query("synth_manifest", f"SELECT x.*, concat(tier, '/', sample_id, '.png') AS image, concat(tier, '/', sample_id, '.json') AS json, seed AS truth_seed, true AS lines_ok, 0 AS blank_names FROM (SELECT {_SAMPLE_ID} AS sample_id, {claims.TIER.format(k='o_orderkey')} AS tier, o_orderkey AS seed FROM orders) AS x")
+def synth_manifest(spark, sf_dir):
+    """A generated claim for every order: its manifest row, and what its ground truth must say."""
+    b = synth.batch_of(_seeds(spark, sf_dir), AS_OF).withColumn("truth", F.to_json("ground_truth"))
+    lines = F.size(F.from_json(F.get_json_object("truth", "$.logical.box_24_service_lines"), "array<string>"))
+    return b.select(
+        "sample_id",
+        "tier",
+        "seed",
+        "image",
+        "json",
+        F.get_json_object("truth", "$.meta.seed").cast("long").alias("truth_seed"),
+        lines.between(1, 6).alias("lines_ok"),
+        F.when(F.get_json_object("truth", "$.logical.box_2_patient_name.last") == "", 1).otherwise(0).alias("blank_names"),
+    )
+
+
+@query("pointed_diagnoses", "SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN 'p' WHEN 1 THEN concat('q,', CASE WHEN o_custkey % 2 = 0 THEN '' ELSE 'r' END) ELSE '' END AS codes FROM orders")
+def pointed_diagnoses(spark, sf_dir):
+    """The diagnoses that a line's pointers name, in the pointers' order; a pointer beyond the list names none."""
+    o = table(spark, sf_dir, "orders")
+    pointers = F.element_at(F.array(F.lit("A"), F.lit("B?C"), F.lit("")), (F.col("o_orderkey") % 3 + 1).cast("int"))
+    listed = F.slice(F.array(F.lit("p"), F.lit("q"), F.lit("r")), 1, (F.col("o_custkey") % 2 + 2).cast("int"))
+    return o.select("o_orderkey", F.array_join(validators.pointed_codes(pointers, listed), ",", "").alias("codes"))
+
+
+@query("dataset_round_trip", f"SELECT {_PART} AS split, {claims.TIER.format(k='o_orderkey')} AS tier, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders GROUP BY ALL")
+def dataset_round_trip(spark, sf_dir):
+    """A data set written by the library's sink, a folder a split, and counted as read."""
+    o, path = table(spark, sf_dir, "orders"), _scratch(spark, "dataset")
+    rows = o.select(F.col("o_orderkey").alias("key"), F.expr(claims.TIER.format(k="o_orderkey")).alias("tier"), F.expr(_PART).alias("split"))
+    files.write_dataset(rows, path)
+    return spark.read.parquet(path).groupBy("split", "tier").agg(F.count("*").alias("n"), F.sum("key").alias("keys"))
+
+
+@query("upload_prefix", "SELECT o_orderkey, concat('extractions/', o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN '.png' ELSE '' END) AS prefix FROM orders")
+def upload_prefix(spark, sf_dir):
+    ends = F.element_at(F.array(F.lit(".png"), F.lit(".pdf"), F.lit(".PDF")), (F.col("o_orderkey") % 3 + 1).cast("int"))
+    path = F.concat(F.lit("inbox\\2024/"), F.col("o_orderkey").cast("string"), ends)
+    return table(spark, sf_dir, "orders").select("o_orderkey", files.output_prefix(path).alias("prefix"))
+
+
 @query("synth_rules", "SELECT o_orderkey AS seed, true AS total_ok, true AS pointers_ok, true AS counts_ok, true AS tax_ok, true AS mirror_ok, true AS npi_ok FROM orders")
 def synth_rules(spark, sf_dir):
     """What holds of every generated claim."""

@@ -1,8 +1,8 @@
 """Truth and predictions kept bucketed by cell, so that scoring joins them without moving a row.
 
 Truth is written once, each run's predictions once when they arrive; both tables have the same buckets of (row_idx, key) and are sorted by it, a file a
-bucket.  The full outer join of any run then reads two files a task and merges them: no exchange and no sort below the join.  Sample and
-tier are kept with the cells of either side, so no other table is joined.
+bucket.  The full outer join of any run then reads two files a task and merges them: no exchange below the join (Spark sorts a
+bucket again, which is quick on sorted rows).  Sample and tier are kept with the cells of either side, so no other table is joined.
 """
 
 from __future__ import annotations

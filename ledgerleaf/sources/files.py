@@ -40,6 +40,12 @@ def basename(path: Column) -> Column:
     return F.substring_index(slashes(path), "/", -1)
 
 
+def output_prefix(path: Column, given: Column | None = None) -> Column:
+    """Where the results of an uploaded file go: the given prefix, or below ``extractions`` the file's name without a .pdf at its end."""
+    made = F.concat(F.lit("extractions/"), F.regexp_replace(basename(path), r"(?i)\.pdf$", ""))
+    return made if given is None else F.coalesce(given, made)
+
+
 def _placed(df: DataFrame) -> DataFrame:
     """Rows as read with their place: file, start of the piece of it, and order within the piece.
 
