@@ -72,8 +72,8 @@ def pair_counts(cells: DataFrame, *by: str) -> DataFrame:
 
 
 def _field_totals(per: DataFrame, *by: str) -> DataFrame:
-    """Totals of each field from its pair counts.  It asks for every column, so that Spark runs the counts once for both uses."""
-    sums = [F.sum(c).alias(c) for c in ("total", "exact_hits", "norm_hits")]
+    """Totals of each field from its pair counts."""
+    sums = [F.sum(c).alias(c) for c in ("total", "exact_hits", "norm_hits") if c in per.columns]
     return per.groupBy(*by).agg(*sums, F.min("first_row").alias("first_row"))
 
 
@@ -89,8 +89,11 @@ def ranked_misses(per: DataFrame, pairs: int, *by: str) -> DataFrame:
 
 def top_misses(cells: DataFrame, fields: int = 5, pairs: int = 5) -> DataFrame:
     """(key, rank, gt_n, pred_n, misses) of the worst fields, the rows of which are few and broadcast."""
-    per = pair_counts(cells, "key")
-    worst = _field_totals(per, "key").orderBy(F.col("norm_hits") / F.col("total"), F.desc("total"), "key").limit(fields).select("key")
+    # both uses of the counts ask for the same rows and columns, so Spark makes them once: the join below would ask for keys that are not
+    # null on one side only, and a field's first row, never needed to order fields, is asked for all the same
+    per = pair_counts(cells.where(F.col("key").isNotNull()), "key").drop("exact_hits")
+    order = (F.col("norm_hits") / F.col("total"), F.desc("total"), "key", "first_row")
+    worst = _field_totals(per, "key").orderBy(*order).limit(fields).select("key")
     return ranked_misses(per, pairs, "key").join(F.broadcast(worst), "key", "left_semi")
 
 
