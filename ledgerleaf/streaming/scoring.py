@@ -90,18 +90,25 @@ def last_wins(preds: DataFrame, keep: str | None = None) -> DataFrame:
     return rows.groupBy("sample_id").applyInPandasWithState(_latest(interval), SIGNED, HELD, "update", timeout)
 
 
-def score_changes(changes: DataFrame, split: DataFrame, gt: DataFrame) -> DataFrame:
-    """(tier, total, norm_hits) that a batch of changes adds to or takes from the scores."""
-    cells = changes.withColumn("fields", F.from_json("fields", "map<string,string>")).join(_truth(split, gt), "sample_id")
+def score_changes(changes: DataFrame, truth: DataFrame) -> DataFrame:
+    """(tier, total, norm_hits) that a batch of changes adds to or takes from the scores; truth (sample_id, tier, key, gt_n)."""
+    cells = changes.withColumn("fields", F.from_json("fields", "map<string,string>")).join(truth, "sample_id")
     hit = text.normalize("key", F.try_element_at("fields", F.col("key"))) == F.col("gt_n")
     return cells.groupBy("tier").agg(F.sum("sign").cast("long").alias("total"), F.sum(F.when(hit, F.col("sign")).otherwise(0)).cast("long").alias("norm_hits"))
 
 
 def start_last_wins(preds: DataFrame, split: DataFrame, gt: DataFrame, path: str, checkpoint: str, keep: str | None = None, **trigger):
-    """Starts the scorer: every batch appends the changes of its scores below path, once, however often the batch is run."""
+    """Starts the scorer: every batch appends the changes of its scores below path, once, however often the batch is run.
+
+    The populated cells of the truth are normalised once and kept below path; every batch, and a scorer that goes on later, reads them there.
+    """
+    spark, held = preds.sparkSession, f"{path.rstrip('/')}/truth"
+    if not files.exists(spark, f"{held}/_SUCCESS"):
+        _truth(split, gt).write.mode("overwrite").parquet(held)
+    truth = spark.read.parquet(held)
 
     def add(changes: DataFrame, batch: int) -> None:
-        files.append_once(score_changes(changes, split, gt), path, str(batch), form="parquet")
+        files.append_once(score_changes(changes, truth), path, str(batch), form="parquet")
 
     stream = last_wins(preds, keep).writeStream.outputMode("update").option("checkpointLocation", checkpoint)
     return stream.foreachBatch(add).trigger(**(trigger or {"availableNow": True})).start()
