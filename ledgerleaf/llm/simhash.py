@@ -17,10 +17,12 @@ rounds over the spanning links, each round checkpointed.
 fingerprints holds that similarity (pairs at 0.8 differ in about 10 of 64 bits), but such documents share nearly all
 their words: the fingerprint of the distinct words differs in about 3 bits, and unrelated texts begin at 12.  Candidates
 are the pairs of the same index within ``WORD_RADIUS`` bits of that fingerprint, in the cells of ``WORD_MASKS``
-masks of ``WORD_BITS`` bits; each is bounded by a signature of its shingles and then decided by the whole sets.  The index
-finds about 0.98 of the pairs among edited copies of the given tables (tests/llm measures it against brute force), least of
-texts under 30 words, where one word weighs much; no pair it finds is left undecided.  The number of bits is fixed, so recall does not
-depend on the number of documents N; unrelated ones that share a cell are about WORD_MASKS * N * N / 2 ** (WORD_BITS + 1) comparisons of
+masks of ``WORD_BITS`` bits; each is bounded by a signature of its shingles and then decided by the whole sets.  Pairs near 0.8 differ
+in up to 10 bits, more in short texts, where one word weighs much, and meet in few of those cells.  So every text also goes to the cells of
+``BANDS`` bands of ``BAND_ROWS`` least hashes of its shingles each: two sets at 0.8 agree on a band with probability 0.8 ** BAND_ROWS, and
+on one at least of 12 bands of 4 with 0.998, whatever their length.  Such cells are not pruned by fingerprint bits.  tests/llm measures recall by class of length; no
+pair that is found is left undecided.  The numbers of bits and bands are fixed, so recall does not depend on the number of
+documents N; unrelated ones that share a cell are about WORD_MASKS * N * N / 2 ** (WORD_BITS + 1) comparisons of
 two 64-bit words, which the index prunes and no row is written for.
 
 Null texts read as empty; texts without words have fingerprint 0 and link like any other.  Rows with a null doc_id get a
@@ -48,6 +50,8 @@ CELL_LIMIT, LEAF = 8192, 16
 QUANTILES = 4096
 SIMILAR, SIMILAR_SHINGLE = (4, 5), 5
 WORD_RADIUS, WORD_BITS, WORD_MASKS = 10, 24, 40
+#: Bands of least hashes (sets of fewer than 4 shingles have none: they are similar only if they are equal).
+BANDS, BAND_ROWS = 12, 4
 #: Bits of a signature of shingles (4 for each shingle, within these bounds).
 SIGNATURE = (64, 1024)
 #: Candidates that each member of a cell names in the first round of ``similar``.
@@ -255,15 +259,19 @@ def _side(group: pa.Table) -> np.ndarray | None:
     return None if (part == part[0]).all() else part
 
 
-def _lagged(b: pa.RecordBatch, radius: int):
-    """Positions (i, j) of the pairs within radius in cells of at most LEAF members, all of them in this batch."""
+def _lagged(b: pa.RecordBatch, radius: int, masks: int | None = None):
+    """Positions (i, j) of the pairs within radius in cells of at most LEAF members, all of them in this batch.
+
+    Cells beyond the first ``masks`` masks are bands: there every pair counts.
+    """
     cols = [np.asarray(b.column(i)) for i in range(2)]
     fp = np.asarray(b.column("fp")).view(np.uint64)
+    most = np.full(len(fp), radius) if masks is None else np.where(cols[0] < masks, radius, 64)
     i = np.arange(len(fp))
     for lag in range(1, LEAF):
         i = i[i < len(fp) - lag]
         i = i[np.logical_and.reduce([c[i] == c[i + lag] for c in cols])]
-        near = i[np.bitwise_count(fp[i] ^ fp[i + lag]) <= radius]
+        near = i[np.bitwise_count(fp[i] ^ fp[i + lag]) <= most[i]]
         if len(near):
             yield near, near + lag
 
@@ -284,13 +292,13 @@ def _whole_cells(batches):
         yield rest
 
 
-def _small_candidates(radius: int):
-    """Pairs of nodes of different components within radius, for cells of at most LEAF members: one leaf of the index."""
+def _small_candidates(radius: int, masks: int):
+    """Pairs of nodes of different components within radius (or in a band), for cells of at most LEAF members: one leaf of the index."""
 
     def run(batches):
         for b in _whole_cells(batches):
             node, component = np.asarray(b.column("node")), np.asarray(b.column("component"))
-            for i, j in _lagged(b, radius):
+            for i, j in _lagged(b, radius, masks):
                 keep = component[i] != component[j]
                 u, v = node[i[keep]], node[j[keep]]
                 if len(u):
@@ -339,9 +347,13 @@ def cells(members: DataFrame, masks: list[int], radius: int, limit: int) -> Data
     members have fp and columns as narrow.  In a cell within the limit one = two = part = 0.  A larger one is cut into runs at quantiles
     of Gray rank, of about half the limit each; a member is in its run's group (one = two) and in that of each other run
     whose shared bits differ from its own run's in radius bits or fewer.  So no group holds more than about the limit.
+    A column bands of members (an array of longs, or null) names further cells, whose masks are numbered on; in those a run meets all others.
     """
-    rest = [c for c in members.columns if c != "fp"]
+    rest = [c for c in members.columns if c not in ("fp", "bands")]
     value = F.array(*(F.struct(F.lit(i).alias("mask"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("value")) for i, m in enumerate(masks)))
+    if "bands" in members.columns:
+        more = F.transform("bands", lambda x, i: F.struct((i + len(masks)).cast("int").alias("mask"), x.alias("value")))
+        value = F.when(F.col("bands").isNull(), value).otherwise(F.concat(value, more))
     rows = members.select("fp", *rest, F.explode(value).alias("c")).select("c.mask", "c.value", "fp", *rest)
     narrow = members.select("fp", F.explode(value).alias("c")).select("c.mask", "c.value", "fp")
     sizes = common.cut(narrow.groupBy("mask", "value").count().where("count > 1"))
@@ -365,7 +377,8 @@ def cells(members: DataFrame, masks: list[int], radius: int, limit: int) -> Data
         shared = common.cut(ranked.groupBy("mask", "value", "run").agg(F.bit_and("fp").alias("ones"), F.bit_and(F.bitwise_not("fp")).alias("zeros")))
         a, b = (shared.select("mask", "value", *(F.col(c).alias(f"{c}_{s}") for c in ("run", "ones", "zeros"))) for s in "ab")
         differ = F.bit_count(F.col("ones_a").bitwiseAND(F.col("zeros_b")).bitwiseOR(F.col("zeros_a").bitwiseAND(F.col("ones_b"))))
-        pairs = a.join(b, ["mask", "value"]).where((F.col("run_a") <= F.col("run_b")) & (differ <= radius))
+        near = (F.col("mask") >= len(masks)) | (differ <= radius)
+        pairs = a.join(b, ["mask", "value"]).where((F.col("run_a") <= F.col("run_b")) & near)
         ends = F.explode(F.array_distinct(F.array("run_a", "run_b")))
         pairs = pairs.select("mask", "value", F.col("run_a").alias("one"), F.col("run_b").alias("two"), ends.alias("run"))
         split = ranked.join(common.few(pairs), ["mask", "value", "run"])
@@ -461,6 +474,27 @@ def signature(h: np.ndarray) -> bytes:
     return np.packbits(bits, bitorder="little").tobytes()
 
 
+def _band_constants(seed: int = 2) -> tuple[np.ndarray, np.ndarray]:
+    draw = random.Random(seed)
+    made = np.array([[draw.getrandbits(64), draw.getrandbits(64) | 1] for _ in range(BANDS * BAND_ROWS)], np.uint64)
+    return made[:, 0], made[:, 1]
+
+
+BAND_CONSTANTS = _band_constants()
+
+
+def bands(h: np.ndarray) -> list[int] | None:
+    """A signed long for each band of least hashes of a set of shingle hashes; None for a set of fewer than 4."""
+    if len(h) < 4:
+        return None
+    (flip, factor), least = BAND_CONSTANTS, np.full(BANDS * BAND_ROWS, -1, np.int64).view(np.uint64)
+    for a in range(0, len(h), 1024):
+        x = h[a : a + 1024, None] ^ flip
+        x = (x ^ (x >> np.uint64(32))) * factor
+        least = np.minimum(least, (x ^ (x >> np.uint64(29))).min(0))
+    return [_signed(node_of(row)) for row in least.reshape(BANDS, BAND_ROWS)]
+
+
 def _sets_of(text: str, size: int) -> tuple[np.ndarray, int]:
     """The sorted distinct shingle hashes, and the fingerprint of the distinct words."""
     words = words_of(text)
@@ -479,8 +513,9 @@ def _described(size: int):
                 pa.array(fps),
                 pa.array([len(h) for h, _ in made], pa.int32()),
                 pa.array([signature(h) for h, _ in made], pa.binary()),
+                pa.array([bands(h) for h, _ in made], pa.list_(pa.int64())),
             ]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "node", "fp", "n", "sig"])
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "node", "fp", "n", "sig", "bands"])
         common.trim()
 
     return run
@@ -534,7 +569,7 @@ class Signatures:
         return out
 
 
-def _candidates(radius: int, similar: tuple[int, int], nearest: int | None):
+def _candidates(radius: int, masks: int, similar: tuple[int, int], nearest: int | None):
     """Pairs of nodes of different components that may be similar: for each the ``nearest`` ones, or all."""
 
     def run(batches):
@@ -544,7 +579,7 @@ def _candidates(radius: int, similar: tuple[int, int], nearest: int | None):
             node, component = node[index.order], component[index.order]
             sigs = Signatures(np.asarray(group["n"])[index.order], group["sig"].take(pa.array(index.order)).to_pylist(), similar)
             best_u, best_v, best_d = (np.zeros(0, np.int64) for _ in range(3))
-            for u, v in index.near(radius, component):
+            for u, v in index.near(radius if group["mask"][0].as_py() < masks else 64, component):
                 d = sigs.differing(u, v)
                 keep = (d >= 0) & (node[u] != node[v])
                 u, v, d = u[keep], v[keep], d[keep]
@@ -620,17 +655,18 @@ def similar(docs: DataFrame, size: int = SIMILAR_SHINGLE, least: tuple[int, int]
     spark = docs.sparkSession
     common.ship(spark)
     rows = _texts(docs).where("doc_id is not null")
-    made = common.cut(rows.mapInArrow(_described(size), "doc_id long, node long, fp long, n int, sig binary"))
+    made = common.cut(rows.mapInArrow(_described(size), "doc_id long, node long, fp long, n int, sig binary, bands array<long>"))
     classes = common.cut(made.groupBy("node").agg(F.min("doc_id").alias("least")))
-    members = common.cut(made.select("node", "fp", "n", "sig").dropDuplicates(["node"]).join(classes, "node"))
-    met = common.cut(cells(members.select("fp", "node"), word_masks(), WORD_RADIUS, limit))
+    described = common.cut(made.select("node", "fp", "n", "sig", "bands").dropDuplicates(["node"]).join(classes, "node"))
+    met = common.cut(cells(described.select("fp", "node", "bands"), word_masks(), WORD_RADIUS, limit))
+    members = described.drop("bands")
 
     def pairs(labelled: DataFrame, each: int | None) -> DataFrame:
         small, large = _of_size(met)
         few = by_cell(small.join(labelled.select("node", "component"), "node"), "fp", "node", "component").drop("one", "two")
         many = by_cell(large.join(labelled.drop("fp", "least"), "node"), "part", "fp", "node", "component", "n", "sig")
-        found = few.mapInArrow(_small_candidates(WORD_RADIUS), "u long, v long")
-        return found.unionByName(many.mapInArrow(_candidates(WORD_RADIUS, least, each), "u long, v long")).distinct()
+        found = few.mapInArrow(_small_candidates(WORD_RADIUS, WORD_MASKS), "u long, v long")
+        return found.unionByName(many.mapInArrow(_candidates(WORD_RADIUS, WORD_MASKS, least, each), "u long, v long")).distinct()
 
     links = _verified(rows, members, size, least, pairs(members.withColumn("component", F.col("node")), nearest))
     labelled = members.join(components(links).distinct(), "node", "left").withColumn("component", F.coalesce("component", "node"))

@@ -919,6 +919,54 @@ def test_word_index_recall(spark):
     assert near > 80 and met >= 0.95 * near
 
 
+def edited(r: random.Random, words: list[str]) -> list[str]:
+    """A copy changed as far as a similarity of 0.8 allows: the last word, then single words anywhere."""
+    grams = lambda w: {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+    alike = lambda w: 9 * len(grams(words) & grams(w)) >= 4 * (len(grams(words)) + len(grams(w)))
+    now = words + [f"x{r.random()}"] if len(words) < 14 else words[:-1] + [f"x{r.random()}"]
+    for _ in range(len(words)):
+        w = list(now)
+        w[r.randrange(len(w))] = f"y{r.random()}"
+        if alike(w):
+            now = w
+    return now if alike(now) else words + [words[0]]
+
+
+def test_similar_finds_copies_of_every_length(spark):
+    """At 0.8 or more, in each class of length at least 0.95 of the pairs meet, and unlike texts stay apart."""
+    r, rows, of = random.Random(31), [], {}
+    for size in (8, 10, 12, 16, 20, 30, 50, 100, 200, 300):
+        for _ in range(60):
+            i = 2 * len(of)
+            words = [f"w{r.random()}" for _ in range(size)]
+            rows += [(i, " ".join(words), "s"), (i + 1, " ".join(edited(r, words)), "s")]
+            of[i] = size
+    shared = [f"t{i}" for i in range(12)]
+    first = 2 * len(of)
+    rows += [(first + i, " ".join(shared + [f"w{r.random()}" for _ in range(12)]), "s") for i in range(200)]
+    for limit in (simhash.CELL_LIMIT, 40):
+        got = {x.doc_id: x.component_id for x in simhash.similar(make(spark, rows), limit=limit).collect()}
+        for size in set(of.values()):
+            ids = [i for i in of if of[i] == size]
+            assert sum(got[i + 1] == i for i in ids) >= 0.95 * len(ids), (size, limit)
+        assert all(got[i] == i for i in of) and all(got[first + i] == first + i for i in range(200))
+
+
+def test_bands_meet_at_the_promised_rate():
+    r = np.random.default_rng(5)
+    for n in (5, 12, 40, 200, 2000):
+        met = 0
+        for _ in range(300):
+            h = np.unique(r.integers(0, 1 << 63, n + max(1, n // 9), np.uint64))
+            gone = max(1, n // 9)
+            a, b = simhash.bands(np.sort(h[gone:])), simhash.bands(np.sort(h[:-gone] if n > 5 else h))
+            met += any(x == y for x, y in zip(a, b))
+        assert met >= 0.97 * 300, n
+    assert simhash.bands(np.arange(3, dtype=np.uint64)) is None
+    h = np.unique(r.integers(0, 1 << 63, 5000, np.uint64))
+    assert simhash.bands(h) == simhash.bands(h.copy()) and len(simhash.bands(h)) == simhash.BANDS
+
+
 def test_similar_of_repeats_nulls_and_no_rows(spark):
     assert simhash.keep_one(make(spark, [])).count() == 0 and simhash.near_duplicates(make(spark, [])).count() == 0
     text = "one two three four five six seven"
