@@ -3,10 +3,11 @@
 log P(language | row) = TEMPER * text log-likelihood + log P(declared | language) + log P(suffix | language)
 + log P(language | host), normalised over the languages.
 
-* Languages: the declared values, any number of them.  A value whose rows hold less than ``LEAST_SHARE`` of all declared
-  letter trigrams is no language of its own (so there are at most 1 / LEAST_SHARE): its rows count as undeclared.
-* Text: naive Bayes over hashed letter trigrams (``BUCKETS`` buckets), trained here on all rows whose declared
-  value is a language; digits and marks count as word ends.
+* Languages: the declared values whose rows hold a letter trigram, however few they are and any number of them.
+* Text: naive Bayes over hashed letter trigrams (``BUCKETS`` buckets), trained here on all rows with a declared
+  value; digits and marks count as word ends.  A language backs off to the uniform noise model with the weight of ``RARE`` trigrams: one of
+  few rows says little more than noise about buckets it has not seen, and does not win texts of a large one by its own few.
+  The model holds only the buckets that a language has, so its size is that of the distinct (language, bucket) pairs.
 * Declared markup language: the declared value's share among rows whose text says the language, smoothed.
 * Address suffix: the last label of the host, likewise.
 * Host prior: grouped counts of text languages, each level smoothed towards the next with weight ``SMOOTH``:
@@ -33,7 +34,9 @@ from pyspark.sql import functions as F
 from . import common
 
 BUCKETS = 1 << 15
-LEAST_SHARE = 1 / 4096
+RARE = 8192
+#: Code points of a text, and numbers of the model, that are looked at together.
+TEXT_BLOCK, MODEL_BLOCK = 1 << 18, 1 << 20
 TEMPER, SMOOTH = 0.25, 20.0
 #: Share of the noise model in each language's: a short text with a code or name in it stays explained.
 NOISE = 0.1
@@ -49,39 +52,85 @@ def _letters() -> np.ndarray:
     return _LETTERS[0]
 
 
+def _trigram_blocks(text: str):
+    """Buckets of the letter trigrams of a text, word ends included, in blocks of bounded size."""
+    text = text.lower()
+    held, after_letter, any_letter = np.zeros(1, np.uint32), False, False
+    for a in range(0, len(text) + 1, TEXT_BLOCK):
+        codes = np.frombuffer(text[a : a + TEXT_BLOCK].encode("utf-32-le", "surrogatepass"), "<u4")
+        letter = np.where(codes < 1 << 16, _letters()[np.minimum(codes, (1 << 16) - 1)], True)
+        keep = letter.copy()
+        keep[1:] |= letter[:-1]  # one word end after each word
+        if len(letter):
+            keep[0] |= after_letter
+            after_letter, any_letter = bool(letter[-1]), any_letter or bool(letter.any())
+        ends = [np.zeros(1, np.uint32)] if a + TEXT_BLOCK > len(text) else []
+        codes = np.concatenate([held, np.where(letter, codes, 0)[keep].astype(np.uint32), *ends])
+        held = codes[-2:]
+        if len(codes) >= 3 and any_letter:
+            with np.errstate(over="ignore"):
+                h = codes[:-2] * np.uint32(0x9E3779B1) ^ codes[1:-1] * np.uint32(0x85EBCA77) ^ codes[2:] * np.uint32(0xC2B2AE3D)
+                h = (h ^ (h >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
+            yield (h >> np.uint32(17)).astype(np.int64)
+
+
 def trigrams(text: str) -> np.ndarray:
-    """Buckets of the letter trigrams of a text, word ends included."""
-    codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")
-    letter = np.where(codes < 1 << 16, _letters()[np.minimum(codes, (1 << 16) - 1)], True)
-    codes = np.where(letter, codes, 0).astype(np.uint32)
-    keep = letter.copy()
-    keep[1:] |= letter[:-1]  # one word end after each word
-    codes = np.concatenate(([np.uint32(0)], codes[keep], [np.uint32(0)])).astype(np.uint32)
-    if len(codes) < 3 or not letter.any():
-        return np.zeros(0, np.int64)
-    with np.errstate(over="ignore"):
-        h = codes[:-2] * np.uint32(0x9E3779B1) ^ codes[1:-1] * np.uint32(0x85EBCA77) ^ codes[2:] * np.uint32(0xC2B2AE3D)
-        h = (h ^ (h >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
-    return (h >> np.uint32(17)).astype(np.int64)
+    """Buckets of the letter trigrams of a text, in order."""
+    return np.concatenate([np.zeros(0, np.int64), *_trigram_blocks(text)])
+
+
+def trigram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct buckets of a text's trigrams, and how often each occurs."""
+    if len(text) < BUCKETS:
+        return np.unique(trigrams(text), return_counts=True)
+    total = np.zeros(BUCKETS, np.int64)
+    for b in _trigram_blocks(text):
+        total += np.bincount(b, minlength=BUCKETS)
+    bucket = np.flatnonzero(total)
+    return bucket, total[bucket]
 
 
 class Model:
-    """languages, and log P(bucket | language) as a (languages, BUCKETS) array."""
+    """languages, and log P(bucket | language): ``base`` of each language, and a gain above it for each bucket that it has.
+
+    language, bucket and n: the trigram counts, a row for each pair that occurs; language is a position in languages.
+    """
 
-    def __init__(self, languages: list[str], counts: np.ndarray):
+    def __init__(self, languages: list[str], language: np.ndarray, bucket: np.ndarray, n: np.ndarray):
         self.languages = languages
-        share = counts / np.maximum(1, counts.sum(1, keepdims=True))
-        self.table = np.log((1 - NOISE) * share + NOISE / BUCKETS).astype(np.float32)
+        order = np.lexsort((language, bucket))
+        language, bucket, n = language[order], bucket[order], n[order]
+        total = np.zeros(len(languages), np.int64)
+        np.add.at(total, language, n)
+        noise = (NOISE * total + RARE) / (total + RARE)
+        self.base = np.log(noise / BUCKETS)
+        self.language = language.astype(np.int32)
+        share = (1 - noise[language]) * n / total[language]
+        self.gain = (np.log(share + noise[language] / BUCKETS) - self.base[language]).astype(np.float32)
+        self.start = np.searchsorted(bucket, np.arange(BUCKETS + 1))
+
+    def likelihoods(self, bucket: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """The log-likelihood of each language of a text with these trigram counts; memory does not grow with the text."""
+        out = self.base * n.sum()
+        first, size = self.start[bucket], self.start[bucket + 1] - self.start[bucket]
+        ends = np.cumsum(size)
+        cuts = np.searchsorted(ends, np.arange(MODEL_BLOCK, (ends[-1] if len(ends) else 0) + 1, MODEL_BLOCK))
+        for a, b in zip([0, *cuts], [*cuts, len(bucket)]):
+            if a < b:
+                w = size[a:b]
+                at = np.repeat(first[a:b] - (np.cumsum(w) - w), w) + np.arange(w.sum())
+                out += np.bincount(self.language[at], self.gain[at] * np.repeat(n[a:b], w), len(out))
+        return out
 
     def scores(self, texts: pd.Series, declared: pd.Series) -> pd.DataFrame:
         """Per text the log-likelihood of each language, the number of trigrams, and the most likely language; the declared
         value if it is a language."""
         out, n, best, known = [], [], [], set(self.languages)
         for t in texts:
-            b = trigrams(t or "")
-            out.append(self.table[:, b].sum(1, dtype=np.float64))
-            n.append(len(b))
-            best.append(self.languages[int(out[-1].argmax())] if len(b) and known else None)
+            bucket, count = trigram_counts(t or "")
+            out.append(self.likelihoods(bucket, count))
+            n.append(int(count.sum()))
+            best.append(self.languages[int(out[-1].argmax())] if n[-1] and known else None)
         common.trim()
         return pd.DataFrame({
             "likelihoods": out,
@@ -91,44 +140,51 @@ class Model:
         })
 
 
-def _counts(languages: list[str]):
-    """Trigrams by bucket of each language."""
-    at = {x: i for i, x in enumerate(languages)}
+#: Languages whose counts a task holds before it sends them on (BUCKETS numbers each).
+HELD = 256
 
-    def run(batches):
-        total = np.zeros((len(at), BUCKETS), np.int64)
-        for b in batches:
-            for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                if lang in at and text:
-                    total[at[lang]] += np.bincount(trigrams(text), minlength=BUCKETS)
-        common.trim()
-        lang, bucket = np.nonzero(total)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(lang, pa.int32()), pa.array(bucket, pa.int32()), pa.array(total[lang, bucket])],
-            names=["language", "bucket", "n"],
-        )
 
-    return run
+def _counts(batches):
+    """(declared, bucket, n): trigrams by bucket of each declared value, partial sums."""
+    held: dict[str, np.ndarray] = {}
+
+    def sent():
+        at = {x: np.flatnonzero(c) for x, c in held.items()}
+        name = pa.array(list(held), pa.string()).take(pa.array(np.repeat(np.arange(len(held)), [len(x) for x in at.values()])))
+        bucket = np.concatenate([np.zeros(0, np.int64), *at.values()]).astype(np.int32)
+        n = np.concatenate([np.zeros(0, np.int64), *(held[x][b] for x, b in at.items())])
+        held.clear()
+        return pa.RecordBatch.from_arrays([name, pa.array(bucket), pa.array(n)], names=["declared", "bucket", "n"])
+
+    for b in batches:
+        for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            if lang and text:
+                bucket, n = trigram_counts(text)
+                if lang not in held:
+                    if len(held) == HELD:
+                        yield sent()
+                    held[lang] = np.zeros(BUCKETS, np.int64)
+                held[lang][bucket] += n
+    yield sent()
+    common.trim()
 
 
 def fit(rows: DataFrame, languages: list[str] | None = None) -> Model:
-    """rows: declared, text.  The trained table has at most BUCKETS / LEAST_SHARE numbers, and fewer than there are trigrams."""
+    """rows: declared, text.  What is trained has a number for each (language, bucket) that occurs: BUCKETS for a language at most."""
     common.ship(rows.sparkSession)
-    rows = rows.select("declared", "text")
-    if languages is None:
-        # letters stand for trigrams here, so that the texts need not be parsed for it
-        said = rows.where("declared is not null and declared <> ''").groupBy("declared").agg(F.sum(F.length(F.coalesce("text", F.lit(""))) + 1).alias("n"))
-        said = common.cut(said)
-        whole = said.agg(F.sum("n").alias("n")).first().n or 0
-        languages = sorted(r.declared for r in said.where(F.col("n") >= F.lit(whole * LEAST_SHARE)).select("declared").collect())
-    counts = np.zeros((len(languages), BUCKETS), np.int64)
-    if languages:
-        got = rows.mapInArrow(
-            _counts(languages),
-            "language int, bucket int, n long",
-        ).groupBy("language", "bucket").agg(F.sum("n").alias("n")).toPandas()
-        counts[got["language"], got["bucket"]] = got["n"]
-    return Model(languages, counts)
+    rows = rows.select(F.col("declared").cast("string").alias("declared"), F.col("text").cast("string").alias("text"))
+    if languages is not None:
+        rows = rows.where(F.col("declared").isin(list(languages)))
+    counts = rows.mapInArrow(_counts, "declared string, bucket int, n long").groupBy("declared", "bucket").agg(F.sum("n").alias("n"))
+    got = counts.groupBy("declared").agg(F.collect_list(F.struct("bucket", "n")).alias("x")).orderBy("declared").toArrow()  # a row a language
+    had = got["declared"].to_pylist()
+    pairs = got["x"].combine_chunks()
+    pairs = pairs.chunk(0) if isinstance(pairs, pa.ChunkedArray) else pairs
+    size = np.asarray(pairs.value_lengths())
+    flat = pairs.flatten()
+    names = sorted(had) if languages is None else list(languages)
+    at = np.array([names.index(x) for x in had], np.int64)
+    return Model(names, np.repeat(at, size), np.asarray(flat.field("bucket"), np.int64), np.asarray(flat.field("n"), np.int64))
 
 
 SCORES = "likelihoods array<double>, n_trigrams long, text_language string, said string"

@@ -189,18 +189,43 @@ def test_language_every_suffix_counts(spark):
 
 
 def test_many_languages(spark):
-    """A hundred declared languages, each with letters of its own; stray values are no languages."""
+    """Three hundred declared languages of a few rows, each with letters of its own, beside a large one; one has a single row."""
     r = random.Random(3)
     rows = []
-    for i in range(100):
+    for i in range(300):
         own = [chr(0x4E00 + 40 * i + r.randrange(40)) * 2 + chr(0x4E00 + 40 * i + r.randrange(40)) for _ in range(12)]
         for k in range(4):
-            declared = None if k == 3 else f"l{i:02}"
+            declared = None if k == 3 else f"l{i:03}"
             rows.append((10 * i + k, " ".join(r.choice(own) for _ in range(40)), declared, f"h{i}.x{i % 7}"))
-    rows.append((5000, "zz", "stray", "h.x"))
-    out = {x.id: x for x in language.identify(spark.createDataFrame(rows, "id long, text string, declared string, host string")).collect()}
-    assert all(out[10 * i + k].language == f"l{i:02}" for i in range(100) for k in range(4))
-    assert out[5000].said is None
+    large = [(10_000 + i, " ".join(r.choice(WORDS) for _ in range(1500)), "en", "e.x") for i in range(400)]
+    stray = [(5000, "zz qqz", "stray", "h.x"), (5001, " ".join(r.choice(WORDS) for _ in range(60)), "wrong", "h.x"), (5002, None, "no text", "h.x"), (5003, "ny", "", "h.x")]
+    long = [(6000, " ".join(r.choice(WORDS) for _ in range(500)) * 3000, None, "h.x")]  # about 10 MB
+    out = {x.id: x for x in language.identify(spark.createDataFrame(rows + large + stray + long, "id long, text string, declared string, host string").repartition(16)).collect()}
+    assert all(out[10 * i + k].language == f"l{i:03}" for i in range(300) for k in range(4))
+    assert all(out[10_000 + i].language == "en" for i in range(400))
+    assert out[5000].said == "stray" and out[5000].text_language == "stray"
+    # its own few trigrams do not win the text of a large language
+    assert out[5001].text_language == "en" and out[6000].language == "en"
+    assert out[5002].said is None and out[5002].language == "und" and out[5003].said is None
+
+
+def test_trigram_blocks_and_sparse_scores(monkeypatch):
+    """Texts in blocks give the trigrams of whole texts; the sparse model gives the sums of a dense one, in blocks or not."""
+    r = random.Random(8)
+    texts = ["", "a", " ", "a ", " a", "ab", "Ab, c--d  é1f", "ΑΣ ΟΔΟΣ", "漢字かな", "x" * 50] + ["".join(r.choice("aB é.1漢") for _ in range(n)) for n in range(40)]
+    whole = [language.trigrams(t) for t in texts]
+    counts = np.array([[r.randrange(3) for _ in range(language.BUCKETS)] for _ in range(5)])
+    lang, bucket = np.nonzero(counts)
+    model = language.Model(list("abcde"), lang, bucket, counts[lang, bucket])
+    total = counts.sum(1, keepdims=True)
+    noise = (language.NOISE * total + language.RARE) / (total + language.RARE)
+    table = np.log((1 - noise) * counts / total + noise / language.BUCKETS)
+    for size, block in ((1 << 18, 1 << 20), (1, 7), (3, 16), (7, 1)):
+        monkeypatch.setattr(language, "TEXT_BLOCK", size)
+        monkeypatch.setattr(language, "MODEL_BLOCK", block)
+        for t, b in zip(texts, whole):
+            assert np.array_equal(language.trigrams(t), b), (t, size)
+            assert np.allclose(model.likelihoods(*language.trigram_counts(t)), table[:, b].sum(1), rtol=1e-5, atol=1e-4)
 
 
 def test_language_of_repeats_long_texts_and_no_rows(spark):
@@ -226,7 +251,8 @@ def brute_language(rows):
     langs = sorted({d for _, _, d, _ in rows if d})
     grams = {i: language.trigrams(t or "") for i, t, _, _ in rows}
     count = {x: np.bincount(np.concatenate([grams[i] for i, _, d, _ in rows if d == x]), minlength=language.BUCKETS) for x in langs}
-    p = {x: (1 - language.NOISE) * c / c.sum() + language.NOISE / language.BUCKETS for x, c in count.items()}
+    noise = {x: (language.NOISE * c.sum() + language.RARE) / (c.sum() + language.RARE) for x, c in count.items()}
+    p = {x: (1 - noise[x]) * c / c.sum() + noise[x] / language.BUCKETS for x, c in count.items()}
     like = {i: {x: float(np.log(p[x][g]).sum()) for x in langs} for i, g in grams.items()}
     best = {i: max(langs, key=lambda x: (like[i][x], -langs.index(x))) if len(grams[i]) else None for i in grams}
     domain = lambda h: ".".join(h.split(".")[-2:]) if h else None
