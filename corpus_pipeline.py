@@ -22,6 +22,8 @@ from ledgerleaf.llm import common, language, lines, mixing, packing, simhash
 
 #: The mixture reads four fifths of the tokens it is given, and no document twice.
 MIX = {"total": (4, 5), "max_epochs": 1}
+#: Encoded in smaller steps than by itself: the executors still hold what the stages before have left.
+PACK = {"encode_bytes": 4_000_000}
 
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +49,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every row is packed whole: a null text is the end id alone, null doc_ids stay null."""
-    return packing.pack(docs)
+    return packing.pack(docs, **PACK)
 
 
 STAGES = [

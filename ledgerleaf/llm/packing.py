@@ -36,11 +36,15 @@ VOCABULARY = 1 << 16
 SAMPLE, MEASURED, CLUSTERS, TURNS = 2048, 8192, 256, 8
 
 
-def _encode(path: str, end_id: int):
+#: Bytes of text that a task encodes at once: its memory grows with them, its time falls a little.
+ENCODE_BYTES = 8_000_000
+
+
+def _encode(path: str, end_id: int, most_bytes: int = ENCODE_BYTES):
     def run(batches):
         enc = tokens.encoder(path)
         for b in batches:
-            for lo, hi in tokens.batches(b.column(1)):
+            for lo, hi in tokens.batches(b.column(1), most_bytes):
                 ids, n = enc.encode_array(b.column(1).slice(lo, hi - lo), end_id)
                 ends = np.concatenate(([0], np.cumsum(n) * 2)).astype(np.int32)
                 rows = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(ids))])
@@ -350,12 +354,19 @@ def _pack(bm25: Bm25, window: int, shard_tokens: int):
     return run
 
 
-def pack(docs: DataFrame, tokenizer_path: str | None = None, end_id: int = END_ID, window: int = WINDOW, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
+def pack(
+    docs: DataFrame,
+    tokenizer_path: str | None = None,
+    end_id: int = END_ID,
+    window: int = WINDOW,
+    shard_tokens: int = SHARD_TOKENS,
+    encode_bytes: int = ENCODE_BYTES,
+) -> DataFrame:
     """Pieces of all documents in sequences of at most window ids (a power of two)."""
     spark = docs.sparkSession
     common.ship(spark)
     texts = common.with_defaults(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
-    coded = common.cut(texts.mapInArrow(_encode(tokenizer_path or tokens.vocabulary_path(), end_id), "doc_id long, ids binary, n long"))
+    coded = common.cut(texts.mapInArrow(_encode(tokenizer_path or tokens.vocabulary_path(), end_id, encode_bytes), "doc_id long, ids binary, n long"))
     all_of = coded.agg(F.count("*").alias("documents"), F.coalesce(F.sum("n"), F.lit(0)).alias("total")).first()
     df = coded.select("ids", "n").mapInArrow(_frequencies, "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
     df = {r.term: r.df for r in df.collect()}  # at most one row a vocabulary id
