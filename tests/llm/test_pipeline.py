@@ -22,7 +22,7 @@ def test_stages_keep_columns_and_rows(spark, tmp_path):
 
 
 def test_query_names():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 def brute_similar(rows):
