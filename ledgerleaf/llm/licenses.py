@@ -2,14 +2,14 @@
 
 A paragraph is a run of lines that are wrapped: every line of it but the last ends without a full stop, colon or the like, and no
 blank line lies between.  A paragraph in which nothing is found is looked at line by line.  Features are the
-word 1- to 3-grams of the licence templates below (present or not; those of function words alone are left out); a multinomial logistic regression with an L1 part is
+word 1- to 3-grams of the licence templates and of the counterexamples of ordinary prose below (present or not; those of function words alone are left out); a multinomial logistic regression with an L1 part is
 trained on the templates, shortened and embedded, against other prose that uses the same words, and against a bounded sample
 of ordinary lines of the scanned table (about ``SAMPLE`` documents by hash, lines without a template's 3-gram).
 
 Calibration: a first model is trained without the last template of every family and every fourth other text, and scores those in all
-their frames.  One temperature for the scores by least log-loss, and the probability below which a family is not named
-so that at least ``PRECISION`` of the named ones are right, come from texts it has not seen; the model in use is then trained on
-all.  A named family is confirmed if ``CONFIRM`` or more of the words of one of its templates occur in the paragraph;
+their frames.  One temperature for the scores by least log-loss, and for each family the probability below which it is not named
+so that at least ``PRECISION`` of those named so are right, come from texts it has not seen; the model in use is then trained on
+all.  A named family is confirmed if ``CONFIRM`` or more of the neighbouring word pairs of one of its templates occur in the paragraph, one that no other family has among them;
 without confirmation or below the threshold a licence-like paragraph is 'unknown'.
 
 A paragraph for which 'none' is likeliest is ordinary prose.  Paragraphs whose words cannot change that are not scored, by a bound on
@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import math
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,70 +33,131 @@ from pyspark.sql import functions as F
 from . import common
 
 SAMPLE = 400
-CONFIRM, PRECISION = 0.8, 0.99
+CONFIRM, PRECISION = 0.7, 0.99
+#: Between these lies the probability from which a family is named.
+LEAST, MOST = 0.4, 0.9
 GRAMS = 3
 
-# fixed values: short notices by licence family
+# fixed values: notices, headers and the telling paragraphs of licence texts by family, as words
 TEMPLATES = {
     "agpl": [
         "licensed under the gnu affero general public license version 3",
+        "gnu affero general public license version 3",
+        "gnu affero general public license",
+        "spdx license identifier agpl 3 0",
         "agpl v3",
+        "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation "
+        "either version 3 of the license or at your option any later version",
         "this program is free software under the terms of the gnu affero general public license",
     ],
     "apache": [
         "licensed under the apache license version 2 0",
+        "apache license version 2 0",
+        "spdx license identifier apache 2 0",
         "you may not use this file except in compliance with the apache license",
+        "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license "
+        "you may obtain a copy of the license at http www apache org licenses license 2 0",
         "distributed under the apache software license",
     ],
     "bsd": [
         "released under the bsd license",
+        "licensed under the bsd license",
+        "bsd 3 clause license",
+        "spdx license identifier bsd 3 clause",
+        "spdx license identifier bsd 2 clause",
+        "governed by a bsd style license",
         "redistribution and use in source and binary forms with or without modification are permitted",
+        "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
+        "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer",
+        "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer "
+        "in the documentation and or other materials provided with the distribution",
+        "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+        "derived from this software without specific prior written permission",
         "licensed under the 3 clause bsd license",
     ],
     "cc-by": [
         "cc by 4 0",
         "licensed under cc by 4 0",
+        "spdx license identifier cc by 4 0",
         "creative commons attribution 4 0 international",
         "this work is licensed under a creative commons attribution 4 0 international license",
     ],
     "cc-by-nc": [
         "cc by nc 4 0",
         "licensed under cc by nc 4 0",
+        "spdx license identifier cc by nc 4 0",
         "creative commons attribution noncommercial 4 0 international",
         "this work is licensed under a creative commons attribution noncommercial 4 0 international license",
     ],
     "cc-by-sa": [
         "cc by sa 4 0",
         "licensed under cc by sa 4 0",
+        "spdx license identifier cc by sa 4 0",
         "creative commons attribution sharealike 4 0 international",
         "this work is licensed under a creative commons attribution sharealike 4 0 international license",
     ],
     "cc0": [
         "dedicated to the public domain under cc0 1 0 with no rights reserved",
         "dedicated under cc0",
+        "spdx license identifier cc0 1 0",
+        "creative commons cc0 1 0 universal",
         "released under the cc0 1 0 universal public domain license",
     ],
     "gpl": [
         "this work is licensed under the gnu general public license version 3",
+        "licensed under the gpl",
+        "gnu general public license",
+        "gnu general public license version 2",
+        "gnu general public license version 3",
+        "spdx license identifier gpl 2 0 only",
+        "spdx license identifier gpl 3 0 or later",
         "gplv3",
+        "gplv2",
+        "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation "
+        "either version 2 of the license or at your option any later version",
+        "you should have received a copy of the gnu general public license along with this program",
         "this program is free software you can redistribute it under the terms of the gnu general public license",
     ],
     "isc": [
         "released under the isc license",
+        "isc license",
+        "spdx license identifier isc",
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted "
+        "provided that the above copyright notice and this permission notice appear in all copies",
         "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted",
     ],
     "lgpl": [
         "licensed under the gnu lesser general public license version 2 1",
+        "gnu lesser general public license version 3",
+        "gnu lesser general public license",
+        "gnu library general public license version 2",
+        "spdx license identifier lgpl 2 1 or later",
         "lgpl v2 1",
+        "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation "
+        "either version 2 1 of the license or at your option any later version",
         "this library is free software under the gnu lesser general public license",
     ],
     "mit": [
         "released under the mit license",
+        "licensed under the mit license",
+        "licensed under mit",
+        "available under the mit terms",
+        "this project is licensed under the terms of the mit license",
         "the mit license",
+        "mit license",
+        "mit lizenz",
+        "spdx license identifier mit",
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software "
+        "to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense "
+        "and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions",
         "permission is hereby granted free of charge to any person obtaining a copy of this software",
     ],
     "mpl": [
         "this source code form is subject to the terms of the mozilla public license v 2 0",
+        "mozilla public license version 2 0",
+        "spdx license identifier mpl 2 0",
+        "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed with this file "
+        "you can obtain one at https mozilla org mpl 2 0",
         "licensed under the mozilla public license version 2 0",
     ],
     "proprietary": [
@@ -104,7 +165,7 @@ TEMPLATES = {
         "copyright all rights reserved no part may be reproduced without permission",
     ],
 }
-#: Licence text of no family here, and prose about licences: the classes 'unknown' and 'none'.
+#: Licence text of no family here, and prose about licences, much of it with a template's words: the classes 'unknown' and 'none'.
 UNKNOWN = [
     "licensed under the terms of our house license",
     "released under the artistic license",
@@ -118,6 +179,16 @@ UNKNOWN = [
     "licensed under the ms reciprocal license",
     "the software is provided as is without warranty of any kind express or implied",
     "the above copyright notice and this permission notice shall be included in all copies",
+    "distributed under the boost software license version 1 0",
+    "boost software license version 1 0",
+    "this work is licensed under a creative commons attribution noderivatives 4 0 international license",
+    "licensed under the eclipse public license version 2 0",
+    "eclipse public license v 2 0",
+    "spdx license identifier zlib",
+    "spdx license identifier epl 2 0",
+    "the python software foundation license version 2",
+    "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it",
+    "cc by nd 4 0",
 ]
 NONE = [
     "the driver lost his license after the accident",
@@ -142,6 +213,42 @@ NONE = [
     "the bar applied for a new license",
     "a license is required to hunt deer",
     "doctors licensed in other states may apply",
+    "a fishing license fee is due in june",
+    "the mit license number was painted on the van",
+    "the license number of the car was hidden",
+    "an mit license fee is due for the laboratory parking",
+    "her driving license exam was hard",
+    "the mit license plate holder hung in the hall",
+    "an old license plate lay in the yard",
+    "the mit license plates were stolen from the lot",
+    "license holders must report to the office",
+    "license exams take two hours",
+    "the mit license exam takes two hours",
+    "mit license holders got a letter from the dean",
+    "all rights reserved for the owners of the land",
+    "rights reserved to the crown under the charter",
+    "all rights reserved to the crown were sold",
+    "all rights reserved to the heirs were sold in spring",
+    "voting is among rights reserved for citizens",
+    "the rights reserved for members of the club",
+    "the mit students went home",
+    "under the treaty all rights reserved for fishermen were lost",
+    "apache helicopters landed near the village",
+    "the gnu herd crossed the public road in general calm",
+    "the creative director gave attribution to the commons committee",
+    "an international attribution of the painting is open",
+    "the mozilla office hired two hundred people",
+    "redistribution of land and use of water with or without a permit",
+    "permission to use the hall is granted free of charge to any club",
+    "the isc committee met for any purpose it liked",
+    "a public license hearing on the general plan",
+    "the bsd train line was modified and distributed over two tracks",
+    "his license number is on the form",
+    "mit license numbers are on the list",
+    "a license plate holder of steel",
+    "the mit license office is closed on monday",
+    "an mit license plate hung on the wall",
+    "a license fee of ten dollars is due",
 ]
 FRAMES = [
     "{}",
@@ -185,6 +292,23 @@ def _grams(words: list[str]) -> set[str]:
     return {" ".join(words[i : i + n]) for n in range(1, GRAMS + 1) for i in range(len(words) - n + 1)}
 
 
+def marks(text: str) -> list[str]:
+    """What confirms a template: its distinct pairs of neighbouring words, in order within the pair; a single word is its own mark."""
+    words = text.split()
+    return list(dict.fromkeys(map(" ".join, zip(words, words[1:])))) or words
+
+
+def own_marks(family: str, text: str) -> list[str]:
+    """Those of the template's marks that no template of another family and no text of the class 'unknown' has; all, if there are none."""
+    others = {m for f, texts in {**TEMPLATES, "unknown": UNKNOWN}.items() if f != family for t in texts for m in marks(t)}
+    return [m for m in marks(text) if m not in others] or marks(text)
+
+
+def likeness(grams: set[str], family: str, text: str) -> float:
+    """Share of the template's marks among the n-grams of a paragraph; 0 without one of the template's own."""
+    return len(grams.intersection(marks(text))) / len(marks(text)) if grams.intersection(own_marks(family, text)) else 0.0
+
+
 def _telling(word: str) -> bool:
     return word not in FUNCTION_WORDS and not word.isdecimal()
 
@@ -205,7 +329,7 @@ class Model:
     bias: list[float]
     weights: dict[str, list[float]]
     temperature: float = 1.0
-    threshold: float = 0.5
+    thresholds: list[float] = field(default_factory=lambda: [0.5] * len(TEMPLATES))
 
     def logits(self, text: str) -> list[float]:
         """By plain Python, for the few held-out examples: the scores that ``classify`` computes."""
@@ -222,8 +346,8 @@ def _probabilities(x: list[float], t: float) -> list[float]:
 
 
 def _confirmed(family: str, text: str) -> bool:
-    words = set(text.split())
-    return any(len(words & set(t.split())) >= CONFIRM * len(set(t.split())) for t in TEMPLATES[family])
+    of = _grams(text.split())
+    return max(likeness(of, family, t) for t in TEMPLATES[family]) >= CONFIRM
 
 
 def fit(spark: SparkSession, docs: DataFrame | None = None) -> Model:
@@ -231,7 +355,7 @@ def fit(spark: SparkSession, docs: DataFrame | None = None) -> Model:
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import CountVectorizerModel
 
-    vocabulary = sorted({g for texts in TEMPLATES.values() for t in texts for g in _grams(t.split()) if any(map(_telling, g.split()))})
+    vocabulary = sorted({g for texts in (*TEMPLATES.values(), NONE) for t in texts for g in _grams(t.split()) if any(map(_telling, g.split()))})
     classes = [*sorted(TEMPLATES), "none", "unknown"]
     made = examples()
     rows = spark.createDataFrame([(*x, False) for x in made], "name string, text string, held boolean, plain boolean")
@@ -241,7 +365,7 @@ def fit(spark: SparkSession, docs: DataFrame | None = None) -> Model:
         drawn = some.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))).limit(2 * SAMPLE)
         lines = drawn.select(F.explode(F.split("text", "\n")).alias("text")).where(F.trim("text") != "").repartition(common.partitions(spark))
         # a line with a template's 3-gram is no example of ordinary prose
-        telling = F.array(*(F.lit(g) for g in vocabulary if g.count(" ") == 2))
+        telling = F.array(*(F.lit(g) for g in sorted({g for texts in TEMPLATES.values() for t in texts for g in _grams(t.split())}) if g.count(" ") == 2))
         plain = lines.where(~F.arrays_overlap(grams_of(F.col("text")), telling))
         rows = rows.unionByName(plain.select(F.lit("none").alias("name"), "text", F.lit(False).alias("held"), F.lit(True).alias("plain")))
     label = F.create_map(*(F.lit(x) for i, c in enumerate(classes) for x in (c, float(i))))[F.col("name")]
@@ -274,18 +398,22 @@ def fit(spark: SparkSession, docs: DataFrame | None = None) -> Model:
         p = _probabilities(x, temperature)
         best = max(range(len(TEMPLATES)), key=p.__getitem__)
         if p[best] >= p[classes.index("none")] and _confirmed(classes[best], text):
-            named.append((p[best], best == k))
-    threshold = 0.9
-    for cut_at in sorted(p for p, _ in named if p >= 0.3):
-        right = [ok for p, ok in named if p >= cut_at]
-        if sum(right) >= PRECISION * len(right):
-            threshold = min(cut_at, 0.9)
-            break
+            named.append((best, p[best], best == k))
     model = trained(counted)
-    model.temperature, model.threshold = temperature, threshold
+    model.temperature = temperature
+    model.thresholds = [least_threshold([(p, ok) for f, p, ok in named if f == i]) for i in range(len(TEMPLATES))]
     return model
 
 
+def least_threshold(named: list[tuple[float, bool]]) -> float:
+    """The least probability, of LEAST and those just above a wrong name, from which PRECISION of the named are right; MOST at most."""
+    for cut_at in sorted({LEAST, *(p + 1e-6 for p, ok in named if not ok and p >= LEAST)}):
+        right = [ok for p, ok in named if p >= cut_at]
+        if sum(right) >= PRECISION * len(right):
+            return min(cut_at, MOST)
+    return MOST
+
+
 def bounds(model: Model) -> tuple[dict[str, float], float]:
     """(word: most that n-grams with it can raise a class over 'none'), and the sum up to which 'none' stays the likeliest.
 
@@ -338,7 +466,10 @@ def classify(paragraph: Column, model: Model) -> Column:
     """struct(family, probability, similarity) of a paragraph; family is 'none' for ordinary prose."""
     table = F.create_map(*(x for g, w in model.weights.items() for x in (F.lit(g), F.array(*map(F.lit, w)))))
     families = sorted(TEMPLATES)
-    wanted = F.array(*(F.array(*(F.array(*map(F.lit, dict.fromkeys(t.split()))) for t in TEMPLATES[f])) for f in families))
+    def template(f, t):
+        return F.struct(F.array(*map(F.lit, marks(t))).alias("all"), F.array(*map(F.lit, own_marks(f, t))).alias("own"))
+
+    wanted = F.array(*(F.array(*(template(f, t) for t in TEMPLATES[f])) for f in families))
 
     def scored(words):
         logits = F.aggregate(
@@ -353,16 +484,16 @@ def classify(paragraph: Column, model: Model) -> Column:
             lambda z: _let(F.transform(z, lambda x: F.exp(x - F.array_max(z))), lambda e: F.transform(e, lambda x: x / F.aggregate(e, F.lit(0.0), lambda a, y: a + y))),
         )
 
-    def decide(words, p):
+    def decide(found, p):
         best = F.array_position(F.slice(p, 1, len(families)), F.array_max(F.slice(p, 1, len(families)))).cast("int")
         top = F.array_max(F.slice(p, 1, len(families)))
-        like = F.array_max(F.transform(F.element_at(wanted, best), lambda t: F.size(F.array_intersect(t, words)) / F.size(t)))
+        like = F.array_max(F.transform(F.element_at(wanted, best), lambda t: F.when(F.arrays_overlap(t["own"], found), F.size(F.array_intersect(t["all"], found)) / F.size(t["all"])).otherwise(0.0)))
         none = F.element_at(p, model.classes.index("none") + 1)
-        named = (top >= F.lit(model.threshold)) & (like >= F.lit(CONFIRM)) & (top >= none)
+        named = (top >= F.element_at(F.array(*map(F.lit, model.thresholds)), best)) & (like >= F.lit(CONFIRM)) & (top >= none)
         family = F.when(named, F.element_at(F.array(*map(F.lit, families)), best)).when(none >= F.array_max(p), "none").otherwise("unknown")
         return F.struct(family.alias("family"), top.alias("probability"), like.alias("similarity"))
 
-    return _let(words_of(paragraph), lambda words: _let(scored(words), lambda p: decide(words, p)))
+    return _let(words_of(paragraph), lambda words: _let(scored(words), lambda p: _let(grams_of_words(words), lambda found: decide(found, p))))
 
 
 FOUND = "array<struct<at int, c struct<family string, probability double, similarity double>>>"
