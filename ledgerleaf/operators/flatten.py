@@ -6,15 +6,16 @@ built-in expressions.  JSON of unknown shape goes through an Arrow UDF.
 
 from __future__ import annotations
 
+import functools
 import json
 import re
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.functions import udtf
 
 CELL = T.ArrayType(T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.StringType())]))
 
@@ -152,54 +153,58 @@ def unflat_lines(cells: DataFrame, row: str, box: str, names: list[str]) -> Data
     )
 
 
-# ---------------------------------------------------------------- as a table function, and back by levels
-@udtf(returnType="pos int, key string, value string", useArrow=True)
-class FlatJson:
-    """FLAT_JSON(text): a row for each leaf of a JSON document, in source order; none where it is no JSON."""
-
-    def eval(self, text: str):
+# ---------------------------------------------------------------- as rows, and back by levels
+@F.arrow_udf(CELL)
+def flat_json_batch(texts: pa.Array) -> pa.Array:
+    """``flat_json`` by Arrow batch: no object of its own for a cell."""
+    starts, keys, values = [0], [], []
+    known = []
+    for t in texts.to_pylist():
         try:
-            cells = list(_flat(json.loads(text), ""))
+            cells = list(_flat(json.loads(t), ""))
         except (TypeError, ValueError):
-            return
-        for pos, (key, value) in enumerate(cells):
-            yield pos, key, value
+            cells = None
+        known.append(cells is not None)
+        for key, value in cells or ():
+            keys.append(key)
+            values.append(value)
+        starts.append(len(keys))
+    cells = pa.StructArray.from_arrays([pa.array(keys, pa.string()), pa.array(values, pa.string())], ["key", "value"])
+    return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), cells, mask=pa.array([not k for k in known], pa.bool_()))
 
 
 def flat_rows(df: DataFrame, column: str, *keep: str) -> DataFrame:
-    """(keep.., pos, key, value) of a column of JSON texts of any shape, by a lateral join with the table function."""
-    spark = df.sparkSession
-    spark.udtf.register("flat_json", FlatJson)
-    kept = ", ".join(f"d.`{k}`" for k in keep)
-    return spark.sql(f"SELECT {kept}, f.pos, f.key, f.value FROM {{df}} d, LATERAL flat_json(d.`{column}`) f", df=df)
+    """(keep.., pos, key, value) of a column of JSON texts of any shape: a row for each leaf, in source order; none where it is no JSON."""
+    return explode_cells(df.select(*keep, flat_json_batch(column).alias("_cells")), F.col("_cells"), *keep)
+
+
+_STEP = re.compile(r"\[([0-9]+)\]|([^.\[\]]+)")
+
+
+@functools.lru_cache(maxsize=1 << 16)
+def _path(key: str) -> list:
+    """Names and places of a path; any number of places may follow each other."""
+    return [int(place) if place else name for place, name in _STEP.findall(key)]
 
 
-def _quoted(c: Column) -> Column:
-    """A text as JSON."""
-    listed = F.to_json(F.array(F.coalesce(c, F.lit(""))))
-    return F.substring(listed, F.lit(2), F.length(listed) - 2)
+@F.arrow_udf(T.StringType())
+def _documents(cells: pa.Array) -> pa.Array:
+    """JSON of lists of cells (pos, key, value), each in order of pos."""
+    starts, flat = cells.offsets.to_pylist(), cells.values
+    pos, keys, values = (flat.field(i).to_pylist() for i in range(3))
+    out = []
+    for a, b in zip(starts, starts[1:]):
+        items = [(_path(keys[i]), values[i] or "") for i in sorted(range(a, b), key=pos.__getitem__)]
+        out.append(json.dumps(_built(items), ensure_ascii=False, separators=(",", ":")))
+    return pa.array(out, pa.string())
 
 
-def nested_json(cells: DataFrame, row: str, depth: int | None = None) -> DataFrame:
+def nested_json(cells: DataFrame, row: str, leaves: str | None = None) -> DataFrame:
     """(row, doc): the documents that flat cells (row, pos, key, value) make, as JSON texts of objects, lists and texts.
 
-    Paths are taken apart into names and [places]; from the deepest level up, what lies at one path is grouped into an object, in order of
-    pos, or a list, in order of its places (missing ones are {}), and becomes a value of the level above.  A group is a node of one document.
-    ``depth`` is the most steps of a path, and is looked up if it is not given.  A row's cells must agree on what is an object, a list or a text;
-    names hold no dots or brackets.
+    Paths are taken apart into names and [places]; what lies at one path becomes an object, in order of pos, or a list, in order of its
+    places (missing ones are {}).  The cells meet once, by row, however deep they lie.  ``leaves`` names a column for the count of a document's cells.
+    A row's cells must agree on what is an object, a list or a text; names hold no dots or brackets, and a cell without a name makes no document.
     """
-    steps = F.regexp_extract_all("key", F.lit(r"(\[[0-9]+\]|[^.\[\]]+)"), F.lit(1))
-    rows = cells.select(row, F.col("pos").cast("long").alias("pos"), steps.alias("steps"), _quoted(F.col("value")).alias("doc"))
-    if depth is None:
-        depth = rows.agg(F.max(F.size("steps"))).first()[0] or 0
-    for d in range(depth, 0, -1):
-        here = rows.where(F.size("steps") == d).select(row, F.slice("steps", 1, d - 1).alias("steps"), F.element_at("steps", d).alias("last"), "pos", "doc")
-        place = F.when(F.col("last").startswith("["), F.regexp_extract("last", "[0-9]+", 0).cast("long"))
-        members = F.array_sort(F.collect_list(F.struct(F.coalesce("place", "pos").alias("at"), "last", "doc")))
-        made = here.withColumn("place", place).groupBy(row, "steps").agg(F.min("pos").alias("pos"), F.max("place").alias("most"), members.alias("m"))
-        pairs = F.transform("m", lambda x: F.concat(_quoted(x["last"]), F.lit(":"), x["doc"]))
-        by_place = F.map_from_entries(F.transform("m", lambda x: F.struct(x["at"], x["doc"])))
-        items = F.transform(F.sequence(F.lit(0).cast("long"), F.coalesce("most", F.lit(0))), lambda i: F.coalesce(F.try_element_at(by_place, i), F.lit("{}")))
-        whole = F.when(F.col("most").isNull(), F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}"))).otherwise(F.concat(F.lit("["), F.array_join(items, ","), F.lit("]")))
-        rows = rows.where(F.size("steps") < d).unionByName(made.select(row, "pos", "steps", whole.alias("doc")))
-    return rows.select(row, "doc")
+    met = cells.where(F.col("key").rlike(r"[^.\[\]]")).groupBy(row).agg(F.collect_list(F.struct("pos", "key", "value")).alias("_cells"))
+    return met.select(row, _documents("_cells").alias("doc"), *([F.size("_cells").cast("long").alias(leaves)] if leaves else []))
