@@ -4,7 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from ledgerleaf.operators import flatten
+from ledgerleaf.operators import flatten, synth
 
 
 def plan_of(df) -> str:
@@ -24,3 +24,12 @@ def test_places_and_order_of_nested_documents(spark):
     made = flatten.nested_json(spark.createDataFrame(cells, "row int, pos int, key string, value string"), "row")
     assert json.loads(made.first().doc) == {"n": [[{}, "b"], ["c"]], "z": "", "a": {"k": [{}, {"v": "x"}]}}
     assert made.select(F.get_json_object("doc", "$.n[0][1]")).first()[0] == "b"
+
+
+def test_generated_claims_are_dealt_out_and_made_without_lambdas(spark):
+    made = synth.of_seeds(spark.range(40).coalesce(1).select(F.col("id").alias("seed")), "2024-06-01")
+    assert made.rdd.getNumPartitions() >= 2 * spark.sparkContext.defaultParallelism
+    assert "lambdafunction" not in plan_of(made.select("diagnoses", "service_lines"))
+    for r in made.select("diagnoses", "service_lines").collect():
+        assert 1 <= len(r.service_lines) <= 6 and None not in r.service_lines and len(set(r.diagnoses)) == len(r.diagnoses)
+        assert all(set(x.diagnosis_pointers) <= {chr(65 + i) for i in range(len(r.diagnoses))} for x in r.service_lines)
