@@ -57,8 +57,11 @@ def compared(both: DataFrame) -> DataFrame:
     found = {"kind": text.kind_of, "cls": keys.class_of, "region": keys.region_of}
     both = both.withColumns({"gt": text.text("gt"), "pred": text.text("pred"), **{n: f("key") for n, f in found.items() if n not in both.columns}})
     exact, cls = F.col("gt") == F.col("pred"), F.col("cls")
-    both = both.withColumns({"exact": exact, "gt_n": text.normalize_as("kind", "gt")})
-    both = both.withColumn("pred_n", F.when(F.col("exact"), F.col("gt_n")).otherwise(text.normalize_as("kind", "pred")))
+    # one text to normalise: where both sides are equal, the prediction's is blank and the truth's holds
+    both = both.withColumn("exact", exact).withColumn("_p", F.when(F.col("exact"), "").otherwise(F.col("pred")))
+    both = text.with_generic(both, _g=F.col("gt"), _p=F.col("_p"))
+    both = both.withColumn("gt_n", text.by_kind("kind", F.col("_g")))
+    both = both.withColumn("pred_n", F.when(F.col("exact"), F.col("gt_n")).otherwise(text.by_kind("kind", F.col("_p"))))
     flags = [c for c in ("has_gt", "has_pred") if c in both.columns]
     return both.select(
         "row_idx",

@@ -1,10 +1,13 @@
 """Steps whose cost must grow no faster than their input: how often a plan makes its rows, and what a step still gives."""
 
 import json
+import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerleaf.operators import flatten, synth
+from ledgerleaf.plans.claims import Claims
 
 
 def plan_of(df) -> str:
@@ -33,3 +36,27 @@ def test_generated_claims_are_dealt_out_and_made_without_lambdas(spark):
     for r in made.select("diagnoses", "service_lines").collect():
         assert 1 <= len(r.service_lines) <= 6 and None not in r.service_lines and len(set(r.diagnoses)) == len(r.diagnoses)
         assert all(set(x.diagnosis_pointers) <= {chr(65 + i) for i in range(len(r.diagnoses))} for x in r.service_lines)
+
+
+@pytest.mark.parametrize("made", ["both", "gt", "pred"])
+def test_cells_stay_within_methods_that_are_compiled(spark, made, tmp_path):
+    """A generated method beyond 8,000 bytes of code is interpreted, row by row, for the whole job."""
+    tables = {
+        "nation": "select 1 n_nationkey, 'PERU' n_name, 1 n_regionkey",
+        "customer": "select 7L c_custkey, 'Ann' c_name, 1 c_nationkey, 1.5D c_acctbal, 'AUTO' c_mktsegment",
+        "orders": "select 11L o_orderkey, 7L o_custkey, 'O' o_orderstatus, 10.25D o_totalprice, timestamp'1995-03-04' o_orderdate, '1-URGENT' o_orderpriority",
+        "lineitem": "select 11L l_orderkey, 3L l_partkey, 4L l_suppkey, 1 l_linenumber, 2D l_quantity, 5.5D l_extendedprice, timestamp'1995-04-05' l_shipdate",
+    }
+    for name, made_by in tables.items():
+        spark.sql(made_by).write.parquet(f"{tmp_path}/{name}.parquet")
+    df = getattr(Claims(spark, str(tmp_path)), made)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = df.select("*")._jdf.queryExecution().executedPlan()
+        package = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+        sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", package.codegenString(plan))]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sizes and max(sizes) < 8000
+    keys_of = {r.key: r.asDict().get("gt", r.asDict().get("pred")) for r in df.collect()}
+    assert keys_of["box_24_service_lines[0].date_from"] is not None and ("box_99_unknown" in keys_of) == (made != "gt")
