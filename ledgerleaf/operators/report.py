@@ -28,14 +28,34 @@ def _line(head: tuple, values: tuple | None = None) -> str:
 
 
 def tier_table(split: DataFrame, cells: DataFrame, preds: DataFrame | None = None) -> DataFrame:
-    """(tier, docs, all_correct, mean_field_acc, norm_field_acc), tiers by name, the total (tier null) last."""
-    docs = metrics.doc_accuracy(split, cells, preds).rollup("tier").agg(
-        F.count("*").alias("docs"),
-        F.avg(F.col("all_correct").cast("int")).alias("all_correct"),
-        F.avg("acc").alias("mean_field_acc"),
+    """(tier, docs, all_correct, mean_field_acc, norm_field_acc), tiers by name, the total (tier null) last.
+
+    The cells are read once: counts by document and by (tier, key) come from one aggregation, whose rows meet the split's documents by row.
+    A row by (tier, key) stays without a document and gives the mean over fields.
+    """
+    if preds is not None:
+        split = split.join(preds.select("sample_id").distinct(), "sample_id", "left_semi")
+    docs = split.select("row_idx", F.col("tier").alias("_tier"))
+    hits = [F.count("*").alias("keys"), F.count_if(F.col("norm")).alias("hits")]
+    per = cells.groupingSets([["row_idx"], ["tier", "key"]], "row_idx", "tier", "key").agg(F.grouping("row_idx").alias("_field"), *hits)
+    # an outer join keeps documents without cells and rows by field; what has a document that is not asked for goes
+    field = F.coalesce(F.col("_field") == 1, F.lit(False))
+    wanted = docs.withColumn("_there", F.lit(True)).withColumn("_field", F.lit(0))
+    rows = per.withColumn("_field", F.col("_field").cast("int")).join(wanted, ["row_idx", "_field"], "full").where(field | F.col("_there"))
+    rows = rows.select(
+        F.when(field, F.col("tier")).otherwise(F.col("_tier")).alias("tier"),
+        field.alias("_field"),
+        (F.coalesce("keys", F.lit(0)) == F.coalesce("hits", F.lit(0))).cast("int").alias("_right"),
+        F.when(F.coalesce("keys", F.lit(0)) > 0, F.col("hits") / F.col("keys")).otherwise(1.0).alias("_acc"),
+    )
+    doc = ~F.col("_field")
+    out = rows.rollup("tier").agg(
+        F.count_if(doc).alias("docs"),
+        F.avg(F.when(doc, F.col("_right"))).alias("all_correct"),
+        F.avg(F.when(doc, F.col("_acc"))).alias("mean_field_acc"),
+        F.when((F.grouping("tier") == 0) & F.col("tier").isNotNull(), F.avg(F.when(F.col("_field"), F.col("_acc")))).alias("norm_field_acc"),
     )
-    out = docs.join(F.broadcast(metrics.tier_macro(cells)), "tier", "left")  # a row a tier
-    return out.select("tier", "docs", "all_correct", "mean_field_acc", "norm_field_acc").orderBy(F.col("tier").asc_nulls_last())
+    return out.where("docs > 0").orderBy(F.col("tier").asc_nulls_last())
 
 
 def field_report(cells: DataFrame, pairs: int = 10) -> DataFrame:

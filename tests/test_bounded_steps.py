@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerleaf.operators import flatten, synth
+from ledgerleaf.operators import flatten, metrics, report, synth
 from ledgerleaf.plans.claims import Claims
 
 
@@ -60,3 +60,16 @@ def test_cells_stay_within_methods_that_are_compiled(spark, made, tmp_path):
     assert sizes and max(sizes) < 8000
     keys_of = {r.key: r.asDict().get("gt", r.asDict().get("pred")) for r in df.collect()}
     assert keys_of["box_24_service_lines[0].date_from"] is not None and ("box_99_unknown" in keys_of) == (made != "gt")
+
+
+def test_tier_table_reads_the_cells_once(spark):
+    split = spark.createDataFrame([(i, f"s{i}", ("fax", "worst", None)[i % 3]) for i in range(7)], "row_idx long, sample_id string, tier string")
+    rows = [(i, ("fax", "worst", None)[i % 3], k, (i + j) % 4 > 0) for i in range(6) for j, k in enumerate("abc")]
+    cells = spark.createDataFrame(rows, "row_idx long, tier string, key string, norm boolean").withColumn("exact", F.col("norm")).select("*", F.explode(F.array(F.lit(1))).alias("once"))
+    said = split.where("row_idx <> 4").select("sample_id")
+    table = report.tier_table(split, cells, said)
+    assert plan_of(table).count("Generate ") == 1
+    macro = {r.tier: r.norm_field_acc for r in metrics.tier_macro(cells).collect()}
+    docs = metrics.doc_accuracy(split, cells, said).rollup("tier").agg(F.count("*").alias("docs"), F.avg(F.col("all_correct").cast("int")).alias("r"), F.avg("acc").alias("m")).collect()
+    want = sorted(map(str, ((r.tier, r.docs, round(r.r, 9), round(r.m, 9), r.tier and round(macro[r.tier], 9)) for r in docs)))
+    assert sorted(map(str, ((r.tier, r.docs, round(r.all_correct, 9), round(r.mean_field_acc, 9), r.norm_field_acc and round(r.norm_field_acc, 9)) for r in table.collect()))) == want
