@@ -1,9 +1,11 @@
 """Streaming scorer (an addition): predictions arrive as JSON lines and are held against static ground truth.
 
 ``running_accuracy`` counts each sample's first prediction within a watermark, all in Spark's own state.  ``last_wins`` follows the rule of the
-batch reader instead: of a sample's predictions the latest holds, in whatever order they arrive.  Its state is the prediction that holds now; when a
-later one comes the earlier is retracted, a row of sign -1, before the later is given, a row of sign 1.  Sums over signed rows are thus
-right after every batch, and equal the batch result on the predictions seen so far.
+batch reader instead: of a sample's predictions the latest holds, in whatever order they arrive.  Behind a watermark its state is the prediction that
+holds now; when a later one comes the earlier is retracted, a row of sign -1, before the later is given, a row of sign 1.  Sums over signed rows are thus
+right after every batch, and equal the batch result on the predictions seen so far.  Without a watermark nothing would ever leave that state, and a sample
+would cost a Python call a batch: ``start_last_wins`` then keeps no state, a batch appends the scores of its own latest predictions, and the reader takes
+each sample's latest of all batches.
 """
 
 from __future__ import annotations
@@ -39,8 +41,8 @@ def running_accuracy(preds: DataFrame, split: DataFrame, gt: DataFrame, delay: s
 
 def _truth(split: DataFrame, gt: DataFrame) -> DataFrame:
     """(sample_id, tier, key, gt_n) of the populated cells."""
-    truth = gt.join(split.select("row_idx", "sample_id", "tier"), "row_idx").withColumn("gt_n", text.normalize("key", "gt"))
-    return truth.where("gt_n <> ''").select("sample_id", "tier", "key", "gt_n")
+    truth = gt.join(split.select("row_idx", "sample_id", "tier"), "row_idx").withColumn("kind", text.kind_of("key")).withColumn("gt_n", text.normalize_as("kind", "gt"))
+    return truth.where("gt_n <> ''").select("sample_id", "tier", "key", "kind", "gt_n")
 
 
 def start(scores: DataFrame, path: str, checkpoint: str, **trigger):
@@ -72,6 +74,12 @@ def _latest(keep_micros: int | None):
     return run
 
 
+def _said(preds: DataFrame) -> DataFrame:
+    """(sample_id, at, micros, fields): predictions that have a sample and a time, fields as JSON."""
+    fields = F.to_json(F.coalesce("fields", F.create_map().cast("map<string,string>"))).alias("fields")
+    return preds.where("sample_id is not null and at is not null").select("sample_id", "at", F.unix_micros("at").alias("micros"), fields)
+
+
 def last_wins(preds: DataFrame, keep: str | None = None) -> DataFrame:
     """(sample_id, fields, sign): changes of each sample's latest prediction; fields are JSON, sign -1 takes back what was given before.
 
@@ -79,13 +87,10 @@ def last_wins(preds: DataFrame, keep: str | None = None) -> DataFrame:
     a sample or a time are left out, a repeated prediction changes nothing.  ``keep``, an interval such as '1 hour', is the watermark: what is
     later than that is dropped, and a sample's state goes when the watermark has passed its prediction by as much again.  Without it state stays.
     """
-    rows = preds.where("sample_id is not null and at is not null")
-    micros, interval = F.unix_micros("at").alias("micros"), None
+    rows, interval = _said(preds), None
     if keep is not None:
         rows = rows.withWatermark("at", keep)
         interval = int(pd.Timedelta(keep).total_seconds() * 1_000_000)
-    fields = F.to_json(F.coalesce("fields", F.create_map().cast("map<string,string>"))).alias("fields")
-    rows = rows.select("sample_id", "at", micros, fields)
     timeout = GroupStateTimeout.NoTimeout if keep is None else GroupStateTimeout.EventTimeTimeout
     return rows.groupBy("sample_id").applyInPandasWithState(_latest(interval), SIGNED, HELD, "update", timeout)
 
@@ -97,8 +102,20 @@ def score_changes(changes: DataFrame, truth: DataFrame) -> DataFrame:
     return cells.groupBy("tier").agg(F.sum("sign").cast("long").alias("total"), F.sum(F.when(hit, F.col("sign")).otherwise(0)).cast("long").alias("norm_hits"))
 
 
+def score_latest(said: DataFrame, truth: DataFrame) -> DataFrame:
+    """(sample_id, micros, fields, tier, total, norm_hits): scores of each sample's latest prediction of said (sample_id, micros, fields), which is read twice."""
+    latest = said.groupBy("sample_id").agg(F.max(F.struct("micros", "fields")).alias("x")).select("sample_id", "x.*")
+    cells = latest.select("sample_id", F.from_json("fields", "map<string,string>").alias("_m")).join(truth, "sample_id")
+    cells = cells.select("sample_id", "tier", "kind", "gt_n", F.try_element_at("_m", F.col("key")).alias("_p"))
+    cells = text.with_generic(cells, _p=F.col("_p"))
+    hit = text.by_kind("kind", F.col("_p")) == F.col("gt_n")
+    per = cells.groupBy("sample_id", "tier").agg(F.count("*").alias("total"), F.count_if(hit).alias("norm_hits"))
+    return latest.join(per, "sample_id").select("sample_id", "micros", "fields", "tier", "total", "norm_hits")
+
+
 def start_last_wins(preds: DataFrame, split: DataFrame, gt: DataFrame, path: str, checkpoint: str, keep: str | None = None, **trigger):
-    """Starts the scorer: every batch appends the changes of its scores below path, once, however often the batch is run.
+    """Starts the scorer: every batch appends its scores below path, once, however often the batch is run; with ``keep`` (see ``last_wins``) the changes
+    of the scores by tier, else the scores of the batch's latest predictions by sample, of which ``scores`` takes the latest.
 
     The populated cells of the truth are normalised once and kept below path; every batch, and a scorer that goes on later, reads them there.
     """
@@ -110,11 +127,18 @@ def start_last_wins(preds: DataFrame, split: DataFrame, gt: DataFrame, path: str
     def add(changes: DataFrame, batch: int) -> None:
         files.append_once(score_changes(changes, truth), path, str(batch), form="parquet")
 
-    stream = last_wins(preds, keep).writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-    return stream.foreachBatch(add).trigger(**(trigger or {"availableNow": True})).start()
+    def add_latest(said: DataFrame, batch: int) -> None:
+        files.append_once(score_latest(said, truth), path, str(batch), form="parquet")
+
+    rows, mode, each = (_said(preds), "append", add_latest) if keep is None else (last_wins(preds, keep), "update", add)
+    stream = rows.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
+    return stream.foreachBatch(each).trigger(**(trigger or {"availableNow": True})).start()
 
 
 def scores(spark: SparkSession, path: str) -> DataFrame:
     """(tier, total, norm_hits) of the samples' latest predictions so far."""
-    rows = files.read_appended(spark, path, "parquet", "tier string, total long, norm_hits long")
+    rows = files.read_appended(spark, path, "parquet", "sample_id string, micros long, fields string, tier string, total long, norm_hits long")
+    latest = rows.where("sample_id is not null").groupBy("sample_id", "tier").agg(F.max(F.struct("micros", "fields", "total", "norm_hits")).alias("x"))
+    changes = rows.where("sample_id is null").select("tier", "total", "norm_hits")
+    rows = latest.select("tier", "x.total", "x.norm_hits").unionByName(changes)
     return rows.groupBy("tier").agg(F.sum("total").alias("total"), F.sum("norm_hits").alias("norm_hits")).where("total <> 0")

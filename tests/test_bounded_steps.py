@@ -6,8 +6,13 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerleaf.functions import forms
 from ledgerleaf.operators import flatten, metrics, report, synth
+from ledgerleaf.plans import catalog
 from ledgerleaf.plans.claims import Claims
+from ledgerleaf.streaming import scoring
+
+SF = "/root/testdata/sf0.001"
 
 
 def plan_of(df) -> str:
@@ -73,3 +78,13 @@ def test_tier_table_reads_the_cells_once(spark):
     docs = metrics.doc_accuracy(split, cells, said).rollup("tier").agg(F.count("*").alias("docs"), F.avg(F.col("all_correct").cast("int")).alias("r"), F.avg("acc").alias("m")).collect()
     want = sorted(map(str, ((r.tier, r.docs, round(r.r, 9), round(r.m, 9), r.tier and round(macro[r.tier], 9)) for r in docs)))
     assert sorted(map(str, ((r.tier, r.docs, round(r.all_correct, 9), round(r.mean_field_acc, 9), r.norm_field_acc and round(r.norm_field_acc, 9)) for r in table.collect()))) == want
+
+
+def test_stream_without_watermark_keeps_no_state(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text('{"sample_id":"s","fields":{"a":"1"},"at":"2024-01-01T00:00:00Z"}\n')
+    split = spark.createDataFrame([(1, "s", "fax")], "row_idx long, sample_id string, tier string")
+    gt = spark.createDataFrame([(1, "a", "1")], "row_idx long, key string, gt string")
+    q = scoring.start_last_wins(scoring.read_predictions(spark, str(tmp_path / "in"), 1), split, gt, f"{tmp_path}/out", f"{tmp_path}/cp")
+    assert q.awaitTermination(120) and q.exception() is None and not (tmp_path / "cp" / "state").exists()
+    assert [tuple(r) for r in scoring.scores(spark, f"{tmp_path}/out").collect()] == [("fax", 1, 1)]
