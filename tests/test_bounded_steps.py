@@ -80,6 +80,15 @@ def test_tier_table_reads_the_cells_once(spark):
     assert sorted(map(str, ((r.tier, r.docs, round(r.all_correct, 9), round(r.mean_field_acc, 9), r.norm_field_acc and round(r.norm_field_acc, 9)) for r in table.collect()))) == want
 
 
+def test_known_records_are_not_written_and_parsed(spark):
+    made = catalog.known_records(spark, SF)
+    assert "from_json" not in plan_of(made) and [f.name for f in made.schema][1:] == forms.RECORD.names
+    odd = spark.sql("select cast(null as struct<a: int>) s, array(named_struct('x', '1'), null) l")
+    want = "struct<a: string, b: string>", "array<struct<x: string, y: string>>"
+    got = odd.select(*(forms.as_type(F.col(n), odd.schema[n].dataType, spark.sql(f"select cast(null as {t}) v").schema["v"].dataType).alias(n) for n, t in zip("sl", want))).first()
+    assert got.s is None and [x and tuple(x) for x in got.l] == [("1", None), None]
+
+
 def test_stream_without_watermark_keeps_no_state(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.json").write_text('{"sample_id":"s","fields":{"a":"1"},"at":"2024-01-01T00:00:00Z"}\n')
