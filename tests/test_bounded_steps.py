@@ -80,6 +80,10 @@ def test_tier_table_reads_the_cells_once(spark):
     assert sorted(map(str, ((r.tier, r.docs, round(r.all_correct, 9), round(r.mean_field_acc, 9), r.norm_field_acc and round(r.norm_field_acc, 9)) for r in table.collect()))) == want
 
 
+def test_pages_are_dealt_out_before_they_are_made(spark):
+    assert catalog._pages(spark, SF).rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
+
+
 def test_known_records_are_not_written_and_parsed(spark):
     made = catalog.known_records(spark, SF)
     assert "from_json" not in plan_of(made) and [f.name for f in made.schema][1:] == forms.RECORD.names
