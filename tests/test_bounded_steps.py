@@ -84,6 +84,14 @@ def test_pages_are_dealt_out_before_they_are_made(spark):
     assert catalog._pages(spark, SF).rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
 
 
+def test_cells_of_a_claim_are_not_moved_one_by_one(spark):
+    c = Claims(spark, SF)
+    assert "Generate" not in plan_of(c.rows) and "Generate" not in plan_of(c.predictions)
+    by_cell = {(str(r.row_idx), r.key): r.pred for r in c.pred.collect()}
+    assert {(r.sample_id, k): v for r in c.predictions.collect() for k, v in r.fields.items()} == by_cell
+    assert plan_of(catalog.QUERIES["region_split"](spark, SF)).count("map_from_arrays") == 1
+
+
 def test_known_records_are_not_written_and_parsed(spark):
     made = catalog.known_records(spark, SF)
     assert "from_json" not in plan_of(made) and [f.name for f in made.schema][1:] == forms.RECORD.names
