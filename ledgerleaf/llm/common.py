@@ -38,10 +38,22 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+#: Bytes of a checkpoint that a task reads, where there are more than two tasks a core.
+CUT_BYTES = 8 << 20
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: computed once, kept in the shared folder, cleaned by Spark when no plan refers to it."""
+    """Reliable checkpoint: computed once, kept in the shared folder, cleaned by Spark when no plan refers to it.
+
+    It is read by as many tasks as its bytes ask for: each task of the next shuffle leaves files, which stay until the driver collects its garbage.
+    """
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    sc, out = df.sparkSession.sparkContext, df.checkpoint(eager=True)
+    rdd = out._jdf.queryExecution().logical().rdd()
+    path = sc._jvm.org.apache.hadoop.fs.Path(rdd.getCheckpointFile().get())
+    size = path.getFileSystem(sc._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+    tasks = max(2 * sc.defaultParallelism, -(-size // CUT_BYTES))
+    return out.coalesce(tasks) if tasks < rdd.getNumPartitions() else out
 
 
 def new_path(spark: SparkSession, tag: str) -> str:

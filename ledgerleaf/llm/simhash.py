@@ -56,6 +56,8 @@ BANDS, BAND_ROWS = 12, 4
 SIGNATURE = (64, 1024)
 #: Candidates that each member of a cell names in the first round of ``similar``.
 NEAREST = 1
+#: Links (pairs of numbers) that a task of a round of ``components`` takes, if there are more than two a core.
+EDGES = 100_000
 
 
 def _signed(x: int) -> int:
@@ -412,26 +414,35 @@ def components(links: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable over links (u, v); only nodes that have a link.
 
     Alternating large-star and small-star: rounds grow with the logarithm of the longest chain.  Every round is
-    checkpointed, and only a count reaches the driver.  A component's least node is the one key that many rows share; its
-    rows are pairs of numbers, aggregated before they are shuffled, and the joins to it are left to AQE to split.
+    checkpointed, and only its digest reaches the driver.  A component's least node is the one key that many rows share; its
+    rows are pairs of numbers, aggregated before they are shuffled, and the joins to it are left to AQE to split.  A round's exchanges
+    are written by as many tasks as the links ask for: a task of each leaves files, which stay until the driver collects its garbage.
     """
+
+    def state(edges: DataFrame):
+        """Count and two sums of hashes, which tell one round's links from the next one's."""
+        sums = [F.sum(F.xxhash64(F.lit(i), "u", "v").cast("decimal(38,0)")) for i in (1, 2)]
+        return tuple(edges.agg(F.count("*"), *sums).first())
+
     edges = common.cut(links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    last = state(edges)
     while True:
+        tasks = max(2 * edges.sparkSession.sparkContext.defaultParallelism, -(-2 * last[0] // EDGES))
         # large star: neighbours larger than a node link to the least of its neighbourhood
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct().coalesce(tasks)
         # small star: a node and its smaller neighbours link to the least of them
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
             F.struct("u", F.col("m").alias("v")),
         )).alias("x")).select("x.*")
-        now = common.cut(small.where("u <> v").distinct())
-        changed = now.join(edges, ["u", "v"], "left_anti").count() + edges.join(now, ["u", "v"], "left_anti").count()
-        edges = now
-        if not changed:
+        edges = common.cut(small.where("u <> v").distinct().coalesce(tasks))
+        now = state(edges)
+        if now == last:
             break
+        last = now
     return edges.select(
         F.col("u").alias("node"),
         F.col("v").alias("component"),
