@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerleaf.functions import forms
-from ledgerleaf.operators import flatten, metrics, report, synth
+from ledgerleaf.operators import cells, flatten, metrics, report, synth
 from ledgerleaf.plans import catalog
 from ledgerleaf.plans.claims import Claims
 from ledgerleaf.streaming import scoring
@@ -109,3 +109,15 @@ def test_stream_without_watermark_keeps_no_state(spark, tmp_path):
     q = scoring.start_last_wins(scoring.read_predictions(spark, str(tmp_path / "in"), 1), split, gt, f"{tmp_path}/out", f"{tmp_path}/cp")
     assert q.awaitTermination(120) and q.exception() is None and not (tmp_path / "cp" / "state").exists()
     assert [tuple(r) for r in scoring.scores(spark, f"{tmp_path}/out").collect()] == [("fax", 1, 1)]
+
+
+def test_equal_texts_are_not_normalised_where_only_misses_are_named(spark):
+    rows = [("a_date", "1/2/24", "1/2/24"), ("a_date", "1/2/24", "01/02/2024"), ("phone", "(1) 2", "13"), ("sex", " male", ""), ("x", None, ""), ("x", "n/a", "")]
+    both = spark.createDataFrame([(1, "s", "fax", *r) for r in rows], "row_idx long, sample_id string, tier string, key string, gt string, pred string")
+    whole, part = cells.compared(both).collect(), cells.compared(both, equal=False).collect()
+    assert [(r.exact, r.norm) for r in part] == [(r.exact, r.norm) for r in whole]
+    assert [(r.gt_n, r.pred_n) for r in part] == [(None, None) if r.exact else (r.gt_n, r.pred_n) for r in whole]
+    assert [r.exact for r in part] == [True, False, False, False, True, False] and [r.norm for r in part] == [True, True, False, False, True, True]
+    for made in (metrics.miss_pairs, metrics.tier_macro, report.field_report, metrics.top_misses):
+        got = [sorted(map(str, made(cells.compared(both, **{} if e else {"equal": e})).collect())) for e in (True, False)]
+        assert got[0] == got[1]
