@@ -227,7 +227,7 @@ class Shard:
     def neighbours(self, seed: int) -> np.ndarray:
         """Documents that share a term with seed, best score first, ties by position."""
         t = self.own_terms[self.own_from[seed] : self.own_from[seed + 1]]
-        at = runs(self.term_from[t], self.term_from[t + 1] - self.term_from[t])
+        at = runs(self.term_from[t], self.term_from[t + 1] - self.term_from[t]).astype(np.intp)  # else each use below would make it so
         score = np.bincount(self.docs[at], self.weights[at], minlength=len(self.n))
         found = np.flatnonzero(score > 0)
         return found[np.argsort(-score[found], kind="stable")]

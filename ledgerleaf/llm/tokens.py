@@ -9,12 +9,13 @@ from __future__ import annotations
 
 import os
 from array import array
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Pieces kept per worker, and the longest one kept (in bytes).
+#: Pieces of each kind kept per worker, and the longest one kept (in bytes).
 CACHE_WORDS, CACHE_BYTES = 600_000, 64
 #: A piece of letters and then marks of these kinds is split exactly there by the tokenizer's pattern, which
 #: matches runs of letters and runs of marks; it has alternatives of its own for the apostrophe only.
@@ -29,53 +30,29 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-class Encoder:
-    """Ids as unsigned 16-bit numbers (the vocabulary has 49,408 ids)."""
-
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+class Pieces:
+    """The pieces of one kind that were seen, their ids one after the other, and the number of each one's ids; the first is no piece at all."""
 
-        self.tokenizer = Tokenizer.from_file(path)
-        if self.tokenizer.get_vocab_size() > 65_536:
-            raise ValueError("ids must fit in 16 bits")
-        # the pieces seen, their ids one after the other, and the number of each one's ids
+    def __init__(self):
         self.known, self.flat, self.length = pa.array([""], pa.string()), np.zeros(0, "<u2"), np.zeros(1, np.int64)
 
-    def _each(self, pieces: list[str]) -> list[bytes]:
-        return [array("H", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-
-    def _joined(self, words: list[str], at_once: int = 1000) -> list[bytes]:
-        """Words of letters, many in one call, taken apart by the library's word numbers."""
-        rows, out = [words[i : i + at_once] for i in range(0, len(words), at_once)], []
-        for row, e in zip(rows, self.tokenizer.encode_batch([" ".join(r) for r in rows], add_special_tokens=False)):
-            raw, of = array("H", e.ids).tobytes(), np.array(e.word_ids)
-            cut = (np.flatnonzero(np.diff(of)) + 1) * 2
-            if len(cut) + 1 != len(row):
-                out += self._each(row)
-                continue
-            cut = [0, *cut.tolist(), len(raw)]
-            out += [raw[a:b] for a, b in zip(cut, cut[1:])]
-        return out
-
-    def _numbers(self, pieces: pa.Array, letters: bool) -> np.ndarray:
-        """Numbers of distinct pieces among the known ones, which new ones join."""
+    def numbers(self, pieces: pa.Array, encode) -> np.ndarray:
+        """Numbers of distinct pieces among the known ones, which new ones join; encode gives (ids, ids of each) of those."""
         at = pc.index_in(pieces, value_set=self.known)
         new = np.asarray(pc.is_null(at))
         out = at.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
         if new.any():
             rows = pieces.filter(pa.array(new))
-            got = (self._joined if letters else self._each)(rows.to_pylist())
-            out[new] = len(self.length) + np.arange(len(got))
+            ids, n = encode(rows.to_pylist())
+            out[new] = len(self.length) + np.arange(len(n))
             self.known = pa.concat_arrays([self.known, rows])
-            self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(got), "<u2")])
-            self.length = np.concatenate([self.length, np.fromiter(map(len, got), np.int64, len(got)) // 2])
+            self.flat, self.length = np.concatenate([self.flat, ids]), np.concatenate([self.length, n])
         return out
 
-    def _forget(self, base: int) -> None:
+    def forget(self, base: int, most: int) -> None:
         """Keeps of the pieces from number base on the short ones, as long as there is room."""
         short = np.asarray(pc.less_equal(pc.binary_length(self.known.slice(base)), CACHE_BYTES))
-        keep = base + np.flatnonzero(short)[: max(0, CACHE_WORDS - base)]
+        keep = base + np.flatnonzero(short)[: max(0, most - base)]
         if len(keep) < len(self.length) - base:
             start = np.cumsum(self.length) - self.length
             ends = int(start[base]) if base < len(start) else len(self.flat)
@@ -83,6 +60,43 @@ class Encoder:
             self.known = pa.concat_arrays([self.known.slice(0, base), self.known.take(pa.array(keep))])
             self.length = np.concatenate([self.length[:base], self.length[keep]])
 
+
+class Encoder:
+    """Ids as unsigned 16-bit numbers (the vocabulary has 49,408 ids)."""
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        if self.tokenizer.get_vocab_size() > 65_536:
+            raise ValueError("ids must fit in 16 bits")
+        self.words, self.others = Pieces(), Pieces()
+        self.model, self.written = self.tokenizer.model, str.maketrans({c: self._written(c) for c in LETTERS})
+        # a tokenizer that reads words in another way than letter by letter is asked for each as a whole
+        self.alone = not any(t.content.isalpha() for t in self.tokenizer.get_added_tokens_decoder().values())
+        self.alone = self.alone and all(np.array_equal(self._by_model([w])[0], self._whole([w])[0]) for w in ("a", "the", LETTERS, LETTERS[::-1]))
+
+    def _written(self, letter: str) -> str:
+        """A letter as the model reads it, by the tokenizer's own normalizer and pre-tokenizer."""
+        normal, split = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        text = normal.normalize_str(letter) if normal else letter
+        return "".join(x for x, _ in split.pre_tokenize_str(text)) if split else text
+
+    def _whole(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ids of each) of any pieces."""
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        return np.frombuffer(array("H", chain.from_iterable(got)), "<u2"), np.fromiter(map(len, got), np.int64, len(got))
+
+    def _by_model(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same of words of letters: normalizer and pre-tokenizer leave such a word in one part, letter by letter, so the model alone is called."""
+        ids, n, tokenize = array("H"), [], self.model.tokenize
+        for word in " ".join(words).translate(self.written).split(" "):
+            got = [t.id for t in tokenize(word)]
+            n.append(len(got))
+            ids.extend(got)
+        return np.frombuffer(ids, "<u2"), np.array(n, np.int64)
+
     def encode_array(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, ids per text), each text followed by end_id if that is given.
 
@@ -99,11 +113,16 @@ class Encoder:
         # a piece is a word and a mark, or an odd piece and nothing
         words = pc.if_else(plain, word, "").dictionary_encode()
         others = pc.if_else(plain, mark, pieces).dictionary_encode()
-        base = len(self.length)
-        numbers = [self._numbers(x.dictionary, letters)[x.indices.to_numpy()] for x, letters in ((words, True), (others, False))]
-        parts, start = np.stack(numbers, 1), np.cumsum(self.length) - self.length
-        table, length = self.flat[runs(start[parts.reshape(-1)], self.length[parts.reshape(-1)])], self.length[parts].sum(1)
-        self._forget(base)
+        kinds = ((self.words, words, self._by_model if self.alone else self._whole), (self.others, others, self._whole))
+        base = [len(kind.length) for kind, _, _ in kinds]
+        parts = np.stack([kind.numbers(x.dictionary, encode)[x.indices.to_numpy()] for kind, x, encode in kinds], 1)
+        # both kinds side by side: marks are numbered on from the last word
+        parts[:, 1] += len(self.words.length)
+        flat, each = (np.concatenate([getattr(kind, x) for kind, _, _ in kinds]) for x in ("flat", "length"))
+        start = np.cumsum(each) - each
+        table, length = flat[runs(start[parts.reshape(-1)], each[parts.reshape(-1)])], each[parts].sum(1)
+        for (kind, _, _), n in zip(kinds, base):
+            kind.forget(n, CACHE_WORDS)
         if end_id is not None:
             table, length = np.append(table, np.array([end_id], "<u2")), np.append(length, 1)
         start = np.cumsum(length) - length
