@@ -47,7 +47,7 @@ def compare_cells(split: DataFrame, gt: DataFrame, pred: DataFrame) -> DataFrame
     return compared(both.join(split.select("row_idx", "sample_id", "tier"), "row_idx"))
 
 
-def compared(both: DataFrame, equal: bool = True) -> DataFrame:
+def compared(both: DataFrame, equal: bool = True, populated: bool = False) -> DataFrame:
     """The cell table of rows (row_idx, sample_id, tier, key, gt, pred) that hold both sides.
 
     Type, class and region follow from the key alone: they are found once for a cell, not once for each side, or come with the
@@ -55,21 +55,27 @@ def compared(both: DataFrame, equal: bool = True) -> DataFrame:
     tell a blank side from an absent one, are kept if the rows have them.
 
     Without ``equal`` no text of a cell whose sides are equal as they are is normalised: its gt_n and pred_n are null.  What counts hits and
-    names misses asks for no more; what tells populated cells from blank ones does.
+    names misses asks for no more; what tells populated cells from blank ones does, or takes the column ``populated``, for which an equal text
+    is normalised only if it does not end in a digit.
     """
     found = {"kind": text.kind_of, "cls": keys.class_of, "region": keys.region_of}
     both = both.withColumns({"gt": text.text("gt"), "pred": text.text("pred"), **{n: f("key") for n, f in found.items() if n not in both.columns}})
     exact, cls = F.col("gt") == F.col("pred"), F.col("cls")
     # one text to normalise: where both sides are equal, the prediction's is blank and the truth's holds
     both = both.withColumn("exact", exact).withColumn("_p", F.when(F.col("exact"), "").otherwise(F.col("pred")))
-    both = text.with_generic(both, _g=F.col("gt") if equal else F.when(F.col("exact"), "").otherwise(F.col("gt")), _p=F.col("_p"))
+    both = both.withColumn("_known", F.col("exact") & text.surely_holds("gt") if populated else F.lit(False))
+    spared = F.col("_known") if populated else F.col("exact")
+    both = text.with_generic(both, _g=F.col("gt") if equal else F.when(spared, "").otherwise(F.col("gt")), _p=F.col("_p"))
     both = both.withColumn("gt_n", text.by_kind("kind", F.col("_g")))
     both = both.withColumn("pred_n", F.when(F.col("exact"), F.col("gt_n")).otherwise(text.by_kind("kind", F.col("_p"))))
-    norm = F.col("gt_n") == F.col("pred_n")
+    norm, full = F.col("gt_n") == F.col("pred_n"), F.col("gt_n") != ""
+    if populated:
+        both = both.withColumn("populated", F.col("_known") | full)
+        full = F.col("populated")
     if not equal:
         both = both.withColumns({c: F.when(~F.col("exact"), F.col(c)) for c in ("gt_n", "pred_n")})
         norm = F.col("exact") | norm
-    flags = [c for c in ("has_gt", "has_pred") if c in both.columns]
+    flags = [c for c in ("has_gt", "has_pred", "populated") if c in both.columns]
     return both.select(
         "row_idx",
         "sample_id",
@@ -84,7 +90,7 @@ def compared(both: DataFrame, equal: bool = True) -> DataFrame:
         "region",
         "cls",
         F.when(
-            cls.isin(*keys.CER_CLASSES) & (F.col("gt_n") != ""),
+            cls.isin(*keys.CER_CLASSES) & full,
             F.when(F.col("exact"), 0.0).otherwise(keys.char_error_rate("pred_n", "gt_n")),
         ).alias("cer"),
         *flags,

@@ -210,9 +210,10 @@ def summary_row(cells: DataFrame, split: DataFrame, valid: DataFrame, model: str
     """One wide row of a run: accuracies by tier and class, error rates and validity, rounded to four places.
 
     One aggregate over the cells by (tier, class, populated), a handful of rows, from which every number follows.  A tier without
-    populated cells is null, a class without any is 0.
+    populated cells is null, a class without any is 0.  Cells may come with populated in place of gt_n.
     """
-    sums = cells.groupBy("tier", "cls", (F.col("gt_n") != "").alias("full")).agg(
+    populated = F.col("populated") if "populated" in cells.columns else F.col("gt_n") != ""
+    sums = cells.groupBy("tier", "cls", populated.alias("full")).agg(
         F.count("*").alias("n"), F.count_if("exact").alias("e"), F.count_if("norm").alias("h"), F.count("cer").alias("k"), F.coalesce(F.sum("cer"), F.lit(0.0)).alias("c")
     )
 
