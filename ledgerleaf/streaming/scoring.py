@@ -39,10 +39,22 @@ def running_accuracy(preds: DataFrame, split: DataFrame, gt: DataFrame, delay: s
     return cells.groupBy(F.window("at", window), "tier").agg(F.count("*").alias("total"), F.sum(hit.cast("int")).alias("norm_hits"))
 
 
+def _normal(gt: DataFrame) -> DataFrame:
+    """(row_idx, key, kind, gt_n) of the populated cells of gt (row_idx, key, gt); a key's type is found here unless it comes with the rows as kind."""
+    gt = gt.select("row_idx", "key", F.col("kind") if "kind" in gt.columns else text.kind_of("key").alias("kind"), text.text("gt").alias("gt"))
+    gt = text.with_generic(gt, _g=F.col("gt"))
+    return gt.select("row_idx", "key", "kind", text.by_kind("kind", F.col("_g")).alias("gt_n")).where("gt_n <> ''")
+
+
 def _truth(split: DataFrame, gt: DataFrame) -> DataFrame:
-    """(sample_id, tier, key, gt_n) of the populated cells."""
-    truth = gt.join(split.select("row_idx", "sample_id", "tier"), "row_idx").withColumn("kind", text.kind_of("key")).withColumn("gt_n", text.normalize_as("kind", "gt"))
-    return truth.where("gt_n <> ''").select("sample_id", "tier", "key", "kind", "gt_n")
+    """(sample_id, tier, key, kind, gt_n) of the populated cells."""
+    return _normal(gt).join(split.select("row_idx", "sample_id", "tier"), "row_idx").select("sample_id", "tier", "key", "kind", "gt_n")
+
+
+def _truth_rows(split: DataFrame, gt: DataFrame) -> DataFrame:
+    """(sample_id, tier, cells): the same with a row a sample, cells an array of (key, kind, gt_n); a sample's cells are few."""
+    rows = _normal(gt).groupBy("row_idx").agg(F.collect_list(F.struct("key", "kind", "gt_n")).alias("cells"))
+    return rows.join(split.select("row_idx", "sample_id", "tier"), "row_idx").select("sample_id", "tier", "cells")
 
 
 def start(scores: DataFrame, path: str, checkpoint: str, **trigger):
@@ -103,10 +115,14 @@ def score_changes(changes: DataFrame, truth: DataFrame) -> DataFrame:
 
 
 def score_latest(said: DataFrame, truth: DataFrame) -> DataFrame:
-    """(sample_id, micros, fields, tier, total, norm_hits): scores of each sample's latest prediction of said (sample_id, micros, fields), which is read twice."""
+    """(sample_id, micros, fields, tier, total, norm_hits): scores of each sample's latest prediction of said (sample_id, micros, fields), which is read twice.
+
+    truth (sample_id, tier, cells): a sample meets its cells as one row, and they are unrolled and counted where they meet.
+    """
     latest = said.groupBy("sample_id").agg(F.max(F.struct("micros", "fields")).alias("x")).select("sample_id", "x.*")
     cells = latest.select("sample_id", F.from_json("fields", "map<string,string>").alias("_m")).join(truth, "sample_id")
-    cells = cells.select("sample_id", "tier", "kind", "gt_n", F.try_element_at("_m", F.col("key")).alias("_p"))
+    cells = cells.select("sample_id", "tier", "_m", F.inline("cells"))
+    cells = cells.select("sample_id", "tier", "kind", "gt_n", text.text(F.try_element_at("_m", F.col("key"))).alias("_p"))
     cells = text.with_generic(cells, _p=F.col("_p"))
     hit = text.by_kind("kind", F.col("_p")) == F.col("gt_n")
     per = cells.groupBy("sample_id", "tier").agg(F.count("*").alias("total"), F.count_if(hit).alias("norm_hits"))
@@ -117,15 +133,16 @@ def start_last_wins(preds: DataFrame, split: DataFrame, gt: DataFrame, path: str
     """Starts the scorer: every batch appends its scores below path, once, however often the batch is run; with ``keep`` (see ``last_wins``) the changes
     of the scores by tier, else the scores of the batch's latest predictions by sample, of which ``scores`` takes the latest.
 
-    The populated cells of the truth are normalised once and kept below path; every batch, and a scorer that goes on later, reads them there.
+    The populated cells of the truth are normalised once and kept below path, a row a sample; every batch, and a scorer that goes on later, reads them there.
     """
-    spark, held = preds.sparkSession, f"{path.rstrip('/')}/truth"
+    spark, held = preds.sparkSession, f"{path.rstrip('/')}/truth_rows"
     if not files.exists(spark, f"{held}/_SUCCESS"):
-        _truth(split, gt).write.mode("overwrite").parquet(held)
+        _truth_rows(split, gt).write.mode("overwrite").parquet(held)
     truth = spark.read.parquet(held)
+    cells = truth.select("sample_id", "tier", F.inline("cells"))
 
     def add(changes: DataFrame, batch: int) -> None:
-        files.append_once(score_changes(changes, truth), path, str(batch), form="parquet")
+        files.append_once(score_changes(changes, cells), path, str(batch), form="parquet")
 
     def add_latest(said: DataFrame, batch: int) -> None:
         files.append_once(score_latest(said, truth), path, str(batch), form="parquet")
