@@ -47,6 +47,47 @@ def compare_cells(split: DataFrame, gt: DataFrame, pred: DataFrame) -> DataFrame
     return compared(both.join(split.select("row_idx", "sample_id", "tier"), "row_idx"))
 
 
+def unrolled(rows: DataFrame) -> DataFrame:
+    """(row_idx, sample_id, tier, key, gt, pred, has_gt, has_pred): the full outer join of a sample's cells by key, made within its row.
+
+    rows (row_idx, sample_id, tier, cells, fields): cells is an array of (key, gt) and, where they are known, kind, cls ('' for none) and region, which
+    are passed on; fields is a map of the predicted texts, in which a key comes once. Either is null for a sample that has none.
+    """
+    names = rows.schema["cells"].dataType.elementType.names
+    known = F.coalesce("cells", F.array().cast(rows.schema["cells"].dataType))
+    said = F.coalesce(F.map_keys("fields"), F.array().cast("array<string>"))
+    odd = F.transform(F.array_except(said, known["key"]), lambda k: F.struct(*((k if n == "key" else F.lit(None).cast("string")).alias(n) for n in names)))
+    # a step of its own: unrolling an array that a lambda makes would be interpreted, and copy the sample's map for each cell
+    rows = rows.select("row_idx", "sample_id", "tier", "fields", F.size(known).alias("_n"), F.concat(known, odd).alias("_all"))
+    rows = rows.select("row_idx", "sample_id", "tier", "fields", "_n", F.posexplode("_all").alias("_i", "_x"))
+    has_gt, key = F.col("_i") < F.col("_n"), F.col("_x.key")
+    found = {
+        "kind": lambda: F.coalesce("_x.kind", text.kind_of(key)),
+        "cls": lambda: F.when(has_gt, F.nullif("_x.cls", F.lit(""))).otherwise(keys.class_of(key)),
+        "region": lambda: F.coalesce("_x.region", keys.region_of(key)),
+    }
+    return rows.select(
+        "row_idx",
+        "sample_id",
+        "tier",
+        "_x.key",
+        "_x.gt",
+        F.try_element_at("fields", key).alias("pred"),
+        *(f().alias(n) for n, f in found.items() if n in names),
+        has_gt.alias("has_gt"),
+        F.coalesce(F.array_contains(F.map_keys("fields"), key), F.lit(False)).alias("has_pred"),
+    )
+
+
+def compare_rows(split: DataFrame, truth: DataFrame, preds: DataFrame) -> DataFrame:
+    """The table of ``compare_cells`` for sides that have a row a sample: truth (row_idx, cells), preds (row_idx, fields), see ``unrolled``.
+
+    Only rows meet by shuffle, and not even they if both sides are dealt out by row_idx; no cell is moved or sorted.
+    """
+    rows = split.select("row_idx", "sample_id", "tier").join(truth.select("row_idx", "cells"), "row_idx", "left")
+    return compared(unrolled(rows.join(preds.select("row_idx", "fields"), "row_idx", "left")))
+
+
 def compared(both: DataFrame, equal: bool = True, populated: bool = False) -> DataFrame:
     """The cell table of rows (row_idx, sample_id, tier, key, gt, pred) that hold both sides.
 

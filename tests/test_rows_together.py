@@ -1,9 +1,15 @@
 """What a sample's or a claim's cells are compared with meets them as one row: cells are not moved one by one."""
 
 import json
+import re
 
+from pyspark.sql import functions as F
+
+from ledgerleaf.operators import cells
+from ledgerleaf.plans import catalog
 from ledgerleaf.streaming import scoring
 
+SF = "/root/testdata/sf0.001"
 SPLIT = "row_idx long, sample_id string, tier string"
 
 
@@ -18,3 +24,30 @@ def test_truth_of_a_stream_is_a_row_a_sample(spark, tmp_path):
     assert [tuple(r) for r in scoring.scores(spark, f"{tmp_path}/out").collect()] == [("fax", 6, 4)]
     held = spark.read.parquet(f"{tmp_path}/out/truth_rows").collect()
     assert sorted(r.sample_id for r in held) == [f"s{i}" for i in range(4)] and all(sorted((c.key, c.gt_n) for c in r.cells) == [("a", "01/02/2020"), ("b", "X")] for r in held)
+
+
+def rows_of(df, names):
+    return sorted(map(repr, df.select(*names).collect()))
+
+
+def test_rows_compare_as_cells_do(spark):
+    """Samples without truth, without prediction, with odd keys, blank and null texts."""
+    split = spark.createDataFrame([(i, f"s{i}", "fax") for i in range(6)], SPLIT)
+    gt = [(0, "a_date", "01/02/2020"), (0, "x.npi", "123"), (1, "a_date", "3/4/21"), (1, "blank", ""), (2, "x.npi", None), (3, "city.state", "ny"), (9, "a_date", "1")]
+    pred = [(0, "x.npi", "124"), (0, "odd_charges", "$1"), (1, "a_date", "2021-3-4"), (1, "blank", None), (2, "x.npi", "N/A"), (4, "odd.npi", "7"), (8, "x.npi", "1")]
+    gt, pred = spark.createDataFrame(gt, "row_idx long, key string, gt string"), spark.createDataFrame(pred, "row_idx long, key string, pred string")
+    want = cells.compare_cells(split, gt, pred)
+    fields = pred.groupBy("row_idx").agg(F.map_from_entries(F.collect_list(F.struct("key", "pred"))).alias("fields"))
+    plain = gt.groupBy("row_idx").agg(F.collect_list(F.struct("key", "gt")).alias("cells"))
+    known = F.struct("key", "gt", F.expr("CASE WHEN key LIKE '%_date' THEN 'date' WHEN key LIKE '%npi' THEN 'id' WHEN key LIKE '%state' THEN 'state' ELSE 'generic' END AS kind"))
+    typed = gt.groupBy("row_idx").agg(F.collect_list(known).alias("cells"))
+    for truth in (plain, typed):
+        got = cells.compare_rows(split, truth, fields)
+        assert sorted(got.columns) == sorted(want.columns) and rows_of(got, want.columns) == rows_of(want, want.columns)
+
+
+def test_cell_compare_moves_no_cell(spark):
+    """Every exchange is of rows by claim or by the key of a table."""
+    plan = catalog.QUERIES["cell_compare"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    moved = re.findall(r"Exchange hashpartitioning\(([^)]*?), \d+\)", plan)
+    assert moved and not [x for x in moved if "," in x or x.startswith("key#")]
