@@ -5,7 +5,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from ledgerleaf.operators import cells
+from ledgerleaf.operators import cells, synth
 from ledgerleaf.plans import catalog
 from ledgerleaf.streaming import scoring
 
@@ -51,3 +51,17 @@ def test_cell_compare_moves_no_cell(spark):
     plan = catalog.QUERIES["cell_compare"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     moved = re.findall(r"Exchange hashpartitioning\(([^)]*?), \d+\)", plan)
     assert moved and not [x for x in moved if "," in x or x.startswith("key#")]
+
+
+def test_manifest_reads_its_claims_without_a_text_between(spark):
+    """What a manifest row asks of its claim is taken from the claim; the same as its text says."""
+    got = catalog.QUERIES["synth_manifest"](spark, SF)
+    assert "to_json" not in got._jdf.queryExecution().optimizedPlan().toString()
+    made = synth.batch(spark, 20, catalog.AS_OF, seed_base=1).select("seed", F.to_json("ground_truth").alias("t")).collect()
+    rows = {r.seed: r for r in got.where("seed <= 20").collect()}
+    for r in made:
+        if r.seed in rows:
+            t, row = json.loads(r.t), rows[r.seed]
+            want = (t["meta"]["seed"], 1 <= len(t["logical"]["box_24_service_lines"]) <= 6, int(t["logical"]["box_2_patient_name"]["last"] == ""))
+            assert (row.truth_seed, row.lines_ok, row.blank_names) == want
+    assert rows
