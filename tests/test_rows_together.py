@@ -65,3 +65,10 @@ def test_manifest_reads_its_claims_without_a_text_between(spark):
             want = (t["meta"]["seed"], 1 <= len(t["logical"]["box_24_service_lines"]) <= 6, int(t["logical"]["box_2_patient_name"]["last"] == ""))
             assert (row.truth_seed, row.lines_ok, row.blank_names) == want
     assert rows
+
+
+def test_claims_are_returned_typed(spark):
+    """A whole claim a row, in columns and not as a text that names each field in each row."""
+    got = catalog.QUERIES["synth_records"](spark, SF)
+    assert got.schema["ground_truth"].dataType.names == ["schema_version", "meta", "fields", "logical"]
+    assert "to_json" not in got._jdf.queryExecution().optimizedPlan().toString()
